@@ -5,13 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, exact_dedup, license_scan, secret_scan
+from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, packing, secret_scan
+
+
+def vocabulary_path(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("held_out", language_id.held_out())
+    prototypes = language_id.learn(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), prototypes).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path("byte_bpe_50k.json")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    coded = bpe.encode(docs, path).drop("text")
+    both = bpe.decode(coded, path)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary_path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -29,8 +60,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op7_secret_scan, op8_chat_format, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op2_license_scan": license_scan.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_permutation_index": ann.ORACLE, "op2_license_scan": license_scan.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
