@@ -26,7 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that :func:`written` gave and that nothing reads any more."""
+    hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
+    hadoop.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
 def hot_keys(counts: DataFrame, key: str, total: int, share: float = HOT_SHARE) -> DataFrame:
