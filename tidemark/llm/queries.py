@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, packing, secret_scan
+from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, ngram_join, packing, secret_scan
 
 
 def vocabulary_path(name: str) -> str:
@@ -23,6 +23,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, num=90, den=100)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("held_out", language_id.held_out())
     prototypes = language_id.learn(docs.where(~F.col("held_out")))
@@ -60,7 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op3_ngram_join, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
