@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,3 +58,9 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spr
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salts"), F.lit(1)) - 1))
     repeated = right.join(hot, key, "left").withColumn("_salt", copies).drop("n_salts")
     return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished jobs now; it waits for the driver's garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
