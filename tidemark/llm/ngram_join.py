@@ -37,7 +37,8 @@ COUNTERS = 1 << 18
 BITS = 512
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
+_BYTE_EXACT = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
+_BYTE = _BYTE_EXACT.copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

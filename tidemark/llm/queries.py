@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, ngram_join, packing, secret_scan
+from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, ngram_join, packing, secret_scan, suffix_dedup
 
 
 def vocabulary_path(name: str) -> str:
@@ -59,12 +59,16 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op3_ngram_join, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op3_ngram_join, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op9_suffix_dedup, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
