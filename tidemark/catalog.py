@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from tidemark.functions import keys
+from tidemark.operators import cdc
+from tidemark.sources import discovery, snapshot
+
+MODULES = (keys, discovery, snapshot, cdc)
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()}

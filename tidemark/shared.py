@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key is hot from this share of all rows on, so that at most 1 / HOT_SHARE keys are hot, however large the input is.
@@ -64,3 +64,14 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished jobs now; it waits for the driver's garbage collection."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def numbered(df: DataFrame, *order: str, name: str = "rn") -> DataFrame:
+    """``df`` with the global row number (from 1) in the order of ``order``, without one task that holds all rows: rows are dealt by
+    range, numbered within their part, and shifted by the sizes of the parts before (one row for each part, broadcast)."""
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mono", F.monotonically_increasing_id())
+    parts = written(parts, "numbered").withColumn("_part", F.shiftright("_mono", 33)).withColumn("_at", F.col("_mono").bitwiseAND((1 << 33) - 1))
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return parts.join(F.broadcast(shift), "_part").withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_mono", "_part", "_at", "_shift")
