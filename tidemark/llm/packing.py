@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tidemark.llm.bpe import byte_letters
+
 #: Tokens of a window, of a part, and documents of a group.
 WINDOW, PART, GROUP = 2048, 512, 1024
 #: Words that a worker remembers.
@@ -47,19 +49,29 @@ def _library(path: str):
     return out
 
 
-def tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids, as bytes of little-endian int32. Words are looked up once and remembered."""
-    library, memo = _library(path), {}
+class _Words(dict):
+    """The ids of words, as bytes of little-endian int32; a word that is not there yet goes through the library's model."""
+
+    def __init__(self, path: str):
+        self.model, self.letters = _library(path).model, byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        plain = word if word.isascii() and word.isprintable() else "".join(self.letters[b] for b in word.encode())
+        self[word] = out = np.array([t.id for t in self.model.tokenize(plain)], "<i4").tobytes()
+        return out
+
+
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> Callable[[str], bytes]:
+    """A function from a text to its ids, as bytes of little-endian int32. A worker remembers words from task to task."""
+    library, words = _library(path), _Words(path)
 
-    def tokenize(texts: list[str]) -> list[bytes]:
-        nonlocal memo
-        if len(memo) > MEMO_WORDS:
-            memo = {}
-        rows = [None if OUTSIDE.search(t) else WORD.findall(t.lower()) for t in texts]
-        new = list(set().union(*(r for r in rows if r)).difference(memo))
-        for w, e in zip(new, library.encode_batch(new, add_special_tokens=False), strict=True):
-            memo[w] = np.array(e.ids, "<i4").tobytes()
-        return [np.array(library.encode(t, add_special_tokens=False).ids, "<i4").tobytes() if r is None else b"".join([memo[w] for w in r]) for t, r in zip(texts, rows, strict=True)]
+    def tokenize(text: str) -> bytes:
+        if ("<|" in text) if text.isascii() else OUTSIDE.search(text):
+            return np.array(library.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+        return b"".join(map(words.__getitem__, WORD.findall(text.lower())))
 
     return tokenize
 
@@ -122,7 +134,7 @@ def _packed(docs: list[tuple[int | None, bytes]], first: int, window: int, part:
         for start in range(0, whole, window):
             rows.append((doc_id, start, window, ids[4 * start : 4 * (start + window)], n, sequence, 0))
             sequence += 1
-        cuts = np.linspace(whole, n, -(-(n - whole) // part) + 1).astype(np.int64).tolist()
+        cuts = [*range(whole, n, part), n]  # full parts and a rest: rests of all sizes balance best
         parts += [(doc_id, a, b - a, ids[4 * a : 4 * b], n) for a, b in zip(cuts, cuts[1:], strict=False)]
     if parts:
         to, k = windows_of(np.array([p[2] for p in parts], np.int64), window)
@@ -142,15 +154,13 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         tokenize, end = tokenizer(path), np.int32(END).tobytes()
         sequence, held, size = TaskContext.get().partitionId() << 33, [], 0
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for at in range(0, len(texts), 64):
-                for doc_id, coded in zip(ids[at : at + 64], tokenize(texts[at : at + 64]), strict=True):
-                    held.append((doc_id, coded + end))
-                    size += len(coded)
-                    if len(held) >= group or size >= 1 << 26:
-                        out, sequence = _packed(held, sequence, window, part)
-                        yield out
-                        held, size = [], 0
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                held.append((doc_id, tokenize(text.as_py() or "") + end))
+                size += len(held[-1][1])
+                if len(held) >= group or size >= 1 << 26:
+                    out, sequence = _packed(held, sequence, window, part)
+                    yield out
+                    held, size = [], 0
         if held:
             yield _packed(held, sequence, window, part)[0]
 
