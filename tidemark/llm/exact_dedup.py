@@ -163,10 +163,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = _verdicts(docs, id_col, text_col).where("kept").select(F.col("_id").alias("_keep_id"), F.col("raw").alias("_keep_raw"))
-    rows = docs.withColumn("_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_raw") == F.col("_keep_raw")), "left_semi")
-    return rows.dropDuplicates([id_col, "_raw"]).select(*docs.columns)
+    keep = _verdicts(docs, id_col, text_col).where("kept").select(F.col("_id").alias("__td_keep_id"), F.col("raw").alias("__td_keep_raw"))
+    rows = docs.withColumn("__td_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__td_keep_id")) & (F.col("__td_raw") == F.col("__td_keep_raw")), "left_semi")
+    return rows.dropDuplicates([id_col, "__td_raw"]).select(*docs.columns)
 
 
 ORACLE = r"""

@@ -8,7 +8,8 @@ Learning is one pass over all labelled texts: tasks add up vectors by language,
 What the driver gathers is one vector for each language.
 
 Cases: a text that is null or has no letter is ``und`` with score 0, as is any text where nothing was learned; rows without a
-label are not learned from; languages tied in cosine go to the first in order; repeated rows are predicted each; extra columns are kept.
+label are not learned from; languages tied in cosine go to the first in order; repeated rows are predicted each; extra columns are kept,
+but one that is called like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -149,6 +150,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
                 score += [min(1.0, max(0.0, float(cosine[r, k]))) if ok else 0.0 for r, (k, ok) in enumerate(zip(best, known, strict=True))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
 
+    docs = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
     return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
 

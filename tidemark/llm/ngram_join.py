@@ -292,7 +292,7 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = _verdicts(docs, id_col, text_col, words, num, den)
     first = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "raw")).alias("first")
     keep = out.where("label IS NOT NULL").groupBy("label").agg(first).select("first._id", "first.raw").union(out.where("label IS NULL").select("_id", "raw"))
-    keep = keep.select(F.col("_id").alias("_keep_id"), F.col("raw").alias("_keep_raw"))
-    rows = docs.withColumn("_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_raw") == F.col("_keep_raw")), "left_semi")
-    return rows.dropDuplicates([id_col, "_raw"]).select(*docs.columns)
+    keep = keep.select(F.col("_id").alias("__td_keep_id"), F.col("raw").alias("__td_keep_raw"))
+    rows = docs.withColumn("__td_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__td_keep_id")) & (F.col("__td_raw") == F.col("__td_keep_raw")), "left_semi")
+    return rows.dropDuplicates([id_col, "__td_raw"]).select(*docs.columns)

@@ -73,7 +73,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     seen = _read_ledger(spark, ledger)
     unseen = blobs if seen is None else blobs.join(seen.where(F.col("rule_version") == RULE_VERSION), "blob", "left_anti")
     unseen = unseen.select(F.col("blob").alias("_blob"), "_rep")
-    texts = keyed.join(unseen, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_rep"))).select("blob", "text")
+    texts = keyed.join(unseen, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_rep")))
+    texts = texts.dropDuplicates(["blob", "_id"]).select("blob", "text")  # rows that are repeated whole; no further shuffle
     fresh = texts.mapInPandas(_scan_blobs, f"blob binary, rule_version int, spans {SPAN}")
     if ledger is None:
         held = written(fresh, "secret-ledger")
@@ -90,17 +91,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret span replaced by ``mark``; rows without secrets stay as they are. Overlapping spans become
     one mark. All rows and columns are kept."""
-    texts = docs.withColumn("_blob", F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    texts = docs.withColumn("__td_blob", F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
     found = scan(docs, id_col, text_col).where(F.size("spans") > 0)
-    found = found.select(F.col(id_col).alias("_found_id"), F.col("blob").alias("_found_blob"), "spans").dropDuplicates(["_found_id", "_found_blob"])
-    both = texts.join(found.withColumnRenamed("spans", "_spans"), F.col(id_col).eqNullSafe(F.col("_found_id")) & (F.col("_blob") == F.col("_found_blob")), "left")
+    found = found.select(F.col(id_col).alias("__td_found_id"), F.col("blob").alias("__td_found_blob"), "spans").dropDuplicates(["__td_found_id", "__td_found_blob"])
+    both = texts.join(found.withColumnRenamed("spans", "__td_spans"), F.col(id_col).eqNullSafe(F.col("__td_found_id")) & (F.col("__td_blob") == F.col("__td_found_blob")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     text = F.col(text_col)
     step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))).otherwise(
         F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"), s["end"].alias("at"))
     )
-    clean = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return both.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(clean)).select(*docs.columns)
+    clean = F.aggregate("__td_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return both.withColumn(text_col, F.when(F.col("__td_spans").isNull(), text).otherwise(clean)).select(*docs.columns)
 
 
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
