@@ -18,9 +18,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def bag(df):
-    """The rows of a DataFrame as a sorted list of tuples, columns by name."""
-    names = sorted(df.columns)
-    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)

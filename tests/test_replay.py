@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import bag
+from helpers import bag
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
