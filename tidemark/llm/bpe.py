@@ -3,19 +3,18 @@
 The most frequent words of the corpus are counted over all documents and compiled, with their token ids, into a minimal acyclic
 automaton whose equal suffixes are shared. Its transitions carry numbers that add up to a word's place in the table of ids, so
 it is a transducer from words to ids. Its arrays are one flat file that every worker memory-maps. Words that the lexicon does not
-have are merged exactly, lowest rank first.
+have are merged exactly by the library's model, lowest rank first.
 
 Texts are cut into words as the vocabulary's own pre-tokenizer does. For texts with code points below 0x250 only, where
 letters, digits and white space are fixed since long, a plain pattern does that; other texts go through the tokenizers library's
 pre-tokenizer, so that both follow the same edition of Unicode.
 
-Cases: null text is empty; an empty text has no tokens and decodes to an empty text; words of any length are merged in
-n log n steps; special tokens in a text become their ids, as the library does; repeated rows are encoded each; extra columns are kept.
+Cases: null text is empty; an empty text has no tokens and decodes to an empty text; words of any length are merged whole; special tokens in a text become their ids, as the library does; repeated rows are encoded each; extra columns are kept, but
+one that is called like a result is replaced by it.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 import mmap
 import os
@@ -27,16 +26,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.shared import discard, written
+
 #: Words in the lexicon, and the longest word (bytes) that it takes: together the bound of what the driver gathers.
 LEXICON_WORDS = 32_768
 LONGEST_WORD = 48
 #: Words that a worker remembers between batches.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 #: Distinct words that a task counts before it passes the counts on.
-COUNT_WORDS = 500_000
+COUNT_WORDS = 150_000
 
 #: The pattern of the byte-level pre-tokenizer for code points below 0x250: fixed values.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
@@ -54,7 +56,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class Vocabulary:
-    """Merges and tokens of a byte-level BPE file of the tokenizers library."""
+    """The tokens of a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -70,32 +72,19 @@ class Vocabulary:
         for content, i in self.special.items():
             self.token[i] = content.encode()
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.byte_id = [vocab[letters[b]] for b in range(256)]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-
-    def merged(self, word: bytes) -> list[int]:
-        """The ids of a word: the pair of lowest rank, leftmost first, is merged until none is left."""
-        ids = [self.byte_id[b] for b in word]
-        n, merge = len(ids), self.merge
-        if n < 2:
-            return ids
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(*found, i) for i in range(n - 1) if (found := merge.get((ids[i], ids[i + 1])))]
-        heapq.heapify(heap)
-        while heap:
-            _, new, i = heapq.heappop(heap)
-            j = after[i] if ids[i] >= 0 else -1
-            if j < 0 or (merge.get((ids[i], ids[j])) or (0, -1))[1] != new:
-                continue  # one of the pair has been merged meanwhile
-            ids[i], ids[j], after[i] = new, -1, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-                if found := merge.get((new, ids[after[j]])):
-                    heapq.heappush(heap, (*found, i))
-            if before[i] >= 0 and (found := merge.get((ids[before[i]], new))):
-                heapq.heappush(heap, (*found, before[i]))
-        return [x for x in ids if x >= 0]
+
+
+class Merges:
+    """The ids of single words, merged exactly by the library's model (pairs of lowest rank first)."""
+
+    def __init__(self, path: str):
+        self.model, self.letters = _library(path).model, byte_letters()
+
+    def __call__(self, word: bytes) -> list[int]:
+        plain = word.decode("latin-1")
+        if not (plain.isascii() and plain.isprintable() and " " not in plain):
+            plain = "".join([self.letters[b] for b in word])
+        return [t.id for t in self.model.tokenize(plain)]
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
@@ -190,6 +179,12 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def _memo(path: str) -> dict:
+    """The ids of words as bytes, kept by a worker from task to task."""
+    return {}
+
+
 def splitter(path: str) -> Callable[[str], list]:
     """A function that cuts a text into words (str) and ids of special tokens (int)."""
     vocab = vocabulary(path)
@@ -220,8 +215,8 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, seen = splitter(path), Counter()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                seen.update(cut(text or ""))
+            for text in b.column(0):
+                seen.update(cut(text.as_py() or ""))
                 if len(seen) > COUNT_WORDS:
                     yield flush(seen)
                     seen = Counter()
@@ -235,29 +230,38 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the ``words`` most frequent words; the driver gathers no more than those."""
-    top = count_words(docs, path, text_col).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
-    vocab = vocabulary(path)
-    return compile_lexicon({bytes(r["word"]): vocab.merged(bytes(r["word"])) for r in top})
+    """The compiled lexicon of the most frequent words, ``words`` at most; the driver gathers no more than those."""
+    counts = written(count_words(docs, path, text_col), "word-counts")
+    # the least count that the lexicon takes, from a histogram of fixed size; sorting all words would bring them into one task
+    steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).orderBy(F.desc("step")).collect()
+    held, least = 0, None
+    for r in steps:
+        held += r["words"]
+        if held > words:
+            break
+        least = r["least"]
+    top = [] if least is None else counts.where(F.col("n") >= least).select("word").collect()
+    discard(counts)
+    merges = Merges(path)
+    return compile_lexicon({bytes(r["word"]): merges(bytes(r["word"])) for r in top})
 
 
 def encoder(path: str, lexicon: bytes) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to the offsets and the flat list of their ids."""
-    vocab, lexi, cut = vocabulary(path), Lexicon(lexicon), splitter(path)
-    memo: dict = {i: np.int32(i).tobytes() for i in vocab.special.values()}
-    special = dict(memo)
+    lexi, cut, merges, memo = Lexicon(lexicon), splitter(path), Merges(path), _memo(path)
+    special = {i: np.int32(i).tobytes() for i in vocabulary(path).special.values()}
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal memo
         if len(memo) > MEMO_WORDS:
-            memo = dict(special)
+            memo.clear()
+        memo.update(special)
         rows = [cut(t) for t in texts]
         new = list(set().union(*rows).difference(memo))
         coded = [w.encode() for w in new]
         for w, x, place in zip(new, coded, lexi.places(coded).tolist() if new else [], strict=True):
-            ids = lexi.ids[lexi.start[place] : lexi.start[place + 1]] if place >= 0 else vocab.merged(x)
+            ids = lexi.ids[lexi.start[place] : lexi.start[place + 1]] if place >= 0 else merges(x)
             memo[w] = np.asarray(ids, "<i4").tobytes()
-        parts = [b"".join([memo[w] for w in r]) for r in rows]
+        parts = [b"".join(map(memo.__getitem__, r)) for r in rows]
         return np.cumsum([0, *(len(p) // 4 for p in parts)]), np.frombuffer(b"".join(parts), "<i4")
 
     return encode
@@ -267,45 +271,67 @@ def _append(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
-def pieces(texts: list[str], most: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``most`` characters each, one row at least."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def slices(batch: pa.RecordBatch, text_col: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each, one row at least."""
+    size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).cumsum()
+    start = 0
+    while start < batch.num_rows:
+        done = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, done + most, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None) -> DataFrame:
-    """``docs`` with their token ids in ``token_ids`` (array of int)."""
-    lexicon = build_lexicon(docs, path, text_col) if lexicon is None else lexicon
-    held = docs.sparkSession.sparkContext.broadcast(lexicon)  # of bounded size: LEXICON_WORDS * LONGEST_WORD and their ids
-
+def _encoded(path: str, held, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(path, held.value)
         for b in batches:
-            texts = [t or "" for t in b.column(text_col).to_pylist()]
-            for i, j in pieces(texts):
-                offsets, ids = work(texts[i:j])
-                yield _append(b.slice(i, j - i), "token_ids", pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())))
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{fields}, token_ids array<int>")
+            for part in slices(b, text_col):
+                offsets, ids = work([t or "" for t in part.column(text_col).to_pylist()])
+                yield _append(part, "token_ids", pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())))
 
+    return run
 
-def decode(rows: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
-    """``rows`` with the text of their ids in ``out_col``; ``ids_col`` stays. Null ids give an empty text."""
 
+def _decoded(path: str, ids_col: str, out_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = vocabulary(path).token
         for b in batches:
-            at = b.schema.get_field_index(ids_col)
-            lists = b.column(at)
-            texts = [b"".join([token[i] for i in (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ())]).decode("utf-8", "replace") for x in lists]
+            lists = b.column(b.schema.get_field_index(ids_col))
+            texts = (b"".join([token[i] for i in (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ())]).decode("utf-8", "replace") for x in lists)
             yield _append(b, out_col, pa.array(texts, pa.string()))
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-    return rows.mapInArrow(run, f"{fields}, `{out_col}` string")
+    return run
+
+
+def _fields(df: DataFrame, *more: str) -> str:
+    return ", ".join([*(f"`{n}` {t}" for n, t in df.dtypes), *more])
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None) -> DataFrame:
+    """``docs`` with their token ids in ``token_ids`` (array of int)."""
+    lexicon = build_lexicon(docs, path, text_col) if lexicon is None else lexicon
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)  # of bounded size: LEXICON_WORDS * LONGEST_WORD and their ids
+    docs = docs.drop("token_ids")
+    return docs.mapInArrow(_encoded(path, held, text_col), _fields(docs, "token_ids array<int>"))
+
+
+def decode(rows: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+    """``rows`` with the text of their ids in ``out_col``; ``ids_col`` stays. Null ids give an empty text."""
+    rows = rows.drop(out_col)
+    return rows.mapInArrow(_decoded(path, ids_col, out_col), _fields(rows, f"`{out_col}` string"))
+
+
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None) -> DataFrame:
+    """``docs`` without the text, with ``token_ids`` and ``decoded``: :func:`encode` and :func:`decode` in one worker, so that the
+    ids cross to Python once."""
+    lexicon = build_lexicon(docs, path, text_col) if lexicon is None else lexicon
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+    docs = docs.drop("token_ids", "decoded")
+    one, two = _encoded(path, held, text_col), _decoded(path, "token_ids", "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in two(one(batches)):
+            yield b.drop_columns([text_col])
+
+    return docs.mapInArrow(run, _fields(docs.drop(text_col), "token_ids array<int>", "decoded string"))

@@ -36,8 +36,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path("byte_bpe_50k.json")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = bpe.encode(docs, path).drop("text")
-    both = bpe.decode(coded, path)
+    both = bpe.round_trip(docs, path)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
