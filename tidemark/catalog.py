@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from tidemark.functions import keys
-from tidemark.operators import cdc, validation
+from tidemark.operators import cdc, records, validation
 from tidemark.plans import health, indexes, splits
 from tidemark.sources import discovery, snapshot
 from tidemark.streaming import apply
 
-MODULES = (keys, discovery, snapshot, cdc, validation, splits, indexes, health, apply)
+MODULES = (keys, discovery, snapshot, cdc, validation, records, splits, indexes, health, apply)
 
 
 def queries() -> dict:

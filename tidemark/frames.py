@@ -48,6 +48,8 @@ FRAMES = {
     "node_samples": ("grp, node, latency_ms, queue_total, active_clients, write_tickets, lagged, failed", """
         ('healthy', 'a', 20, 3, 4, 120, false, false), ('healthy', 'b', 30, 9, 2, NULL, false, false), ('slow', 'a', 251, 3, 4, 120, true, false), ('failed', 'a', 10, 3, 4, 120, false, true), ('lagged', 'a', 20, 99, 4, 120, true, false), ('queued', 'a', 20, 51, 40, 120, false, false),
         ('clients', 'a', 20, 50, 21, 120, false, false), ('tickets', 'a', 20, 1, 2, 5, false, false), ('tickets', 'b', 20, 1, 2, 90, false, false), ('unreported', 'a', 20, 1, 2, NULL, false, false)"""),
+    "numbers": ("no, txt", "(1, '12'), (2, '12.7'), (3, '-3.9'), (4, 'abc'), (5, NULL), (6, '1e3'), (7, '')"),
+    "dirty_checks": ("no, dirty, attempt", "(1, true, 0), (2, true, 2), (3, true, 3), (4, false, 9), (5, false, 0)"),
     "queue_log": ("step, depth", "(1, 100), (2, 2000), (3, 1500), (4, 1000), (5, 999), (6, 1999), (7, 2000), (8, 1200), (9, 10)"),
     "sweeps": ("no, since_s, idle_s, lag_s", "(1, 301.0, 0.0, 0.0), (2, 20.0, 6.0, 0.5), (3, 14.0, 6.0, 0.0), (4, 20.0, 5.0, 0.0), (5, 20.0, 9.0, 1.0), (6, 300.0, 0.0, 9.0)"),
     "status_rows": ("no, total_bytes, cloned_bytes, clone_done, source_t, applied_t, now_t, checked, pending", "(1, 1000, 250, false, 1700000100, 1700000090, 1700000130, 200, 10), (2, 0, 0, false, 0, 0, 1700000130, 0, 0), (3, 1000, 990, true, 1700000100, 1700000110, 1700000050, 5, 9), (4, 7864311434, 4945277, false, 1700000100, 0, 1700000100, 3252342, 0)"),
