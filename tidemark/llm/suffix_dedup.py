@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.ngram_join import _BYTE_EXACT, _mix, _power
@@ -103,22 +103,25 @@ def text_anchors(texts: list[bytes], length: int, gram: int = GRAM) -> list[tupl
 
 
 def suffix_ranks(raw: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
-    """(size, ranks) for sizes 8, 16, ... up to ``length``: equal ranks for equal strings, in their order, of every place."""
+    """(size, ranks) for sizes 8, 24, 72, ... up to ``length``: equal ranks for equal strings, in their order, of every place.
+    Three ranks of 21 bits make the key of the next size, so there are at most 2 ** 21 places."""
     n = len(raw)
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    word = np.zeros(n, np.uint64)
+    key = np.zeros(n, np.uint64)
     for i in range(8):
-        word = (word << np.uint64(8)) | padded[i : i + n].astype(np.uint64)
+        key = (key << np.uint64(8)) | padded[i : i + n].astype(np.uint64)
     levels, size = [], 8
-    key = word
     while True:
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
         levels.append((size, rank))
-        if size * 2 > length:
+        if size * 3 > length:
             return levels
-        after = np.concatenate([rank[size:], np.zeros(min(size, n), np.int64)])[:n]
-        key = (rank << 32) | after
-        size *= 2
+        ahead = [np.concatenate([rank[i * size :], np.zeros(min(i * size, n), np.int64)])[:n] for i in (1, 2)]
+        key = (rank << 42) | (ahead[0] << 21) | ahead[1]
+        size *= 3
 
 
 def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +130,9 @@ def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, le
     m = len(places)
     levels = suffix_ranks(raw, length)
     size, top = levels[-1]
-    order = np.lexsort((np.arange(m), top[places + (length - size)], top[places], bucket))  # the suffix array
+    # the suffix array: strings of ``length`` bytes by ranks that cover them, in text order where they are equal
+    cover = [*range(0, length - size + 1, size), length - size]
+    order = np.lexsort((*(top[places + c] for c in reversed(cover)), bucket))
     # previous and next smaller place in suffix order, by jumping from candidate to candidate
     smaller = []
     for way in (-1, 1):
@@ -145,7 +150,7 @@ def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, le
         at = at[bucket[order[at]] == bucket[order[to[at]]]]
         a, b = order[at], order[to[at]]
         i, j, same = places[a].copy(), places[b].copy(), np.zeros(len(a), np.int64)
-        for step, rank in [levels[-1], *reversed(levels)]:
+        for step, rank in [x for x in reversed(levels) for _ in range(2 + (x is levels[-1]))]:
             fits = (same + step <= length) & (rank[np.minimum(i, len(raw) - 1)] == rank[np.minimum(j, len(raw) - 1)])
             i, j, same = i + fits * step, j + fits * step, same + fits * step
         for _ in range(8):
@@ -256,17 +261,29 @@ def _placed(ranges: DataFrame, contexts: DataFrame, places: DataFrame, keep: str
     return both.withColumn("ranges", F.when(F.col("place") > F.col("origin"), later).otherwise(F.col("ranges"))).select("*", F.inline("ranges"))
 
 
-def _union(ranges: Column, length: int) -> Column:
-    """The maximal runs of bytes that repeated windows (a, b) cover."""
-    wide = F.array_sort(F.transform(ranges, lambda r: F.struct(r["a"].alias("start"), (r["b"] - 1 + length).alias("end"))))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+def _united(hits: DataFrame, length: int) -> DataFrame:
+    """From (_at, _hash, ranges): spans, the maximal runs of bytes that repeated windows (a, b) cover."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def add(done: Column, r: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))))
-        return F.when((F.size(done) > 0) & (r["start"] <= last["end"]), grown).otherwise(F.concat(done, F.array(r)))
-
-    return F.aggregate(wide, empty, add)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ranges")
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(lists), dtype=np.int64), sizes) << 32
+            start = row + flat.field("a").to_numpy().astype(np.int64)
+            end = row + flat.field("b").to_numpy().astype(np.int64) - 1 + length
+            order = np.argsort(start, kind="stable")
+            start, end = start[order], np.maximum.accumulate(end[order])
+            new = np.concatenate([[True], start[1:] > end[:-1]])[: len(start)]
+            last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])[: int(new.sum())]
+            low = (1 << 32) - 1
+            spans = pa.StructArray.from_arrays([pa.array((start[new] & low).astype(np.int32)), pa.array((end[last] & low).astype(np.int32))], names=["start", "end"])
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(start[new] >> 32, minlength=len(lists)))])
+            made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans).cast(kind)
+            yield pa.RecordBatch.from_arrays([batch.column("_at"), batch.column("_hash"), made], names=["_at", "_hash", "spans"])
+
+    return hits.mapInArrow(run, f"_at {dict(hits.dtypes)['_at']}, _hash long, spans array<struct<start:int,end:int>>")
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,21 +321,29 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_c
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        fields = pa.schema([("raw", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()), ("grp", pa.int64()), ("ck", pa.int64()), ("ctx", pa.binary()), ("times", pa.int64())])
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        names = ["_id", "raw", "start", "n", "lead", "grp", "ck", "ctx", "times"]
+        out: list[list] = []
+        size = 0
         for b in batches:
-            for at in range(b.num_rows):
-                data = b.column("text")[at].as_py().encode()
-                out, seen = [], {}
-                for r in sorted(b.column("runs")[at].as_py(), key=lambda r: r["start"]):
+            types = [b.schema.field("_id").type, *types[-8:]]
+            for key, raw, text, runs in zip(*(b.column(c) for c in ("_id", "raw", "text", "runs")), strict=True):
+                key, raw, data, seen = key.as_py(), raw.as_py(), text.as_py().encode(), {}
+                for r in sorted(runs.as_py(), key=lambda r: r["start"]):
                     ctx = data[r["start"] : r["start"] + r["n"] - 1 + length]
                     ck = xxhash.xxh3_64_intdigest(ctx, seed=(r["h"] ^ (r["n"] << 40) ^ (r["lead"] << 20)) & (2**64 - 1)) - 2**63
-                    new = ck not in seen
-                    if new:
-                        seen[ck] = len(out)
-                    out.append([r["start"], r["n"], r["lead"], r["h"], ck, ctx if new else None, 1 if new else 0])
-                    if not new:  # the same context again in one text: its bytes are sent once
-                        out[seen[ck]][6] += 1
-                yield pa.RecordBatch.from_arrays([b.column("_id").take(pa.array([at] * len(out), pa.int32())), pa.array([b.column("raw")[at].as_py()] * len(out), pa.int64()), *(pa.array([r[i] for r in out], f.type) for i, f in enumerate(list(fields)[1:]))], names=["_id", *fields.names])
+                    if ck in seen:  # the same context again in one text: its bytes are sent once
+                        seen[ck][8] += 1
+                        out.append([key, raw, r["start"], r["n"], r["lead"], r["h"], ck, None, 0])
+                    else:
+                        seen[ck] = [key, raw, r["start"], r["n"], r["lead"], r["h"], ck, ctx, 1]
+                        out.append(seen[ck])
+                        size += len(ctx)
+                if size >= BATCH or len(out) >= 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                    out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     texts = rows.join(lists, rows["_id"].eqNullSafe(lists["_at"]) & (rows["raw"] == lists["_hash"])).dropDuplicates(["_id", "raw"]).select("_id", "raw", "text", "runs")
     met = written(texts.mapInArrow(contexts, f"_id {id_type}, raw long, start int, n int, lead int, grp long, ck long, ctx binary, times long"), "suffix-met")
@@ -330,7 +355,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_c
     distinct = written(distinct, "suffix-contexts")
     hits = _placed(_resolve(distinct, length, keep), distinct, met_at.select("ck", "_id", "raw", "start", "n", "place"), keep)
     hits = hits.groupBy("_id", "raw").agg(F.collect_list(F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))).alias("ranges"))
-    spans = written(hits.select(F.col("_id").alias("_at"), F.col("raw").alias("_hash"), _union(F.col("ranges"), length).alias("spans")), "suffix-spans")
+    spans = written(_united(hits.select(F.col("_id").alias("_at"), F.col("raw").alias("_hash"), "ranges"), length), "suffix-spans")
     discard(met)
 
     counted = classes.where("copies > 1").select("sha", "copies", F.col("_id").alias("first_id"), F.col("raw").alias("first_raw"))
