@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import slices
+
 DIMENSIONS, ORDER = 1024, 3
 #: Characters that are turned into vectors at a time, about.
 CHUNK_CHARS = 1 << 19
@@ -107,7 +109,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, text_col, CHUNK_CHARS)):
             texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), object)
             for i, j in _chunks(texts):
                 letters, counts = _grams(texts[i:j])
@@ -136,7 +138,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     held = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))  # one vector for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, text_col, CHUNK_CHARS)):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             lang, score = [], []
             for i, j in _chunks(texts):
