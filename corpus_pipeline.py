@@ -19,9 +19,9 @@ from tidemark.shared import release, shared_dir
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels at hand and drops what has no language: texts that are null or without a letter."""
     prototypes = language_id.learn(docs)
-    names = docs.columns
-    rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(names)), F.col("text").alias("text"))
-    return language_id.predict(rows, prototypes).where(F.col("lang_pred") != "und").select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)))
+    taken = {c: f"__td_{c}" for c in docs.columns if c in ("lang_pred", "score")}
+    found = language_id.predict(docs.withColumnsRenamed(taken), prototypes).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
+    return found.withColumnsRenamed({new: c for c, new in taken.items()}).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
