@@ -74,8 +74,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     unseen = blobs if seen is None else blobs.join(seen.where(F.col("rule_version") == RULE_VERSION), "blob", "left_anti")
     unseen = unseen.select(F.col("blob").alias("_blob"), "_rep")
     texts = keyed.join(unseen, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_rep")))
-    texts = texts.dropDuplicates(["blob", "_id"]).select("blob", "text")  # rows that are repeated whole; no further shuffle
-    fresh = texts.mapInPandas(_scan_blobs, f"blob binary, rule_version int, spans {SPAN}")
+    # rows that are repeated whole bring their blob twice; their findings are told apart here, as texts are too large to move again
+    fresh = texts.select("blob", "text").mapInPandas(_scan_blobs, f"blob binary, rule_version int, spans {SPAN}").dropDuplicates(["blob", "rule_version"])
     if ledger is None:
         held = written(fresh, "secret-ledger")
     else:
