@@ -1,7 +1,7 @@
 """Licence scans by sentence rules, in DataFrame functions alone.
 
-A text is cut into sentences, sentences with a cue word are normalised and looked up among known licence sentences, and the
-sequence of identifiers found is matched against ordered rules: a rule holds if its identifiers occur in its order, other
+A text is normalised with marks where lines and sentences end. Known licence sentences are found as whole runs of lines, so one may be
+wrapped anywhere, also in comments; none reaches over a blank line or the end of a sentence. The sequence of identifiers found is matched against ordered rules: a rule holds if its identifiers occur in its order, other
 known sentences may stand between. Everything happens within a row, so there is no shuffle.
 
 Cases: null and empty texts have no sentences; repeated rows are scanned each; extra columns are ignored; empty tables give
@@ -48,36 +48,82 @@ RULES = {
 }
 #: A rule that is part of a stricter one does not count where the stricter one holds.
 STRICTER = {"BSD-2-Clause": "BSD-3-Clause"}
-#: Each known sentence holds one of these words.
+#: Sentences and rules beyond those of the SQL, which knows the short list above and no wraps but those before a-z.
+MORE_SENTENCES = {
+    "this file is licensed under the apache license version 2 0": "apache20_notice",
+    "this project is licensed under the apache license version 2 0": "apache20_notice",
+    "this file is licensed under the mit license": "mit_notice",
+    "this project is licensed under the mit license": "mit_notice",
+    "apache license version 2 0 january 2004": "apache20_title",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc_grant",
+    "gnu general public license version 2 june 1991": "gpl20_title",
+    "gnu general public license version 3 29 june 2007": "gpl30_title",
+    "gnu lesser general public license version 2 1 february 1999": "lgpl21_title",
+    "gnu lesser general public license version 3 29 june 2007": "lgpl30_title",
+    "gnu affero general public license version 3 19 november 2007": "agpl30_title",
+    "mozilla public license version 2 0": "mpl20_title",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl_head",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl20_copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl20_copy",
+    "this is free and unencumbered software released into the public domain": "unlicense_head",
+}
+MORE_RULES = {
+    "AGPL-3.0": (("agpl30_title",),),
+    "Apache-2.0": (("apache20_title",),),
+    "GPL-2.0": (("gpl20_title",),),
+    "GPL-3.0": (("gpl30_title",),),
+    "LGPL-2.1": (("lgpl21_title",),),
+    "LGPL-3.0": (("lgpl30_title",),),
+    "MPL-2.0": (("mpl20_title",), ("mpl_head", "mpl20_copy")),
+    "Unlicense": (("unlicense_head",),),
+}
+# the notices of the GNU licences: a comma or a semicolon stands before the version, and a semicolon ends a sentence
+for _name, _title, _versions in (("GPL", "general", ("2", "3")), ("LGPL", "lesser general", ("2 1", "3")), ("AGPL", "affero general", ("3",))):
+    _grant = f"you can redistribute it and or modify it under the terms of the gnu {_title} public license as published by the free software foundation"
+    MORE_SENTENCES[_grant] = f"{_name.lower()}_grant"
+    for _v in _versions:
+        _id, _later = _v.replace(" ", "") if " " in _v else f"{_v}0", f"either version {_v} of the license or at your option any later version"
+        MORE_SENTENCES[_later] = f"later{_id}"
+        MORE_SENTENCES[f"{_grant} {_later}"] = f"{_name.lower()}{_id}_grant"
+        _rule = f"{_name}-{_id[0]}.{_id[1]}"
+        MORE_RULES[_rule] = (*MORE_RULES[_rule], (f"{_name.lower()}{_id}_grant",), (f"{_name.lower()}_grant", f"later{_id}"))
+ALL_SENTENCES = SENTENCES | MORE_SENTENCES
+ALL_RULES = {name: RULES.get(name, ()) + MORE_RULES.get(name, ()) for name in RULES | MORE_RULES}
+#: Each known sentence of the SQL holds one of these words.
 CUES = "(?i)licen[sc]e|copyright|permission|permitted|redistribution|warranty"
+#: A text with a known sentence holds one of these words.
+ALL_CUES = CUES + "|public\\W+domain|redistribute"
+#: Any known sentence as whole lines, the longest first.
+KNOWN = r"(?<=^|[\n|])(?:" + "|".join(k.replace(" ", r"[ \n]") for k in sorted(ALL_SENTENCES, key=lambda k: (-len(k), k))) + r")(?=[\n|]|$)"
 
 
-def sentences(text: Column) -> Column:
-    """Sentences: lines that go on in lower case are joined, then cut after .!?;: before white space and at line ends."""
-    joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t]*\r?\n[ \t]*([a-z])", " $1")
-    return F.split(F.regexp_replace(joined, r"([.!?;:])[ \t]+", "$1\n"), "\n")
-
-
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """Lower case, anything but letters and digits of ASCII as one space; a bar where a sentence ends or blank lines (or bare
+    comment marks) stand, a line end elsewhere, but not before a line that goes on in lower case."""
+    t = F.translate(F.coalesce(text, F.lit("")), "|", " ")
+    t = F.regexp_replace(t, r"\n(?:[^A-Za-z0-9\n]*\n)+", "|")
+    t = F.regexp_replace(t, r"[ \t]*\r?\n[ \t]*([a-z])", " $1")
+    t = F.regexp_replace(t, r"[.!?;:](?:[ \t\r]+|(?=\n)|$)", "|")
+    t = F.regexp_replace(F.lower(t), r"[^a-z0-9|\n]+", " ")
+    return F.trim(F.regexp_replace(t, r" *([|\n]) *", "$1"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: its id, sentence_ids (those found, in order) and licenses (names of the rules that hold, sorted)."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    cued = F.filter(sentences(F.col(text_col)), lambda s: s.rlike(CUES))
-    ids = F.filter(F.transform(cued, lambda s: F.try_element_at(known, normalised(s))), lambda i: i.isNotNull())
+    known = F.create_map(*(F.lit(x) for pair in ALL_SENTENCES.items() for x in pair))
+    found = F.regexp_extract_all(marked(F.col(text_col)), F.lit(KNOWN), F.lit(0))
+    ids = F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
     # a text without any cue needs no cutting at all
-    ids = F.when(F.col(text_col).rlike(CUES), ids).otherwise(F.array().cast("array<string>"))
+    ids = F.when(F.col(text_col).rlike(ALL_CUES), ids).otherwise(F.array().cast("array<string>"))
     found = docs.select(F.col(id_col), ids.alias("sentence_ids"))
     line = F.array_join("sentence_ids", " ")
-    holds = {name: F.lit(False) for name in RULES}
-    for name, ways in RULES.items():
+    holds = {name: F.lit(False) for name in ALL_RULES}
+    for name, ways in ALL_RULES.items():
         for way in ways:
             holds[name] = holds[name] | line.rlike(r"\b" + r"\b.*\b".join(way) + r"\b")
     for name, stricter in STRICTER.items():
         holds[name] = holds[name] & ~holds[stricter]
-    names = F.array_compact(F.array(*(F.when(holds[name], F.lit(name)) for name in sorted(RULES))))
+    names = F.array_compact(F.array(*(F.when(holds[name], F.lit(name)) for name in sorted(ALL_RULES))))
     return found.select(id_col, "sentence_ids", names.alias("licenses"))
 
 
