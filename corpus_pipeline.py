@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,9 @@ from tidemark.shared import release, shared_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labels at hand and drops what has no language: texts that are null or without a letter."""
-    prototypes = language_id.learn(docs)
+    """Learns from the labels at hand and drops what has no language: texts that are null or without a letter. Where nothing can be
+    learned, as no text has a label, every text with a letter still stays."""
+    prototypes = language_id.learn(docs) or {"unknown": np.ones(language_id.DIMENSIONS)}
     taken = {c: f"__td_{c}" for c in docs.columns if c in ("lang_pred", "score")}
     found = language_id.predict(docs.withColumnsRenamed(taken), prototypes).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
     return found.withColumnsRenamed({new: c for c, new in taken.items()}).select(*docs.columns)
