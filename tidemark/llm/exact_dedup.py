@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.shared import hot_keys, salted_join, written
+from tidemark.llm.rows import keep_marked
+from tidemark.shared import discard, hot_keys, release, salted_join, written
 
 #: Bits of the quotient within a block; the rest of the 64 bits below the block's is the remainder.
 QUOTIENT_BITS = 10
@@ -146,6 +147,8 @@ def _verdicts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     groups = slim.join(repeated.select("fp"), "fp", "left_semi").groupBy("sha").agg(best)
     groups = groups.join(proven.where((F.col("n") > 1) & F.col("clash").isNull()), "sha").select("sha", F.col("n").alias("group_size"), F.col("best._id").alias("keep_id"), F.col("best.rid").alias("keep_rid"))
     groups = written(groups, "exact-groups")
+    discard(repeated)
+    release(docs.sparkSession)
     hot = hot_keys(groups.select("sha", F.col("group_size").alias("n")), "sha", total)
     out = salted_join(slim, groups, "sha", hot, "rid", "left")
     single = F.col("group_size").isNull()
@@ -163,10 +166,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = _verdicts(docs, id_col, text_col).where("kept").select(F.col("_id").alias("__td_keep_id"), F.col("raw").alias("__td_keep_raw"))
-    rows = docs.withColumn("__td_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__td_keep_id")) & (F.col("__td_raw") == F.col("__td_keep_raw")), "left_semi")
-    return rows.dropDuplicates([id_col, "__td_raw"]).select(*docs.columns)
+    rows = _verdicts(docs, id_col, text_col).where("group_size > 1")
+    marks = rows.groupBy("_id", "raw").agg(F.sum(F.col("kept").cast("int")).alias("stay"), F.count(F.lit(1)).alias("n")).where("stay < n")
+    return keep_marked(docs, marks, id_col, text_col)
 
 
 ORACLE = r"""

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.shared import discard, hot_keys, salted_join, written
+from tidemark.llm.rows import keep_marked
+from tidemark.shared import HOT_SHARE, discard, hot_keys, release, salted_join, written
 
 #: One n-gram of so many is counted in step 1.
 SAMPLE = 4
@@ -35,6 +36,8 @@ SAMPLE = 4
 COUNTERS = 1 << 18
 #: Bits of the bitmap in step 4.
 BITS = 512
+#: Postings that one task walks before a list is dealt in parts, where that is more than the share of a hot key.
+PART = 256
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_EXACT = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -63,19 +66,24 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's n-grams of words; A-Z count as a-z."""
+def word_hashes(texts: list[bytes], exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words in order, and where each text's begin (and the last ones end). A-Z count as a-z unless ``exact``."""
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     ends = np.cumsum(sizes)
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     space = _SPACE[raw]
     up, down = _power(len(raw))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * up)])
+    total = np.concatenate([[np.uint64(0)], np.cumsum((_BYTE_EXACT if exact else _BYTE)[raw] * up)])
     edge = np.diff(np.concatenate([[True], space]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     word = _mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _PLACE[0])
     owner = np.searchsorted(ends, start, side="right")
-    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return word, np.searchsorted(owner, np.arange(len(texts) + 1))
+
+
+def shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's n-grams of words; A-Z count as a-z."""
+    word, first = word_hashes(texts)
     n = max(0, len(word) - words + 1)
     gram = np.full(n, words, np.uint64)
     for i in range(words):
@@ -157,19 +165,23 @@ def _prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFr
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` (a, b) reaches, by large-star and small-star steps. Every step is
-    an aggregation and a join; its edges are written, so a lost executor costs one step at most."""
+    an aggregation and a join; its edges are written, so a lost executor costs one step at most. A hub, as a component's smallest
+    node becomes, meets its own smallest neighbour by a salted join. The result is a written table."""
 
     def least(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("u").agg(F.min("v").alias("m"))
+        return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+
+    def with_least(pairs: DataFrame, near: DataFrame, n_pairs: int) -> DataFrame:
+        return salted_join(pairs, near.select("u", "m"), "u", hot_keys(near, "u", n_pairs), "v", "inner")
 
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while state[0]:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(least(both).select("u", F.least("u", "m").alias("m")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large, "large-star")
+        large = with_least(both, least(both), 2 * state[0]).select("u", "v", F.least("u", "m").alias("m"))
+        large = written(large.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large-star")
         # the larger node's neighbours below it, and the node itself, all go to the smallest of them
-        small = large.join(least(large), "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
+        small = with_least(large, least(large), state[0]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
         after = written(small.select("e.u", "e.v").where("u <> v").distinct(), "small-star")
         new = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(now)
@@ -178,7 +190,9 @@ def connected(edges: DataFrame) -> DataFrame:
         if done:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots)
+    labels = written(now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots), "labels")
+    discard(now)
+    return labels
 
 
 def _fit(na: Column, nb: Column, num: int, den: int) -> Column:
@@ -205,55 +219,117 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(left, "a").join(right, "b").where(both * den >= (F.size("ta") + F.size("tb") - both) * num).select("a", "b")
 
 
-def _links(sets: DataFrame, num: int, den: int) -> DataFrame | None:
-    """(cls, label) for every class with a link; None where there are no classes."""
+def _posting_parts(posted: DataFrame, total: int) -> DataFrame:
+    """``posted`` with n_salts: in how many parts the posting list of its n-gram ``h`` is walked (null: in one). Slots of the table of
+    counts with more postings than a part takes are at most ``1 / HOT_SHARE``, so they are broadcast."""
+    slot = F.pmod("h", F.lit(COUNTERS)).alias("slot")
+    tallies = posted.select(slot).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(tallies, "slot", total, max(HOT_SHARE, PART / max(total, 1)))
+    return posted.select("*", slot).join(F.broadcast(hot), "slot", "left").drop("slot")
+
+
+def _neighbours(posted: DataFrame, keys: list[str]) -> DataFrame:
+    """(x, y): each posting with the one before it and with the first of its list, by size."""
+    here, order = F.struct("cls", "n"), Window.partitionBy(*keys).orderBy("n", "cls")
+    near = posted.select(here.alias("x"), F.lag(here).over(order).alias("p"), F.first(here).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("f"))
+    return near.select("x", F.explode(F.array("p", "f")).alias("y")).where("y IS NOT NULL AND y.cls <> x.cls")
+
+
+def _classes(sets: DataFrame, num: int, den: int) -> DataFrame | None:
+    """From (cls, n, tokens): cls, n, gid, prefix, bits; None where there are no classes."""
     tallies = sets.select(F.explode("tokens").alias("h")).groupBy(F.pmod("h", F.lit(COUNTERS)).alias("slot")).count()
     slots = tallies.toPandas()  # COUNTERS rows at most
     if not len(slots):
         return None
     counts = np.zeros(COUNTERS, np.int64)
     counts[slots["slot"].to_numpy(np.int64)] = slots["count"].to_numpy(np.int64)
-    classes = written(_prefixes(sets, counts, num, den), "ngram-prefixes")
-    groups = classes.groupBy("gid").agg(F.min("cls").alias("rep"))
-    member = classes.select("cls", "gid", "n", "bits").join(groups, "gid")
+    return written(_prefixes(sets, counts, num, den), "ngram-prefixes")
 
-    # Step 3: neighbours and the first of each posting list
+
+def _near_pairs(classes: DataFrame, groups: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """Step 3: pairs (a, b) of groups' first classes that are neighbours in a posting list, or one of them its first, and that may link.
+    A hot list is walked in parts, and the firsts of its parts once more as a list of their own."""
     reps = classes.join(groups.select(F.col("rep").alias("cls")), "cls", "left_semi")
-    posted = reps.select("cls", "n", "bits", F.explode("prefix").alias("h"))
-    here = F.struct("cls", "n", "bits")
-    order = Window.partitionBy("h").orderBy("n", "cls")
-    near = posted.select(here.alias("x"), F.lag(here).over(order).alias("p"), F.first(here).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("f"))
-    near = near.select("x", F.explode(F.array("p", "f")).alias("y")).where("y IS NOT NULL AND y.cls <> x.cls")
-    near = near.where(_sizes_fit(F.col("x.n"), F.col("y.n"), num, den) & _bits_fit("x", "y", num, den))
-    star = near.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    inside = member.where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
-    links = written(_verified(star.union(inside).distinct(), sets, num, den), "ngram-links")
-    labels = written(connected(links), "ngram-labels")
-
-    # Step 4: what may still link different components. A group whose classes lie in one component stays one unit; others are expanded.
-    placed = member.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    pure = placed.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).select("gid", (F.col("lo") == F.col("hi")).alias("pure"), "m")
-    placed = placed.join(pure, "gid").withColumn("unit", F.when(F.col("pure"), F.col("rep")).otherwise(F.col("cls")))
-    placed = written(placed.select("cls", "unit", "n", "label", F.when(~F.col("pure") | (F.col("m") == 1), F.col("bits")).alias("one"), "bits"), "ngram-units")
-    units = placed.where("cls = unit").join(classes.select("cls", "prefix"), "cls").select("unit", "n", "label", F.col("one").alias("bits"), F.posexplode("prefix").alias("at", "h"))
+    posted = _posting_parts(reps.select("cls", "n", F.explode("prefix").alias("h")), total)
+    posted = posted.withColumn("part", F.coalesce(F.pmod(F.xxhash64("cls"), F.col("n_salts")).cast("int"), F.lit(0)))
+    firsts = posted.where("n_salts IS NOT NULL").groupBy("h", "part").agg(F.min(F.struct("n", "cls")).alias("m")).select("h", "m.n", "m.cls")
+    near = _neighbours(posted, ["h", "part"]).union(_neighbours(firsts, ["h"])).where(_sizes_fit(F.col("x.n"), F.col("y.n"), num, den))
+    return _with_bits(near.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(), classes, num, den)
+
+
+def _with_bits(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of classes whose bitmaps let them link. The bitmaps come in here, once for each pair, not with each posting."""
+    left = classes.select(F.col("cls").alias("a"), F.struct("n", "bits").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.struct("n", "bits").alias("y"))
+    return pairs.join(left, "a").join(right, "b").where(_bits_fit("x", "y", num, den)).select("a", "b")
+
+
+def _unit_pairs(units: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """Step 4: from postings (unit, n, label, bits or null, at, h): pairs (ux, uy) of units of different labels that may link. The pairs
+    of a hot list are dealt over a square of cells, so that no task holds the list; each pair meets in one cell."""
     mixed = units.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    units = units.join(mixed, "h", "left_semi")
-    x, y = units.alias("x"), units.alias("y")
+    units = _posting_parts(units.join(mixed, "h", "left_semi"), total).withColumn("side", F.coalesce(F.ceil(2 * F.sqrt("n_salts")).cast("int"), F.lit(1)))
+    own, other = F.pmod(F.xxhash64("unit"), F.col("side")).cast("int"), F.sequence(F.lit(0), F.col("side") - 1)
+    x = units.select("*", own.alias("row"), F.explode(other).alias("col")).alias("x")
+    y = units.select("*", own.alias("col"), F.explode(other).alias("row")).alias("y")
     na, nb = F.col("x.n"), F.col("y.n")
     ahead = 1 + F.least(na - F.col("x.at"), nb - F.col("y.at")) > _fit(na, nb, num, den)
     single = F.col("x.bits").isNull() | F.col("y.bits").isNull() | _bits_fit("x", "y", num, den)
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.unit") < F.col("y.unit")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(na, nb, num, den) & ahead & single)
-    pairs = pairs.select(F.col("x.unit").alias("ux"), F.col("y.unit").alias("uy")).distinct()
-    left = placed.select(F.col("unit").alias("ux"), F.struct("cls", "n", "bits").alias("x"))
-    right = placed.select(F.col("unit").alias("uy"), F.struct("cls", "n", "bits").alias("y"))
-    wide = pairs.join(left, "ux").join(right, "uy").where(_bits_fit("x", "y", num, den)).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    more = _verified(wide, sets, num, den)
-    merged = connected(links.union(more))
-    return merged.select(F.col("node").alias("cls"), "label")
+    same = (F.col("x.h") == F.col("y.h")) & (F.col("x.row") == F.col("y.row")) & (F.col("x.col") == F.col("y.col"))
+    pairs = x.join(y, same & (F.col("x.unit") < F.col("y.unit")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(na, nb, num, den) & ahead & single)
+    return pairs.select(F.col("x.unit").alias("ux"), F.col("y.unit").alias("uy")).distinct()
 
 
-def _verdicts(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int) -> DataFrame:
-    """A row for each row: _id, raw, n, cls, label (of the component; null without n-grams), component_id."""
+def _other_links(sets: DataFrame, classes: DataFrame, placed: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """The links (a, b) of classes whose labels in ``placed`` (cls, gid, rep, n, label) differ. A group whose classes have one label stays
+    one unit; others are expanded."""
+    pure = placed.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).select("gid", (F.col("lo") == F.col("hi")).alias("pure"), "m")
+    placed = placed.join(pure, "gid").withColumn("unit", F.when(F.col("pure"), F.col("rep")).otherwise(F.col("cls")))
+    placed = written(placed.select("cls", "unit", "label", (~F.col("pure") | (F.col("m") == 1)).alias("one")), "ngram-units")
+    heads = placed.where("cls = unit").join(classes, "cls").select("unit", "n", "label", F.when(F.col("one"), F.col("bits")).alias("bits"), "prefix")
+    pairs = _unit_pairs(heads.select("unit", "n", "label", "bits", F.posexplode("prefix").alias("at", "h")), total, num, den)
+    left, right = (placed.select(F.col("unit").alias(u), F.col("cls").alias(c)) for u, c in (("ux", "cx"), ("uy", "cy")))
+    wide = pairs.join(left, "ux").join(right, "uy").select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"))
+    links = written(_verified(_with_bits(wide, classes, num, den), sets, num, den), "ngram-more")
+    discard(placed)
+    return links
+
+
+def _links(sets: DataFrame, num: int, den: int) -> DataFrame | None:
+    """(cls, label) for every class with a link; None where there are no classes."""
+    classes = _classes(sets, num, den)
+    if classes is None:
+        return None
+    groups = classes.groupBy("gid").agg(F.min("cls").alias("rep"))
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0]
+    member = classes.select("cls", "gid", "n").join(groups, "gid")
+    inside = _with_bits(member.where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b")), classes, num, den)
+    links = written(_verified(_near_pairs(classes, groups, total, num, den).union(inside), sets, num, den), "ngram-links")
+    labels = connected(links)
+    release(sets.sparkSession)
+    placed = member.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    more = _other_links(sets, classes, placed, total, num, den)
+    merged = connected(links.union(more)).select(F.col("node").alias("cls"), "label")
+    for table in (classes, links, more, labels):
+        discard(table)
+    return merged
+
+
+def _every_link(sets: DataFrame, num: int, den: int) -> DataFrame | None:
+    """(a, b) for all pairs of classes that link: every group pair is verified, whatever it is connected with."""
+    classes = _classes(sets, num, den)
+    if classes is None:
+        return None
+    groups = classes.groupBy("gid").agg(F.min("cls").alias("rep"))
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0]
+    placed = classes.select("cls", "gid", "n").join(groups, "gid").withColumn("label", F.col("cls"))
+    links = _other_links(sets, classes, placed, total, num, den)
+    discard(classes)
+    return links
+
+
+def _sets_of(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """slim (_id, raw, n, cls) of every row; classes (cls, rows, _rep, _raw) of every set; sets (cls, n, tokens) of those that may link."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).withColumn("raw", F.xxhash64(F.coalesce("text", F.lit(""))))
     first = written(_with_sets(rows, words, True), "ngram-rows")
     seen = first.where("n > 0")
@@ -264,20 +340,32 @@ def _verdicts(docs: DataFrame, id_col: str, text_col: str, words: int, num: int,
     classes = written(may.select("cls", "rows", F.col("best._id").alias("_rep"), F.col("best.raw").alias("_raw"), "maybe"), "ngram-classes")
     slim = written(first.select("_id", "raw", "n", "cls"), "ngram-slim")
     discard(first)
+    release(docs.sparkSession)
 
     wanted = classes.where("maybe").select("_rep", "_raw")
-    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_rep")) & (F.col("raw") == F.col("_raw")), "left_semi").dropDuplicates(["_id", "raw"])
-    sets = written(_with_sets(texts, words, False).select("cls", "n", "tokens"), "ngram-sets")
+    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_rep")) & (F.col("raw") == F.col("_raw")), "left_semi")
+    # rows that are repeated whole bring their set twice
+    sets = written(_with_sets(texts, words, False).select("cls", "n", "tokens").dropDuplicates(["cls"]), "ngram-sets")
+    release(docs.sparkSession)
+    return slim, classes, sets
+
+
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int) -> DataFrame:
+    """A row for each row: _id, raw, n, cls, label (of the component; null without n-grams), component_id."""
+    slim, classes, sets = _sets_of(docs, id_col, text_col, words, num, den)
     labels = _links(sets, num, den)
+    discard(sets)
     named = classes.withColumn("label", F.col("cls")) if labels is None else classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     named = written(named.select("cls", "rows", "_rep", "label"), "ngram-named")
+    discard(classes)
     components = named.groupBy("label").agg(F.min("_rep").alias("component_id"), F.count(F.lit(1)).alias("n_classes"))
     # only components of several classes need the join; the others are named by their own class
     several = components.where("n_classes > 1").select("label", "component_id")
     hot = hot_keys(components.select("label", F.col("n_classes").alias("n")), "label", named.count())
-    named = salted_join(named, several, "label", hot, "cls", "left").select("cls", "rows", "label", F.coalesce("component_id", "_rep").alias("component_id"))
-    named = written(named, "ngram-components")
-    out = salted_join(slim, named.select("cls", "label", "component_id"), "cls", hot_keys(named.select("cls", F.col("rows").alias("n")), "cls", slim.count()), "_id", "left")
+    placed = salted_join(named, several, "label", hot, "cls", "left").select("cls", "rows", "label", F.coalesce("component_id", "_rep").alias("component_id"))
+    placed = written(placed, "ngram-components")
+    discard(named)
+    out = salted_join(slim, placed.select("cls", "label", "component_id"), "cls", hot_keys(placed.select("cls", F.col("rows").alias("n")), "cls", slim.count()), "_id", "left")
     return out.select("_id", "raw", "n", "cls", "label", F.when(F.col("label").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -287,12 +375,30 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (id, class_id) of every row, and (class_a, class_b) for every link between two classes of equal sets. A class is
+    named by the smallest id in it; rows without n-grams have none."""
+    slim, classes, sets = _sets_of(docs, id_col, text_col, words, num, den)
+    links = _every_link(sets, num, den)
+    names = classes.select("cls", F.col("_rep").alias("class_id"))
+    hot = hot_keys(classes.select("cls", F.col("rows").alias("n")), "cls", slim.count())
+    member = salted_join(slim.select("_id", "cls", "raw"), names, "cls", hot, "raw", "left").select(F.col("_id").alias(id_col), "class_id")
+    if links is None:
+        pairs = names.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b")).limit(0)
+    else:
+        left, right = (names.select(F.col("cls").alias(c), F.col("class_id").alias(f"class_{c}")) for c in "ab")
+        pairs = links.join(left, "a").join(right, "b").select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b"))
+    return member, pairs
+
+
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with the row of the smallest id of each component; rows without n-grams stay."""
     out = _verdicts(docs, id_col, text_col, words, num, den)
     first = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "raw")).alias("first")
-    keep = out.where("label IS NOT NULL").groupBy("label").agg(first).select("first._id", "first.raw").union(out.where("label IS NULL").select("_id", "raw"))
-    keep = keep.select(F.col("_id").alias("__td_keep_id"), F.col("raw").alias("__td_keep_raw"))
-    rows = docs.withColumn("__td_raw", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__td_keep_id")) & (F.col("__td_raw") == F.col("__td_keep_raw")), "left_semi")
-    return rows.dropDuplicates([id_col, "__td_raw"]).select(*docs.columns)
+    out = written(out.select("_id", "raw", "label"), "ngram-verdicts")
+    sizes = out.where("label IS NOT NULL").groupBy("label").agg(first, F.count(F.lit(1)).alias("n"))
+    several = written(sizes.where("n > 1").select("label", F.col("first._id").alias("_k_id"), F.col("first.raw").alias("_k_raw"), "n"), "ngram-kept")
+    met = salted_join(out, several.drop("n"), "label", hot_keys(several, "label", out.count()), "_id", "inner")
+    kept = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("raw") == F.col("_k_raw"))
+    rows = met.groupBy("_id", "raw").agg(F.max(kept.cast("int")).alias("stay"), F.count(F.lit(1)).alias("n")).where("stay < n")
+    return keep_marked(docs, rows, id_col, text_col)
