@@ -28,12 +28,15 @@ def frame(spark, ids, x):
     return spark.createDataFrame(rows + [(b[0] + 100_000 if b[0] else None, b[1]) for b in bad], "vec_id long, embedding array<float>").withColumn("v", F.lit("mine")).repartition(3)
 
 
-def test_small_tables_are_exact(spark):
+def test_copies_and_ties_are_exact_where_all_is_ranked_again(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 8)).astype(np.float32)
     x[50:250] = x[0]  # one vector for most rows, queries among them
     ids = np.arange(300)
-    got = found(ann.search(frame(spark, ids, x), F.col("vec_id") % 20 == 0))
+    rows = frame(spark, ids, x)
+    for name in ("id", "n", "ids", "vid", "qvid", "perm", "norm", "seg", "blk", "_query"):
+        rows = rows.withColumn(name, F.lit("mine"))
+    got = found(ann.search(rows.union(rows.limit(40)), F.col("vec_id") % 20 == 0, rerank=100))
     assert got == brute(ids, x.astype(np.float64))
 
 
@@ -45,12 +48,15 @@ def test_few_rows(spark):
 
 
 def test_recall(spark):
+    """Vectors without structure, which are the hardest, at two sizes by one rule; the index is cut into segments and blocks."""
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(5000, 32)).astype(np.float32) * rng.uniform(0.7, 1.3, (5000, 1)).astype(np.float32)
-    ids = np.arange(5000)
-    got = found(ann.search(frame(spark, ids, x), F.col("vec_id") % 20 == 0, least=64, segment=2048, block=100))
-    want = brute(ids, x.astype(np.float64))
-    assert set(got) == set(want)
-    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
-    assert np.mean(hits) >= 0.9
-    assert all(abs(s - float(x[q].astype(float) @ x[i].astype(float))) < 1e-9 for q in got for i, s in got[q])
+    for n, reranked in ((400, 0.32), (4000, 0.11)):
+        x = rng.normal(size=(n, 32)).astype(np.float32) * rng.uniform(0.7, 1.3, (n, 1)).astype(np.float32)
+        ids = np.arange(n)
+        assert ann.RERANK / np.sqrt(n) < reranked
+        got = found(ann.search(frame(spark, ids, x), F.col("vec_id") % 20 == 0, segment=2048, block=150))
+        want = brute(ids, x.astype(np.float64))
+        assert set(got) == set(want)
+        hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
+        assert np.mean(hits) >= 0.9
+        assert all(abs(s - float(x[q].astype(float) @ x[i].astype(float))) < 1e-9 for q in got for i, s in got[q])

@@ -1,8 +1,13 @@
 """Approximate nearest neighbours with a permutation index.
 
-Every vector is represented by its ``PREFIX`` nearest pivots in order. The index is dealt over segments of bounded size; in a segment,
-inverted files hold for each pivot the rows that have it and at which place. A query walks the files of its own nearest
-pivots, which gives every row's footrule distance, and the nearest part of the segment is ranked again by the exact inner product.
+Every vector is represented by its ``PREFIX`` nearest pivots in order. The index is dealt over segments; in a segment, the inverted file of a
+pivot holds the place at which each row has it (``PREFIX`` where it has not; as a row has a third of all pivots, files are kept dense). A
+query walks the files of its own nearest pivots, which gives every row's footrule distance, and the nearest rows are ranked
+again by the exact inner product.
+
+How many rows are ranked again grows with the square root of all rows, by the same rule at every size: ``RERANK`` times the root, each segment its part.
+The files of a query's own pivots still hold every row's place, so the walk itself is linear in the rows for each query; with queries
+a fixed part of all rows, that is the square of the table. On vectors without structure no index of pivots can leave rows out and keep its recall.
 
 Equal vectors are indexed once with their smallest ids (no more than a result can show), so a vector that is repeated
 thousands of times is one row. Queries meet segments in blocks; each block keeps no more than the best rows of each query.
@@ -27,10 +32,13 @@ from pyspark.sql import functions as F
 
 from tidemark.shared import hot_keys, salted_join, written
 
-PIVOTS, PREFIX = 256, 32
-#: The part of a segment that is ranked again, and the least number of rows.
-SHARE, LEAST = 0.3, 1024
-SEGMENT, BLOCK = 8192, 1024
+PIVOTS, PREFIX = 256, 96
+#: Rows ranked again for each query, as a multiple of the square root of all rows.
+RERANK = 6.0
+#: Rows of a segment and queries of a block at most; every block meets every segment.
+SEGMENT, BLOCK = 65_536, 16_384
+#: Tables of fewer rows than a segment are still dealt over the cores, in parts of so many rows or more.
+LEAST_SEGMENT = 2048
 
 
 def usable(vector: Column) -> Column:
@@ -48,28 +56,22 @@ def _order(vectors: np.ndarray, extra: np.ndarray, pivots: np.ndarray, prefix: i
     return np.argsort(-near, axis=1, kind="stable")[:, :prefix].astype(np.int16)
 
 
-def _search_cell(rows: pd.DataFrame, queries: pd.DataFrame, top: int, n_pivots: int, share: float, least: int) -> pd.DataFrame:
+def _search_cell(rows: pd.DataFrame, queries: pd.DataFrame, top: int, n_pivots: int, part: float) -> pd.DataFrame:
+    """The best ``top`` of the rows for each query, among the ``part`` of them with the least footrule distance."""
     rows = rows.sort_values("vid", ignore_index=True)
     vid, by_dim, order = rows["vid"].to_numpy(), np.ascontiguousarray(_matrix(rows["v"]).T), np.stack(rows["perm"].to_numpy())
     n, m = order.shape
-    take = min(n, max(least, int(np.ceil(share * n))))
-    # inverted files: of each pivot, the rows that have it and its place there
-    flat = order.ravel()
-    by_pivot = np.argsort(flat, kind="stable")
-    bound = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1))
-    post_row, post_place = by_pivot // m, (by_pivot % m).astype(np.int64)
+    take = min(n, int(np.ceil(part * n)))
+    files = np.full((n_pivots, n), m, np.int16)
+    files[order, np.arange(n)[:, None]] = np.arange(m, dtype=np.int16)
+    own = np.arange(m, dtype=np.int16)[:, None]
     out = []
     for qid, q, perm in zip(queries["vid"], _matrix(queries["v"]), queries["perm"], strict=True):
-        if take < n:
-            rank = np.zeros(n, np.int64)
-            for place, p in enumerate(perm):
-                at = slice(bound[p], bound[p + 1])
-                # a pivot that only one of both has counts as if it stood behind the last place of the other
-                rank[post_row[at]] += np.abs(post_place[at] - place) - (m - place) - (m - post_place[at])
-            found = np.argpartition(rank * n + np.arange(n), take - 1)[:take]
-        else:
-            found = np.arange(n)
-        score = np.zeros(len(found))
+        # with absent pivots at place m on both sides, the footrule distance is twice the sum of the larger places over the query's
+        # pivots, but for a constant
+        foot = np.maximum(files[perm], own).sum(0, dtype=np.int32)
+        found = np.argpartition(foot.astype(np.int64) * n + np.arange(n), take - 1)[:take]
+        score = np.zeros(take)
         for d in range(len(q)):  # in the order of the components, so that equal vectors score equally everywhere
             score += by_dim[d, found] * q[d]
         best = np.lexsort((vid[found], -score))[:top]
@@ -77,8 +79,9 @@ def _search_cell(rows: pd.DataFrame, queries: pd.DataFrame, top: int, n_pivots:
     return pd.concat(out)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST, segment: int = SEGMENT, block: int = BLOCK) -> DataFrame:
-    """For each row of ``vectors`` where ``is_query`` holds: query_id, rank (from 1), vec_id and score of its ``k`` nearest others."""
+def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, rerank: float = RERANK, segment: int = SEGMENT, block: int = BLOCK) -> DataFrame:
+    """For each row of ``vectors`` where ``is_query`` holds: query_id, rank (from 1), vec_id and score of its ``k`` nearest others. Ids must be whole
+    numbers or cast to such."""
     spark = vectors.sparkSession
     rows = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), "_query")
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
@@ -88,7 +91,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     rows = rows.where(F.size("v") == widths[0]["d"]).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))  # -0.0 as 0.0
 
     # equal vectors: no result shows more than k of them, or k + 1 with the query's own
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("n") <= k + 1)
+    first = rows.select("id", "v").dropDuplicates().withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("n") <= k + 1)
     distinct = first.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     distinct = written(distinct.select("v", "ids", F.col("ids")[0].alias("vid"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")), "ann-vectors")
     asked = written(rows.where("_query").select("id", "v").dropDuplicates(["id"]), "ann-queries")
@@ -117,7 +120,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     shape = "vid long, v array<double>, perm array<short>"
     source = distinct.select("vid", "v", "norm")
-    segments, blocks = -(-n // segment), max(1, -(-asked.select("qvid").distinct().count() // block))
+    segments = max(-(-n // segment), min(2 * spark.sparkContext.defaultParallelism, -(-n // LEAST_SEGMENT)))
+    part = max(rerank * np.sqrt(n), k + 1) / n
+    blocks = max(1, -(-asked.select("qvid").distinct().count() // block))
     index = source.mapInArrow(represent(False), shape).withColumn("seg", F.pmod(F.xxhash64("vid"), F.lit(segments)).cast("int"))
     index = index.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     wanted = source.join(asked.select(F.col("qvid").alias("vid")).distinct(), "vid", "left_semi").mapInArrow(represent(True), shape)
@@ -126,7 +131,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"qvid": pd.Series(dtype="int64"), "vid": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        return _search_cell(left, right, k + 1, len(held.value), share, least)
+        return _search_cell(left, right, k + 1, len(held.value), part)
 
     found = index.groupBy("seg", "blk").cogroup(wanted.groupBy("seg", "blk")).applyInPandas(cell, "qvid long, vid long, score double")
     nearest = Window.partitionBy("qvid").orderBy(F.desc("score"), "vid")
@@ -141,11 +146,3 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     out = joined.select("query_id", F.posexplode(near).alias("place", "hit"))
     return out.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.id").alias("vec_id"), F.col("hit.score").alias("score"))
 
-
-ORACLE = """
-WITH u AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score FROM u q JOIN u c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
-"""
