@@ -11,6 +11,9 @@ An anchor with more than ``BUCKET`` different contexts is split: its windows are
 contexts meet only if they agree in all bytes that every window of the block holds. Blocks get smaller until a block is one window, so
 no bucket is unbounded and no repeat is lost.
 
+The same over words: with ``unit="words"`` a text is the sequence of its words' hashes (32 bits each) and lengths count words, so passages are
+found however long their words are. Runs of 50 words that agree in all hashes and differ in a word are out of reach.
+
 With ``keep="first"`` the first place (by id, then position) stays and later ones are repeats; with ``keep="none"`` both are.
 
 Cases: null text is empty; texts shorter than ``length`` have no repeats; repeated rows are copies of each other, ordered as one place
@@ -26,10 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.ngram_join import _BYTE_EXACT, _mix, _power
-from tidemark.shared import discard, hot_keys, release, salted_join, written
+from tidemark.llm.ngram_join import _BYTE_EXACT, _mix, _power, _runs as _batches, word_hashes
+from tidemark.shared import discard, hot_keys, numbered, release, salted_join, written
 
-GRAM = 128
+#: Symbols of the strings whose least hash anchors a window, and what a symbol is, by unit.
+GRAM = {"bytes": 128, "words": 16}
+SYMBOL = {"bytes": np.dtype(np.uint8), "words": np.dtype(np.uint32)}
+#: A passage: so many words that occur elsewhere too.
+PASSAGE = 50
 #: Contexts that a task sorts together at most, and the sizes of the blocks that larger buckets are split into.
 BUCKET, BLOCKS = 1024, (32, 4, 1)
 #: Bytes that a task sorts at a time.
@@ -38,6 +45,21 @@ BATCH = 1 << 20
 SLICE = 1 << 22
 
 
+def symbols(texts: list[bytes], unit: str) -> list[np.ndarray]:
+    """Each text as an array of symbols: its bytes, or the hashes of its words."""
+    if unit == "bytes":
+        return [np.frombuffer(t, np.uint8) for t in texts]
+    out: list[np.ndarray] = []
+    for i, j in _batches(texts):
+        word, first = word_hashes(texts[i:j], exact=True)
+        out += np.split(word.astype(np.uint32), first[1:-1])
+    return out
+
+
+def _coded(raw: np.ndarray) -> np.ndarray:
+    return _BYTE_EXACT[raw] if raw.dtype == np.uint8 else _mix(raw.astype(np.uint64))
+
+
 def _window_anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, anchor, hash) of every run of windows with one anchor; ``ends``: where texts end."""
     none = np.zeros(0, np.int64)
@@ -46,7 +68,7 @@ def _window_anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -
     if len(raw) < length:
         return none, none, none, none.view(np.uint64)
     up, down = _power(len(raw))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_EXACT[raw] * up)])
+    total = np.concatenate([[np.uint64(0)], np.cumsum(_coded(raw) * up)])
     code = _mix((total[gram:] - total[:n]) * down[:n])
     key = (code & ~np.uint64(0xFFFFFF)) | np.arange(n, dtype=np.uint64)  # the leftmost of equals
     padded = np.full(-(-n // width) * width, ~np.uint64(0), np.uint64)
@@ -67,12 +89,12 @@ def _window_anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -
     return at[new], counts, anchor[at[new]], code[anchor[at[new]]]
 
 
-def text_anchors(texts: list[bytes], length: int, gram: int = GRAM) -> list[tuple[np.ndarray, ...]]:
-    """For each text: (first window, number of windows, lead from the first window to the anchor, hash)."""
+def text_anchors(texts: list[np.ndarray], length: int, gram: int) -> list[tuple[np.ndarray, ...]]:
+    """For each text, as symbols: (first window, number of windows, lead from the first window to the anchor, hash)."""
     out: list = [None] * len(texts)
 
     def one_by_one(which: list[int]) -> None:
-        raw = np.frombuffer(b"".join(texts[i] for i in which), np.uint8)
+        raw = np.concatenate([texts[i] for i in which])
         ends = np.cumsum([len(texts[i]) for i in which])
         found = _window_anchors(raw, ends, length, gram)
         cut = np.searchsorted(found[0], np.concatenate([[0], ends]))
@@ -87,7 +109,7 @@ def text_anchors(texts: list[bytes], length: int, gram: int = GRAM) -> list[tupl
         if len(t) > SLICE:
             parts = []
             for at in range(0, len(t) - length + 1, SLICE):
-                piece = np.frombuffer(t[at : at + SLICE + length - 1], np.uint8)
+                piece = t[at : at + SLICE + length - 1]
                 start, n, anchor, code = _window_anchors(piece, np.array([len(piece)]), length, gram)
                 parts.append((start + at, n, anchor - start, code))
             out[i] = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -103,14 +125,15 @@ def text_anchors(texts: list[bytes], length: int, gram: int = GRAM) -> list[tupl
 
 
 def suffix_ranks(raw: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
-    """(size, ranks) for sizes 8, 24, 72, ... up to ``length``: equal ranks for equal strings, in their order, of every place.
+    """(size, ranks) for sizes 8, 24, 72, ... (of words: 2, 6, 18, ...) up to ``length``: equal ranks for equal strings, in their order, of every place.
     Three ranks of 21 bits make the key of the next size, so there are at most 2 ** 21 places."""
     n = len(raw)
-    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    size = 8 // raw.itemsize
+    padded = np.concatenate([raw, np.zeros(size, raw.dtype)])
     key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i : i + n].astype(np.uint64)
-    levels, size = [], 8
+    for i in range(size):
+        key = (key << np.uint64(8 * raw.itemsize)) | padded[i : i + n].astype(np.uint64)
+    levels = []
     while True:
         order = np.argsort(key)
         ordered = key[order]
@@ -167,10 +190,10 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
 
 
-def _sorted_contexts(rows: list[tuple[int, int, int, bytes]], length: int, keep: str) -> list[tuple[int, int, int]]:
+def _sorted_contexts(rows: list[tuple[int, int, int, bytes]], length: int, keep: str, symbol: np.dtype = SYMBOL["bytes"]) -> list[tuple[int, int, int]]:
     """From (bucket, ck, windows, context) with buckets together and in text order: (ck, first, end) of repeated windows."""
-    raw = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-    at = np.cumsum([0, *(len(r[3]) for r in rows)])
+    raw = np.frombuffer(b"".join(r[3] for r in rows), symbol)
+    at = np.cumsum([0, *(len(r[3]) // symbol.itemsize for r in rows)])
     places = np.concatenate([np.arange(a, a + r[2]) for a, r in zip(at, rows, strict=False)])
     bucket = np.repeat(np.unique([r[0] for r in rows], return_inverse=True)[1], [r[2] for r in rows])
     previous, source = longest_previous(raw, places, bucket, length)
@@ -189,8 +212,9 @@ def _ranges(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(RANGE)], schema=RANGE)
 
 
-def _resolve(contexts: DataFrame, length: int, keep: str, level: int = 0) -> DataFrame:
+def _resolve(contexts: DataFrame, length: int, keep: str, unit: str, level: int = 0) -> DataFrame:
     """From distinct contexts (grp, ck, n, lead, ctx, times, place): (ck, a, b), the repeated windows of each one's first place."""
+    symbol = SYMBOL[unit]
     sizes = contexts.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.sum("times").alias("all")).where(F.col("all") > 1)
     sized = contexts.join(sizes.select("grp", "m"), "grp")
     whole = contexts.where("times > 1").select("ck", F.lit(0).alias("a"), F.col("n").alias("b"))
@@ -201,13 +225,13 @@ def _resolve(contexts: DataFrame, length: int, keep: str, level: int = 0) -> Dat
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if row[0] != last and size >= BATCH:
-                    yield _ranges(_sorted_contexts(held, length, keep))
+                    yield _ranges(_sorted_contexts(held, length, keep, symbol))
                     held, size = [], 0
                 held.append(row)
                 size += len(row[3])
                 last = row[0]
         if held:
-            yield _ranges(_sorted_contexts(held, length, keep))
+            yield _ranges(_sorted_contexts(held, length, keep, symbol))
 
     most = BUCKET if level < len(BLOCKS) else 1 << 40
     small = sized.where(F.col("m").between(2, most)).select("grp", "ck", "n", "ctx", "place").repartition("grp").sortWithinPartitions("grp", "place").drop("place")
@@ -232,8 +256,8 @@ def _resolve(contexts: DataFrame, length: int, keep: str, level: int = 0) -> Dat
                 while w < n:
                     number = (lead - w) // block
                     after = min(n, lead - number * block + 1)
-                    core = ctx[lead - number * block : lead - (number + 1) * block + 1 + length]
-                    part = ctx[w : after - 1 + length]
+                    core = ctx[(lead - number * block) * symbol.itemsize : (lead - (number + 1) * block + 1 + length) * symbol.itemsize]
+                    part = ctx[w * symbol.itemsize : (after - 1 + length) * symbol.itemsize]
                     new = xxhash.xxh3_64_intdigest(core, seed=(grp ^ (number * 0x9E3779B97F4A7C15)) & (2**64 - 1)) - 2**63
                     own = xxhash.xxh3_64_intdigest(part, seed=(new ^ ((after - w) << 32)) & (2**64 - 1)) - 2**63
                     rows.append((new, own, ck, w, after - w, lead - w, part, times, place + w))
@@ -244,7 +268,7 @@ def _resolve(contexts: DataFrame, length: int, keep: str, level: int = 0) -> Dat
     cols = "grp long, ck long, parent long, first int, n int, lead int, ctx binary, times long, place decimal(38,0)"
     parts = written(large.select("grp", "ck", "n", "lead", "ctx", "times", "place").mapInArrow(split, cols), "suffix-blocks")
     below = written(parts.groupBy("grp", "ck", "n", "lead", "ctx").agg(F.sum("times").alias("times"), F.min("place").alias("place")), "suffix-contexts")
-    deeper = _placed(_resolve(below, length, keep, level + 1), below, parts.select("ck", "parent", "first", "n", "place"), keep)
+    deeper = _placed(_resolve(below, length, keep, unit, level + 1), below, parts.select("ck", "parent", "first", "n", "place"), keep)
     return found.union(deeper.select(F.col("parent").alias("ck"), (F.col("first") + F.col("a")).cast("int").alias("a"), (F.col("first") + F.col("b")).cast("int").alias("b")))
 
 
@@ -286,22 +310,32 @@ def _united(hits: DataFrame, length: int) -> DataFrame:
     return hits.mapInArrow(run, f"_at {dict(hits.dtypes)['_at']}, _hash long, spans array<struct<start:int,end:int>>")
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row: _id, raw (hash of the text), sha (its SHA-256), n_bytes and spans (start, end of the repeated bytes)."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """rows (_id, raw, text); slim: a row for each row without its text; classes: a row for each distinct text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("text")).withColumn("raw", F.xxhash64("text"))
-    id_type = dict(rows.dtypes)["_id"]
-    slim = written(rows.select("_id", "raw", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")), "suffix-rows")
+    sizes = [F.octet_length("text").cast("long").alias("n_bytes"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words")]
+    slim = written(rows.select("_id", "raw", *sizes, F.unhex(F.sha2("text", 256)).alias("sha")), "suffix-rows")
     best = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "raw")).alias("best")
     classes = written(slim.groupBy("sha").agg(best, F.count(F.lit(1)).alias("copies")).select("sha", "copies", "best._id", "best.raw"), "suffix-classes")
+    return rows, slim, classes
 
+
+def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "doc_id", text_col: str = "text", unit: str = "bytes") -> DataFrame:
+    """A row for each row: _id, raw (hash of the text), sha (its SHA-256), n_bytes, n_words and spans (start, end of what is repeated, in
+    ``unit``)."""
+    return _spans(*_texts(docs, id_col, text_col), length, keep, unit)
+
+
+def _spans(rows: DataFrame, slim: DataFrame, classes: DataFrame, length: int, keep: str, unit: str) -> DataFrame:
+    spark, id_type = rows.sparkSession, dict(rows.dtypes)["_id"]
     a_fields = ["start", "n", "lead", "h"]
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            found = text_anchors([t.encode() for t in b.column("text").to_pylist()], length)
+            found = text_anchors(symbols([t.encode() for t in b.column("text").to_pylist()], unit), length, GRAM[unit])
             take = pa.array(np.repeat(np.arange(b.num_rows), [len(f[0]) for f in found]))
             cols = [np.concatenate([f[i] for f in found]) for i in range(4)]
             yield pa.RecordBatch.from_arrays([b.column("_id").take(take), b.column("raw").take(take), *(pa.array(c.astype(np.int32)) for c in cols[:3]), pa.array(cols[3].view(np.int64))], names=["_id", "raw", *a_fields])
@@ -328,9 +362,10 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_c
         for b in batches:
             types = [b.schema.field("_id").type, *types[-8:]]
             for key, raw, text, runs in zip(*(b.column(c) for c in ("_id", "raw", "text", "runs")), strict=True):
-                key, raw, data, seen = key.as_py(), raw.as_py(), text.as_py().encode(), {}
+                key, raw, seen = key.as_py(), raw.as_py(), {}
+                data = symbols([text.as_py().encode()], unit)[0]
                 for r in sorted(runs.as_py(), key=lambda r: r["start"]):
-                    ctx = data[r["start"] : r["start"] + r["n"] - 1 + length]
+                    ctx = data[r["start"] : r["start"] + r["n"] - 1 + length].tobytes()
                     ck = xxhash.xxh3_64_intdigest(ctx, seed=(r["h"] ^ (r["n"] << 40) ^ (r["lead"] << 20)) & (2**64 - 1)) - 2**63
                     if ck in seen:  # the same context again in one text: its bytes are sent once
                         seen[ck][8] += 1
@@ -346,28 +381,36 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", id_c
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     texts = rows.join(lists, rows["_id"].eqNullSafe(lists["_at"]) & (rows["raw"] == lists["_hash"])).dropDuplicates(["_id", "raw"]).select("_id", "raw", "text", "runs")
-    met = written(texts.mapInArrow(contexts, f"_id {id_type}, raw long, start int, n int, lead int, grp long, ck long, ctx binary, times long"), "suffix-met")
-    release(docs.sparkSession)
-    number = F.coalesce(F.col("_id").cast("decimal(38,0)"), F.lit(str(2**63)).cast("decimal(38,0)"))
+    made = met = written(texts.mapInArrow(contexts, f"_id {id_type}, raw long, start int, n int, lead int, grp long, ck long, ctx binary, times long"), "suffix-met")
+    release(spark)
+    if id_type in ("tinyint", "smallint", "int", "bigint"):
+        number = F.coalesce(F.col("_id").cast("decimal(38,0)"), F.lit(str(2**63)).cast("decimal(38,0)"))
+    else:  # ids of other kinds are numbered in their order, null last
+        known = numbered(classes.select("_id", "raw", F.col("_id").isNull().alias("no_id")), "no_id", "_id", "raw", name="number")
+        known = known.select(F.col("_id").alias("_at"), F.col("raw").alias("_hash"), "number")
+        met = met.join(known, met["_id"].eqNullSafe(known["_at"]) & (met["raw"] == known["_hash"])).drop("_at", "_hash")
+        number = F.col("number").cast("decimal(38,0)")
     place = (number * F.lit(2**32).cast("decimal(12,0)") + F.col("start")).cast("decimal(38,0)")
     met_at = met.withColumn("place", place)
     distinct = met_at.where("ctx IS NOT NULL").groupBy("grp", "ck", "n", "lead", "ctx").agg(F.sum("times").alias("times"), F.min("place").alias("place"))
     distinct = written(distinct, "suffix-contexts")
-    hits = _placed(_resolve(distinct, length, keep), distinct, met_at.select("ck", "_id", "raw", "start", "n", "place"), keep)
+    hits = _placed(_resolve(distinct, length, keep, unit), distinct, met_at.select("ck", "_id", "raw", "start", "n", "place"), keep)
     hits = hits.groupBy("_id", "raw").agg(F.collect_list(F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))).alias("ranges"))
     spans = written(_united(hits.select(F.col("_id").alias("_at"), F.col("raw").alias("_hash"), "ranges"), length), "suffix-spans")
-    discard(met)
+    for table in (lists, shared, made, distinct):
+        discard(table)
 
     counted = classes.where("copies > 1").select("sha", "copies", F.col("_id").alias("first_id"), F.col("raw").alias("first_raw"))
     hot = hot_keys(classes.select("sha", F.col("copies").alias("n")), "sha", slim.count())
     both = salted_join(slim, counted, "sha", hot, "_id", "left")
     both = both.join(spans, both["_id"].eqNullSafe(spans["_at"]) & (both["raw"] == spans["_hash"]), "left")
-    copy = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
+    n = F.col(f"n_{unit}")
+    copy = F.col("copies").isNotNull() & (n >= length)
     if keep == "first":
         copy = copy & ~(F.col("_id").eqNullSafe(F.col("first_id")))
-    every = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
+    every = F.array(F.struct(F.lit(0).alias("start"), n.cast("int").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return both.select("_id", "raw", "sha", "n_bytes", F.when(copy, every).otherwise(F.coalesce("spans", none)).alias("spans"))
+    return both.select("_id", "raw", "sha", "n_bytes", "n_words", F.when(copy, every).otherwise(F.coalesce("spans", none)).alias("spans"))
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -391,12 +434,19 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
     return both.mapInArrow(keep, f"_id {dict(rows.dtypes)['_id']}, raw long, kept binary")
 
 
-def report(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The digest for ``keep="none"``: n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = written(repeated_spans(docs, length, "none", id_col, text_col), "suffix-result")
+def report(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
+    """The digest for ``keep="none"``: n_bytes, n_removed, n_spans, kept_sha256; and n_passages: the maximal runs of words covered by ``passage``
+    words that occur elsewhere too, in this document or another. Those may have fewer bytes than ``length`` and are only counted."""
+    known = _texts(docs, id_col, text_col)
+    spans = written(_spans(*known, length, "none", "bytes"), "suffix-result")
+    release(docs.sparkSession)
+    passages = _spans(*known, passage, "none", "words")
+    passages = written(passages.groupBy(F.col("_id").alias("_at"), F.col("raw").alias("_hash")).agg(F.max(F.size("spans")).cast("long").alias("n_passages")).where("n_passages > 0"), "suffix-passages")
     release(docs.sparkSession)
     kept = without_spans(docs, spans, id_col, text_col).select(F.col("_id").alias("_at"), F.col("raw").alias("_hash"), F.sha2("kept", 256).alias("kept_sha")).dropDuplicates(["_at", "_hash"])
-    both = spans.join(kept, spans["_id"].eqNullSafe(kept["_at"]) & (spans["raw"] == kept["_hash"]), "left")
+    both = spans
+    for part in (kept, passages):
+        both = both.join(part, both["_id"].eqNullSafe(part["_at"]) & (both["raw"] == part["_hash"]), "left").drop("_at", "_hash")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     rest = F.when(F.size("spans") == 0, F.lower(F.hex("sha"))).otherwise(F.coalesce("kept_sha", F.sha2(F.lit(""), 256)))
-    return both.select(F.col("_id").alias(id_col), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), rest.alias("kept_sha256"))
+    return both.select(F.col("_id").alias(id_col), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), rest.alias("kept_sha256"), F.coalesce("n_passages", F.lit(0)).cast("long").alias("n_passages"))
