@@ -1,9 +1,10 @@
 """Secret scans with an incremental ledger of blobs.
 
 Every version of a document is content-addressed: its blob is the SHA-256 of its text. The ledger holds the pairs of blob and
-rule version that were scanned, with their findings. A scan picks one row for each blob, drops the blobs that the ledger has
-under this rule version, scans the texts that are left, adds them to the ledger, and joins the findings back to every row
-that holds the blob, so copies and unchanged versions are never scanned twice.
+rule version that were scanned, with their findings. A scan passes over all rows of a blob but one and over the blobs that the ledger has
+under this rule version, scans the other texts where they are read, adds them to the ledger, and joins the findings back to every row
+that holds the blob, so copies and unchanged versions are never scanned twice. Only the rows to pass over are joined with the texts: where
+they are few enough to be broadcast, no text moves.
 
 Cases: null text is empty; an empty text has no findings; repeated rows each get their findings; a null id is an id like any
 other; empty tables give empty results; extra columns are ignored by :func:`scan` and carried by :func:`redact`.
@@ -29,6 +30,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs are maximal: the same as [0-9a-f]+ without those under 32
 WORDS = ("passw", "secret", "token", "apikey", "api_key")
 SPAN = "array<struct<kind:string,start:int,end:int>>"
+LEDGER = f"blob binary, rule_version int, spans {SPAN}"
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -53,7 +55,8 @@ def _read_ledger(spark, path: str | None) -> DataFrame | None:
     if path is None:
         return None
     try:
-        return spark.read.parquet(path)
+        # with its schema given, a folder without files (a first job was lost) is an empty ledger
+        return spark.read.schema(LEDGER).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
@@ -70,20 +73,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     keyed = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
     paths = written(keyed.select("_id", "blob").withColumn("rid", F.monotonically_increasing_id()), "secret-paths")
     blobs = paths.groupBy("blob").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(blobs, "blob", paths.count())
+    copies = salted_join(paths, blobs.where("n > 1").select("blob", "_rep"), "blob", hot, "rid", "inner")
+    passed = copies.where(~F.col("_id").eqNullSafe(F.col("_rep"))).select("_id", "blob")
     seen = _read_ledger(spark, ledger)
-    unseen = blobs if seen is None else blobs.join(seen.where(F.col("rule_version") == RULE_VERSION), "blob", "left_anti")
-    unseen = unseen.select(F.col("blob").alias("_blob"), "_rep")
-    texts = keyed.join(unseen, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_rep")))
+    if seen is not None:
+        known = seen.where(F.col("rule_version") == RULE_VERSION).select("blob").distinct()
+        passed = passed.union(salted_join(paths, known, "blob", hot, "rid", "inner").select("_id", "blob"))
+    passed = written(passed.distinct().select(F.col("_id").alias("_at"), F.col("blob").alias("_blob")), "secret-passed")
+    texts = keyed.join(passed, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_at")), "left_anti")
     # rows that are repeated whole bring their blob twice; their findings are told apart here, as texts are too large to move again
-    fresh = texts.select("blob", "text").mapInPandas(_scan_blobs, f"blob binary, rule_version int, spans {SPAN}").dropDuplicates(["blob", "rule_version"])
+    fresh = texts.select("blob", "text").mapInPandas(_scan_blobs, LEDGER).dropDuplicates(["blob", "rule_version"])
     if ledger is None:
         held = written(fresh, "secret-ledger")
     else:
         fresh.write.mode("append").parquet(ledger)
-        held = spark.read.parquet(ledger)
+        held = spark.read.schema(LEDGER).parquet(ledger)
     # repeated rows and repeated runs may have put a blob into the ledger twice, with the same findings
     held = held.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).groupBy("blob").agg(F.max("spans").alias("spans"))
-    hot = hot_keys(blobs, "blob", paths.count())
     out = salted_join(paths, held, "blob", hot, "rid", "left")
     return out.select(F.col("_id").alias(id_col), "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
@@ -94,6 +101,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     texts = docs.withColumn("__td_blob", F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
     found = scan(docs, id_col, text_col).where(F.size("spans") > 0)
     found = found.select(F.col(id_col).alias("__td_found_id"), F.col("blob").alias("__td_found_blob"), "spans").dropDuplicates(["__td_found_id", "__td_found_blob"])
+    found = written(found, "secret-found")  # few rows have a secret, and a table's size is known
     both = texts.join(found.withColumnRenamed("spans", "__td_spans"), F.col(id_col).eqNullSafe(F.col("__td_found_id")) & (F.col("__td_blob") == F.col("__td_found_blob")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     text = F.col(text_col)
