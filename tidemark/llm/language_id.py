@@ -28,6 +28,8 @@ from tidemark.llm.bpe import slices
 DIMENSIONS, ORDER = 1024, 3
 #: Characters that are turned into vectors at a time, about.
 CHUNK_CHARS = 1 << 19
+#: N-grams whose vectors are held at a time.
+GRAMS = 8192
 
 
 @lru_cache(maxsize=1)
@@ -84,12 +86,17 @@ def _gram_vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:
     return out
 
 
+def _bundled(letters: np.ndarray, counts: np.ndarray, dimensions: int, kind: type) -> np.ndarray:
+    """For each row of ``counts`` the sum of so many of each n-gram's vectors, some n-grams at a time."""
+    out = np.zeros((len(counts), dimensions), kind)
+    for i in range(0, len(letters), GRAMS):
+        out += counts[:, i : i + GRAMS].astype(kind) @ _gram_vectors(letters[i : i + GRAMS], dimensions).astype(kind)
+    return out
+
+
 def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """A row for each text: the sum of the vectors of its n-grams."""
-    letters, counts = _grams(texts)
-    if not len(letters):
-        return np.zeros((len(texts), dimensions), np.float32)
-    return counts.astype(np.float32) @ _gram_vectors(letters, dimensions).astype(np.float32)
+    return _bundled(*_grams(texts), dimensions, np.float32)
 
 
 def _chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -117,7 +124,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
                     continue
                 names = sorted(set(langs[i:j]))
                 by_lang = np.stack([counts[langs[i:j] == name].sum(0) for name in names]).astype(np.float64)
-                for name, v in zip(names, by_lang @ _gram_vectors(letters, dimensions).astype(np.float64), strict=True):
+                for name, v in zip(names, _bundled(letters, by_lang, dimensions, np.float64), strict=True):
                     sums[name] = sums.get(name, 0) + np.rint(v).astype(np.int64)
         for name, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions), pa.int32()), pa.array(v, pa.int64())], schema=fields)
