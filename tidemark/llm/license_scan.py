@@ -66,6 +66,22 @@ MORE_SENTENCES = {
     "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl20_copy",
     "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl20_copy",
     "this is free and unencumbered software released into the public domain": "unlicense_head",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "zerobsd_grant",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib_liable",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib_grant",
+    "the origin of this software must not be misrepresented": "zlib_origin",
+    "the origin of this software must not be misrepresented you must not claim that you wrote the original software": "zlib_origin",
+    "boost software license version 1 0 august 17th 2003": "bsl10_title",
+    "distributed under the boost software license version 1 0": "bsl10_notice",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "bsl10_grant",
+    "cc0 1 0 universal": "cc0_title",
+    "creative commons legal code cc0 1 0 universal": "cc0_title",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0_notice",
+    "eclipse public license v 2 0": "epl20_title",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl20_notice",
+    "the artistic license 2 0": "artistic20_title",
+    "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies": "postgresql_grant",
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd_advertising",
 }
 MORE_RULES = {
     "AGPL-3.0": (("agpl30_title",),),
@@ -76,6 +92,14 @@ MORE_RULES = {
     "LGPL-3.0": (("lgpl30_title",),),
     "MPL-2.0": (("mpl20_title",), ("mpl_head", "mpl20_copy")),
     "Unlicense": (("unlicense_head",),),
+    "0BSD": (("zerobsd_grant",),),
+    "Artistic-2.0": (("artistic20_title",),),
+    "BSD-4-Clause": (("bsd_grant", "bsd_source", "bsd_binary", "bsd_advertising"),),
+    "BSL-1.0": (("bsl10_title",), ("bsl10_notice",), ("bsl10_grant",)),
+    "CC0-1.0": (("cc0_title",), ("cc0_notice",)),
+    "EPL-2.0": (("epl20_title",), ("epl20_notice",)),
+    "PostgreSQL": (("postgresql_grant",),),
+    "Zlib": (("zlib_liable", "zlib_grant", "zlib_origin"),),
 }
 # the notices of the GNU licences: a comma or a semicolon stands before the version, and a semicolon ends a sentence
 for _name, _title, _versions in (("GPL", "general", ("2", "3")), ("LGPL", "lesser general", ("2 1", "3")), ("AGPL", "affero general", ("3",))):
@@ -92,7 +116,7 @@ ALL_RULES = {name: RULES.get(name, ()) + MORE_RULES.get(name, ()) for name in RU
 #: Each known sentence of the SQL holds one of these words.
 CUES = "(?i)licen[sc]e|copyright|permission|permitted|redistribution|warranty"
 #: A text with a known sentence holds one of these words.
-ALL_CUES = CUES + "|public\\W+domain|redistribute"
+ALL_CUES = CUES + "|public\\W+domain|redistribute|cc0|held\\W+liable|this\\W+software"
 #: Any known sentence as whole lines, the longest first.
 KNOWN = r"(?<=^|[\n|])(?:" + "|".join(k.replace(" ", r"[ \n]") for k in sorted(ALL_SENTENCES, key=lambda k: (-len(k), k))) + r")(?=[\n|]|$)"
 
