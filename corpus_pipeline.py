@@ -1,5 +1,9 @@
 """A corpus pipeline of five stages; each works on all that its predecessor kept.
 
+Each stage takes documents with doc_id and text (language: lang too) and any other columns. Null ids are ids like any other; null and empty
+texts and texts without a letter go in the first stage; repeated rows are copies; an empty table gives an empty result; extra columns
+are kept up to the last stage, whatever their names.
+
 Documents without an identifiable language go; of exact copies and of near copies one stays; secrets are replaced by a mark; what is
 left is packed into training sequences.
 """
@@ -14,15 +18,21 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language_id, ngram_join, packing, secret_scan
 from tidemark.llm.queries import vocabulary_path
-from tidemark.shared import release, shared_dir
+from tidemark.shared import Folder, release, shared_dir
+
+#: The cosine of unrelated vectors of so many dimensions has this standard deviation, twice.
+NO_LANGUAGE = 2 / language_id.DIMENSIONS**0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labels at hand and drops what has no language: texts that are null or without a letter. Where nothing can be
-    learned, as no text has a label, every text with a letter still stays."""
-    prototypes = language_id.learn(docs) or {"unknown": np.ones(language_id.DIMENSIONS)}
+    """Learns from the labels at hand and drops what has no language: texts that are null or without a letter, and texts whose cosine with the
+    predicted language's prototype is no larger than unrelated vectors have by chance (``NO_LANGUAGE``), as in a script that no label
+    knows. Where nothing can be learned, as no text has a label, every text with a letter stays."""
+    prototypes = language_id.learn(docs)
+    least = NO_LANGUAGE if prototypes else 0.0
     taken = {c: f"__td_{c}" for c in docs.columns if c in ("lang_pred", "score")}
-    found = language_id.predict(docs.withColumnsRenamed(taken), prototypes).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
+    found = language_id.predict(docs.withColumnsRenamed(taken), prototypes or {"unknown": np.ones(language_id.DIMENSIONS)})
+    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).drop("lang_pred", "score")
     return found.withColumnsRenamed({new: c for c, new in taken.items()}).select(*docs.columns)
 
 
@@ -53,10 +63,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; what each returns is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
         docs = spark.read.parquet(f"{top}/{name}")
+        if before:  # what the stage read is needed no more
+            Folder(spark, top).delete(before)
+        before = name
         release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
