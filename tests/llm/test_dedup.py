@@ -1,8 +1,9 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
-from brute import components, exact, repeats, sha, spans
+from brute import WORD, components, exact, repeats, sha, shingles, spans
 
 from tidemark.llm import exact_dedup, ngram_join, suffix_dedup
 
@@ -66,6 +67,29 @@ def test_similar_documents(make, words, num):
     assert got == components(rows, words, num, 100)
 
 
+def test_hot_lists_are_walked_in_parts(make, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PART", 2)
+    monkeypatch.setattr(ngram_join, "HOT_SHARE", 1e-6)
+    rows = corpus(4)
+    assert sorted(map(tuple, ngram_join.similar_documents(make(rows)).collect())) == components(rows, 5, 80, 100)
+
+
+def test_every_link_between_classes(make):
+    rows = corpus(6, 50)
+    sets = {i: shingles(t, 5) for i, t in rows}
+    name = {}
+    for i, s in sorted(sets.items()):
+        name.setdefault(s, i)
+    classes = sorted((i, s) for s, i in name.items() if s)
+    want = {(a, b) for a, x in classes for b, y in classes if a < b and 100 * len(x & y) >= 80 * len(x | y)}
+    member, pairs = ngram_join.similar_classes(make(rows))
+    assert dict(map(tuple, member.collect())) == {i: name[s] if s else None for i, s in sets.items()}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 400
+    member, pairs = ngram_join.similar_classes(make([(1, None)]))
+    assert member.count() == 1 and pairs.count() == 0
+
+
 def test_similar_of_odd_rows(make):
     t = " ".join(WORDS)
     rows = [(4, t), (4, t), (None, t), (9, t + " more"), (5, None), (6, ""), (7, "x" * 300_000)]
@@ -135,6 +159,46 @@ def test_first_copies_stay(make, monkeypatch, bucket):
     assert got == want
 
 
+@pytest.mark.parametrize("bucket", [1024, 2])
+def test_repeated_words(make, monkeypatch, bucket):
+    monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    rows = [(i, t) for i, t in corpus(13, 30)] + [(900 + i, ("un de la ou " * 13 + " \n").strip() + f" {i}" * i) for i in range(5)]
+    words = {i: WORD.findall(t or "") for i, t in rows}
+    seen = Counter(tuple(w[p : p + 50]) for w in words.values() for p in range(len(w) - 49))
+    want = {}
+    for i, w in words.items():
+        mask = bytearray(len(w))
+        for p in range(len(w) - 49):
+            if seen[tuple(w[p : p + 50])] > 1:
+                mask[p : p + 50] = b"\1" * 50
+        want[i] = spans(mask)
+    got = {r["_id"]: [tuple(s) for s in r["spans"]] for r in suffix_dedup.repeated_spans(make(rows), 50, "none", unit="words").collect()}
+    assert got == want
+    if bucket > 2:
+        counted = {r["doc_id"]: r["n_passages"] for r in suffix_dedup.report(make(rows)).collect()}
+        assert counted == {i: len(s) for i, s in want.items()}
+
+
+def test_ids_of_text(make):
+    p = "a passage that is long enough to be found again " * 12
+    rows = [("b", "x" + p), ("a", "one two " + p), (None, p + "z"), ("c", p)]
+    docs = make(rows, "doc_id string, text string")
+    first = {r["_id"]: len(r["spans"]) for r in suffix_dedup.repeated_spans(docs).collect()}
+    assert first["a"] <= 1 and first["b"] == first["c"] == first[None] == 1
+    removed = {r["doc_id"]: r["n_removed"] > 0 for r in suffix_dedup.report(docs).collect()}
+    assert all(removed.values())
+
+
+def test_texts_over_a_slice(make, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE", 1000)
+    rng = random.Random(8)
+    long = " ".join(rng.choice(WORDS) + str(rng.randrange(30)) for _ in range(900))
+    rows = [(1, long), (2, long[700:3300]), (3, "x" * 2500), (4, long[:990] + "!" + long[3000:])]
+    data, masks = repeats(rows, 400)
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.report(make(rows)).collect()}
+    assert got == {i: sum(m) for i, m in masks.items()}
+
+
 def test_empty_tables(make):
     empty = make([])
     assert exact_dedup.exact_duplicates(empty).count() == 0

@@ -41,5 +41,29 @@ def test_stages(spark, tmp_path):
         docs = after
 
 
+def test_unknown_scripts_go(spark):
+    """The prediction decides: text in a script that no label knows has no more than chance in common with any prototype."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    strange = [(9100 + i, t * 30, None) for i, t in enumerate(("日本語のテキストです。", "Привет мир, это текст. ", "これは別の文章"))]
+    out = corpus_pipeline.identify_language(spark, docs.union(spark.createDataFrame(strange, docs.schema)), SF)
+    ids = {r["doc_id"] for r in out.collect()}
+    assert not ids & {i for i, _, _ in strange}
+    assert ids == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+
+
+def test_odd_tables_through_all_stages(spark, tmp_path):
+    text = "some words that stand in this text more than once and go on for a while "
+    rows = [(None, text), (1, text), (1, text), (2, text + "x"), (3, None), (4, ""), (5, "12 34"), (6, "x" * 200_000), (7, text * 2000), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    for name in ("raw", "score", "lang_pred", "spans", "sha", "label", "stay", "blob"):
+        docs = docs.withColumn(name, docs["lang"])
+    for n, table in enumerate((docs, docs.limit(0))):
+        table.write.parquet(str(tmp_path / f"{n}/documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / str(n)))
+        assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        # the copies of one text leave one row; a text that repeats it has the same five-word shingles but for the seam
+        assert {r["doc_id"] for r in out.collect()} - {2, 7} == ({1, 6} if n == 0 else set())
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0

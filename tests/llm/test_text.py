@@ -101,6 +101,41 @@ def test_language_vectors_are_sums_of_bound_letters():
     assert (language_id.text_vectors([text], 64)[0] == want).all()
 
 
+def plain_language_vector(text):
+    """The sum of the bound letters of every trigram, one by one."""
+    letters, last = [" "], " "
+    for c in f"{text.lower()} ":
+        c = c if c.isalpha() else " "
+        if c != " " or last != " ":
+            letters.append(c)
+        last = c
+    out = np.zeros(language_id.DIMENSIONS)
+    for i in range(len(letters) - 2):
+        a, b, c = (language_id._letter_vector(ord(x), turn, language_id.DIMENSIONS).astype(float) for x, turn in zip(letters[i : i + 3], (2, 1, 0)))
+        out += a * b * c
+    return out
+
+
+def test_language_predictions_equal_a_plain_version(spark, make):
+    labelled = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, "le chat et le chien", "aa"), (4, "die Katze, der Hund", "de"), (5, "the house", "en"), (6, None, "en"), (7, "no label", None)]
+    asked = [(i, t) for i, (_, t, _) in enumerate(labelled)] + [(50, "chien et chat"), (51, "der HUND\n\nist da"), (52, "日本"), (53, "12"), (54, ""), (55, "zzz"), (56, "Ä1b2 c" * 300), (56, "Ä1b2 c" * 300)]
+    table = {}
+    for _, t, lang in labelled:
+        if t and lang:
+            table[lang] = table.get(lang, 0) + plain_language_vector(t)
+    got = language_id.predict(make(asked), language_id.learn(spark.createDataFrame(labelled, "doc_id long, text string, lang string"))).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        text = dict(asked)[r["doc_id"]] or ""
+        if not any(map(str.isalpha, text)):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        v = plain_language_vector(text)
+        cosine = {lang: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for lang, p in sorted(table.items())}
+        assert r["lang_pred"] == max(cosine, key=cosine.get)  # of tied languages (aa, fr) the first
+        assert abs(r["score"] - max(0, cosine[r["lang_pred"]])) < 1e-5
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.001"
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -133,6 +168,13 @@ def test_secrets_and_ledger(make, tmp_path):
     assert digest[9]["spans"] == joined and digest[9]["base_sha256"] == sha(joined.encode()) and digest[9]["n_hex"] == 1
 
 
+def test_a_lost_first_scan_leaves_an_empty_ledger(make, tmp_path):
+    ledger = tmp_path / "ledger"
+    (ledger / "_temporary").mkdir(parents=True)
+    found = secret_scan.scan(make([(1, SECRETS[3])]), ledger=str(ledger)).collect()
+    assert [tuple(s) for s in found[0]["spans"]] == secrets(SECRETS[3])
+
+
 def test_redaction_keeps_rows(make):
     rows = list(enumerate(SECRETS)) + [(1, "")]
     out = secret_scan.redact(make(rows))
@@ -154,6 +196,18 @@ def test_licences(make):
     assert got == {0: [], 1: [], 2: ["MIT"], 3: ["CC-BY-NC-4.0"], 4: ["MIT"], 5: [], 6: ["Apache-2.0"], 7: ["CC-BY-4.0", "MIT"], 8: []}
 
 
+def test_more_licences(make):
+    texts = {
+        "Zlib": "This software is provided 'as-is'.\nIn no event will the authors be held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim",
+        "BSL-1.0": "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file)", "CC0-1.0": "CC0 1.0 Universal", "EPL-2.0": "Eclipse Public License - v 2.0", "Artistic-2.0": "The Artistic License 2.0",
+        "0BSD": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.",
+    }
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan(make(list(enumerate(texts.values())))).collect()}
+    assert [got[i] for i in range(len(texts))] == [[name] for name in texts]
+    long = "plain words. " * 200_000 + "\nReleased under the MIT License.\n"
+    assert license_scan.scan(make([(1, long)])).first()["licenses"] == ["MIT"]
+
+
 def test_chat_round_trip(spark):
     from pyspark.sql import functions as F
 
