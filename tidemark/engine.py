@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, validation
+from tidemark.operators import replay, validation
 from tidemark.plans import health, splits
 from tidemark.sources import discovery, snapshot
-from tidemark.streaming.apply import StateTable, apply_stream
+from tidemark.streaming.apply import StateTable, apply_stream, documents
 
 
 @dataclass(frozen=True)
@@ -50,13 +50,14 @@ class Engine:
         return rows if target is None else snapshot.upsert(target, rows, key)
 
     def apply_changes(self, log: DataFrame) -> DataFrame:
-        return cdc.fold(log)
+        """The documents after a log of any fields; see :mod:`tidemark.operators.replay` for its columns."""
+        return replay.fold(log)
 
-    def apply_stream(self, log: DataFrame, path: str) -> DataFrame:
-        """Applies what a streaming log offers; state and offsets are kept under ``path``."""
+    def apply_stream(self, log: DataFrame, path: str, start: tuple[int, int] | None = None) -> DataFrame:
+        """Applies what a streaming log offers and gives the documents; state and offsets are kept under ``path`` and found there again."""
         state = StateTable(self.spark, f"{path}/state")
-        apply_stream(log, state, f"{path}/offsets")
-        return cdc.fold(state.read())
+        apply_stream(log, state, f"{path}/offsets", start)
+        return documents(state)
 
     def validate(self, source: DataFrame, target: DataFrame, key: str) -> DataFrame:
         return validation.with_status(validation.compare(source, target, key))

@@ -107,3 +107,23 @@ def as_changes(events: DataFrame) -> DataFrame:
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_changes(table(spark, sf_dir, "events"))
+
+
+def change_log(rows: DataFrame, empty: int = 0, rekeyed: int = 0) -> DataFrame:
+    """Changes of the ``events`` table as a log of documents with the fields value and props: updates of kind view set value, those of kind
+    click set props and unset value. One update of ``empty`` describes nothing and one of ``rekeyed`` touches the partition key; both
+    carry their document."""
+    never = F.lit(False)
+    base, update = F.col("op").isin("insert", "replace"), F.col("op") == "update"
+    bare = update & (F.col("event_id") % empty == 0) if empty else never
+    moved = update & (F.col("event_id") % rekeyed == 0) if rekeyed else never
+    value, props = (F.lit("value"), F.col("value").cast("string")), (F.lit("props"), F.col("props"))
+    click, told = F.col("event_type") == "click", update & ~bare
+    sets = F.when(told & click, F.create_map(*props)).when(told & (F.col("event_type") == "view"), F.create_map(*value))
+    fields = {"full": F.when(base | bare | moved, F.create_map(*value, *props)), "sets": sets, "unsets": F.when(told & click, F.array(F.lit("value"))), "rekeys": moved, "to_ns": F.lit(None).cast("string")}
+    return rows.select("ns", "doc_id", "op", "t", "i", "event_id", *(c.alias(n) for n, c in fields.items()))
+
+
+def fields_of(docs: DataFrame) -> DataFrame:
+    """Replayed documents with value and props as columns."""
+    return docs.select("ns", "doc_id", F.try_element_at("doc", F.lit("value")).try_cast("double").alias("value"), F.try_element_at("doc", F.lit("props")).alias("props"), "n_changes")

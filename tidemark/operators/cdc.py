@@ -1,75 +1,27 @@
-"""Replay of an ordered change log: translation, key rewrites, folding, schema events and progress.
-
-A change has doc_id, op, its place (t, i) and the fields it writes. Replay is declarative: the state of a document after any log is given by
-its last base change (insert, replace or delete) and, for each field, the last change since then that writes it. Both are aggregates by
-key, so a log of any length is folded in one shuffle, with partial aggregation before it, and in any order of arrival.
-"""
+"""What a change log becomes: translation to writes, key rewrites, lookups, batches and progress. The replay itself is in
+:mod:`tidemark.operators.replay`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.frames import CHANGES, cte, changes, frame, table
+from tidemark.frames import CHANGES, change_log, changes, cte, fields_of, frame, table
 from tidemark.functions.keys import collection_of, database_of, worker_of
+from tidemark.operators import replay
+from tidemark.shared import numbered
 
-BASE = ("insert", "replace", "delete")
-FIELDS = ("value", "props")
 DDL = ("drop", "rename", "create", "dropDatabase", "createIndexes", "dropIndexes")
 
 
-def place(log_id: str = "event_id") -> Column:
-    """The order of changes: cluster time, then arrival."""
-    return F.struct("t", "i", log_id)
-
-
-def writes(field: str) -> Column:
-    """Which changes write a field. Updates of kind view set ``value``; those of kind click set ``props`` and unset ``value``."""
-    base = F.col("op").isin("insert", "replace")
-    return base | ((F.col("op") == "update") & (F.col("event_type").isin("view", "click") if field == "value" else F.col("event_type") == "click"))
-
-
-def written_value(field: str) -> Column:
-    """What a change writes to a field; null where it unsets it."""
-    return F.when((F.col("op") == "update") & (F.col("event_type") == "click"), F.lit(None)).otherwise(F.col("value")) if field == "value" else F.col(field)
-
-
-def fold(log: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The documents that exist after ``log``, with their fields and the number of changes they took part in.
-
-    An update of a document that does not exist does nothing. The last base change comes from one aggregation; the fields from a second
-    that stays in the same partitions.
-    """
-    ordered = log.withColumn("at", place())
-    by_key = Window.partitionBy(key)
-    based = ordered.withColumn("base", F.max(F.when(F.col("op").isin(*BASE), F.col("at"))).over(by_key))
-    live = based.where(F.col("base").isNotNull() & (F.col("at") >= F.col("base")))
-    fields = [F.max_by(written_value(f), F.when(writes(f), F.col("at"))).alias(f) for f in FIELDS]
-    kept = live.groupBy(key).agg(F.max_by("op", F.when(F.col("at") == F.col("base"), F.col("at"))).alias("base_op"), F.count(F.lit(1)).alias("n_changes"), *fields)
-    return kept.where("base_op <> 'delete'").select(key, *FIELDS, "n_changes")
-
-
-def compact(log: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The changes of ``log`` that its fold still depends on: the last base change of each key and the last writer of each field since.
-    Folding the compacted log and any later changes gives what folding the whole log gives, however it was cut into batches."""
-    ordered = log.withColumn("at", place())
-    by_key = Window.partitionBy(key)
-    based = ordered.withColumn("base", F.max(F.when(F.col("op").isin(*BASE), F.col("at"))).over(by_key))
-    live = based.where(F.col("base").isNull() | (F.col("at") >= F.col("base")))
-    for f in FIELDS:
-        live = live.withColumn(f"last_{f}", F.max(F.when(writes(f), F.col("at"))).over(by_key))
-    needed = (F.col("at") == F.col("base")) | F.greatest(*(F.coalesce(F.col("at") == F.col(f"last_{f}"), F.lit(False)) for f in FIELDS))
-    return live.where(F.coalesce(needed, F.lit(False))).select(*log.columns)
-
-
 def translate(log: DataFrame) -> DataFrame:
-    """The write that each change becomes: action, upsert, the fields it sets and unsets. Changes without a write are dropped."""
-    op, kind = F.col("op"), F.col("event_type")
-    empty = F.col("event_id") % 97 == 0  # stands for updates whose description is empty
-    action = F.when(op.isin("insert", "replace"), "replace").when(op == "delete", "delete").when((op == "update") & empty, "replace").when(op == "update", "update")
-    sets = F.when(op.isin("insert", "replace") | empty, "value,props").when(kind == "view", "value").when(kind == "click", "props").otherwise("")
-    sets = F.when(op == "delete", "").otherwise(sets)
-    unsets = F.when((op == "update") & (kind == "click") & ~empty, "value").otherwise("")
+    """The write that each change of a log (see :mod:`tidemark.operators.replay`) becomes: action, upsert, the fields it sets and unsets.
+    Changes without a write are dropped."""
+    kind = replay.kind_of()
+    names = lambda c: F.array_join(F.map_keys(F.coalesce(c, F.create_map().cast("map<string,string>"))), ",")
+    action = F.when(kind == "base", "replace").when(kind == "delete", "delete").when(kind == "patch", "update")
+    sets = F.when(kind == "base", names("full")).when(kind == "patch", names("sets")).otherwise("")
+    unsets = F.when(kind == "patch", F.array_join(F.coalesce("unsets", F.array().cast("array<string>")), ",")).otherwise("")
     return log.select("event_id", "doc_id", action.alias("action"), (action == "replace").alias("upsert"), sets.alias("sets"), unsets.alias("unsets")).where("action IS NOT NULL")
 
 
@@ -93,40 +45,46 @@ def hydrate(log: DataFrame, target: DataFrame, key: str, part_key: str) -> DataF
 
 def fallback(hydrated: DataFrame, update_left: Column, upsert: Column) -> DataFrame:
     """What becomes of changes whose document is not in the target: deletions go everywhere, updates too unless nothing is left of them,
-    replacements become inserts if they may create the document and are dropped otherwise."""
+    replacements become inserts if they may create the document and are dropped otherwise. Where the lookup itself failed (``found`` is null)
+    nothing is known of the document, so the change stays what it is."""
     op = F.col("op")
-    action = F.when(F.col("found"), F.concat(op, F.lit("_one"))).when(op == "delete", "delete_many").when((op == "update") & update_left, "update_many").when((op == "replace") & upsert, "insert").otherwise("skip")
+    action = F.when(F.col("found").isNull(), op).when(F.col("found"), F.concat(op, F.lit("_one"))).when(op == "delete", "delete_many").when((op == "update") & update_left, "update_many").when((op == "replace") & upsert, "insert").otherwise("skip")
     return hydrated.withColumn("action", action)
 
 
+def when_keys_unknown(models: DataFrame, failed: Column) -> DataFrame:
+    """Writes (action, ...) where the partition key of their namespace could not be found: deletions and updates go everywhere, replacements
+    stay as they are. Where only the lookup of a document failed (``found`` is null), nothing is concluded and the write is left unchanged."""
+    many = F.when(F.col("action") == "delete", "delete_many").when(F.col("action") == "update", "update_many").otherwise(F.col("action"))
+    return models.withColumn("action", F.when(failed, many).otherwise(F.col("action")))
+
+
 def strip_fields(updates: DataFrame, protected: DataFrame) -> DataFrame:
     """Updates (no, op, field) without fields that are a protected one or lie under it: set and unset lists; empty is what has none left."""
     under = (F.col("field") == F.col("p")) | F.startswith("field", F.concat("p", F.lit(".")))
-    marked = updates.join(F.broadcast(protected.select(F.col("field").alias("p"))), under, "left_anti")
+    marked = updates.join(protected.select(F.col("field").alias("p")), under, "left_anti")
     lists = marked.groupBy("no").agg(*(F.array_join(F.array_sort(F.collect_list(F.when(F.col("op") == o, F.col("field")))), ",").alias(f"{o}s") for o in ("set", "unset")))
     return updates.select("no").distinct().join(lists, "no", "left").select("no", F.coalesce("sets", F.lit("")).alias("sets"), F.coalesce("unsets", F.lit("")).alias("unsets"), F.col("sets").isNull().alias("empty"))
 
 
 def apply_ddl(rows: DataFrame, ddl: DataFrame) -> DataFrame:
     """Rows (seq, ns, ...) after the schema events (seq, op, ns, to_ns) of the same log. Each event is a barrier: it acts on what was
-    written before it and on nothing later. Schema events are few; they become one expression over the rows."""
-    ns, alive = F.col("ns"), F.lit(True)
-    for e in ddl.where(F.col("op").isin("drop", "rename", "dropDatabase")).orderBy("seq").collect():
-        before = F.col("seq") < e["seq"]
-        if e["op"] == "rename":
-            ns = F.when(before & (ns == e["ns"]), F.lit(e["to_ns"])).otherwise(ns)
-        elif e["op"] == "drop":
-            alive = alive & ~(before & (ns == e["ns"]))
-        else:
-            alive = alive & ~(before & (database_of(ns) == database_of(F.lit(e["ns"]))))
-    return rows.withColumn("alive", alive).withColumn("ns", ns).where("alive").drop("alive")
+    written before it and on nothing later."""
+    order = [F.col("seq").alias("t"), F.lit(0).alias("i"), F.lit(0).alias("event_id")]
+    events = ddl.where(F.col("op").isin(*replay.SCHEMA_OPS)).select("op", "ns", "to_ns", *order)  # the others change nothing
+    both = rows.withColumn("op", F.lit("insert")).select("*", *order).unionByName(events, allowMissingColumns=True)
+    return replay.through_schema(both).select(*rows.columns)
 
 
 def batches(log: DataFrame, size: int, workers: int = 4) -> DataFrame:
-    """Micro-batches of each worker and namespace with the last place in each; a document's changes all go to one worker."""
-    routed = log.withColumn("worker", worker_of(F.col("doc_id"), workers))
-    order = Window.partitionBy("worker", "ns").orderBy("t", "i")
-    cut = routed.withColumn("batch", F.floor((F.row_number().over(order) - 1) / size))
+    """Micro-batches of each worker and namespace with the last place in each; a document's changes all go to one worker.
+
+    Changes are numbered within range parts of the log and shifted by what their worker and namespace has in the parts before, so
+    no task holds all changes of a worker."""
+    routed = log.select(worker_of(F.col("doc_id"), workers).alias("worker"), "ns", "t", "i")
+    parts = numbered(routed, "worker", "ns", "t", "i")
+    first = parts.groupBy("worker", "ns").agg(F.min("rn").alias("start"))
+    cut = parts.join(first, ["worker", "ns"]).withColumn("batch", F.floor((F.col("rn") - F.col("start")) / size))
     out = cut.groupBy("worker", "ns", "batch").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("t", "i")).alias("last"))
     return out.select("worker", "ns", "batch", "n", F.col("last.t").alias("last_t"), F.col("last.i").alias("last_i"))
 
@@ -152,16 +110,30 @@ def resume_place(rows: DataFrame) -> DataFrame:
 
 
 def cdc_apply_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fold(changes(spark, sf_dir))
+    return fields_of(replay.fold(change_log(changes(spark, sf_dir)))).select("doc_id", "value", "props", "n_changes")
+
+
+def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole replay: updates without a description, updates of the partition key, renames, drops, by namespace and id."""
+    log = changes(spark, sf_dir)
+    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True)))
+
+
+def schema_log(log: DataFrame) -> DataFrame:
+    """Schema events at fixed shares of a log's time: a chain of two renames, a drop, and an event that changes nothing."""
+    rows = log.sparkSession.sql("SELECT * FROM (VALUES (1, 'rename', 'shop.c1', 'shop.c9', 4), (2, 'drop', 'shop.c2', NULL, 6), (3, 'rename', 'shop.c9', 'shop.c8', 8), (4, 'createIndexes', 'shop.c3', NULL, 9)) AS t(no, op, ns, to_ns, twelfth)")
+    bounds = log.agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    t = F.col("lo") + F.expr("(hi - lo) * twelfth div 12")
+    return rows.crossJoin(F.broadcast(bounds)).select("ns", "op", "to_ns", t.alias("t"), F.lit(-1).alias("i"), F.col("no").cast("long").alias("event_id"))
 
 
 def cdc_filter_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     excluded = spark.sql("SELECT * FROM (VALUES ('shop.c1'), ('shop.c3')) AS t(ns)")
-    return changes(spark, sf_dir).join(F.broadcast(excluded), "ns", "left_anti").where(~database_of(F.col("ns")).isin("admin", "local", "config")).select("event_id", "ns")
+    return changes(spark, sf_dir).join(excluded, "ns", "left_anti").where(~database_of(F.col("ns")).isin("admin", "local", "config")).select("event_id", "ns")
 
 
 def cdc_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return translate(changes(spark, sf_dir))
+    return translate(change_log(changes(spark, sf_dir), empty=97))
 
 
 def cdc_op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +158,15 @@ def cdc_fallback_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fallback(rows, F.col("event_id") % 5 != 0, F.col("event_id") % 7 != 0).select("event_id", "op", "found", "action")
 
 
+def cdc_keys_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes to one namespace whose partition key is not known, and lookups that failed for some documents of the others."""
+    log = changes(spark, sf_dir)
+    rows = hydrate(log, table(spark, sf_dir, "customer"), "c_custkey", "c_nationkey").join(log.select("event_id", "ns"), "event_id")
+    rows = fallback(rows.withColumn("found", F.when(F.col("doc_id") % 10 != 3, F.col("found"))), F.lit(True), F.lit(True))
+    plain = rows.withColumn("action", F.when(F.col("ns") == "shop.c4", F.col("op")).otherwise(F.col("action")))
+    return when_keys_unknown(plain, F.col("ns") == "shop.c4").select("event_id", "ns", "op", "action")
+
+
 def cdc_key_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replacements whose new partition key differs from the one in the target become a delete and an insert. Keys compare as text."""
     kept = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), (F.col("c_nationkey") % 4).cast("long").alias("old_key"))
@@ -204,7 +185,7 @@ def cdc_ddl_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = translate(changes(spark, sf_dir)).withColumn("sets", F.when((F.col("action") == "update") & (F.col("event_id") % 11 == 0), "").otherwise(F.col("sets")))
+    rows = translate(change_log(changes(spark, sf_dir), empty=97)).withColumn("sets", F.when((F.col("action") == "update") & (F.col("event_id") % 11 == 0), "").otherwise(F.col("sets")))
     return quarantine(rows).select("event_id", "doc_id", "action", "status")
 
 
@@ -242,18 +223,26 @@ def dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.crossJoin(F.broadcast(applied)).where("t > applied_t").groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
 
 
-QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
+QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
 _C = "WITH " + CHANGES
 FOLD = _C + """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
         l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op, count(*) AS n_changes,
         arg_max_null(CASE WHEN event_type = 'click' THEN NULL ELSE value END, CASE WHEN op IN ('insert', 'replace', 'update') THEN seq END) AS value, arg_max_null(props, CASE WHEN op IN ('insert', 'replace') OR event_type = 'click' THEN seq END) AS props FROM l GROUP BY doc_id)
         SELECT doc_id, value, props, n_changes FROM k WHERE base_op <> 'delete'"""
+REPLAY = _C + """, g AS (SELECT min(t) AS lo, max(t) - min(t) AS w FROM changes), m AS (SELECT event_id, doc_id, t, i, value, props, op, event_type, CASE WHEN op IN ('insert', 'replace') OR (op = 'update' AND (event_id % 97 = 0 OR event_id % 89 = 0)) THEN 'base' WHEN op = 'delete' THEN 'delete' ELSE 'patch' END AS kind,
+        CASE WHEN ns = 'shop.c1' AND t < lo + w * 4 // 12 THEN 'shop.c9' ELSE ns END AS ns, ns = 'shop.c2' AND t < lo + w * 6 // 12 AS gone FROM changes, g),
+        n AS (SELECT m.* EXCLUDE (ns, gone), CASE WHEN ns = 'shop.c9' AND t < lo + w * 8 // 12 THEN 'shop.c8' ELSE ns END AS ns FROM m, g WHERE NOT gone),
+        o AS (SELECT *, row_number() OVER (PARTITION BY ns, doc_id ORDER BY t, i, event_id) AS seq FROM n), b AS (SELECT *, max(CASE WHEN kind <> 'patch' THEN seq END) OVER (PARTITION BY ns, doc_id) AS base FROM o),
+        k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN kind END) AS base_kind, count(*) AS n_changes, arg_max_null(CASE WHEN kind = 'patch' AND event_type = 'click' THEN NULL ELSE value END, CASE WHEN kind <> 'delete' THEN seq END) AS value,
+        arg_max_null(props, CASE WHEN kind = 'base' OR (kind = 'patch' AND event_type = 'click') THEN seq END) AS props FROM b WHERE base IS NOT NULL AND seq >= base GROUP BY ns, doc_id)
+        SELECT ns, doc_id, value, props, n_changes FROM k WHERE base_kind = 'base'"""
 _TRANSLATE = """w AS (SELECT event_id, doc_id, CASE WHEN op IN ('insert', 'replace') THEN 'replace' WHEN op = 'delete' THEN 'delete' WHEN event_id % 97 = 0 THEN 'replace' ELSE 'update' END AS action,
         CASE WHEN op = 'delete' THEN '' WHEN op IN ('insert', 'replace') OR event_id % 97 = 0 THEN 'value,props' WHEN event_type = 'view' THEN 'value' ELSE 'props' END AS sets, CASE WHEN event_type = 'click' AND event_id % 97 <> 0 THEN 'value' ELSE '' END AS unsets FROM changes)"""
 _HYDRATE = """h AS (SELECT event_id, doc_id, op, c_custkey IS NOT NULL AS found, c_nationkey AS part_key FROM changes LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON doc_id = c_custkey WHERE op IN ('update', 'replace', 'delete'))"""
 _FNV = "(list_reduce(list_concat([2166136261::BIGINT], list_transform(range(0, strlen(doc_id::VARCHAR)), lambda x: ('0x' || substr(hex(encode(doc_id::VARCHAR)), (2 * x + 1)::INT, 2))::INT::BIGINT)), lambda h, b: (xor(h, b) * 16777619) & 4294967295) % 4)::INTEGER"
 SQL = {
     "cdc_apply_final_state": FOLD,
+    "cdc_replay": REPLAY,
     "cdc_filter_excluded": _C + " SELECT event_id, ns FROM changes WHERE ns NOT IN ('shop.c1', 'shop.c3')",
     "cdc_translate": _C + f", {_TRANSLATE} SELECT event_id, doc_id, action, action = 'replace' AS upsert, sets, unsets FROM w",
     "cdc_op_counts": _C + " SELECT ns, op, count(*) AS n FROM changes GROUP BY ns, op",
@@ -263,6 +252,8 @@ SQL = {
         SELECT event_id, 1::INTEGER AS part, CASE WHEN split THEN 'delete' ELSE op END AS action, old_key AS part_key, split FROM s UNION ALL SELECT event_id, 2::INTEGER, 'insert', new_key, split FROM s WHERE split""",
     "cdc_hydrate": _C + f", {_HYDRATE} SELECT * FROM h",
     "cdc_fallback_plan": _C + f", {_HYDRATE} SELECT event_id, op, found, CASE WHEN found THEN op || '_one' WHEN op = 'delete' THEN 'delete_many' WHEN op = 'update' AND event_id % 5 <> 0 THEN 'update_many' WHEN op = 'replace' AND event_id % 7 <> 0 THEN 'insert' ELSE 'skip' END AS action FROM h",
+    "cdc_keys_unknown": _C + """ SELECT event_id, ns, op, CASE WHEN ns = 'shop.c4' THEN CASE WHEN op IN ('delete', 'update') THEN op || '_many' ELSE op END WHEN doc_id % 10 = 3 THEN op WHEN c_custkey IS NOT NULL THEN op || '_one'
+        WHEN op = 'delete' THEN 'delete_many' WHEN op = 'update' THEN 'update_many' ELSE 'insert' END AS action FROM changes LEFT JOIN customer ON doc_id = c_custkey WHERE op IN ('update', 'replace', 'delete')""",
     "cdc_key_change": _C + """, s AS (SELECT event_id, (c_nationkey % 4)::BIGINT AS old_key, floor(value)::BIGINT % 4 AS new_key FROM changes JOIN customer ON doc_id = c_custkey WHERE op = 'replace')
         SELECT event_id, 1::INTEGER AS part, CASE WHEN old_key <> new_key THEN 'delete' ELSE 'replace' END AS action, old_key AS part_key, old_key <> new_key AS split FROM s UNION ALL SELECT event_id, 2::INTEGER, 'insert', new_key, true FROM s WHERE old_key <> new_key""",
     "strip_shard_keys": cte("updates", "shard_fields") + """, k AS (SELECT * FROM updates u WHERE NOT EXISTS (SELECT 1 FROM shard_fields s WHERE u.field = s.field OR starts_with(u.field, s.field || '.')))

@@ -15,9 +15,12 @@ HOT_SHARE = 1 / 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session, whose executors see the driver's disk, may
+    leave it unset."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = os.path.join(tempfile.gettempdir(), f"tidemark-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/tidemark"
@@ -32,10 +35,46 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+class Folder:
+    """Small files and subfolders of a folder in any store that Spark can write to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._spark, self.path = spark, path
+        self._fs = self._path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def names(self) -> list[str]:
+        """What lies in the folder; nothing where it does not exist."""
+        top = self._path(self.path)
+        return [f.getPath().getName() for f in self._fs.listStatus(top)] if self._fs.exists(top) else []
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._path(f"{self.path}/{name}"))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str) -> None:
+        """The file appears whole or not at all: it is written under another name first."""
+        spare, final = self._path(f"{self.path}/.{name}-{uuid.uuid4().hex}"), self._path(f"{self.path}/{name}")
+        stream = self._fs.create(spare, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not self._fs.rename(spare, final):
+            self._fs.delete(final, False)
+            self._fs.rename(spare, final)
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(f"{self.path}/{name}"), True)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table that :func:`written` gave and that nothing reads any more."""
-    hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
-    hadoop.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    top, name = table._written_to.rsplit("/", 1)
+    Folder(table.sparkSession, top).delete(name)
 
 
 def hot_keys(counts: DataFrame, key: str, total: int, share: float = HOT_SHARE) -> DataFrame:

@@ -1,57 +1,107 @@
 """A change log applied as a stream.
 
-Each micro-batch is folded into a versioned table in the shared folder. A version holds the compacted log: the changes that the state still
-depends on (see :func:`tidemark.operators.cdc.compact`), so the result does not depend on how the log was cut, and a batch that is run
-again writes the same version again. Reading the state is folding the last version.
+The state is the compacted log (see :func:`tidemark.operators.replay.compact`), dealt by document id over buckets. A micro-batch rewrites the
+buckets it touches into a new version's folder and then commits the version by one small file, which names for each bucket the
+version that holds it. A start finds the last committed version on disk, so a job that is started again goes on where it was; a folder without
+its commit file is a lost run and is written again. Buckets of versions that nothing refers to any more are deleted.
+Reading the state is folding the buckets.
+
+Schema events act on what has arrived in their own or earlier batches.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.cdc import FOLD, compact, fold
-from tidemark.shared import shared_dir
+from tidemark.frames import change_log, fields_of
+from tidemark.operators.cdc import FOLD
+from tidemark.operators.replay import SCHEMA_OPS, compact, fold
+from tidemark.shared import Folder, shared_dir
+
+BUCKETS = 64
 
 
 def stream_changes(events: DataFrame) -> DataFrame:
     """The change log of a stream of events. Within a second changes follow in the order of their ids, which needs no look at other rows."""
     op = F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "purchase", "replace").when(F.col("event_type") == "error", "delete").otherwise("update")
-    return events.select("event_id", F.col("user_id").alias("doc_id"), op.alias("op"), "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"), F.col("event_id").alias("i"), "value", "props")
+    ns = F.concat(F.lit("shop.c"), (F.col("user_id") % 5).cast("string"))
+    rows = events.select("event_id", F.col("user_id").alias("doc_id"), op.alias("op"), "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"), F.col("event_id").alias("i"), "value", "props", ns.alias("ns"))
+    return change_log(rows)
 
 
 class StateTable:
-    """Versions of a compacted log; ``version`` is the last whole one."""
+    """A compacted log in buckets; ``version`` is the last whole one, also after a restart on the same path."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path, None
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+        self.commits = Folder(spark, f"{path}/commits")
+        found = sorted(int(name) for name in self.commits.names() if name.isdigit())
+        self.version = found[-1] if found else None
 
-    def read(self) -> DataFrame | None:
-        return None if self.version is None else self.spark.read.parquet(f"{self.path}/v{self.version}")
+    def _where(self) -> dict[int, int]:
+        """The version that holds each bucket."""
+        return {} if self.version is None else {int(b): v for b, v in json.loads(self.commits.read(str(self.version))).items()}
+
+    def read(self, buckets: set[int] | None = None) -> DataFrame | None:
+        """The log in all or some buckets; None where there is nothing yet."""
+        paths = [f"{self.path}/v{v}/bucket={b}" for b, v in sorted(self._where().items()) if buckets is None or b in buckets]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         if self.version is not None and batch_id <= self.version:
             return  # a batch that was already applied
-        state = self.read()
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
+        everywhere = not batch.where(F.col("op").isin(*SCHEMA_OPS)).isEmpty()
+        touched = set(range(self.buckets)) if everywhere else {r[0] for r in batch.select(bucket).distinct().collect()}  # BUCKETS numbers at most
+        where, state = self._where(), self.read(touched)
         log = batch if state is None else state.unionByName(batch)
-        compact(log).write.mode("overwrite").parquet(f"{self.path}/v{batch_id}")
+        folder = f"{self.path}/v{batch_id}"
+        compact(log).withColumn("bucket", bucket).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        made = {int(name.split("=")[1]) for name in Folder(self.spark, folder).names() if name.startswith("bucket=")}
+        where = {b: v for b, v in where.items() if b not in touched} | dict.fromkeys(made, batch_id)
+        self.commits.write(str(batch_id), json.dumps(where))
         self.version = batch_id
-
-
-def apply_stream(log: DataFrame, state: StateTable, checkpoint: str) -> None:
-    """Applies all that is available of a streaming change log; offsets are kept in ``checkpoint``."""
+        self._forget(set(where.values()))
+
+    def _forget(self, used: set[int]) -> None:
+        """Deletes versions that the last two commits do not refer to."""
+        found = sorted(int(name) for name in self.commits.names() if name.isdigit())
+        used = used | {v for n in found[-2:] for v in json.loads(self.commits.read(str(n))).values()}
+        for n in found[:-2]:
+            self.commits.delete(str(n))
+        top = Folder(self.spark, self.path)
+        for name in top.names():
+            if name.startswith("v") and name[1:].isdigit() and int(name[1:]) < self.version and int(name[1:]) not in used:
+                top.delete(name)
+
+
+def apply_stream(log: DataFrame, state: StateTable, checkpoint: str, start: tuple[int, int] | None = None) -> None:
+    """Applies all that is available of a streaming change log; offsets are kept in ``checkpoint``. With ``start`` (t, i), changes before that
+    place are passed over."""
+    if start is not None:
+        log = log.where((F.col("t") > start[0]) | ((F.col("t") == start[0]) & (F.col("i") >= start[1])))
     query = log.writeStream.foreachBatch(lambda df, n: state.apply(df, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def documents(state: StateTable) -> DataFrame:
+    """The documents of a state; none where nothing was applied."""
+    log = state.read()
+    if log is None:
+        return state.spark.createDataFrame([], "ns string, doc_id long, doc map<string,string>, n_changes long")
+    return fold(log)
+
+
 def cdc_stream_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/events*.parquet")
     top = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    state = StateTable(spark, f"{top}/state")
+    state = StateTable(spark, f"{top}/state", 8)
     apply_stream(stream_changes(events), state, f"{top}/offsets")
-    return fold(state.read()).drop("n_changes")
+    return fields_of(documents(state)).select("doc_id", "value", "props")
 
 
 def event_counts_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
