@@ -21,6 +21,9 @@ FRAMES = {
     "requests": ("no, kind, txt", """
         (1, 'string', 'ObjectId(''507f1f77bcf86cd799439011'')'), (2, 'string', 'objectid("507F1F77BCF86CD799439011")'), (3, 'string', ' 507f1f77bcf86cd799439012 '), (4, 'string', 'UUID("6ba7b810-9dad-11d1-80b4-00c04fd430c8")'),
         (5, 'string', '6BA7B810-9DAD-11D1-80B4-00C04FD430C8'), (6, 'string', 'plain'), (7, 'number', '12.0'), (8, 'number', '12.5'), (9, 'number', '-3'), (10, 'string', ' padded ')"""),
+    "request_keys": ("req, place, field, no", "(1, 0, '_id', 1), (1, 1, '_id', 6), (2, 0, 'region', 6), (2, 0, '_id', 4), (2, 1, 'region', 10), (2, 1, '_id', 7), (3, 0, '_id', 9)"),
+    "touched": ("ns, doc_id", "('shop.orders', 'k1'), ('crm.people', 'k9'), ('crm.people', 'k4')"),
+    "serial": ("no, attempts, lone, message", "(1, 0, true, 'E11000 duplicate key error'), (2, 0, false, 'E11000 duplicate key error'), (3, 1, true, 'i/o timeout'), (4, 3, true, 'i/o timeout'), (5, 0, true, 'update document must have at least one element'), (6, 0, true, NULL), (7, 0, true, 'Authentication failed')"),
     "errors": ("no, message", """
         (1, 'Authentication failed for user'), (2, 'server said: Too Many Cursors'), (3, 'E11000 duplicate key error'), (4, 'connection reset by peer'), (5, 'the shard key is missing'), (6, 'Failed to target the write'), (7, 'SASL conversation error'),
         (8, 'i/o timeout'), (9, 'disk full'), (10, 'update document must have at least one element'), (11, 'Mechanism mismatch'), (12, 'unauthorized'), (13, 'incomplete read of message'), (14, 'cursor not found'), (15, 'network is unreachable'), (16, 'context canceled')"""),

@@ -113,6 +113,14 @@ def coerce_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, "requests").select("no", kind.alias("type"), value.alias("value"))
 
 
+def request_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter of each key of a request: its id alone, or all parts of a composite key, with coerced values, by name."""
+    kind, value = coerce(F.col("kind"), F.col("txt"))
+    values = frame(spark, "requests").select("no", kind.alias("type"), value.alias("value"))
+    parts = frame(spark, "request_keys").join(values, "no").select("req", "place", F.concat_ws("", "field", F.lit("="), "type", F.lit(":"), "value").alias("part"))
+    return parts.groupBy("req", "place").agg(F.array_join(F.array_sort(F.collect_list("part")), " and ").alias("filter"))
+
+
 def parse_shard_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, "rules").select("rule_no", F.posexplode(key_parts(F.col("shard_key"))).alias("place", "part"))
     return rows.select("rule_no", "place", "part.field", "part.direction")
@@ -142,7 +150,7 @@ def write_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "namespace_split": namespace_split, "canonical_id": canonical_ids, "route_hash": route_hash, "coerce_ids": coerce_ids, "parse_shard_key": parse_shard_key,
+    "namespace_split": namespace_split, "canonical_id": canonical_ids, "route_hash": route_hash, "coerce_ids": coerce_ids, "request_filters": request_filters, "parse_shard_key": parse_shard_key,
     "classify_errors": classify_errors, "human_bytes": human_sizes, "nested_lookup": nested_lookup, "write_filter": write_filter,
 }
 _any = lambda text, parts: "(" + " OR ".join(f"contains({text}, '{p}')" for p in parts) + ")"
@@ -163,3 +171,6 @@ SQL = {
     "nested_lookup": "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, json_extract(props, '$.k') IS NOT NULL AS found, json_extract(props, '$.k.deep') IS NOT NULL AS found_deep FROM events",
     "write_filter": "WITH " + CHANGES + " SELECT event_id, coalesce(CASE WHEN op IN ('insert', 'replace') THEN floor(value)::BIGINT END, doc_id % 4) AS shard_value, doc_id FROM changes",
 }
+_COERCED = SQL["coerce_ids"].removeprefix(cte("requests"))
+SQL["request_filters"] = cte("requests", "request_keys") + f""", c AS ({_COERCED}) SELECT req, place, string_agg(part, ' and ' ORDER BY part) AS filter
+        FROM (SELECT req, place, field || '=' || type || ':' || value AS part FROM request_keys JOIN c USING (no)) GROUP BY req, place"""

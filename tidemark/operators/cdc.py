@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.frames import CHANGES, change_log, changes, cte, fields_of, frame, table
-from tidemark.functions.keys import collection_of, database_of, worker_of
+from tidemark.functions.keys import collection_of, database_of, error_class, worker_of
 from tidemark.operators import replay
 from tidemark.shared import numbered
 
@@ -95,6 +95,15 @@ def quarantine(writes_: DataFrame) -> DataFrame:
     return writes_.withColumn("status", F.when(bad, "cdc_write_failed").otherwise("applied"))
 
 
+def one_by_one(writes_: DataFrame, max_retries: int = 3) -> DataFrame:
+    """What becomes of each write (attempts, lone, message of its error or null) of a batch that is applied one write at a time: structural
+    errors are put aside, a lone duplicate key counts as done without a write, what may pass is tried again a few times."""
+    kind = error_class(F.col("message"))
+    again = kind.isin("retryable", "other") | ((kind == "duplicate") & ~F.col("lone"))
+    outcome = F.when(F.col("message").isNull(), "applied").when((kind == "duplicate") & F.col("lone"), "applied_without_write").when(kind == "unrecoverable", "cdc_write_failed")
+    return writes_.withColumn("outcome", outcome.when(kind == "fatal", "stop").when(again & (F.col("attempts") < max_retries), "retry").otherwise("stop"))
+
+
 def safe_place(workers: DataFrame) -> DataFrame:
     """The place up to which everything is applied: with anything pending the least of the workers' last places, else the last received."""
     busy = F.max("pending") > 0
@@ -189,6 +198,10 @@ def quarantine_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine(rows).select("event_id", "doc_id", "action", "status")
 
 
+def serial_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_by_one(frame(spark, "serial")).select("no", "outcome")
+
+
 def validation_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keys to check after a write: those of deletions, or all; the others lose their dirty mark."""
     log = changes(spark, sf_dir)
@@ -223,7 +236,7 @@ def dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.crossJoin(F.broadcast(applied)).where("t > applied_t").groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
 
 
-QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
+QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
 _C = "WITH " + CHANGES
 FOLD = _C + """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
         l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op, count(*) AS n_changes,
@@ -261,6 +274,7 @@ SQL = {
     "cdc_ddl_effect": cte("ddl_rows") + """, a AS (SELECT *, CASE WHEN seq < 3 AND ns = 'a.x' THEN 'a.y2' ELSE ns END AS n1 FROM ddl_rows), b AS (SELECT * FROM a WHERE NOT (seq < 5 AND n1 = 'a.y')), c AS (SELECT * FROM b WHERE NOT (seq < 9 AND starts_with(n1, 'b.'))),
         d AS (SELECT CASE WHEN seq < 11 AND n1 = 'a.y2' THEN 'd.e' ELSE n1 END AS ns, doc_key, val FROM c) SELECT ns, split_part(ns, '.', 2) AS coll, doc_key, val FROM d""",
     "quarantine_invalid": _C + f", {_TRANSLATE}, q AS (SELECT *, CASE WHEN action = 'update' AND event_id % 11 = 0 THEN '' ELSE sets END AS s2 FROM w) SELECT event_id, doc_id, action, CASE WHEN action = 'update' AND s2 = '' AND unsets = '' THEN 'cdc_write_failed' ELSE 'applied' END AS status FROM q",
+    "serial_fallback": "SELECT * FROM (VALUES (1, 'applied_without_write'), (2, 'retry'), (3, 'retry'), (4, 'stop'), (5, 'cdc_write_failed'), (6, 'applied'), (7, 'stop')) AS t(no, outcome)",
     "validation_scope": _C + " SELECT ns, doc_id, bool_or(op = 'delete') AS checked, count(*) AS checked_if_full FROM changes GROUP BY ns, doc_id",
     "safe_checkpoint": cte("workers") + """, m AS (SELECT grp, CASE WHEN max(pending) OVER (PARTITION BY grp) > 0 THEN last_t ELSE received_t END AS t, CASE WHEN max(pending) OVER (PARTITION BY grp) > 0 THEN last_i ELSE received_i END AS i FROM workers)
         SELECT grp, t, i FROM m QUALIFY row_number() OVER (PARTITION BY grp ORDER BY t, i) = 1""",

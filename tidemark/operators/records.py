@@ -33,7 +33,7 @@ def defer_hot(keys: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
 
 def save_checkpoints(old: DataFrame, new: DataFrame, final: bool) -> DataFrame:
     """Checkpoints (id, t, i) after saving ``new``: ids are replaced; once the global one is final, the anchor goes."""
-    kept = old.join(F.broadcast(new.select("id")), "id", "left_anti").unionByName(new)
+    kept = old.join(new.select("id"), "id", "left_anti").unionByName(new)
     return kept.where("id <> 'migration_anchor_timestamp'") if final else kept
 
 

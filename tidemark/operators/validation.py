@@ -36,6 +36,29 @@ def compare(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
     return both.select(F.coalesce("s_key", F.col(key)).alias(key), outcome.alias("outcome"), F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
+def compare_keys(keys: DataFrame, src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
+    """(key, outcome) of the keys asked for: as :func:`compare` finds them, valid where neither side has the key; null keys are errors."""
+    found = compare(src, tgt, key).select(F.col(key).alias("_key"), "outcome")
+    asked = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
+    outcome = F.when(F.col(key).isNull(), "error").otherwise(F.coalesce("outcome", F.lit("valid")))
+    return asked.join(found, F.col(key) == F.col("_key"), "left").select(key, outcome.alias("outcome"))
+
+
+def untouched(failures: DataFrame, changed: DataFrame) -> DataFrame:
+    """Failures whose document no change has touched since; the others are looked at again by the change itself."""
+    return failures.join(changed.select("ns", "doc_id").distinct(), ["ns", "doc_id"], "left_anti")
+
+
+def erased(*tables: DataFrame) -> tuple[DataFrame, ...]:
+    """The validation tables after a reset that erases."""
+    return tuple(t.limit(0) for t in tables)
+
+
+def any_of(rows: DataFrame, most: int = 1) -> DataFrame:
+    """Whether there are rows, by a count that stops at ``most``."""
+    return rows.limit(most).agg(F.count(F.lit(1)).alias("n"))
+
+
 def repair(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
     """The target after repair: valid rows stay, orphans go, all other keys get the source's row."""
     bad = compare(src, tgt, key).where("outcome <> 'valid'").select(key, "outcome")
@@ -109,6 +132,21 @@ def validate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare(*_pair(spark, sf_dir), "o_orderkey").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def validate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys from outside: some on one side, some on both, some on none, and a null one."""
+    keys = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") + 3).alias("k")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    return compare_keys(keys, *_pair(spark, sf_dir), "o_orderkey")
+
+
+def failures_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return untouched(_failures(spark), frame(spark, "touched")).select("ns", "doc_id", "status")
+
+
+def limited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether there is any eligible failure, and up to ten orders."""
+    return any_of(eligible(_failures(spark))).withColumn("what", F.lit("eligible")).union(any_of(source(spark, sf_dir), 10).withColumn("what", F.lit("orders")))
+
+
 def missing_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _pair(spark, sf_dir)
     return s.select("o_orderkey").join(t.select("o_orderkey"), "o_orderkey", "left_anti")
@@ -188,7 +226,7 @@ def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(frame(spark, "stats"), _failures(spark))
 
 
-QUERIES = {f.__name__: f for f in (validate_diff, validate_outcomes, missing_docs, orphan_docs, ghost_docs, field_mismatch_detail, repair_target, validate_scan_source, validate_scan_orphans, failures_fold, eligible_failures, failures_by_ns, retry_chunks, sweep_decision, validation_stats_rollup, validation_reconcile, validation_totals)}
+QUERIES = {f.__name__: f for f in (validate_diff, validate_outcomes, missing_docs, orphan_docs, ghost_docs, field_mismatch_detail, repair_target, validate_scan_source, validate_scan_orphans, failures_fold, eligible_failures, failures_by_ns, retry_chunks, sweep_decision, validation_stats_rollup, validation_reconcile, validation_totals, validate_keys, failures_untouched, limited_counts)}
 _COMPARE = f"""{TARGET}, g AS (SELECT o_orderkey, count(*) AS copies, any_value(o_custkey) AS c, any_value(o_orderstatus) AS s, any_value(o_totalprice) AS p, any_value(o_orderdate) AS d, any_value(o_orderpriority) AS r FROM tgt GROUP BY o_orderkey),
         v AS (SELECT coalesce(o.o_orderkey, g.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'orphan' WHEN g.o_orderkey IS NULL THEN 'missing' WHEN copies > 1 THEN 'ghost'
         WHEN (o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority) IS NOT DISTINCT FROM (c, s, p, d, r) THEN 'valid' ELSE 'mismatch' END AS outcome, coalesce(copies, 0) AS copies FROM orders o FULL JOIN g ON o.o_orderkey = g.o_orderkey)"""
@@ -222,3 +260,8 @@ SQL = {
     "validation_totals": cte("outcome_ops", "stats") + f""", {_FAILURES}, t AS (SELECT coalesce(sum(total_checked), 0)::BIGINT AS total_checked, coalesce(sum(mismatch_found), 0)::BIGINT AS mismatch_found, coalesce(sum(mismatch_fixed), 0)::BIGINT AS mismatch_fixed FROM stats),
         p AS (SELECT count(*) AS pending FROM failures WHERE status NOT IN ('valid', 'manual_validation_required')) SELECT *, round(CASE WHEN total_checked > 0 THEN (total_checked - pending) / total_checked::DOUBLE * 100 ELSE 0.0 END, 6) AS sync_percent FROM t, p""",
 }
+SQL |= {
+    "validate_keys": _V + " SELECT k AS o_orderkey, CASE WHEN k IS NULL THEN 'error' ELSE coalesce(outcome, 'valid') END AS outcome FROM (SELECT DISTINCT l_orderkey + 3 AS k FROM lineitem UNION ALL SELECT NULL) LEFT JOIN v ON k = o_orderkey",
+    "failures_untouched": cte("outcome_ops", "touched") + f", {_FAILURES} SELECT ns, doc_id, status FROM failures f WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.ns = f.ns AND t.doc_id = f.doc_id)",
+    "limited_counts": cte("outcome_ops") + f", {_FAILURES} SELECT least(count(*), 1) AS n, 'eligible' AS what FROM failures WHERE status <> 'manual_validation_required' UNION ALL SELECT least(count(*), 10), 'orders' FROM orders",
+}

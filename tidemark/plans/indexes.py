@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.frames import EXCLUDED_DBS, cte, frame
 from tidemark.functions.keys import key_parts
+from tidemark.sources.discovery import shard_keys
 
 
 def copied_indexes(indexes: DataFrame) -> DataFrame:
@@ -22,6 +23,22 @@ def missing_indexes(src: DataFrame, tgt: DataFrame, finalize: bool) -> DataFrame
     return wanted.withColumn("at", F.coalesce("ttl", F.lit(-1))).join(there, ["ns", "key", "at"], "left_anti").drop("at")
 
 
+def index_phases(indexes: DataFrame, shard_keys: DataFrame, preload: bool) -> DataFrame:
+    """When each copied index is built: before the copy with ``preload``, else after it; the index on the fields of the partition key is
+    always there first. Indexes that expire documents wait for the end."""
+    fields = lambda c: F.array_join(F.transform(key_parts(F.col(c)), lambda p: p["field"]), ",")
+    keys = shard_keys.select("ns", fields("shard_key").alias("_key"))
+    rows = copied_indexes(indexes).join(keys, "ns", "left").withColumn("_own", fields("key").eqNullSafe(F.col("_key")))
+    phase = F.when(F.col("_own"), "before").when(F.col("ttl").isNotNull(), "end").otherwise("before" if preload else "after")
+    return rows.select("ns", "name", phase.alias("phase"))
+
+
+def index_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = shard_keys(frame(spark, "rules").select("ns").distinct(), frame(spark, "rules"), frame(spark, "sharded"))
+    both = [index_phases(frame(spark, "indexes_src"), keys, flag).withColumn("preload", F.lit(flag)) for flag in (True, False)]
+    return both[0].union(both[1])
+
+
 def index_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copied_indexes(frame(spark, "indexes_src")).select("ns", "name", "key")
 
@@ -51,11 +68,12 @@ def distinct_dbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, "catalog").select("db").distinct()
 
 
-QUERIES = {f.__name__: f for f in (index_filter, index_diff, index_progress, destroy_plan, distinct_dbs)}
+QUERIES = {f.__name__: f for f in (index_filter, index_timing, index_diff, index_progress, destroy_plan, distinct_dbs)}
 _KEPT = "k AS (SELECT * FROM indexes_src WHERE name <> '_id_' AND length(key) > 0 AND NOT partial AND NOT contains(key, ':text'))"
 _LEFT = "NOT EXISTS (SELECT 1 FROM indexes_tgt t WHERE t.ns = k.ns AND t.key = k.key AND coalesce(t.ttl, -1) = coalesce(k.ttl, -1))"
 SQL = {
     "index_filter": cte("indexes_src") + f", {_KEPT} SELECT ns, name, key FROM k",
+    "index_timing": cte("indexes_src") + f", {_KEPT} SELECT ns, name, CASE WHEN name = 'by_cust' THEN 'before' WHEN ttl IS NOT NULL THEN 'end' WHEN p THEN 'before' ELSE 'after' END AS phase, p AS preload FROM k, (VALUES (true), (false)) AS f(p)",
     "index_diff": cte("indexes_src", "indexes_tgt") + f", {_KEPT} SELECT ns, name, key, is_unique, ttl, false AS finalize FROM k WHERE ttl IS NULL AND {_LEFT} UNION ALL SELECT ns, name, key, is_unique, ttl, true FROM k WHERE {_LEFT}",
     "index_progress": cte("indexes_src") + f", {_KEPT}, g AS (SELECT ns, count(*) AS n_indexes FROM k GROUP BY ns) SELECT ns, n_indexes, row_number() OVER (ORDER BY ns)::INTEGER AS place, (SELECT count(*) FROM g) AS total FROM g",
     "destroy_plan": cte("catalog", "target_dbs") + "SELECT db, 1 AS step FROM target_dbs WHERE db NOT IN ('admin', 'local', 'config') AND db IN (SELECT db FROM catalog) UNION ALL SELECT db, 2 FROM target_dbs WHERE db = 'meta'",

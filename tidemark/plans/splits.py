@@ -85,6 +85,27 @@ def initial_chunks(rules: DataFrame, shards: int) -> DataFrame:
     return rules.where(first_hashed).select("rule_no", F.when(F.col("strategy") == "hashed_manual", 1).otherwise(told).cast("long").alias("n"))
 
 
+def dispatch(rules: DataFrame, sharded: DataFrame) -> DataFrame:
+    """(rule_no, ns, action): the first rule of each namespace gives its strategy, later ones are passed over, and so are namespaces that are
+    partitioned already."""
+    first = rules.groupBy("ns").agg(F.min("rule_no").alias("_first"))
+    live = sharded.where(~F.col("dropped")).select("ns", F.lit(True).alias("_live")).distinct()
+    rows = rules.join(first, "ns").join(live, "ns", "left")
+    action = F.when(F.col("rule_no") > F.col("_first"), "skip: later rule").when(F.coalesce("_live", F.lit(False)), "skip: partitioned").otherwise(F.col("strategy"))
+    return rows.select("rule_no", "ns", action.alias("action"))
+
+
+def bounds(shard_key: str, strategy: str, parts: int, low: int, high: int, uuid_field: str = "", oid_field: str = "") -> list[str]:
+    """The bounds that a strategy sets for a key of several fields: its first field takes the point, all others their least value."""
+    fields = [p.split(":")[0].strip() for p in shard_key.split(",")]
+    text = lambda point: ", ".join(f"{f}: {point if i == 0 else 'MinKey'}" for i, f in enumerate(fields))
+    if strategy == "composite_uuid_oid":
+        own = lambda f, u, o: u if f == uuid_field else o if f == oid_field else None
+        return [", ".join(f"{f}: {own(f, u, o) or 'MinKey'}" for f in fields) for u, o in composite_points(uuid_field, oid_field)]
+    made = {"none": lambda: [], "hex": lambda: list(DIGITS), "range_manual": lambda: split_range(low, high, parts, 1), "hashed_manual": lambda: split_ring(parts)}
+    return [text(point) for point in made[strategy]()]
+
+
 def _points(spark: SparkSession, rows: list, schema: str = "place int, point string") -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
@@ -140,6 +161,16 @@ def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", chunk_of(F.col("o_orderkey"), split_range(low, high, 8, 1)).alias("chunk"))
 
 
+def split_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dispatch(frame(spark, "rules"), frame(spark, "sharded"))
+
+
+def split_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounds that each rule would set, over keys from 0 to 16000 in four parts where it names no number."""
+    rows = [(r["rule_no"], i, b) for r in frame(spark, "rules").collect() for i, b in enumerate(bounds(r["shard_key"], r["strategy"], r["chunk_count"] or 4, 0, 16_000, r["uuid_field"], r["oid_field"]), 1)]
+    return spark.createDataFrame(rows, "rule_no int, place int, bound string")
+
+
 def chunk_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assigned(spark, sf_dir).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
@@ -156,12 +187,12 @@ def split_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points still to be made: each once, and none that is a boundary already."""
     wanted = _points(spark, [(i, p) for i, p in enumerate([0, 1500, 3000, 4500, 6000, 6000, 7500], 1)], "place int, point long")
     there = frame(spark, "chunks").where("ns = 'shop.orders'").select(F.col("min_key").cast("long").alias("point"))
-    return wanted.select("point").dropDuplicates().join(F.broadcast(there), "point", "left_anti")
+    return wanted.select("point").dropDuplicates().join(there, "point", "left_anti")
 
 
 QUERIES = {
     "target_chunk_count": target_chunk_count, "split_int64": split_int64, "split_date": split_date_query, "split_uuid": split_uuid, "split_objectid": split_objectid, "split_string": split_string, "split_hash_ring": split_hash_ring,
-    "split_hex": split_hex, "split_composite": split_composite, "initial_chunks": initial_chunks_query, "chunk_assignment": _assigned, "chunk_skew": chunk_skew, "chunk_distribution": _placed, "chunk_moves": chunk_moves, "split_idempotent": split_idempotent,
+    "split_hex": split_hex, "split_composite": split_composite, "initial_chunks": initial_chunks_query, "chunk_assignment": _assigned, "chunk_skew": chunk_skew, "chunk_distribution": _placed, "chunk_moves": chunk_moves, "split_idempotent": split_idempotent, "split_dispatch": split_dispatch, "split_bounds": split_bounds,
 }
 _ASSIGN = "b AS (SELECT min(o_orderkey) AS lo, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 8) AS step FROM orders), a AS (SELECT o_orderkey, least(7, greatest(0, (o_orderkey - lo) // step))::INTEGER AS chunk FROM orders, b)"
 _PLACE = "s AS (SELECT list(id ORDER BY id) AS names FROM shards WHERE contains(host, '/')), n AS (SELECT *, (row_number() OVER (PARTITION BY ns ORDER BY min_key) - 1)::INTEGER AS chunk FROM chunks), p AS (SELECT ns, chunk, min_key, shard, jumbo, names[chunk % len(names) + 1] AS wanted, NOT jumbo AND shard <> names[chunk % len(names) + 1] AS move FROM n, s)"
@@ -169,6 +200,11 @@ SQL = {
     "target_chunk_count": cte("sizing") + "SELECT no, greatest(2, CASE WHEN explicit_chunks > 0 THEN explicit_chunks WHEN size // 134217728 > greatest(shards, 2) THEN size // 134217728 ELSE 2 * greatest(shards, 2) END)::BIGINT AS chunks FROM sizing",
     "split_int64": "WITH b AS (SELECT min(o_orderkey) AS lo, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 8) AS step FROM orders) SELECT i::INTEGER AS place, lo + step * i AS point FROM b, unnest(range(1, 8)) AS g(i)",
     "split_date": "WITH b AS (SELECT epoch_ms(min(o_orderdate)::DATE::TIMESTAMP) AS lo, epoch_ms(max(o_orderdate)::DATE::TIMESTAMP) AS hi FROM orders) SELECT i::INTEGER AS place, lo + greatest(1, (hi - lo) // 12) * i AS point FROM b, unnest(range(1, 12)) AS g(i)",
+    "split_dispatch": cte("rules", "sharded") + """SELECT rule_no, ns, CASE WHEN EXISTS (SELECT 1 FROM rules o WHERE o.ns = r.ns AND o.rule_no < r.rule_no) THEN 'skip: later rule' WHEN EXISTS (SELECT 1 FROM sharded s WHERE s.ns = r.ns AND NOT dropped) THEN 'skip: partitioned' ELSE strategy END AS action FROM rules r""",
+    "split_bounds": """SELECT 1 AS rule_no, i::INTEGER AS place, 'o_custkey: ' || i * 4000 || ', o_orderkey: MinKey' AS bound FROM unnest(range(1, 4)) AS g(i)
+        UNION ALL SELECT 3, i::INTEGER, '_id: ' || ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 6) * i)::VARCHAR FROM unnest(range(1, 6)) AS g(i)
+        UNION ALL SELECT 5, (i + 1)::INTEGER, 'u: MinKey, o: ' || rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') || ', k: MinKey' FROM unnest(range(0, 16)) AS g(i)
+        UNION ALL SELECT 5, (i + 16)::INTEGER, 'u: ' || rpad(printf('%02x', i), 32, '0') || ', o: MinKey, k: MinKey' FROM unnest(range(1, 256)) AS g(i)""",
     "split_uuid": "SELECT i::INTEGER AS place, lower(lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) // 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') || lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0')) AS point FROM unnest(range(1, 16)) AS g(i)",
     "split_hash_ring": "SELECT i::INTEGER AS place, ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 12) * i)::BIGINT AS point FROM unnest(range(1, 12)) AS g(i)",
     "split_hex": "SELECT (i + 1)::INTEGER AS place, substr('0123456789abcdef', i + 1, 1) AS point FROM unnest(range(0, 16)) AS g(i)",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.frames import CHANGES, EXCLUDED_DBS, changes, cte, frame, table
@@ -16,7 +16,7 @@ SMALL = 10
 def collections(catalog: DataFrame, excluded_ns: DataFrame, excluded_dbs: tuple[str, ...] = EXCLUDED_DBS) -> DataFrame:
     """The rows of ``catalog`` (db, coll, ...) that take part, with ns."""
     rows = catalog.where(~F.col("db").isin(*excluded_dbs) & ~F.col("coll").rlike(r"^system\.") & ~((F.col("db") == "local") & (F.col("coll") == "oplog.rs")))
-    return rows.withColumn("ns", namespace(F.col("db"), F.col("coll"))).join(F.broadcast(excluded_ns), "ns", "left_anti")
+    return rows.withColumn("ns", namespace(F.col("db"), F.col("coll"))).join(excluded_ns, "ns", "left_anti")
 
 
 def range_safety(ids: DataFrame) -> DataFrame:
@@ -25,6 +25,23 @@ def range_safety(ids: DataFrame) -> DataFrame:
     return rows.withColumn("safe", (F.col("n") < SMALL) | (F.col("n_types") == 1))
 
 
+def probe(ids: DataFrame, key: str, kind: Column, least: int = 1000) -> DataFrame:
+    """A bounded look at a collection's ids: types (``kind``) among the first, the last and a random ``least`` rows by key. The sample is the rows of
+    the smallest hashes, so it is the same on every run; each part is a top-k, not a sort."""
+    rows = ids.select(F.col(key).alias("key"), kind.alias("kind"))
+    ends = {"head": F.col("key").asc(), "tail": F.col("key").desc(), "sample": F.pmod(F.col("key") * 2654435761, F.lit(4294967296)).asc()}
+    parts = [rows.orderBy(order, "key").limit(least).select(F.lit(name).alias("part"), "key", "kind") for name, order in ends.items()]
+    seen = parts[0].union(parts[1]).union(parts[2])
+    out = seen.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("kind").alias("n_types"), F.min_by("kind", "key").alias("first_type"))
+    whole = seen.agg(F.countDistinct("kind").alias("types"), F.count_if(F.col("part") == "head").alias("few"))
+    return out.crossJoin(F.broadcast(whole.select(((F.col("few") < SMALL) | (F.col("types") == 1)).alias("safe"))))
+
+
+def catalog_totals(rows: DataFrame) -> DataFrame:
+    """Documents and bytes of all collections that take part."""
+    return rows.agg(F.count(F.lit(1)).alias("collections"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("size"))
+
+
 def scan_strategy(catalog: DataFrame, safety: DataFrame) -> DataFrame:
     """linear without an index on the id or with mixed ids, else range."""
     rows = catalog.join(safety.select("ns", "safe"), "ns", "left")
@@ -76,6 +93,15 @@ def scan_strategy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_strategy(rows, range_safety(_mixed(spark, sf_dir)))
 
 
+def range_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders")
+    return probe(rows, "o_orderkey", F.when(F.col("o_orderkey") % 701 == 7, "string").otherwise("long"))
+
+
+def catalog_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog_totals(collections(frame(spark, "catalog"), frame(spark, "excluded_ns")))
+
+
 def cluster_time_t0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_time(changes(spark, sf_dir))
 
@@ -90,7 +116,7 @@ def shard_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "discover_tables": discover_tables, "collection_info": collection_info, "range_safety": range_safety_query, "scan_strategy": scan_strategy_query,
+    "discover_tables": discover_tables, "collection_info": collection_info, "range_probe": range_probe, "catalog_sums": catalog_sums, "range_safety": range_safety_query, "scan_strategy": scan_strategy_query,
     "cluster_time_t0": cluster_time_t0, "stream_enabled_check": stream_enabled_check, "shard_key_lookup": shard_key_lookup,
 }
 _COLLECTIONS = """c AS (SELECT db || '.' || coll AS ns, * FROM catalog WHERE db NOT IN ('admin', 'local', 'config') AND NOT starts_with(coll, 'system.') AND db || '.' || coll NOT IN (SELECT ns FROM excluded_ns))"""
@@ -98,6 +124,9 @@ _SAFETY = """s AS (SELECT ns, count(*) AS n, count(DISTINCT id_type) AS n_types,
 SQL = {
     "discover_tables": cte("catalog", "excluded_ns") + f", {_COLLECTIONS} SELECT ns, db, coll FROM c",
     "collection_info": " UNION ALL ".join(f"SELECT '{t}' AS coll, count(*) AS n FROM {t}" for t in TABLES),
+    "catalog_sums": cte("catalog", "excluded_ns") + f", {_COLLECTIONS} SELECT count(*) AS collections, sum(n)::BIGINT AS n, sum(size)::BIGINT AS size FROM c",
+    "range_probe": """WITH r AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 701 = 7 THEN 'string' ELSE 'long' END AS kind FROM orders), s AS ((SELECT 'head' AS part, * FROM r ORDER BY key LIMIT 1000) UNION ALL (SELECT 'tail', * FROM r ORDER BY key DESC LIMIT 1000)
+        UNION ALL (SELECT 'sample', * FROM r ORDER BY (key * 2654435761) % 4294967296, key LIMIT 1000)) SELECT part, count(*) AS n, count(DISTINCT kind) AS n_types, arg_min(kind, key) AS first_type, (SELECT count(DISTINCT kind) = 1 OR count(*) FILTER (part = 'head') < 10 FROM s) AS safe FROM s GROUP BY part""",
     "range_safety": cte("mixed_ids") + f", {_SAFETY} SELECT * FROM s",
     "scan_strategy": cte("catalog", "excluded_ns", "mixed_ids") + f", {_COLLECTIONS}, {_SAFETY} SELECT c.ns, CASE WHEN has_id_index AND coalesce(safe, true) THEN 'range' ELSE 'linear' END AS strategy FROM c LEFT JOIN s ON c.ns = s.ns",
     "cluster_time_t0": "WITH " + CHANGES + " SELECT t, i FROM changes ORDER BY t DESC, i DESC LIMIT 1",

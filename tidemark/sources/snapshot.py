@@ -36,6 +36,11 @@ def range_scan(rows: DataFrame, key: str, low: int | None, high: int | None) ->
     return rows if high is None else rows.where(F.col(key) <= high)
 
 
+def scan_segments(rows: DataFrame, key: str, size: int = SEGMENT_DOCS) -> DataFrame:
+    """All rows with the number of their segment of :func:`segment_plan`. Keys are distinct, as ids are."""
+    return numbered(rows, key).withColumn("segment", F.floor((F.col("rn") - 1) / (size + 1))).drop("rn")
+
+
 def pack_by_count(rows: DataFrame, key: str, size: str, n: int = BATCH_DOCS) -> DataFrame:
     """Batches of ``n`` rows in key order: first and last key, rows and bytes."""
     ranked = numbered(rows.select(key, F.expr(size).cast("long").alias("bytes")), key)
@@ -75,8 +80,8 @@ def segment_plan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = source(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
-    return range_scan(rows, "o_orderkey", 1000, 5000)
+    """Every segment of a collection: all its rows with the segment that reads them."""
+    return scan_segments(source(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", 999)
 
 
 def linear_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +115,7 @@ QUERIES = {
 SQL = {
     "segment_plan": """WITH r AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders), n AS (SELECT count(*) // 1000 AS whole, count(*) AS n FROM orders)
         SELECT s AS segment, (SELECT k FROM r WHERE rn = s * 1000) AS min_key, (SELECT k FROM r WHERE rn = (s + 1) * 1000 AND s < whole) AS max_key, CASE WHEN s < whole THEN 1000 ELSE n - whole * 1000 END AS n FROM n, unnest(range(0, whole + 1)) AS g(s)""",
-    "range_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey > 1000 AND o_orderkey <= 5000",
+    "range_scan": "SELECT o_orderkey, o_custkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS segment FROM orders",
     "linear_scan": "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS quantity, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key FROM lineitem GROUP BY ALL",
     "batch_pack": "SELECT (row_number - 1) // 64 AS batch, count(*) AS n, min(doc_id) AS first_key, max(doc_id) AS last_key, sum(n_chars)::BIGINT AS bytes FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS row_number FROM documents) GROUP BY 1",
     "snapshot_upsert": f"WITH {TARGET} SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)",
