@@ -119,13 +119,13 @@ def resume_place(rows: DataFrame) -> DataFrame:
 
 
 def cdc_apply_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fields_of(replay.fold(change_log(changes(spark, sf_dir)))).select("doc_id", "value", "props", "n_changes")
+    return fields_of(replay.fold(change_log(changes(spark, sf_dir)), counted=True)).select("doc_id", "value", "props", "n_changes")
 
 
 def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole replay: updates without a description, updates of the partition key, renames, drops, by namespace and id."""
     log = changes(spark, sf_dir)
-    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True)))
+    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True), counted=True))
 
 
 def schema_log(log: DataFrame) -> DataFrame:

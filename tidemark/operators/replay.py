@@ -10,9 +10,9 @@ key) and ``to_ns`` (of a rename). Documents are flat: a field's name is compared
 * Other updates overlay single fields and do nothing where there is no document; a deletion removes the document.
 * Schema events are barriers: a drop removes what was written to the namespace before it, a rename moves it.
 
-A document's state is its last base change and, for each field, the last change since then that writes it. The place of the base is
-one aggregate by key; it is joined back, and fields are aggregated by key and field, both with partial aggregation before the shuffle. Keys with many
-changes are dealt over several tasks.
+A document's state is its last base change and, for each field, the last change since then that writes it. As a base writes all of its fields,
+the last write of each field by key is enough: one aggregation over the log, partial before the shuffle, and one over its few rows. Only counting the
+changes of each document looks at the log again; keys with many changes are then dealt over several tasks.
 
 Cases: a null namespace or id is a key like any other; a change repeated whole counts once in the state and twice in n_changes; null maps and arrays
 are empty; changes of unknown kind are ignored; an empty log gives no documents; extra columns are ignored.
@@ -77,10 +77,9 @@ def through_schema(log: DataFrame) -> DataFrame:
     """The changes to documents in ``log`` with the namespace where they end; those that a drop removes are gone. Schema events are a small
     part of a log; whether their table is broadcast is left to the planner."""
     rows = log.where(~F.col("op").isin(*SCHEMA_OPS) | F.col("op").isNull())
-    events = written(_events_by_namespace(log), "schema-events")
-    if events.isEmpty():
-        discard(events)
+    if log.where(F.col("op").isin(*SCHEMA_OPS)).isEmpty():
         return rows
+    events = written(_events_by_namespace(log), "schema-events")
     fates = _fates(events).select(F.col("ns").alias("_ns"), "events")
     first = F.try_element_at(F.filter("events", lambda e: e["at"] > place()), F.lit(1))
     met = rows.join(fates, rows["ns"] == fates["_ns"], "left").withColumn("_met", first)
@@ -88,45 +87,55 @@ def through_schema(log: DataFrame) -> DataFrame:
     return met.withColumn("ns", F.when(F.col("_met").isNull(), F.col("ns")).otherwise(F.col("_met.to"))).select(*log.columns)
 
 
-def _live(log: DataFrame) -> DataFrame:
-    """The changes (key, kind, at, base, ...) that a state may depend on: those from the last base or deletion of their key on."""
-    rows = log.withColumn("_kind", kind_of()).where(F.col("_kind").isin("base", "patch", "delete")).withColumn("_at", place())
-    rows = rows.withColumn("_key", F.to_json(F.struct("ns", "doc_id"), {"ignoreNullFields": "false"}))
-    bases = rows.groupBy("_key").agg(F.max(F.when(F.col("_kind") != "patch", F.col("_at"))).alias("_base"), F.count(F.lit(1)).alias("n"))
-    total = log.count()
-    met = salted_join(rows, bases.select("_key", "_base"), "_key", hot_keys(bases, "_key", total), "event_id", "inner")
-    return met.where(F.col("_base").isNull() | (F.col("_at") >= F.col("_base")))
-
-
 def _writes() -> Column:
-    """(field, value) of a change; a field that is unset has no value; the document itself is the field null."""
+    """(field, value) of a change; a field that is unset has no value; the document itself is the field null, written by bases and deletions."""
     entries = "array<struct<field:string,value:string>>"
     full, sets = (F.map_entries(F.coalesce(c, F.create_map().cast(_MAP))).cast(entries) for c in ("full", "sets"))
     gone = F.transform(F.coalesce("unsets", F.array().cast("array<string>")), lambda u: F.struct(u.alias("field"), F.lit(None).cast("string").alias("value")))
-    return F.when(F.col("_kind") == "base", full).when(F.col("_kind") == "patch", F.concat(sets, gone.cast(entries))).otherwise(F.array().cast(entries))
-
-
-def fold(log: DataFrame) -> DataFrame:
-    """(ns, doc_id, doc, n_changes): the documents that exist after ``log`` and the number of changes each took part in."""
-    live = _live(through_schema(log)).where("_base IS NOT NULL")
-    itself = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.col("_kind").alias("value")))
-    # the document itself is written by its base change alone
-    cells = live.select("_key", "ns", "doc_id", "_at", F.explode(F.concat(itself, _writes())).alias("w")).select("_key", "ns", "doc_id", "_at", "w.*")
-    last = cells.groupBy("_key", "field").agg(F.first("ns").alias("ns"), F.first("doc_id").alias("doc_id"), F.max_by("value", "_at").alias("value"), F.min_by("value", "_at").alias("first"), F.count(F.lit(1)).alias("n"))
-    whole = F.col("field").isNull()
-    docs = last.groupBy("_key").agg(
-        F.first("ns").alias("ns"), F.first("doc_id").alias("doc_id"), F.max(F.when(whole, F.col("first"))).alias("kind"), F.max(F.when(whole, F.col("n"))).alias("n_changes"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(~whole & F.col("value").isNotNull(), F.struct("field", "value"))))).alias("doc"),
-    )
-    return docs.where("kind = 'base'").select("ns", "doc_id", "doc", "n_changes")
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.col("_kind").alias("value"))).cast(entries)
+    return F.when(F.col("_kind") == "base", F.concat(itself, full)).when(F.col("_kind") == "patch", F.concat(sets, gone.cast(entries))).otherwise(itself)
+
+
+def _documents_only(log: DataFrame) -> DataFrame:
+    return through_schema(log).withColumn("_kind", kind_of()).where(F.col("_kind").isin("base", "patch", "delete")).withColumn("_at", place())
+
+
+def _last_writes(rows: DataFrame) -> DataFrame:
+    """(ns, doc_id, field, value, at): the last write of each field of each key, aggregated before the shuffle and after it, so that a key
+    with many changes is a few rows for each task."""
+    cells = rows.select("ns", "doc_id", "_at", F.explode(_writes()).alias("w"))
+    return cells.groupBy("ns", "doc_id", "w.field").agg(F.max_by("w.value", "_at").alias("value"), F.max("_at").alias("at"))
+
+
+def fold(log: DataFrame, counted: bool = False) -> DataFrame:
+    """(ns, doc_id, doc): the documents that exist after ``log``; with ``counted`` also n_changes, how many changes each took part in since its
+    last base, which needs a second look at the log."""
+    rows = _documents_only(log)
+    last = written(_last_writes(rows), "replay-last") if counted else _last_writes(rows)
+    whole, entry = F.col("field").isNull(), F.struct("field", "value", "at")
+    docs = last.groupBy("ns", "doc_id").agg(F.first(F.when(whole, F.struct("value", "at")), True).alias("_base"), F.collect_list(F.when(~whole & F.col("value").isNotNull(), entry)).alias("_all"))
+    docs = docs.where("_base.value = 'base'")
+    # what was written before the base is not part of it; the base itself has written all of its fields
+    kept = F.transform(F.filter("_all", lambda e: e["at"] >= F.col("_base.at")), lambda e: F.struct(e["field"], e["value"]))
+    docs = docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(kept)).alias("doc"))
+    if not counted:
+        return docs
+    key = F.to_json(F.struct("ns", "doc_id"), {"ignoreNullFields": "false"})
+    sizes = written(rows.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("_kind") != "patch", F.col("_at"))).alias("_base_at")), "replay-sizes")
+    hot = hot_keys(sizes, "_key", sizes.agg(F.sum("n")).first()[0] or 0)
+    since = salted_join(rows.select(key.alias("_key"), "_at"), sizes.select("_key", "_base_at"), "_key", hot, "_at", "inner").where("_at >= _base_at")
+    counts = since.groupBy("_key").agg(F.count(F.lit(1)).alias("n_changes"))
+    return docs.withColumn("_key", key).join(counts, "_key").select("ns", "doc_id", "doc", "n_changes")
 
 
 def compact(log: DataFrame) -> DataFrame:
     """The changes of ``log`` that its fold still depends on, after its schema events: the last base or deletion of each key and, for each
     field, its last writer since. Folding what is kept with any later changes gives what folding the whole log gives."""
-    live = _live(through_schema(log))
-    cells = live.select("_key", "_at", F.explode(_writes()).alias("w")).groupBy("_key", "w.field").agg(F.max("_at").alias("_at"))
-    last = cells.groupBy("_key", "_at").agg(F.count(F.lit(1)).alias("_wins"))
-    hot = hot_keys(live.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), "_key", log.count())
-    needed = salted_join(live.where("_base IS NULL OR _at > _base"), last.select("_key", F.col("_at").alias("_last")), "_key", hot, "event_id", "inner").where("_at = _last")
-    return live.where("_at = _base").select(*log.columns).union(needed.select(*log.columns))
+    rows = _documents_only(log)
+    last = _last_writes(rows)
+    bases = last.where("field IS NULL").select(F.col("ns").alias("_ns"), F.col("doc_id").alias("_id"), F.col("at").alias("_base"))
+    both = last.join(bases, F.col("ns").eqNullSafe(F.col("_ns")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").where("_base IS NULL OR at >= _base")
+    needed = both.select(F.col("ns").alias("_ns"), F.col("doc_id").alias("_id"), F.col("at").alias("_needed")).distinct()
+    # joined by key and place together, which no two changes share, so a key with many changes is not one task's
+    match = F.col("ns").eqNullSafe(F.col("_ns")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_needed"))
+    return rows.join(needed, match, "left_semi").select(*log.columns)

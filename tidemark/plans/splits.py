@@ -206,6 +206,8 @@ SQL = {
         UNION ALL SELECT 5, (i + 1)::INTEGER, 'u: MinKey, o: ' || rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') || ', k: MinKey' FROM unnest(range(0, 16)) AS g(i)
         UNION ALL SELECT 5, (i + 16)::INTEGER, 'u: ' || rpad(printf('%02x', i), 32, '0') || ', o: MinKey, k: MinKey' FROM unnest(range(1, 256)) AS g(i)""",
     "split_uuid": "SELECT i::INTEGER AS place, lower(lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) // 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') || lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0')) AS point FROM unnest(range(1, 16)) AS g(i)",
+    "split_objectid": "SELECT i::INTEGER AS place, lpad(printf('%x', (v // 18446744073709551616::HUGEINT)::UBIGINT), 8, '0') || lpad(printf('%x', (v % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') AS point FROM (SELECT i, 95::HUGEINT * 309485009821345068724781056::HUGEINT + i * ((17::HUGEINT * 309485009821345068724781056::HUGEINT - 1) // 10) AS v FROM unnest(range(1, 10)) AS g(i))",
+    "split_string": f"SELECT i::INTEGER AS place, printf('%x', {int.from_bytes(b'apple' + bytes(1), 'big')} + i * {(int.from_bytes(b'mango1', 'big') - int.from_bytes(b'apple' + bytes(1), 'big')) // 5}) AS point FROM unnest(range(1, 5)) AS g(i)",
     "split_hash_ring": "SELECT i::INTEGER AS place, ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 12) * i)::BIGINT AS point FROM unnest(range(1, 12)) AS g(i)",
     "split_hex": "SELECT (i + 1)::INTEGER AS place, substr('0123456789abcdef', i + 1, 1) AS point FROM unnest(range(0, 16)) AS g(i)",
     "split_composite": "SELECT NULL::VARCHAR AS uuid, rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') AS oid FROM unnest(range(0, 16)) AS g(i) UNION ALL SELECT rpad(printf('%02x', i), 32, '0'), NULL FROM unnest(range(1, 256)) AS h(i)",

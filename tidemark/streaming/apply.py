@@ -92,7 +92,7 @@ def documents(state: StateTable) -> DataFrame:
     """The documents of a state; none where nothing was applied."""
     log = state.read()
     if log is None:
-        return state.spark.createDataFrame([], "ns string, doc_id long, doc map<string,string>, n_changes long")
+        return state.spark.createDataFrame([], "ns string, doc_id long, doc map<string,string>")
     return fold(log)
 
 
