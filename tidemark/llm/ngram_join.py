@@ -402,3 +402,17 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("raw") == F.col("_k_raw"))
     rows = met.groupBy("_id", "raw").agg(F.max(kept.cast("int")).alias("stay"), F.count(F.lit(1)).alias("n")).where("stay < n")
     return keep_marked(docs, rows, id_col, text_col)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Three words and nine tenths, over all documents; meant for small tables, as it joins all documents that share an n-gram.
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, m.y) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON m.x = d.doc_id
+"""

@@ -71,4 +71,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op2_license_scan": license_scan.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_license_scan": license_scan.ORACLE, "op3_ngram_join": ngram_join.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
