@@ -32,6 +32,13 @@ def test_bpe_is_what_the_library_does(spark, make, words):
         assert both[r["doc_id"]]["token_ids"] == want and both[r["doc_id"]]["decoded"] == text
 
 
+def test_a_lexicon_of_equally_frequent_words_is_not_empty(spark, make):
+    path = queries.vocabulary_path("byte_bpe_50k.json")
+    docs = make([(i, f"word{i}") for i in range(300)])
+    lexi = bpe.Lexicon(bpe.build_lexicon(docs, path, words=100))
+    assert 30 < len(lexi.start) - 1 <= 100
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [i, i * 2] for i, w in enumerate(["tap", "taps", "top", "tops", "stop", "stops", "a", "é"])}
     lexi = bpe.Lexicon(bpe.compile_lexicon(words))

@@ -240,7 +240,13 @@ def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", words: int
         if held > words:
             break
         least = r["least"]
-    top = [] if least is None else counts.where(F.col("n") >= least).select("word").collect()
+    if least is not None:
+        top = counts.where(F.col("n") >= least).select("word").collect()
+    elif steps:  # more words than that share the highest counts: some of them, by hash
+        share = int((1 << 30) * words / steps[0]["words"])
+        top = counts.where((F.col("n") >= steps[0]["least"]) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < share)).select("word").limit(words).collect()
+    else:
+        top = []
     discard(counts)
     merges = Merges(path)
     return compile_lexicon({bytes(r["word"]): merges(bytes(r["word"])) for r in top})
