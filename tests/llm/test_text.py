@@ -34,7 +34,7 @@ def test_bpe_is_what_the_library_does(spark, make, words):
 
 def test_a_lexicon_of_equally_frequent_words_is_not_empty(spark, make):
     path = queries.vocabulary_path("byte_bpe_50k.json")
-    docs = make([(i, f"word{i}") for i in range(300)])
+    docs = make([(i, f"{chr(97 + i // 26)}{chr(97 + i % 26)}q") for i in range(300)])
     lexi = bpe.Lexicon(bpe.build_lexicon(docs, path, words=100))
     assert 30 < len(lexi.start) - 1 <= 100
 
