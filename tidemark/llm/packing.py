@@ -8,7 +8,8 @@ windows starts at the least that could hold all tokens and rises whenever one ex
 the task that read them, so nothing is shuffled and every group is of bounded size.
 
 Cases: a null text counts as empty; an empty text is the end-of-text id alone; repeated rows are packed each; a null id stays null;
-empty tables give empty results; extra columns are ignored.
+empty tables give empty results; extra columns are ignored. Ids are whole numbers or cast to such, as the pieces carry
+them as longs.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ found however long their words are. Runs of 50 words that agree in all hashes an
 With ``keep="first"`` the first place (by id, then position) stays and later ones are repeats; with ``keep="none"`` both are.
 
 Cases: null text is empty; texts shorter than ``length`` have no repeats; repeated rows are copies of each other, ordered as one place
-under ``keep="first"``; a null id comes last; empty tables give empty results; extra columns are ignored.
+under ``keep="first"``; ids may be of any type that can be ordered, a null id comes last; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
