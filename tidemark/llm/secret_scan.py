@@ -2,9 +2,8 @@
 
 Every version of a document is content-addressed: its blob is the SHA-256 of its text. The ledger holds the pairs of blob and
 rule version that were scanned, with their findings. A scan passes over all rows of a blob but one and over the blobs that the ledger has
-under this rule version, scans the other texts where they are read, adds them to the ledger, and joins the findings back to every row
-that holds the blob, so copies and unchanged versions are never scanned twice. Only the rows to pass over are joined with the texts: where
-they are few enough to be broadcast, no text moves.
+under this rule version, scans the other texts, adds them to the ledger, and joins the findings back to every row
+that holds the blob, so copies and unchanged versions are never scanned twice. Texts move once, to meet the rows to pass over.
 
 Cases: null text is empty; an empty text has no findings; repeated rows each get their findings; a null id is an id like any
 other; empty tables give empty results; extra columns are ignored by :func:`scan` and carried by :func:`redact`.
@@ -81,7 +80,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
         known = seen.where(F.col("rule_version") == RULE_VERSION).select("blob").distinct()
         passed = passed.union(salted_join(paths, known, "blob", hot, "rid", "inner").select("_id", "blob"))
     passed = written(passed.distinct().select(F.col("_id").alias("_at"), F.col("blob").alias("_blob")), "secret-passed")
-    texts = keyed.join(passed, (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_at")), "left_anti")
+    # as copies grow with the input, they are merged with the texts at every size
+    texts = keyed.join(passed.hint("merge"), (F.col("blob") == F.col("_blob")) & F.col("_id").eqNullSafe(F.col("_at")), "left_anti")
     # rows that are repeated whole bring their blob twice; their findings are told apart here, as texts are too large to move again
     fresh = texts.select("blob", "text").mapInPandas(_scan_blobs, LEDGER).dropDuplicates(["blob", "rule_version"])
     if ledger is None:
@@ -101,8 +101,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     texts = docs.withColumn("__td_blob", F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
     found = scan(docs, id_col, text_col).where(F.size("spans") > 0)
     found = found.select(F.col(id_col).alias("__td_found_id"), F.col("blob").alias("__td_found_blob"), "spans").dropDuplicates(["__td_found_id", "__td_found_blob"])
-    found = written(found, "secret-found")  # few rows have a secret, and a table's size is known
-    both = texts.join(found.withColumnRenamed("spans", "__td_spans"), F.col(id_col).eqNullSafe(F.col("__td_found_id")) & (F.col("__td_blob") == F.col("__td_found_blob")), "left")
+    both = texts.join(found.withColumnRenamed("spans", "__td_spans").hint("merge"), F.col(id_col).eqNullSafe(F.col("__td_found_id")) & (F.col("__td_blob") == F.col("__td_found_blob")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     text = F.col(text_col)
     step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))).otherwise(
