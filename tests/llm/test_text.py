@@ -211,6 +211,9 @@ def test_more_licences(make):
     }
     got = {r["doc_id"]: r["licenses"] for r in license_scan.scan(make(list(enumerate(texts.values())))).collect()}
     assert [got[i] for i in range(len(texts))] == [[name] for name in texts]
+    bsd = [next(k for k, v in license_scan.ALL_SENTENCES.items() if v == name) for name in ("bsd_grant", "bsd_source", "bsd_binary", "bsd_advertising", "bsd_names")]
+    variants = [(1, ". ".join(bsd)), (2, ". ".join(bsd[:3])), (3, ". ".join(bsd[:3] + bsd[4:]))]
+    assert [r["licenses"] for r in license_scan.scan(make(variants)).orderBy("doc_id").collect()] == [["BSD-4-Clause"], ["BSD-2-Clause"], ["BSD-3-Clause"]]
     long = "plain words. " * 200_000 + "\nReleased under the MIT License.\n"
     assert license_scan.scan(make([(1, long)])).first()["licenses"] == ["MIT"]
 

@@ -111,6 +111,8 @@ for _name, _title, _versions in (("GPL", "general", ("2", "3")), ("LGPL", "lesse
         MORE_SENTENCES[f"{_grant} {_later}"] = f"{_name.lower()}{_id}_grant"
         _rule = f"{_name}-{_id[0]}.{_id[1]}"
         MORE_RULES[_rule] = (*MORE_RULES[_rule], (f"{_name.lower()}{_id}_grant",), (f"{_name.lower()}_grant", f"later{_id}"))
+#: Pairs of a rule and a stricter one beyond the SQL's.
+MORE_STRICTER = (("BSD-2-Clause", "BSD-4-Clause"), ("BSD-3-Clause", "BSD-4-Clause"))
 ALL_SENTENCES = SENTENCES | MORE_SENTENCES
 ALL_RULES = {name: RULES.get(name, ()) + MORE_RULES.get(name, ()) for name in RULES | MORE_RULES}
 #: Each known sentence of the SQL holds one of these words.
@@ -145,9 +147,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     for name, ways in ALL_RULES.items():
         for way in ways:
             holds[name] = holds[name] | line.rlike(r"\b" + r"\b.*\b".join(way) + r"\b")
-    for name, stricter in STRICTER.items():
-        holds[name] = holds[name] & ~holds[stricter]
-    names = F.array_compact(F.array(*(F.when(holds[name], F.lit(name)) for name in sorted(ALL_RULES))))
+    strict = dict(holds)
+    for name, stricter in (*STRICTER.items(), *MORE_STRICTER):
+        strict[name] = strict[name] & ~holds[stricter]
+    names = F.array_compact(F.array(*(F.when(strict[name], F.lit(name)) for name in sorted(ALL_RULES))))
     return found.select(id_col, "sentence_ids", names.alias("licenses"))
 
 
