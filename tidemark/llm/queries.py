@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, ngram_join, packing, secret_scan, suffix_dedup
+from tidemark.llm import ann, bpe, byte_bpe, chat_format, exact_dedup, language_id, license_scan, ngram_join, packing, resample, secret_scan, source_audit, suffix_dedup
 
 
 def vocabulary_path(name: str) -> str:
@@ -66,9 +66,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    both = byte_bpe.round_trip(docs, vocabulary_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    n = F.floor(F.octet_length("ids") / 4).cast("long")
+    return both.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op3_ngram_join, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op9_suffix_dedup, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_permutation_index, op2_license_scan, op3_ngram_join, op4_language_id, op5_bpe, op6_packing, op7_secret_scan, op8_chat_format, op9_suffix_dedup, op10_exact_dedup, op11_source_audit, op12_resample, op13_byte_bpe)}
 
 
 def oracle_sql() -> dict:
-    return {"op2_license_scan": license_scan.ORACLE, "op3_ngram_join": ngram_join.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_license_scan": license_scan.ORACLE, "op3_ngram_join": ngram_join.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_source_audit": source_audit.ORACLE, "op12_resample": resample.ORACLE}
