@@ -60,3 +60,11 @@ def test_recall(spark):
         hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
         assert np.mean(hits) >= 0.9
         assert all(abs(s - float(x[q].astype(float) @ x[i].astype(float))) < 1e-9 for q in got for i, s in got[q])
+
+
+def test_the_number_of_cores_changes_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = frame(spark, np.arange(5000), rng.normal(size=(5000, 8)).astype(np.float32)).cache()
+    first = found(ann.search(rows, F.col("vec_id") % 500 == 0))
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 1))
+    assert found(ann.search(rows.repartition(7), F.col("vec_id") % 500 == 0)) == first

@@ -37,8 +37,8 @@ PIVOTS, PREFIX = 256, 96
 RERANK = 6.0
 #: Rows of a segment and queries of a block at most; every block meets every segment.
 SEGMENT, BLOCK = 65_536, 16_384
-#: Tables of fewer rows than a segment are still dealt over the cores, in parts of so many rows or more.
-LEAST_SEGMENT = 2048
+#: Smaller tables are cut into so many segments, of so many rows or more; what is found depends on the rows alone.
+FEW_SEGMENTS, LEAST_SEGMENT = 16, 2048
 
 
 def usable(vector: Column) -> Column:
@@ -120,7 +120,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     shape = "vid long, v array<double>, perm array<short>"
     source = distinct.select("vid", "v", "norm")
-    segments = max(-(-n // segment), min(2 * spark.sparkContext.defaultParallelism, -(-n // LEAST_SEGMENT)))
+    segments = max(-(-n // segment), min(FEW_SEGMENTS, -(-n // LEAST_SEGMENT)))
     part = max(rerank * np.sqrt(n), k + 1) / n
     blocks = max(1, -(-asked.select("qvid").distinct().count() // block))
     index = source.mapInArrow(represent(False), shape).withColumn("seg", F.pmod(F.xxhash64("vid"), F.lit(segments)).cast("int"))
