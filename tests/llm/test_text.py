@@ -143,6 +143,28 @@ def test_language_predictions_equal_a_plain_version(spark, make):
         assert abs(r["score"] - max(0, cosine[r["lang_pred"]])) < 1e-5
 
 
+def test_long_texts_come_in_parts(monkeypatch):
+    monkeypatch.setattr(language_id, "CHUNK_CHARS", 700)
+    monkeypatch.setattr(language_id, "GRAMS", 50)
+    rng = np.random.default_rng(4)
+    for n in (699, 700, 701, 2100, 3333):
+        text = "".join(rng.choice(list("abΣ  ,,é日")) for _ in range(n))
+        assert np.allclose(language_id.text_vectors([text])[0], plain_language_vector(text))
+        assert np.allclose(language_id.text_vectors(["x y", text[:600]])[1], plain_language_vector(text[:600]))
+
+
+def test_many_different_ngrams_take_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 300))) for _ in range(255)]  # 76,000 n-grams, nearly all different
+    tracemalloc.start()
+    vectors = language_id.text_vectors(texts, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert vectors.shape == (255, 64) and peak < 80e6  # a table of texts by n-grams would take 155 MB
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.001"
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -44,8 +44,18 @@ def _letter_vector(code: int, turn: int, dimensions: int) -> np.ndarray:
     return np.roll(draw.astype(np.int8), turn)
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of all texts in lower case, anything but letters as one blank, a blank at either end; their text's number."""
+def _codes(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The code points of all texts in lower case, anything but letters as one blank, a blank at either end; their text's number. A single long
+    text comes in parts, each of which begins with what the n-grams across the cut need."""
+    if len(texts) == 1 and len(texts[0]) > CHUNK_CHARS:
+        whole, rest = f" {texts[0].lower()} ", np.zeros(0, np.int64)
+        for i in range(0, len(whole), CHUNK_CHARS):
+            code = np.frombuffer(whole[i : i + CHUNK_CHARS].encode("utf-32-le", "surrogatepass"), "<u4")
+            code = np.concatenate([rest, np.where(_letters()[code], code, 32)])
+            code = code[np.append(True, (code[1:] != 32) | (code[:-1] != 32))]
+            yield code, np.zeros(len(code), np.int64)
+            rest = code[-(ORDER - 1) :]
+        return
     parts = [np.frombuffer(f" {t.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
     code = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -53,12 +63,11 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     blank = code == 32
     keep = np.ones(len(code), bool)
     keep[1:] = ~(blank[1:] & blank[:-1] & (owner[1:] == owner[:-1]))
-    return code[keep], owner[keep]
+    yield code[keep], owner[keep]
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(U, ORDER) the distinct n-grams as code points; (len(texts), U) how often each text has them."""
-    code, owner = _codes(texts)
+def _grams(code: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams as code points (U, ORDER), and for each place that has one its number and its text's."""
     used, code = np.unique(code, return_inverse=True)
     n = max(0, len(code) - ORDER + 1)
     inside = owner[:n] == owner[len(owner) - n :]
@@ -73,9 +82,8 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = place[gram]
     else:
         there, at = np.unique(gram, return_inverse=True)
-    counts = np.bincount(owner * len(there) + at, minlength=len(texts) * len(there)).reshape(len(texts), len(there))
     letters = np.stack([used[there // len(used) ** (ORDER - 1 - i) % len(used)] for i in range(ORDER)], 1)
-    return letters, counts
+    return letters, at, owner
 
 
 def _gram_vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:
@@ -86,17 +94,23 @@ def _gram_vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:
     return out
 
 
-def _bundled(letters: np.ndarray, counts: np.ndarray, dimensions: int, kind: type) -> np.ndarray:
-    """For each row of ``counts`` the sum of so many of each n-gram's vectors, some n-grams at a time."""
-    out = np.zeros((len(counts), dimensions), kind)
-    for i in range(0, len(letters), GRAMS):
-        out += counts[:, i : i + GRAMS].astype(kind) @ _gram_vectors(letters[i : i + GRAMS], dimensions).astype(kind)
+def _bundled(texts: list[str], rows: np.ndarray, n_rows: int, dimensions: int, kind: type) -> np.ndarray:
+    """(n_rows, dimensions): in each row the sum of the vectors of all n-grams of its texts (``rows`` gives each text's), some n-grams at a time."""
+    out = np.zeros((n_rows, dimensions), kind)
+    for code, owner in _codes(texts):
+        letters, at, owner = _grams(code, owner)
+        row = rows[owner]
+        for i in range(0, len(letters), GRAMS):
+            some = letters[i : i + GRAMS]
+            here = (at >= i) & (at < i + GRAMS) if len(letters) > GRAMS else slice(None)
+            counts = np.bincount(row[here] * len(some) + at[here] - i, minlength=n_rows * len(some)).reshape(n_rows, len(some))
+            out += counts.astype(kind) @ _gram_vectors(some, dimensions).astype(kind)
     return out
 
 
 def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """A row for each text: the sum of the vectors of its n-grams."""
-    return _bundled(*_grams(texts), dimensions, np.float32)
+    return _bundled(texts, np.arange(len(texts)), len(texts), dimensions, np.float32)
 
 
 def _chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -119,12 +133,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
         for b in (part for whole in batches for part in slices(whole, text_col, CHUNK_CHARS)):
             texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), object)
             for i, j in _chunks(texts):
-                letters, counts = _grams(texts[i:j])
-                if not len(letters):
-                    continue
-                names = sorted(set(langs[i:j]))
-                by_lang = np.stack([counts[langs[i:j] == name].sum(0) for name in names]).astype(np.float64)
-                for name, v in zip(names, _bundled(letters, by_lang, dimensions, np.float64), strict=True):
+                names, row = np.unique(langs[i:j], return_inverse=True)
+                for name, v in zip(names, _bundled(texts[i:j], row, len(names), dimensions, np.float64), strict=True):
                     sums[name] = sums.get(name, 0) + np.rint(v).astype(np.int64)
         for name, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions), pa.int32()), pa.array(v, pa.int64())], schema=fields)
