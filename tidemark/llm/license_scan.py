@@ -111,6 +111,26 @@ for _name, _title, _versions in (("GPL", "general", ("2", "3")), ("LGPL", "lesse
         MORE_SENTENCES[f"{_grant} {_later}"] = f"{_name.lower()}{_id}_grant"
         _rule = f"{_name}-{_id[0]}.{_id[1]}"
         MORE_RULES[_rule] = (*MORE_RULES[_rule], (f"{_name.lower()}{_id}_grant",), (f"{_name.lower()}_grant", f"later{_id}"))
+for _notice in ("licensed under the apache license 2 0", "licensed under the terms of the apache license version 2 0", "distributed under the apache license version 2 0", "distributed under the terms of the apache license version 2 0"):
+    MORE_SENTENCES[_notice] = "apache20_notice"
+for _notice in ("distributed under the mit license", "distributed under the terms of the mit license", "licensed under the terms of the mit license", "available under the mit license"):
+    MORE_SENTENCES[_notice] = "mit_notice"
+for _notice in ("licensed under the mozilla public license 2 0", "licensed under the mozilla public license version 2 0"):
+    MORE_SENTENCES[_notice] = "mpl20_notice"
+MORE_RULES["MPL-2.0"] = (*MORE_RULES["MPL-2.0"], ("mpl20_notice",))
+# identifiers as a header line has them; the colon ends a sentence, so two known lines stand in a row
+for _rule in sorted(RULES | MORE_RULES):
+    _id = "spdx_" + _rule.lower().replace("-", "").replace(".", "")
+    for _end in ("", " only", " or later") if "GPL" in _rule else ("",):
+        MORE_SENTENCES["spdx license identifier|" + _rule.lower().replace("-", " ").replace(".", " ") + _end] = _id
+    MORE_RULES[_rule] = (*MORE_RULES.get(_rule, ()), (_id,))
+#: Sentences that name someone: what stands for the name, and the known sentence that each is read as. A name has up to twelve words and may hold a stop.
+NAMED = {
+    r"neither[ \n]the[ \n]names?[ \n]of[ \n|](?:[a-z0-9]+[ \n|]){1,12}?nor[ \n|]the[ \n]names[ \n]of[ \n](?:its[ \n]|any[ \n]|other[ \n])?contributors[ \n]may[ \n]be[ \n]used[ \n]to[ \n]endorse[ \n]or[ \n]promote[ \n]products[ \n]derived[ \n]from[ \n]this[ \n]software[ \n]without[ \n]specific[ \n]prior[ \n]written[ \n]permission":
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    r"(?:the[ \n])?names?[ \n]of[ \n|](?:[a-z0-9]+[ \n|]){1,12}?may[ \n]not[ \n]be[ \n]used[ \n]to[ \n]endorse[ \n]or[ \n]promote[ \n]products[ \n]derived[ \n]from[ \n]this[ \n]software[ \n]without[ \n]specific[ \n]prior[ \n]written[ \n]permission":
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+}
 #: Pairs of a rule and a stricter one beyond the SQL's.
 MORE_STRICTER = (("BSD-2-Clause", "BSD-4-Clause"), ("BSD-3-Clause", "BSD-4-Clause"))
 ALL_SENTENCES = SENTENCES | MORE_SENTENCES
@@ -118,15 +138,16 @@ ALL_RULES = {name: RULES.get(name, ()) + MORE_RULES.get(name, ()) for name in RU
 #: Each known sentence of the SQL holds one of these words.
 CUES = "(?i)licen[sc]e|copyright|permission|permitted|redistribution|warranty"
 #: A text with a known sentence holds one of these words.
-ALL_CUES = CUES + "|public\\W+domain|redistribute|cc0|held\\W+liable|this\\W+software"
+ALL_CUES = CUES + "|spdx|public\\W+domain|redistribute|cc0|held\\W+liable|this\\W+software"
 #: Any known sentence as whole lines, the longest first.
-KNOWN = r"(?<=^|[\n|])(?:" + "|".join(k.replace(" ", r"[ \n]") for k in sorted(ALL_SENTENCES, key=lambda k: (-len(k), k))) + r")(?=[\n|]|$)"
+KNOWN = r"(?<=^|[\n|])(?:" + "|".join([*(k.replace("|", r"\|").replace(" ", r"[ \n]") for k in sorted(ALL_SENTENCES, key=lambda k: (-len(k), k))), *NAMED]) + r")(?=[\n|]|$)"
 
 
 def marked(text: Column) -> Column:
     """Lower case, anything but letters and digits of ASCII as one space; a bar where a sentence ends or blank lines (or bare
     comment marks) stand, a line end elsewhere, but not before a line that goes on in lower case."""
     t = F.translate(F.coalesce(text, F.lit("")), "|", " ")
+    t = F.regexp_replace(t, r"(?i)(spdx-license-identifier:[ \t]*[a-z0-9.+-]+)", "$1|")  # an identifier ends its line whatever follows
     t = F.regexp_replace(t, r"\n(?:[^A-Za-z0-9\n]*\n)+", "|")
     t = F.regexp_replace(t, r"[ \t]*\r?\n[ \t]*([a-z])", " $1")
     t = F.regexp_replace(t, r"[.!?;:](?:[ \t\r]+|(?=\n)|$)", "|")
@@ -138,7 +159,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """For each row: its id, sentence_ids (those found, in order) and licenses (names of the rules that hold, sorted)."""
     known = F.create_map(*(F.lit(x) for pair in ALL_SENTENCES.items() for x in pair))
     found = F.regexp_extract_all(marked(F.col(text_col)), F.lit(KNOWN), F.lit(0))
-    ids = F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
+    named = {k: F.lit(v) for k, v in NAMED.items()}
+
+    def known_as(s: Column) -> Column:
+        by_name = F.coalesce(*(F.when(s.rlike(f"^(?:{pattern})$"), of) for pattern, of in named.items()))
+        return F.coalesce(F.try_element_at(known, F.translate(s, "\n", " ")), F.try_element_at(known, by_name))
+
+    ids = F.transform(found, known_as)
     # a text without any cue needs no cutting at all
     ids = F.when(F.col(text_col).rlike(ALL_CUES), ids).otherwise(F.array().cast("array<string>"))
     found = docs.select(F.col(id_col), ids.alias("sentence_ids"))
