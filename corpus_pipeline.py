@@ -22,17 +22,20 @@ from tidemark.shared import Folder, release, shared_dir
 
 #: The cosine of unrelated vectors of so many dimensions has this standard deviation, twice.
 NO_LANGUAGE = 2 / language_id.DIMENSIONS**0.5
+#: A text of fewer letters has too few n-grams for its cosine to tell it from chance, so it is not dropped for it.
+SHORT_LETTERS = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels at hand and drops what has no language: texts that are null or without a letter, and texts whose cosine with the
     predicted language's prototype is no larger than unrelated vectors have by chance (``NO_LANGUAGE``), as in a script that no label
-    knows. Where nothing can be learned, as no text has a label, every text with a letter stays."""
+    knows, unless they have fewer than ``SHORT_LETTERS`` letters, which the cosine cannot judge. Where nothing can be learned, as no text has a label, every text with a letter stays."""
     prototypes = language_id.learn(docs)
     least = NO_LANGUAGE if prototypes else 0.0
     taken = {c: f"__td_{c}" for c in docs.columns if c in ("lang_pred", "score")}
     found = language_id.predict(docs.withColumnsRenamed(taken), prototypes or {"unknown": np.ones(language_id.DIMENSIONS)})
-    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).drop("lang_pred", "score")
+    short = F.length(F.regexp_replace("text", r"[^\p{L}]", "")) < SHORT_LETTERS
+    found = found.where((F.col("lang_pred") != "und") & ((F.col("score") >= least) | short)).drop("lang_pred", "score")
     return found.withColumnsRenamed({new: c for c, new in taken.items()}).select(*docs.columns)
 
 
