@@ -1,5 +1,6 @@
 """The fold of a change log against a sequential interpreter, in any batching; repair; split points; batches by bytes."""
 
+import json
 import random
 
 from hypothesis import given, settings
@@ -94,6 +95,78 @@ def test_fold_does_not_depend_on_batches(spark):
     assert found(replay.fold(again)) == replay_rows(plain)
 
 
+def nested_log(seed, n=240, keys=3):
+    """Changes whose paths lead into fields, over each other and into values that are no documents."""
+    rng = random.Random(seed)
+    value = lambda deep=2: rng.choice(["1", "2.5", '"s"', "null", "true", "[1,{}]", "{}", "plain"]) if deep == 0 or rng.random() < 0.6 else "{" + ",".join(f'"{f}":{v}' for f in "xyz" if rng.random() < 0.6 and (v := value(deep - 1)) != "plain") + "}"
+    path = lambda: ".".join([rng.choice("ab"), *(rng.choice("xyz") for _ in range(rng.randrange(4)))])
+    rows = []
+    for e in range(n):
+        op = rng.choice(["insert", *["update"] * 12, "delete"]) if e > 2 * keys else "insert"
+        full = {f: value() for f in "abc"} if op == "insert" else None
+        sets = {}
+        for p in (path() for _ in range(rng.randrange(3))):  # no path of an update leads through another one
+            if not any(p == q or p.startswith(q + ".") or q.startswith(p + ".") for q in sets):
+                sets[p] = value()
+        gone = [p for p in (path(),) if rng.random() < 0.4 and not any(p == q or p.startswith(q + ".") or q.startswith(p + ".") for q in sets)]
+        rows.append(("d.x", rng.randrange(keys), op, e, 0, e, full, sets if op == "update" else None, gone if op == "update" else None, False, None))
+    return rows
+
+
+def as_value(text):
+    try:
+        return json.loads(text)
+    except ValueError:
+        return text
+
+
+def replay_nested(rows):
+    docs = {}
+    for _, key, op, _, _, _, full, sets, unsets, _, _ in rows:
+        if op == "insert":
+            docs[key] = {f: as_value(v) for f, v in full.items()}
+        elif op == "delete":
+            docs.pop(key, None)
+        elif key in docs:
+            for p, v in sets.items():
+                *way, last = p.split(".")
+                at = docs[key]
+                for step in way:
+                    if not isinstance(at.get(step), dict):
+                        at[step] = {}
+                    at = at[step]
+                at[last] = as_value(v)
+            for p in unsets:
+                *way, last = p.split(".")
+                at = docs[key]
+                for step in way:
+                    at = at.get(step) if isinstance(at, dict) else None
+                if isinstance(at, dict):
+                    at.pop(last, None)
+    return docs
+
+
+def test_paths_into_documents_equal_sequential_replay(spark):
+    values = lambda df: {r["doc_id"]: {f: as_value(v) for f, v in r["doc"].items()} for r in df.collect()}
+    for seed in range(4):
+        rows = nested_log(seed)
+        shuffled = rows[:]
+        random.Random(seed).shuffle(shuffled)
+        log = spark.createDataFrame(shuffled, LOG)
+        assert values(replay.fold(log)) == replay_nested(rows)
+        if seed < 2:  # cut anywhere, compacted in between
+            state = written(replay.compact(spark.createDataFrame(rows[:90], LOG)), "test-state")
+            state = written(replay.compact(state.union(spark.createDataFrame(rows[90:], LOG))), "test-state")
+            assert state.count() < len(rows) and values(replay.fold(state)) == replay_nested(rows)
+
+
+def test_paths_only_where_asked_for(spark):
+    rows = [("d.x", 1, "insert", 1, 0, 1, {"a": '{"b": 1}', "a.b": "0"}, None, None, False, None), ("d.x", 1, "update", 2, 0, 2, None, {"a.b": "7"}, None, False, None)]
+    log = spark.createDataFrame(rows, LOG)
+    assert replay.fold(log).first()["doc"] == {"a": '{"b":7}', "a.b": "0"}
+    assert replay.fold(log, paths=False).first()["doc"] == {"a": '{"b": 1}', "a.b": "7"}
+
+
 def test_odd_logs(spark):
     assert replay.fold(spark.createDataFrame([], LOG)).count() == 0
     update = ("a.b", 1, "update", 1, 0, 0, None, {"a": "1"}, None, False, None)

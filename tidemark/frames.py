@@ -129,4 +129,4 @@ def change_log(rows: DataFrame, empty: int = 0, rekeyed: int = 0) -> DataFrame:
 
 def fields_of(docs: DataFrame) -> DataFrame:
     """Replayed documents with value and props as columns."""
-    return docs.select("ns", "doc_id", F.try_element_at("doc", F.lit("value")).try_cast("double").alias("value"), F.try_element_at("doc", F.lit("props")).alias("props"), *(c for c in docs.columns if c == "n_changes"))
+    return docs.select("ns", "doc_id", F.try_element_at("doc", F.lit("value")).try_cast("double").alias("value"), F.try_element_at("doc", F.lit("props")).alias("props"))

@@ -119,13 +119,32 @@ def resume_place(rows: DataFrame) -> DataFrame:
 
 
 def cdc_apply_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fields_of(replay.fold(change_log(changes(spark, sf_dir)), counted=True)).select("doc_id", "value", "props", "n_changes")
+    return fields_of(replay.fold(change_log(changes(spark, sf_dir)), paths=False, schema=False)).select("doc_id", "value", "props")
 
 
 def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole replay: updates without a description, updates of the partition key, renames, drops, by namespace and id."""
     log = changes(spark, sf_dir)
-    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True), counted=True))
+    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True), paths=False))
+
+
+def nested_log(rows: DataFrame) -> DataFrame:
+    """Changes of the ``events`` table as a log of documents with the fields value and props, whose updates lead into props: views set props.k; clicks by
+    turns set props.tags.seen, remove props.k, write props whole or remove props.tags."""
+    kind, k, n = F.col("event_type"), F.get_json_object("props", "$.k"), F.pmod(F.col("event_id"), F.lit(4))
+    sets = F.when(kind == "view", F.create_map(F.lit("props.k"), F.floor("value").cast("string"))).when((kind == "click") & (n == 0), F.create_map(F.lit("props.tags.seen"), F.col("event_id").cast("string"))).when((kind == "click") & (n == 2), F.create_map(F.lit("props"), F.col("props")))
+    unsets = F.when((kind == "click") & (n == 1), F.array(F.lit("props.k"))).when((kind == "click") & (n == 3), F.array(F.lit("props.tags")))
+    full = F.when(F.col("op").isin("insert", "replace"), F.create_map(F.lit("value"), F.col("value").cast("string"), F.lit("props"), F.concat(F.lit('{"k":'), k, F.lit("}"))))
+    fields = {"full": full, "sets": sets, "unsets": unsets, "rekeys": F.lit(False), "to_ns": F.lit(None).cast("string")}
+    return rows.select("ns", "doc_id", "op", "t", "i", "event_id", *(c.alias(name) for name, c in fields.items()))
+
+
+def cdc_nested_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay of updates that lead into the documents of a JSON field."""
+    docs = replay.fold(nested_log(changes(spark, sf_dir)), schema=False)
+    props = F.try_element_at("doc", F.lit("props"))
+    value = F.try_element_at("doc", F.lit("value")).try_cast("double")
+    return docs.select("ns", "doc_id", value.alias("value"), *(F.get_json_object(props, f"$.{p}").cast("long").alias(name) for p, name in (("k", "k"), ("tags.seen", "seen"))), F.get_json_object(props, "$.tags").isNotNull().alias("has_tags"))
 
 
 def schema_log(log: DataFrame) -> DataFrame:
@@ -236,19 +255,24 @@ def dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.crossJoin(F.broadcast(applied)).where("t > applied_t").groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
 
 
-QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
+QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_nested_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
 _C = "WITH " + CHANGES
 FOLD = _C + """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
-        l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op, count(*) AS n_changes,
+        l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op,
         arg_max_null(CASE WHEN event_type = 'click' THEN NULL ELSE value END, CASE WHEN op IN ('insert', 'replace', 'update') THEN seq END) AS value, arg_max_null(props, CASE WHEN op IN ('insert', 'replace') OR event_type = 'click' THEN seq END) AS props FROM l GROUP BY doc_id)
-        SELECT doc_id, value, props, n_changes FROM k WHERE base_op <> 'delete'"""
+        SELECT doc_id, value, props FROM k WHERE base_op <> 'delete'"""
 REPLAY = _C + """, g AS (SELECT min(t) AS lo, max(t) - min(t) AS w FROM changes), m AS (SELECT event_id, doc_id, t, i, value, props, op, event_type, CASE WHEN op IN ('insert', 'replace') OR (op = 'update' AND (event_id % 97 = 0 OR event_id % 89 = 0)) THEN 'base' WHEN op = 'delete' THEN 'delete' ELSE 'patch' END AS kind,
         CASE WHEN ns = 'shop.c1' AND t < lo + w * 4 // 12 THEN 'shop.c9' ELSE ns END AS ns, ns = 'shop.c2' AND t < lo + w * 6 // 12 AS gone FROM changes, g),
         n AS (SELECT m.* EXCLUDE (ns, gone), CASE WHEN ns = 'shop.c9' AND t < lo + w * 8 // 12 THEN 'shop.c8' ELSE ns END AS ns FROM m, g WHERE NOT gone),
         o AS (SELECT *, row_number() OVER (PARTITION BY ns, doc_id ORDER BY t, i, event_id) AS seq FROM n), b AS (SELECT *, max(CASE WHEN kind <> 'patch' THEN seq END) OVER (PARTITION BY ns, doc_id) AS base FROM o),
-        k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN kind END) AS base_kind, count(*) AS n_changes, arg_max_null(CASE WHEN kind = 'patch' AND event_type = 'click' THEN NULL ELSE value END, CASE WHEN kind <> 'delete' THEN seq END) AS value,
+        k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN kind END) AS base_kind, arg_max_null(CASE WHEN kind = 'patch' AND event_type = 'click' THEN NULL ELSE value END, CASE WHEN kind <> 'delete' THEN seq END) AS value,
         arg_max_null(props, CASE WHEN kind = 'base' OR (kind = 'patch' AND event_type = 'click') THEN seq END) AS props FROM b WHERE base IS NOT NULL AND seq >= base GROUP BY ns, doc_id)
-        SELECT ns, doc_id, value, props, n_changes FROM k WHERE base_kind = 'base'"""
+        SELECT ns, doc_id, value, props FROM k WHERE base_kind = 'base'"""
+NESTED = _C + """, o AS (SELECT *, event_id % 4 AS r, (props->>'$.k')::BIGINT AS pk, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
+        l AS (SELECT *, op IN ('insert', 'replace') AS is_base, event_type = 'click' AS click FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN op END) AS base_op, max(CASE WHEN seq = base THEN value END) AS value,
+        arg_max_null(CASE WHEN event_type = 'view' THEN floor(value)::BIGINT WHEN click AND r = 1 THEN NULL ELSE pk END, CASE WHEN is_base OR event_type = 'view' OR (click AND r IN (1, 2)) THEN seq END) AS k,
+        arg_max_null(CASE WHEN click AND r = 0 THEN event_id END, CASE WHEN is_base OR (click AND r <> 1) THEN seq END) AS seen FROM l GROUP BY ns, doc_id)
+        SELECT ns, doc_id, value, k, seen, seen IS NOT NULL AS has_tags FROM k WHERE base_op <> 'delete'"""
 _TRANSLATE = """w AS (SELECT event_id, doc_id, CASE WHEN op IN ('insert', 'replace') THEN 'replace' WHEN op = 'delete' THEN 'delete' WHEN event_id % 97 = 0 THEN 'replace' ELSE 'update' END AS action,
         CASE WHEN op = 'delete' THEN '' WHEN op IN ('insert', 'replace') OR event_id % 97 = 0 THEN 'value,props' WHEN event_type = 'view' THEN 'value' ELSE 'props' END AS sets, CASE WHEN event_type = 'click' AND event_id % 97 <> 0 THEN 'value' ELSE '' END AS unsets FROM changes)"""
 _HYDRATE = """h AS (SELECT event_id, doc_id, op, c_custkey IS NOT NULL AS found, c_nationkey AS part_key FROM changes LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON doc_id = c_custkey WHERE op IN ('update', 'replace', 'delete'))"""
@@ -256,6 +280,7 @@ _FNV = "(list_reduce(list_concat([2166136261::BIGINT], list_transform(range(0, s
 SQL = {
     "cdc_apply_final_state": FOLD,
     "cdc_replay": REPLAY,
+    "cdc_nested_replay": NESTED,
     "cdc_filter_excluded": _C + " SELECT event_id, ns FROM changes WHERE ns NOT IN ('shop.c1', 'shop.c3')",
     "cdc_translate": _C + f", {_TRANSLATE} SELECT event_id, doc_id, action, action = 'replace' AS upsert, sets, unsets FROM w",
     "cdc_op_counts": _C + " SELECT ns, op, count(*) AS n FROM changes GROUP BY ns, op",

@@ -1,30 +1,38 @@
-"""Replay of an ordered change log over documents of any fields.
+"""Replay of an ordered change log over documents of any fields, nested ones too.
 
-A log has ns, doc_id (of any type), op, its place (t, i, event_id), ``full`` (the whole document as a map of field to text, null where
-the change has none), ``sets`` (map) and ``unsets`` (array) of an update, ``rekeys`` (whether the update touches a field of the partition
-key) and ``to_ns`` (of a rename). Documents are flat: a field's name is compared whole.
+A log has ns, doc_id (of any type), op, its place (t, i, event_id), ``full`` (the whole document as a map of top-level field to text, null where the
+change has none), ``sets`` (map of path to text) and ``unsets`` (array of paths) of an update, ``rekeys`` (whether the update touches a field
+of the partition key) and ``to_ns`` (of a rename). A path is a field, or fields joined by dots that lead into documents within it; a field that paths
+lead into has JSON for text, and so have the values set there (what is no JSON counts as a string).
 
 * An insert or a replacement with its document is a base change; without one it is dropped.
 * An update that describes nothing, or touches the partition key, and has its document is a base change as well: what is left
   is that document, under its new key.
-* Other updates overlay single fields and do nothing where there is no document; a deletion removes the document.
+* Other updates overlay single paths and do nothing where there is no document; a deletion removes the document.
 * Schema events are barriers: a drop removes what was written to the namespace before it, a rename moves it.
 
-A document's state is its last base change and, for each field, the last change since then that writes it. As a base writes all of its fields,
-the last write of each field by key is enough: one aggregation over the log, partial before the shuffle, and one over its few rows. Only counting the
-changes of each document looks at the log again; keys with many changes are then dealt over several tasks.
+A document's state is its last base change and, for each path, the last change since then that writes it: a write to a path cancels what was
+written below it before, and a write below a path makes a document of it, which stays when that write is removed again. So for each path two
+changes are enough, the last one that writes it and the last one that writes below it; applied in their order to the base they give what all
+changes would. That is one aggregation over the log, partial before the shuffle, in which a base change is one row however wide its
+document is, and one over its few rows. Only documents that paths lead into are put together in Python, one small function for each.
 
-Cases: a null namespace or id is a key like any other; a change repeated whole counts once in the state and twice in n_changes; null maps and arrays
-are empty; changes of unknown kind are ignored; an empty log gives no documents; extra columns are ignored.
+Cases: a null namespace or id is a key like any other; a repeated change counts once; null maps and arrays are empty, null values are no fields; changes of
+unknown kind are ignored; an array is a value, so a path into it, as into any other value, makes a document of it; removing a path below a value or below
+nothing does nothing; an empty log gives no documents; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import database_of
-from tidemark.shared import discard, hot_keys, salted_join, written
+from tidemark.shared import discard, written
 
 SCHEMA_OPS = ("drop", "rename", "dropDatabase")
 COLUMNS = ("ns", "doc_id", "op", "t", "i", "event_id", "full", "sets", "unsets", "rekeys", "to_ns")
@@ -87,52 +95,127 @@ def through_schema(log: DataFrame) -> DataFrame:
     return met.withColumn("ns", F.when(F.col("_met").isNull(), F.col("ns")).otherwise(F.col("_met.to"))).select(*log.columns)
 
 
-def _writes() -> Column:
-    """(field, value) of a change; a field that is unset has no value; the document itself is the field null, written by bases and deletions."""
-    entries = "array<struct<field:string,value:string>>"
-    full, sets = (F.map_entries(F.coalesce(c, F.create_map().cast(_MAP))).cast(entries) for c in ("full", "sets"))
-    gone = F.transform(F.coalesce("unsets", F.array().cast("array<string>")), lambda u: F.struct(u.alias("field"), F.lit(None).cast("string").alias("value")))
-    itself = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.col("_kind").alias("value"))).cast(entries)
-    return F.when(F.col("_kind") == "base", F.concat(itself, full)).when(F.col("_kind") == "patch", F.concat(sets, gone.cast(entries))).otherwise(itself)
-
-
-def _documents_only(log: DataFrame) -> DataFrame:
-    return through_schema(log).withColumn("_kind", kind_of()).where(F.col("_kind").isin("base", "patch", "delete")).withColumn("_at", place())
-
-
-def _last_writes(rows: DataFrame) -> DataFrame:
-    """(ns, doc_id, field, value, at): the last write of each field of each key, aggregated before the shuffle and after it, so that a key
-    with many changes is a few rows for each task."""
-    cells = rows.select("ns", "doc_id", "_at", F.explode(_writes()).alias("w"))
-    return cells.groupBy("ns", "doc_id", "w.field").agg(F.max_by("w.value", "_at").alias("value"), F.max("_at").alias("at"))
-
-
-def fold(log: DataFrame, counted: bool = False) -> DataFrame:
-    """(ns, doc_id, doc): the documents that exist after ``log``; with ``counted`` also n_changes, how many changes each took part in since its
-    last base, which needs a second look at the log."""
-    rows = _documents_only(log)
-    last = written(_last_writes(rows), "replay-last") if counted else _last_writes(rows)
-    whole, entry = F.col("field").isNull(), F.struct("field", "value", "at")
-    docs = last.groupBy("ns", "doc_id").agg(F.first(F.when(whole, F.struct("value", "at")), True).alias("_base"), F.collect_list(F.when(~whole & F.col("value").isNotNull(), entry)).alias("_all"))
-    docs = docs.where("_base.value = 'base'")
-    # what was written before the base is not part of it; the base itself has written all of its fields
-    kept = F.transform(F.filter("_all", lambda e: e["at"] >= F.col("_base.at")), lambda e: F.struct(e["field"], e["value"]))
-    docs = docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(kept)).alias("doc"))
-    if not counted:
-        return docs
-    key = F.to_json(F.struct("ns", "doc_id"), {"ignoreNullFields": "false"})
-    sizes = written(rows.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("_kind") != "patch", F.col("_at"))).alias("_base_at")), "replay-sizes")
-    hot = hot_keys(sizes, "_key", sizes.agg(F.sum("n")).first()[0] or 0)
-    since = salted_join(rows.select(key.alias("_key"), "_at"), sizes.select("_key", "_base_at"), "_key", hot, "_at", "inner").where("_at >= _base_at")
-    counts = since.groupBy("_key").agg(F.count(F.lit(1)).alias("n_changes"))
-    return docs.withColumn("_key", key).join(counts, "_key").select("ns", "doc_id", "doc", "n_changes")
+_CELL = "array<struct<field:string,path:string,below:boolean,value:string>>"
+_ENTRIES = "array<struct<key:string,value:string>>"
+_FULL = "full"
+
+
+def _cells(paths: bool) -> Column:
+    """What a change writes, as (field, path, below, value): the field null for a base or a deletion, whose kind is the value; else the top-level field, the
+    rest of the path ("" for none) and the value set, null where it is removed. With ``below``, a place that a set path leads through."""
+
+    def cell(path: Column, value: Column) -> Column:
+        dot = F.instr(path, ".") if paths else F.lit(0)
+        field = F.when(dot > 0, F.substring(path, F.lit(1), dot - 1)).otherwise(path)
+        rest = F.when(dot > 0, F.substring(path, dot + 1, F.length(path))).otherwise("")
+        return F.struct(field.alias("field"), rest.alias("path"), F.lit(False).alias("below"), value.cast("string").alias("value"))
+
+    def through(path: Column) -> Column:
+        """The places on the way to a path: its field, and each document below that."""
+        steps = F.split(path, r"\.")
+        place = lambda n: F.struct(steps[0].alias("field"), F.array_join(F.slice(steps, F.lit(2), n - 1), ".").alias("path"), F.lit(True).alias("below"), F.lit("{}").alias("value"))
+        return F.when(F.size(steps) > 1, F.transform(F.sequence(F.lit(1), F.size(steps) - 1), place)).otherwise(F.array().cast(_CELL)).cast(_CELL)
+
+    entries = F.map_entries(F.coalesce("sets", F.create_map().cast(_MAP)))
+    sets = F.transform(entries, lambda e: cell(e["key"], e["value"])).cast(_CELL)
+    gone = F.transform(F.coalesce("unsets", F.array().cast("array<string>")), lambda u: cell(u, F.lit(None))).cast(_CELL)
+    patch = F.concat(sets, gone, F.flatten(F.transform(entries, lambda e: through(e["key"])))) if paths else F.concat(sets, gone)
+    null = F.lit(None).cast("string")
+    itself = F.array(F.struct(null.alias("field"), F.lit("").alias("path"), F.lit(False).alias("below"), F.col("_kind").alias("value"))).cast(_CELL)
+    return F.when(F.col("_kind") == "patch", patch).otherwise(itself)
+
+
+def _documents_only(log: DataFrame, schema: bool = True) -> DataFrame:
+    rows = through_schema(log) if schema else log
+    return rows.withColumn("_kind", kind_of()).where(F.col("_kind").isin("base", "patch", "delete")).withColumn("_at", place())
+
+
+def _last_writes(rows: DataFrame, paths: bool, *more: str) -> DataFrame:
+    """(ns, doc_id, field, path, below, value, at) and ``more`` columns of the change: the last write of each place of each key, aggregated before the
+    shuffle and after it, so that a key with many changes is a few rows for each task."""
+    cells = rows.select("ns", "doc_id", "_at", *more, F.explode(_cells(paths)).alias("w"))
+    last = F.max_by(F.struct(F.col("w.value").alias("value"), *more), "_at")
+    return cells.groupBy("ns", "doc_id", "w.field", "w.path", "w.below").agg(last.alias("_w"), F.max("_at").alias("at")).select("*", "_w.*").drop("_w")
+
+
+class _Plain(str):
+    """Text that is no JSON."""
+
+
+def _parsed(text: str):
+    try:
+        return json.loads(text)
+    except ValueError:
+        return _Plain(text)
+
+
+def overlaid(text: str | None, cells: list[dict]) -> str | None:
+    """A field's JSON after the writes (path, below, value) in their order; null where the field is removed."""
+    top: dict = {} if text is None else {"": _parsed(text)}
+    for c in cells:
+        steps = ["", *c["path"].split(".")] if c["path"] else [""]
+        at, sets = top, c["value"] is not None
+        for step in steps[:-1]:
+            if not isinstance(at.get(step), dict):
+                if not sets:
+                    break
+                at[step] = {}
+            at = at[step]
+        else:
+            if not sets:
+                at.pop(steps[-1], None)
+            elif not c["below"]:
+                at[steps[-1]] = _parsed(c["value"])
+            elif not isinstance(at.get(steps[-1]), dict):
+                at[steps[-1]] = {}
+    if "" not in top:
+        return None
+    return str(top[""]) if isinstance(top[""], _Plain) else json.dumps(top[""], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def _with_overlaid(docs: DataFrame) -> DataFrame:
+    """``docs`` with _built: the fields that paths lead into (_texts, null where there are none) after their writes (_cells)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("_texts").to_pylist(), b.column("_cells").to_pylist(), strict=True)
+            built = pa.array([None if c is None else [overlaid(t, f) for t, f in zip(x, c, strict=True)] for x, c in rows], pa.list_(pa.string()))
+            kept = b.drop_columns(["_texts", "_cells"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, built], names=[*kept.schema.names, "_built"])
+
+    kept = docs.drop("_texts", "_cells")
+    return docs.mapInArrow(run, ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes), "_built array<string>"]))
+
+
+def fold(log: DataFrame, paths: bool = True, schema: bool = True) -> DataFrame:
+    """(ns, doc_id, doc): the documents that exist after ``log``. Without ``paths``, names are fields whole, dots or not; without ``schema``, the log
+    is known to have no schema events and is not searched for them."""
+    last = _last_writes(_documents_only(log, schema), paths, _FULL)
+    whole = F.col("field").isNull()
+    entry = F.struct("at", "field", "path", "below", "value")
+    docs = last.groupBy("ns", "doc_id").agg(F.first(F.when(whole, F.struct("value", "at", _FULL)), True).alias("_base"), F.collect_list(F.when(~whole, entry)).alias("_all"))
+    docs = docs.where("_base.value = 'base'").withColumn("_live", F.array_sort(F.filter("_all", lambda e: e["at"] > F.col("_base.at"))))
+    full = F.filter(F.map_entries(F.col(f"_base.{_FULL}")), lambda e: e["value"].isNotNull())
+    touched = F.array_distinct(F.transform("_live", lambda e: e["field"]))
+    kept = F.filter(full, lambda e: ~F.array_contains(touched, e["key"])).cast(_ENTRIES)
+    added = F.transform(F.filter("_live", lambda e: e["value"].isNotNull()), lambda e: F.struct(e["field"].alias("key"), e["value"].alias("value"))).cast(_ENTRIES)
+    if paths:
+        fields = F.array_distinct(F.transform(F.filter("_live", lambda e: e["below"] | (e["path"] != "")), lambda e: e["field"]))
+        docs = docs.withColumn("_deep", F.when(F.size(fields) > 0, fields))
+        texts = F.transform("_deep", lambda f: F.try_element_at(F.col(f"_base.{_FULL}"), f))
+        cells = F.transform("_deep", lambda f: F.transform(F.filter("_live", lambda e: e["field"] == f), lambda e: F.struct(e["path"].alias("path"), e["below"].alias("below"), e["value"].alias("value"))))
+        flat = F.filter(added, lambda e: ~F.coalesce(F.array_contains("_deep", e["key"]), F.lit(False)))
+        docs = _with_overlaid(docs.select("ns", "doc_id", F.concat(kept, flat).alias("_flat"), "_deep", texts.alias("_texts"), cells.alias("_cells")))
+        built = F.filter(F.arrays_zip(F.col("_deep").alias("key"), F.col("_built").alias("value")), lambda e: e["value"].isNotNull())
+        kept, added = F.col("_flat"), F.coalesce(built.cast(_ENTRIES), F.array().cast(_ENTRIES))
+    return docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(F.concat(kept, added))).alias("doc"))
 
 
 def compact(log: DataFrame) -> DataFrame:
     """The changes of ``log`` that its fold still depends on, after its schema events: the last base or deletion of each key and, for each
-    field, its last writer since. Folding what is kept with any later changes gives what folding the whole log gives."""
+    place, its last writers since. Folding what is kept with any later changes gives what folding the whole log gives."""
     rows = _documents_only(log)
-    last = _last_writes(rows)
+    last = _last_writes(rows, True)
     bases = last.where("field IS NULL").select(F.col("ns").alias("_ns"), F.col("doc_id").alias("_id"), F.col("at").alias("_base"))
     both = last.join(bases, F.col("ns").eqNullSafe(F.col("_ns")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").where("_base IS NULL OR at >= _base")
     needed = both.select(F.col("ns").alias("_ns"), F.col("doc_id").alias("_id"), F.col("at").alias("_needed")).distinct()

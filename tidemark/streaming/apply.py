@@ -118,6 +118,6 @@ def windowed_counts(events: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 QUERIES = {"cdc_stream_final_state": cdc_stream_final_state, "event_counts_by_window": event_counts_by_window}
 SQL = {
-    "cdc_stream_final_state": FOLD.replace("SELECT doc_id, value, props, n_changes FROM k", "SELECT doc_id, value, props FROM k"),
+    "cdc_stream_final_state": FOLD,
     "event_counts_by_window": "SELECT ((floor(epoch(ts))::BIGINT // 600) * 600)::BIGINT AS start_t, event_type, count(*) AS n FROM events GROUP BY ALL",
 }
