@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -50,7 +51,7 @@ def audit_rows(seed=1):
 @pytest.mark.parametrize("least,top,small", [(1, 3, False), (4, 50, True)])
 def test_audit(spark, make, monkeypatch, least, top, small):
     if small:  # cells of pairs, blocks of terms and counts that leave early
-        for name, n in (("CELL", 2), ("SHARES", 4), ("CELLS", 1), ("COUNTS", 5), ("COUNTERS", 7), ("PREFIX", 1)):
+        for name, n in (("CELL", 2), ("SHARES", 4), ("CELLS", 1), ("COUNTERS", 7), ("PREFIX", 1), ("PIECE_TERMS", 2), ("MERGED", 3)):
             monkeypatch.setattr(source_audit, name, n)
     rows = audit_rows()
     docs = make(rows, "doc_id long, text string, lang string, source string").withColumnRenamed("n", "value").withColumnRenamed("h", "terms")
@@ -64,16 +65,30 @@ def test_shares_are_exact_where_products_leave_64_bits():
     assert source_audit.shares(counts, whole % (9 * 10**15)).tolist() == [1 + 10**9 * (int(c) + 5) // int(w) for c, w in zip(counts, whole % (9 * 10**15))]
 
 
-def test_tries_share_prefixes_and_walk_in_order():
-    trie = source_audit.RadixTrie()
-    words = [w.encode() for w in ("team", "tea", "te", "toast", "été", "", "teams", "a", "日本", "日")]
-    for i, w in enumerate(words):
-        trie.add(trie.leaf(w), 1, [("s", i)])
-        trie.add(trie.leaf(w), 1, [("t", 1)])
-    walked = list(trie.walk())
-    assert [w for w, _ in walked] == sorted(words) and all(leaf == [2, {"s": words.index(w), "t": 1}] for w, leaf in walked)
-    assert trie.counters == 2 * len(words) and set(trie.root[0]) == {w[0] for w in words if w}
-    assert trie.root[0][ord("t")][0] == b"t" and trie.root[0][ord("t")][1][0][ord("e")][0] == b"e"
+def test_tries_share_prefixes_and_merge_in_order():
+    rng = random.Random(4)
+    words = [w.encode() for w in ("team", "tea", "te", "toast", "été", "teams", "a", "日本", "日", "x" * 90, "x" * 90 + "y", "x" * 95)]
+    parts, want, docs = [], defaultdict(Counter), Counter()
+    for _ in range(5):
+        documents, counts = Counter(rng.choices(words, k=9)), defaultdict(Counter)
+        for w in documents:
+            for s in rng.sample("stu", rng.randrange(1, 4)):
+                counts[s][w] += rng.randrange(1, 9)
+                want[w][s] += counts[s][w]
+        docs.update(documents)
+        trie = source_audit.Trie.of(documents, counts)
+        assert trie.terms == sorted(documents)
+        piece = source_audit._pieces("en", trie)
+        assert source_audit._trie_of(piece).terms == trie.terms  # cut by prefix and read back
+        parts.append(source_audit._trie_of(piece))
+    trie = source_audit.Trie.merge(parts)
+    assert trie.terms == sorted(want) and trie.documents.tolist() == [docs[w] for w in trie.terms]
+    ends = np.cumsum(trie.sizes).tolist()
+    for w, a, b in zip(trie.terms, [0, *ends], ends):
+        assert dict(zip(trie.sources[a:b].to_pylist(), trie.counts[a:b].tolist())) == want[w]
+    depths = source_audit.Trie.of(Counter(words), {"s": Counter(words)}).depths().tolist()
+    ordered = sorted(words)
+    assert depths == [0, *(len(os.path.commonprefix([a, b])) for a, b in zip(ordered, ordered[1:]))]
 
 
 @pytest.mark.parametrize("longest", [1, 2, 4])

@@ -1,8 +1,9 @@
 """How far the sources of each language stand apart in their words, from mergeable radix tries.
 
-A task counts its texts' terms in one byte trie for each language: an edge is a run of bytes, a leaf holds how many documents have the term and a
-counter for each source. Tries leave the task cut by prefix, each piece in byte order; pieces of a language and prefix range meet in one
-task, which merges them and walks the result in UTF-8 order. A term that enough documents of its language have is kept with its counters.
+A task counts its texts' terms in one byte trie for each language: a leaf holds how many documents have the term and a counter for each source. Tries are
+flat, in the order of a walk: for each term the depth at which it leaves the path of the term before, and the label from there on. They leave the task cut
+by prefix; pieces of a language and prefix range meet in one task, which merges them in UTF-8 order. A term that enough documents of its language
+have is kept with its counters.
 
 From then on there are kept terms alone. Tasks walk them in order, block by block: absolute differences of shares are added up for each pair
 of sources (in square cells of source pairs, so that memory does not grow with their number), and for each source the best candidates are held, ties in the order of the walk.
@@ -18,6 +19,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,162 +35,163 @@ from tidemark.shared import discard, written
 LEAST_DOCS, TOP, SMOOTHING, SCALE = 30, 50, 5, 10**9
 #: ASCII letters and all beyond ASCII; bytes.lower() lowers A-Z alone.
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
-#: Bytes of the prefix by which tries are cut and merged.
-PREFIX = 3
-#: Counts that a task holds before they go to its tries, and counters of its tries before those leave the task.
-COUNTS, COUNTERS = 200_000, 1_000_000
+#: Bytes of the prefix by which tries are cut and merged, and terms of a piece at most, so that pieces are of like size and ranges of them too.
+PREFIX, PIECE_TERMS = 4, 64
+#: Counters that a task holds before its tries leave it, and terms that are merged at a time, but for a prefix that has more.
+COUNTERS, MERGED = 400_000, 20_000
 #: Sources on a side of a cell of pairs; shares (terms by sources) that are held at a time; cells that are added up before they leave the task.
 CELL, SHARES, CELLS = 256, 1 << 20, 64
 
 
-class RadixTrie:
-    """Byte strings with a leaf each: [documents, {source: occurrences}]."""
-
-    def __init__(self):
-        self.root: list = [{}, None]
-        self.counters = 0
-
-    def leaf(self, term: bytes) -> list:
-        """The leaf of ``term``, made where there is none."""
-        node, at = self.root, 0
-        while at < len(term):
-            edge = node[0].get(term[at])
-            if edge is None:
-                new: list = [{}, None]
-                node[0][term[at]] = [term[at:], new]
-                node, at = new, len(term)
-                continue
-            label, below = edge
-            if not term.startswith(label, at):  # the edge forks within its label
-                same = 1
-                while same < len(label) and at + same < len(term) and label[same] == term[at + same]:
-                    same += 1
-                fork: list = [{label[same]: [label[same:], below]}, None]
-                edge[0], edge[1] = label[:same], fork
-                label, below = edge
-            node, at = below, at + len(label)
-        if node[1] is None:
-            node[1] = [0, {}]
-        return node[1]
-
-    def add(self, leaf: list, documents: int, counts: Iterator[tuple[str, int]]) -> None:
-        leaf[0] += documents
-        held = leaf[1]
-        before = len(held)
-        for source, n in counts:
-            held[source] = held.get(source, 0) + n
-        self.counters += len(held) - before
-
-    def walk(self) -> Iterator[tuple[bytes, list]]:
-        """(term, leaf) in the order of bytes, which is that of UTF-8."""
-        todo = [(b"", self.root)]
-        while todo:
-            term, (edges, leaf) = todo.pop()
-            if leaf is not None:
-                yield term, leaf
-            todo += [(term + edges[b][0], edges[b][1]) for b in sorted(edges, reverse=True)]
-
-
-def _lists(parts: list[list], kind: pa.DataType) -> pa.ListArray:
-    flat = [x for p in parts for x in p]
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
-
-
-PIECE = "lang string, prefix binary, terms array<binary>, documents array<long>, sizes array<int>, sources array<string>, counts array<long>"
-_KINDS = (pa.binary(), pa.int64(), pa.int32(), pa.string(), pa.int64())
-_NAMES = ["lang", "prefix", "terms", "documents", "sizes", "sources", "counts"]
-
-
-def _pieces(lang: str, trie: RadixTrie, most: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """The trie cut by prefix, as rows of PIECE; terms come without their prefix."""
-    rows: list[tuple] = []
-    held = 0
-    for term, (documents, counts) in trie.walk():
-        prefix = term[:PREFIX]
-        if not rows or rows[-1][0] != prefix:
-            if held > most:
-                yield _piece_rows(lang, rows)
-                rows, held = [], 0
-            rows.append((prefix, [], [], [], [], []))
-        _, terms, docs, sizes, sources, ns = rows[-1]
-        terms.append(term[PREFIX:])
-        docs.append(documents)
-        sizes.append(len(counts))
-        sources += counts.keys()
-        ns += counts.values()
-        held += len(counts)
-    if rows:
-        yield _piece_rows(lang, rows)
-
-
-def _piece_rows(lang: str, rows: list[tuple]) -> pa.RecordBatch:
-    columns = [_lists([r[i] for r in rows], kind) for i, kind in enumerate(_KINDS, 1)]
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows)), pa.array([r[0] for r in rows], pa.binary()), *columns], names=_NAMES)
+class Trie:
+    """A radix trie in the order of its walk: terms ascend, and each has documents[i] documents and the next sizes[i] of the counters (sources, counts)."""
+
+    def __init__(self, terms: list[bytes], documents: np.ndarray, sizes: np.ndarray, sources: pa.Array, counts: np.ndarray):
+        self.terms, self.documents, self.sizes, self.sources, self.counts = terms, documents, sizes, sources, counts
+
+    @classmethod
+    def of(cls, documents: Counter, counts: dict[str, Counter]) -> Trie:
+        """The trie of counted terms (documents of each term, occurrences of each by source)."""
+        terms = list(documents)
+        parts = [(source, found) for source, found in counts.items() if found]
+        named = pa.array([source for source, _ in parts], pa.string())
+        who = np.repeat(np.arange(len(parts)), [len(found) for _, found in parts])
+        entry = [term for _, found in parts for term in found]
+        n = np.array([x for _, found in parts for x in found.values()], np.int64)
+        return cls._ordered(terms, np.fromiter(documents.values(), np.int64, len(terms)), entry, who, named, n)
+
+    @classmethod
+    def merge(cls, tries: list[Trie]) -> Trie:
+        """The trie of all terms of several: counters of one term and source add up."""
+        terms = [t for x in tries for t in x.terms]
+        entry = [t for x in tries for t, n in zip(x.terms, x.sizes.tolist(), strict=True) for t in (t,) * n]
+        coded = pa.chunked_array([x.sources for x in tries]).combine_chunks().dictionary_encode()
+        return cls._ordered(terms, np.concatenate([x.documents for x in tries]), entry, coded.indices.to_numpy(), coded.dictionary, np.concatenate([x.counts for x in tries]))
+
+    @classmethod
+    def _ordered(cls, terms: list[bytes], documents: np.ndarray, entry: list[bytes], who: np.ndarray, named: pa.Array, n: np.ndarray) -> Trie:
+        """From terms with documents and counters (term, source, n), in any order and any number of times."""
+        walk = sorted(set(terms))
+        place = {term: i for i, term in enumerate(walk)}.__getitem__
+        docs = np.bincount(np.fromiter(map(place, terms), np.int64, len(terms)), weights=documents, minlength=len(walk)).astype(np.int64)
+        key = np.fromiter(map(place, entry), np.int64, len(entry)) * max(1, len(named)) + who
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(key[order]) != 0)) if len(key) else np.zeros(0, np.int64)
+        held = key[order][first]
+        counts = np.add.reduceat(n[order], first) if len(key) else n
+        sizes = np.bincount(held // max(1, len(named)), minlength=len(walk))
+        return cls(walk, docs, sizes, named.take(pa.array(held % max(1, len(named)))), counts)
+
+    def where(self, stays: np.ndarray) -> Trie:
+        """The trie of the terms that stay."""
+        mask = np.repeat(stays, self.sizes)
+        return Trie([t for t, s in zip(self.terms, stays.tolist(), strict=True) if s], self.documents[stays], self.sizes[stays], self.sources.filter(pa.array(mask)), self.counts[mask])
+
+    def depths(self) -> np.ndarray:
+        """How many bytes each term shares with the term before, which is where its edge leaves that one's path."""
+        out, width = np.zeros(len(self.terms), np.int64), 32
+        if len(self.terms) > 1:
+            size = np.fromiter(map(len, self.terms), np.int64, len(self.terms))
+            head = np.array(self.terms, f"S{width}").view(np.uint8).reshape(-1, width)
+            same = (head[1:] == head[:-1]).cumprod(axis=1).sum(1)
+            out[1:] = np.minimum(same, np.minimum(size[1:], size[:-1]))
+            for i in np.flatnonzero(out == width):  # both go on beyond the head
+                out[i] = len(os.path.commonprefix([self.terms[i - 1], self.terms[i]]))
+        return out
+
+
+_COLUMNS = {"lang": "string", "prefix": "binary", "depths": "array<int>", "labels": "array<binary>", "documents": "array<long>", "sizes": "array<int>", "sources": "array<string>", "counts": "array<long>"}
+PIECE = ", ".join(f"{name} {kind}" for name, kind in _COLUMNS.items())
+
+
+def _pieces(lang: str, trie: Trie) -> pa.RecordBatch:
+    """The trie cut by prefix into rows of PIECE; the first term of a row leaves the path at the prefix."""
+    n = len(trie.terms)
+    prefix = [t[:PREFIX] for t in trie.terms]
+    new = np.fromiter((i == 0 or prefix[i] != prefix[i - 1] for i in range(n)), bool, n)
+    run = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    start = np.flatnonzero((np.arange(n) - run) % PIECE_TERMS == 0)
+    depth = trie.depths()
+    depth[start] = [len(prefix[i]) for i in start]
+    labels = [t[d:] for t, d in zip(trie.terms, depth.tolist(), strict=True)]
+    at, ends = pa.array(np.append(start, n), pa.int32()), np.append(0, np.cumsum(trie.sizes))
+    of_terms = lambda values, kind: pa.ListArray.from_arrays(at, pa.array(values, kind))
+    counters = pa.array(ends[np.append(start, n)], pa.int32())
+    columns = [
+        pa.array([lang] * len(start)), pa.array([prefix[i] for i in start], pa.binary()), of_terms(depth, pa.int32()), of_terms(labels, pa.binary()), of_terms(trie.documents, pa.int64()), of_terms(trie.sizes, pa.int32()),
+        pa.ListArray.from_arrays(counters, trie.sources), pa.ListArray.from_arrays(counters, pa.array(trie.counts, pa.int64())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=list(_COLUMNS))
+
+
+def _trie_of(pieces: pa.RecordBatch) -> Trie:
+    """The terms of some pieces, row after row, with their counters; not yet one trie, as rows may hold the same terms."""
+    flat = {name: pieces.column(name).flatten() for name in list(_COLUMNS)[2:]}
+    terms, path = [], b""
+    starts = [p for p, n in zip(pieces.column("prefix").to_pylist(), pieces.column("depths").value_lengths().to_pylist(), strict=True) for p in (p, *(None,) * (n - 1))]
+    for start, depth, label in zip(starts, flat["depths"].to_pylist(), flat["labels"].to_pylist(), strict=True):
+        path = (path if start is None else start)[:depth] + label
+        terms.append(path)
+    return Trie(terms, flat["documents"].to_numpy(), flat["sizes"].to_numpy(), flat["sources"], flat["counts"].to_numpy())
 
 
 def tries(docs: DataFrame) -> DataFrame:
     """The tries of all tasks over ``docs`` (lang, source, text as bytes), cut by prefix, as rows of PIECE."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = defaultdict(Counter)
+        counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
         documents: dict[str, Counter] = defaultdict(Counter)
-        tree: dict[str, RadixTrie] = defaultdict(RadixTrie)
-
-        def settle() -> None:
-            leaves = {lang: {term: tree[lang].leaf(term) for term in seen} for lang, seen in documents.items()}
-            for lang, seen in documents.items():
-                for term, n in seen.items():
-                    leaves[lang][term][0] += n
-            for (lang, source), found in counts.items():
-                trie, of = tree[lang], leaves[lang]
-                for term, n in found.items():
-                    trie.add(of[term], 0, ((source, n),))
-            counts.clear()
-            documents.clear()
+
+        def left() -> Iterator[pa.RecordBatch]:
+            for lang in list(documents):
+                trie = Trie.of(documents.pop(lang), counts.pop(lang))
+                if trie.terms:
+                    yield _pieces(lang, trie)
 
         for b in batches:
             for part in slices(b, "text"):
                 for lang, source, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     terms = TERM.findall(text.lower())
-                    counts[lang, source].update(terms)
+                    counts[lang][source].update(terms)
                     documents[lang].update(set(terms))
-                if sum(map(len, counts.values())) > COUNTS:
-                    settle()
-                if sum(t.counters for t in tree.values()) > COUNTERS:
-                    for lang in list(tree):
-                        yield from _pieces(lang, tree.pop(lang))
-        settle()
-        for lang, trie in tree.items():
-            yield from _pieces(lang, trie)
+                if sum(len(found) for by_source in counts.values() for found in by_source.values()) > COUNTERS:
+                    yield from left()
+        yield from left()
 
     return docs.select("lang", "source", "text").mapInArrow(count, PIECE)
 
 
 def merged(pieces: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """(lang, term, sources, counts): the terms that ``least`` documents of the language have, in order within each task. Pieces are dealt by
-    ranges of language and prefix, and a task holds the trie of one prefix at a time."""
+    ranges of language and prefix, and a task merges some prefixes at a time."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, trie = None, RadixTrie()
+        held: list[Trie] = []
+        size, last = 0, None
 
         def kept() -> Iterator[pa.RecordBatch]:
-            if key is not None:
-                rows = [(key[1] + term, counts) for term, (n, counts) in trie.walk() if n >= least]
-                if rows:
-                    columns = [pa.array([key[0]] * len(rows)), pa.array([t.decode() for t, _ in rows]), _lists([list(c) for _, c in rows], pa.string()), _lists([list(c.values()) for _, c in rows], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "term", "sources", "counts"])
+            trie = Trie.merge(held)
+            trie = trie.where(trie.documents >= least)
+            if trie.terms:
+                at = pa.array(np.append(0, np.cumsum(trie.sizes)), pa.int32())
+                columns = [pa.array([last[0]] * len(trie.terms)), pa.array([t.decode() for t in trie.terms]), pa.ListArray.from_arrays(at, trie.sources), pa.ListArray.from_arrays(at, pa.array(trie.counts, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "term", "sources", "counts"])
 
         for b in batches:
-            for i in range(b.num_rows):
-                lang, prefix, terms, documents, sizes, sources, counts = (c[i].as_py() for c in b.columns)
-                if (lang, prefix) != key:
+            keys = list(zip(b.column("lang").to_pylist(), b.column("prefix").to_pylist(), strict=True))
+            lengths = b.column("depths").value_lengths().to_pylist()
+            start = 0
+            for i, key in enumerate(keys):
+                if last is not None and key != last and (size >= MERGED or key[0] != last[0]):
+                    if i > start:
+                        held.append(_trie_of(b.slice(start, i - start)))
                     yield from kept()
-                    key, trie = (lang, prefix), RadixTrie()
-                at = 0
-                for term, n, size in zip(terms, documents, sizes, strict=True):
-                    trie.add(trie.leaf(term), n, zip(sources[at : at + size], counts[at : at + size]))
-                    at += size
-        yield from kept()
+                    held, size, start = [], 0, i
+                last, size = key, size + lengths[i]
+            if start < b.num_rows:
+                held.append(_trie_of(b.slice(start)))
+        if held:
+            yield from kept()
 
     ranges = pieces.repartitionByRange("lang", "prefix").sortWithinPartitions("lang", "prefix")
     return ranges.mapInArrow(merge, "lang string, term string, sources array<string>, counts array<long>")
