@@ -211,6 +211,12 @@ def fold(log: DataFrame, paths: bool = True, schema: bool = True) -> DataFrame:
     return docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(F.concat(kept, added))).alias("doc"))
 
 
+def existing(log: DataFrame) -> DataFrame:
+    """(ns, doc_id) of the documents that exist after a log without schema events: those whose last base change or deletion is a base change."""
+    rows = _documents_only(log, schema=False).where("_kind <> 'patch'")
+    return rows.groupBy("ns", "doc_id").agg(F.max_by("_kind", "_at").alias("_last")).where("_last = 'base'").select("ns", "doc_id")
+
+
 def compact(log: DataFrame) -> DataFrame:
     """The changes of ``log`` that its fold still depends on, after its schema events: the last base or deletion of each key and, for each
     place, its last writers since. Folding what is kept with any later changes gives what folding the whole log gives."""
