@@ -5,10 +5,10 @@ from __future__ import annotations
 from tidemark.functions import keys
 from tidemark.operators import cdc, records, validation
 from tidemark.plans import health, indexes, splits
-from tidemark.sources import discovery, sinks, snapshot
-from tidemark.streaming import apply
+from tidemark.sources import discovery, segments, sinks, snapshot
+from tidemark.streaming import apply, dirty
 
-MODULES = (keys, discovery, snapshot, sinks, cdc, validation, records, splits, indexes, health, apply)
+MODULES = (keys, discovery, snapshot, segments, sinks, cdc, validation, records, splits, indexes, health, apply, dirty)
 
 
 def queries() -> dict:
