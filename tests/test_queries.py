@@ -39,4 +39,4 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"batch_pack_bytes"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"collection_storage"}

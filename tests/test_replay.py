@@ -230,20 +230,6 @@ def test_ring_points():
     assert len(points) == 11 and points == sorted(points) and points[0] == -(2**63) + (2**64 - 1) // 12
 
 
-def test_batches_by_bytes_end_with_the_row_that_fills_them(spark):
-    rows = spark.createDataFrame([(k, 10 * (k % 4)) for k in range(40)], "k long, size long").coalesce(1)
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    got = sorted(snapshot.pack_by_bytes(rows, "k", "size", 6, 50).collect(), key=lambda r: r["batch"])
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    want, n, total, first = [], 0, 0, 0
-    for k in range(40):
-        first, n, total = (k if n == 0 else first), n + 1, total + 10 * (k % 4)
-        if n >= 6 or total >= 50 or k == 39:
-            want.append((n, first, k, total))
-            n = total = 0
-    assert [(r["n"], r["first_key"], r["last_key"], r["bytes"]) for r in got] == want
-
-
 def test_segments_when_rows_divide_evenly(spark):
     rows = spark.createDataFrame([(k,) for k in range(20)], "k long")
     got = [(r["segment"], r["min_key"], r["max_key"], r["n"]) for r in snapshot.segment_plan(rows, "k", 9).orderBy("segment").collect()]

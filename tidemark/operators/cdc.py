@@ -10,6 +10,7 @@ from tidemark.frames import CHANGES, change_log, changes, cte, fields_of, frame,
 from tidemark.functions.keys import collection_of, database_of, error_class, worker_of
 from tidemark.operators import replay
 from tidemark.shared import numbered
+from tidemark.sources.cuts import cut
 
 DDL = ("drop", "rename", "create", "dropDatabase", "createIndexes", "dropIndexes")
 
@@ -89,6 +90,14 @@ def batches(log: DataFrame, size: int, workers: int = 4) -> DataFrame:
     return out.select("worker", "ns", "batch", "n", F.col("last.t").alias("last_t"), F.col("last.i").alias("last_i"))
 
 
+def ticked_batches(log: DataFrame, size: int, tick_s: int, workers: int = 4) -> DataFrame:
+    """Micro-batches of each worker and namespace that end by ``size`` or with the tick of ``tick_s`` seconds, with the last place in each."""
+    tick = F.expr(f"t div {tick_s}").alias("tick")
+    routed = log.select(worker_of(F.col("doc_id"), workers).alias("worker"), "ns", tick, F.struct("t", "i").alias("place"))
+    out = cut(routed, ["place"], F.lit(0), size, by=("worker", "ns", "tick"))
+    return out.select("batch", "worker", "ns", "tick", "n", F.col("last_key.t").alias("last_t"), F.col("last_key.i").alias("last_i"))
+
+
 def quarantine(writes_: DataFrame) -> DataFrame:
     """Splits writes into those to apply and those that no repetition can help (an update with nothing to do)."""
     bad = (F.col("action") == "update") & (F.col("sets") == "") & (F.col("unsets") == "")
@@ -172,6 +181,11 @@ def cdc_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches(changes(spark, sf_dir), 100)
 
 
+def cdc_batches_ticked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of this log are minutes apart, so a tick is a day."""
+    return ticked_batches(changes(spark, sf_dir), 10, 86_400)
+
+
 def cdc_shard_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = changes(spark, sf_dir).withColumn("old_key", F.col("doc_id") % 4).withColumn("new_key", F.floor("value").cast("long") % 4)
     return split_key_changes(log, F.col("event_type") == "view", F.col("event_id") % 2 == 0)
@@ -255,7 +269,7 @@ def dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.crossJoin(F.broadcast(applied)).where("t > applied_t").groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
 
 
-QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_nested_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
+QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_nested_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_batches_ticked, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}
 _C = "WITH " + CHANGES
 FOLD = _C + """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
         l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op,
@@ -286,6 +300,8 @@ SQL = {
     "cdc_op_counts": _C + " SELECT ns, op, count(*) AS n FROM changes GROUP BY ns, op",
     "cdc_batches": _C + f""", r AS (SELECT *, {_FNV} AS worker FROM changes), c AS (SELECT *, (row_number() OVER (PARTITION BY worker, ns ORDER BY t, i) - 1) // 100 AS batch FROM r)
         SELECT worker, ns, batch, count(*) AS n, arg_max(t, t * 1000000 + i) AS last_t, arg_max(i, t * 1000000 + i) AS last_i FROM c GROUP BY worker, ns, batch""",
+    "cdc_batches_ticked": _C + f""", r AS (SELECT *, {_FNV} AS worker, t // 86400 AS tick FROM changes), c AS (SELECT *, (row_number() OVER (PARTITION BY worker, ns, tick ORDER BY t, i) - 1) // 10 AS k FROM r),
+        g AS (SELECT worker, ns, tick, k, count(*) AS n, arg_max(t, t * 1000000 + i) AS last_t, arg_max(i, t * 1000000 + i) AS last_i FROM c GROUP BY ALL) SELECT row_number() OVER (ORDER BY worker, ns, tick, k) - 1 AS batch, worker, ns, tick, n, last_t, last_i FROM g""",
     "cdc_shard_key_split": _C + """, s AS (SELECT *, event_type = 'view' AND event_id % 2 = 0 AS split, doc_id % 4 AS old_key, floor(value)::BIGINT % 4 AS new_key FROM changes)
         SELECT event_id, 1::INTEGER AS part, CASE WHEN split THEN 'delete' ELSE op END AS action, old_key AS part_key, split FROM s UNION ALL SELECT event_id, 2::INTEGER, 'insert', new_key, split FROM s WHERE split""",
     "cdc_hydrate": _C + f", {_HYDRATE} SELECT * FROM h",

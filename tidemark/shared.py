@@ -72,7 +72,7 @@ class Folder:
 
 
 def discard(table: DataFrame) -> None:
-    """Delete a table that :func:`written` gave and that nothing reads any more."""
+    """Delete a table that :func:`written` or :func:`numbered` gave and that nothing reads any more."""
     top, name = table._written_to.rsplit("/", 1)
     Folder(table.sparkSession, top).delete(name)
 
@@ -109,8 +109,11 @@ def numbered(df: DataFrame, *order: str, name: str = "rn") -> DataFrame:
     """``df`` with the global row number (from 1) in the order of ``order``, without one task that holds all rows: rows are dealt by
     range, numbered within their part, and shifted by the sizes of the parts before (one row for each part, broadcast)."""
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mono", F.monotonically_increasing_id())
-    parts = written(parts, "numbered").withColumn("_part", F.shiftright("_mono", 33)).withColumn("_at", F.col("_mono").bitwiseAND((1 << 33) - 1))
+    held = written(parts, "numbered")
+    parts = held.withColumn("_part", F.shiftright("_mono", 33)).withColumn("_at", F.col("_mono").bitwiseAND((1 << 33) - 1))
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return parts.join(F.broadcast(shift), "_part").withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_mono", "_part", "_at", "_shift")
+    out = parts.join(F.broadcast(shift), "_part").withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_mono", "_part", "_at", "_shift")
+    out._written_to = held._written_to  # for :func:`discard`
+    return out

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.frames import TARGET, source, table, target
 from tidemark.shared import numbered
+from tidemark.sources.cuts import cut
 
 SEGMENT_DOCS, BATCH_DOCS, BATCH_BYTES = 10_000, 1000, 16 << 20
 
@@ -29,13 +27,6 @@ def segment_plan(rows: DataFrame, key: str, size: int = SEGMENT_DOCS) -> DataFra
     return every.select("segment", F.lag("max_key").over(bounds).alias("min_key"), F.when(~last, F.col("max_key")).alias("max_key"), "n")
 
 
-def range_scan(rows: DataFrame, key: str, low: int | None, high: int | None) -> DataFrame:
-    """The rows of one segment; both bounds reach the Parquet scan."""
-    if low is not None:
-        rows = rows.where(F.col(key) > low)
-    return rows if high is None else rows.where(F.col(key) <= high)
-
-
 def scan_segments(rows: DataFrame, key: str, size: int = SEGMENT_DOCS) -> DataFrame:
     """All rows with the number of their segment of :func:`segment_plan`. Keys are distinct, as ids are."""
     return numbered(rows, key).withColumn("segment", F.floor((F.col("rn") - 1) / (size + 1))).drop("rn")
@@ -48,26 +39,8 @@ def pack_by_count(rows: DataFrame, key: str, size: str, n: int = BATCH_DOCS) ->
 
 
 def pack_by_bytes(rows: DataFrame, key: str, size: str, n: int = BATCH_DOCS, most: int = BATCH_BYTES) -> DataFrame:
-    """Batches of a sorted scan that end with the row that reaches ``n`` rows or ``most`` bytes. Each part of the scan packs its own rows,
-    as each reader does; a part passes through as a stream."""
-
-    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = last = None
-        count = total = batch = 0
-        part = None
-        for pdf in parts:
-            out = []
-            for k, b, p in zip(pdf["k"], pdf["bytes"], pdf["part"], strict=True):
-                part, first, last, count, total = p, k if count == 0 else first, k, count + 1, total + b
-                if count >= n or total >= most:
-                    out.append((part, batch, count, first, last, total))
-                    batch, count, total = batch + 1, 0, 0
-            yield pd.DataFrame(out, columns=["part", "batch", "n", "first_key", "last_key", "bytes"])
-        if count:
-            yield pd.DataFrame([(part, batch, count, first, last, total)], columns=["part", "batch", "n", "first_key", "last_key", "bytes"])
-
-    scan = rows.select(F.col(key).alias("k"), F.expr(size).cast("long").alias("bytes")).repartitionByRange("k").sortWithinPartitions("k").withColumn("part", F.spark_partition_id())
-    return scan.mapInPandas(cut, "part int, batch long, n long, first_key long, last_key long, bytes long")
+    """Batches of a sorted scan that end with the row that reaches ``n`` rows or ``most`` bytes; see :mod:`tidemark.sources.cuts`."""
+    return cut(rows, [key], F.expr(size), n, most)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -118,6 +91,9 @@ SQL = {
     "range_scan": "SELECT o_orderkey, o_custkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS segment FROM orders",
     "linear_scan": "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS quantity, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key FROM lineitem GROUP BY ALL",
     "batch_pack": "SELECT (row_number - 1) // 64 AS batch, count(*) AS n, min(doc_id) AS first_key, max(doc_id) AS last_key, sum(n_chars)::BIGINT AS bytes FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS row_number FROM documents) GROUP BY 1",
+    "batch_pack_bytes": """WITH RECURSIVE r AS (SELECT doc_id AS k, n_chars AS b, row_number() OVER (ORDER BY doc_id) AS rn FROM documents), w AS (SELECT rn, k, b, 0::BIGINT AS batch, 1 AS c, b AS total FROM r WHERE rn = 1
+        UNION ALL SELECT r.rn, r.k, r.b, CASE WHEN c >= 64 OR total >= 131072 THEN batch + 1 ELSE batch END, CASE WHEN c >= 64 OR total >= 131072 THEN 1 ELSE c + 1 END, CASE WHEN c >= 64 OR total >= 131072 THEN r.b ELSE total + r.b END FROM w JOIN r ON r.rn = w.rn + 1)
+        SELECT batch, count(*) AS n, min(k) AS first_key, max(k) AS last_key, sum(b)::BIGINT AS bytes FROM w GROUP BY batch""",
     "snapshot_upsert": f"WITH {TARGET} SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)",
     "copy_reconcile": f"WITH {TARGET}, n AS (SELECT (SELECT count(*) FROM orders) AS source_docs, (SELECT count(*) FROM tgt) AS target_docs) SELECT *, source_docs - target_docs AS missing, source_docs = target_docs AS matches FROM n",
 }
