@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.frames import cte, frame, source, table, target
-from tidemark.operators.validation import _COMPARE, MAX_RETRIES, compare, with_status
+from tidemark.operators.validation import COMPARED, MAX_RETRIES, compare, with_status
 
 
 def decode(rows: DataFrame, text: str, schema: str) -> DataFrame:
@@ -88,6 +88,6 @@ SQL = {
     "point_lookup": "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error')",
     "hot_key_deferral": cte("dirty_checks") + "SELECT no, CASE WHEN dirty AND attempt < 3 THEN 'wait' WHEN dirty THEN 'hot_key_waiting' ELSE 'check' END AS step FROM dirty_checks",
     "checkpoint_save": cte("checkpoints") + ", n AS (SELECT * FROM (VALUES ('cdc_resume_timestamp', 510, 1), ('crm.people', 511, 4), ('iot.live', 512, 2)) AS t(id, t, i)) SELECT * FROM checkpoints WHERE id NOT IN (SELECT id FROM n) AND id <> 'migration_anchor_timestamp' UNION ALL SELECT * FROM n",
-    "audit_append": cte("audit") + f""", {_COMPARE}, a AS (SELECT ns, action FROM audit UNION ALL SELECT 'shop.orders', CASE outcome WHEN 'ghost' THEN 'ghost_fixed' WHEN 'missing' THEN 'missing_target_fixed' WHEN 'mismatch' THEN 'content_mismatch_fixed' ELSE 'orphan_deleted' END FROM v WHERE outcome <> 'valid') SELECT ns, action, count(*) AS n FROM a GROUP BY ALL""",
+    "audit_append": cte("audit") + f""", {COMPARED}, a AS (SELECT ns, action FROM audit UNION ALL SELECT 'shop.orders', CASE outcome WHEN 'ghost' THEN 'ghost_fixed' WHEN 'missing' THEN 'missing_target_fixed' WHEN 'mismatch' THEN 'content_mismatch_fixed' ELSE 'orphan_deleted' END FROM v WHERE outcome <> 'valid') SELECT ns, action, count(*) AS n FROM a GROUP BY ALL""",
     "batch_failures": "SELECT o_orderkey // 100 AS batch, 'batch_failed' AS status, count(*) AS n FROM orders WHERE (o_orderkey // 100) % 7 = 3 GROUP BY 1",
 }

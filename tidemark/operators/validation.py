@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.frames import TARGET, cte, frame, source, table, target
-from tidemark.shared import numbered
+from tidemark.shared import numbered, written
 
 ACTIONS = {"ghost": "ghost_fixed", "missing": "missing_target_fixed", "mismatch": "content_mismatch_fixed", "orphan": "orphan_deleted"}
 MANUAL, MAX_RETRIES = "manual_validation_required", 3
@@ -61,7 +61,7 @@ def any_of(rows: DataFrame, most: int = 1) -> DataFrame:
 
 def repair(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
     """The target after repair: valid rows stay, orphans go, all other keys get the source's row."""
-    bad = compare(src, tgt, key).where("outcome <> 'valid'").select(key, "outcome")
+    bad = written(compare(src, tgt, key).where("outcome <> 'valid'").select(key, "outcome"), "repair-verdicts")  # both joins read it
     kept = tgt.join(bad.select(key), key, "left_anti")
     return kept.unionByName(src.join(bad.where("outcome <> 'orphan'").select(key), key, "left_semi"))
 
@@ -125,7 +125,7 @@ def _failures(spark: SparkSession) -> DataFrame:
 
 
 def validate_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_status(compare(*_pair(spark, sf_dir), "o_orderkey"), F.col("o_orderkey") % 101 == 0)
+    return with_status(compare(*_pair(spark, sf_dir), "o_orderkey"))
 
 
 def validate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,15 +227,15 @@ def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (validate_diff, validate_outcomes, missing_docs, orphan_docs, ghost_docs, field_mismatch_detail, repair_target, validate_scan_source, validate_scan_orphans, failures_fold, eligible_failures, failures_by_ns, retry_chunks, sweep_decision, validation_stats_rollup, validation_reconcile, validation_totals, validate_keys, failures_untouched, limited_counts)}
-_COMPARE = f"""{TARGET}, g AS (SELECT o_orderkey, count(*) AS copies, any_value(o_custkey) AS c, any_value(o_orderstatus) AS s, any_value(o_totalprice) AS p, any_value(o_orderdate) AS d, any_value(o_orderpriority) AS r FROM tgt GROUP BY o_orderkey),
+COMPARED = f"""{TARGET}, g AS (SELECT o_orderkey, count(*) AS copies, any_value(o_custkey) AS c, any_value(o_orderstatus) AS s, any_value(o_totalprice) AS p, any_value(o_orderdate) AS d, any_value(o_orderpriority) AS r FROM tgt GROUP BY o_orderkey),
         v AS (SELECT coalesce(o.o_orderkey, g.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'orphan' WHEN g.o_orderkey IS NULL THEN 'missing' WHEN copies > 1 THEN 'ghost'
         WHEN (o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority) IS NOT DISTINCT FROM (c, s, p, d, r) THEN 'valid' ELSE 'mismatch' END AS outcome, coalesce(copies, 0) AS copies FROM orders o FULL JOIN g ON o.o_orderkey = g.o_orderkey)"""
 _FAILURES = """g AS (SELECT *, coalesce(max(CASE WHEN op = 'delete' THEN seq END) OVER (PARTITION BY ns, doc_id), -1) AS gone FROM outcome_ops), l AS (SELECT *, CASE WHEN status = 'hot_key_waiting' THEN 3 WHEN status IN ('batch_failed', 'healed_pending_verify') THEN 0 END AS sets FROM g WHERE op = 'upsert' AND seq > gone),
         m AS (SELECT *, coalesce(max(CASE WHEN sets IS NOT NULL THEN seq END) OVER (PARTITION BY ns, doc_id), -1) AS set_at FROM l),
         failures AS (SELECT ns, doc_id, arg_max(status, seq) AS status, (coalesce(max(CASE WHEN seq = set_at THEN sets END), 0) + count(*) FILTER (seq > set_at))::BIGINT AS retry_count, min(seq) AS first_seq FROM m GROUP BY ns, doc_id)"""
-_V = "WITH " + _COMPARE
+_V = "WITH " + COMPARED
 SQL = {
-    "validate_diff": _V + """ SELECT o_orderkey, outcome, copies, CASE WHEN outcome = 'valid' THEN 'valid' WHEN o_orderkey % 101 = 0 THEN 'manual_validation_required' ELSE 'healed_pending_verify' END AS status,
+    "validate_diff": _V + """ SELECT o_orderkey, outcome, copies, CASE WHEN outcome = 'valid' THEN 'valid' ELSE 'healed_pending_verify' END AS status,
         CASE outcome WHEN 'ghost' THEN 'ghost_fixed' WHEN 'missing' THEN 'missing_target_fixed' WHEN 'mismatch' THEN 'content_mismatch_fixed' WHEN 'orphan' THEN 'orphan_deleted' END AS action FROM v""",
     "validate_outcomes": _V + " SELECT outcome, count(*) AS n FROM v GROUP BY outcome",
     "missing_docs": f"WITH {TARGET} SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)",
@@ -252,7 +252,7 @@ SQL = {
     "failures_by_ns": cte("outcome_ops") + f", {_FAILURES} SELECT ns, count(*) AS n, string_agg(doc_id, ',' ORDER BY doc_id) AS doc_ids FROM failures GROUP BY ns",
     "retry_chunks": _V + ", n AS (SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS chunk FROM v WHERE outcome <> 'valid') SELECT chunk, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM n GROUP BY chunk",
     "sweep_decision": cte("sweeps") + "SELECT no, CASE WHEN since_s >= 300 THEN 'forced' WHEN idle_s > 5 AND lag_s < 1 AND since_s > 15 THEN 'idle' ELSE 'none' END AS sweep FROM sweeps",
-    "validation_stats_rollup": cte("stats") + f""", {_COMPARE}, u AS (SELECT * FROM stats UNION ALL SELECT 'shop.orders', count(*), count(*) FILTER (outcome <> 'valid'), count(*) FILTER (outcome <> 'valid') FROM v)
+    "validation_stats_rollup": cte("stats") + f""", {COMPARED}, u AS (SELECT * FROM stats UNION ALL SELECT 'shop.orders', count(*), count(*) FILTER (outcome <> 'valid'), count(*) FILTER (outcome <> 'valid') FROM v)
         SELECT ns, sum(total_checked)::BIGINT AS total_checked, sum(mismatch_found)::BIGINT AS mismatch_found, sum(mismatch_fixed)::BIGINT AS mismatch_fixed FROM u GROUP BY ns""",
     "validation_reconcile": cte("outcome_ops", "audit", "stats") + f""", {_FAILURES}, n AS (SELECT ns FROM audit WHERE action IN ('ghost_fixed', 'missing_target_fixed', 'orphan_deleted', 'content_mismatch_fixed') UNION SELECT ns FROM failures UNION SELECT ns FROM stats),
         r AS (SELECT ns, coalesce((SELECT total_checked FROM stats s WHERE s.ns = n.ns), 0)::BIGINT AS checked, (SELECT count(*) FROM audit a WHERE a.ns = n.ns AND action IN ('ghost_fixed', 'missing_target_fixed', 'orphan_deleted', 'content_mismatch_fixed')) AS fixed, (SELECT count(*) FROM failures f WHERE f.ns = n.ns) AS pending FROM n)

@@ -1,17 +1,14 @@
 """A change log applied as a stream.
 
-The state is the compacted log (see :func:`tidemark.operators.replay.compact`), dealt by document id over buckets. A micro-batch rewrites the
-buckets it touches into a new version's folder and then commits the version by one small file, which names for each bucket the
-version that holds it. A start finds the last committed version on disk, so a job that is started again goes on where it was; a folder without
-its commit file is a lost run and is written again. Buckets of versions that nothing refers to any more are deleted.
-Reading the state is folding the buckets.
+The state is the compacted log (see :func:`tidemark.operators.replay.compact`), dealt by document id over the buckets of a table (see
+:mod:`tidemark.tables`); a micro-batch rewrites the buckets it touches and commits them with its number, so a job that is started again goes on
+where it was. Reading the state is folding the buckets.
 
 Schema events act on what has arrived in their own or earlier batches.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +20,7 @@ from tidemark.operators.cdc import FOLD
 from tidemark.operators.replay import SCHEMA_OPS, compact, existing, fold, kind_of
 from tidemark.shared import Folder, shared_dir
 from tidemark.sources import change_log
+from tidemark.tables import Buckets
 
 BUCKETS = 64
 
@@ -57,41 +55,23 @@ def effects(before: DataFrame | None, after: DataFrame | None, batch: DataFrame)
     return out.where("inserted + matched + deleted + inserts + updates + deletes > 0")
 
 
-class StateTable:
-    """A compacted log in buckets; ``version`` is the last whole one, also after a restart on the same path."""
+class StateTable(Buckets):
+    """A compacted log in buckets by document id."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        self.spark, self.path, self.buckets = spark, path, buckets
-        self.commits = Folder(spark, f"{path}/commits")
-        found = sorted(int(name) for name in self.commits.names() if name.isdigit())
-        self.version = found[-1] if found else None
-
-    def _where(self) -> dict[int, int]:
-        """The version that holds each bucket."""
-        return {} if self.version is None else {int(b): v for b, v in json.loads(self.commits.read(str(self.version))).items()}
-
-    def read(self, buckets: set[int] | None = None) -> DataFrame | None:
-        """The log in all or some buckets; None where there is nothing yet."""
-        paths = [f"{self.path}/v{v}/bucket={b}" for b, v in sorted(self._where().items()) if buckets is None or b in buckets]
-        return self.spark.read.parquet(*paths) if paths else None
+        super().__init__(spark, path, buckets, ("doc_id",))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         if self.version is not None and batch_id <= self.version:
             return  # a batch that was already applied
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
         everywhere = not batch.where(F.col("op").isin(*SCHEMA_OPS)).isEmpty()
-        touched = set(range(self.buckets)) if everywhere else {r[0] for r in batch.select(bucket).distinct().collect()}  # BUCKETS numbers at most
-        where, state = self._where(), self.read(touched)
+        touched = set(range(self.buckets)) if everywhere else self.touched(batch)
+        state = self.read(touched)
         log = batch if state is None else state.unionByName(batch)
-        folder, before = f"{self.path}/v{batch_id}", state
-        compact(log).withColumn("bucket", bucket).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        made = {int(name.split("=")[1]) for name in Folder(self.spark, folder).names() if name.startswith("bucket=")}
-        where = {b: v for b, v in where.items() if b not in touched} | dict.fromkeys(made, batch_id)
-        after = self.spark.read.schema(log.schema).parquet(folder) if made else None
-        effects(before, after, batch).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/feed/{batch_id}")
-        self.commits.write(str(batch_id), json.dumps(where))
-        self.version = batch_id
-        self._forget(set(where.values()))
+        made = self.write(compact(log), batch_id)
+        after = self.spark.read.schema(log.schema).parquet(f"{self.path}/v{batch_id}") if made else None
+        effects(state, after, batch).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/feed/{batch_id}")
+        self.commit(batch_id, touched, made)
 
     def feed(self) -> DataFrame:
         """What each applied batch did to each namespace; see :func:`effects`. A batch that was lost before its commit is not part of it."""
@@ -101,17 +81,6 @@ class StateTable:
         rows = self.spark.read.schema(FEED).parquet(*(f"{self.path}/feed/{n}" for n in sorted(done)))
         return rows.select(F.regexp_extract(F.col("_metadata.file_path"), r"/feed/(\d+)/", 1).cast("long").alias("batch"), "*")
 
-    def _forget(self, used: set[int]) -> None:
-        """Deletes versions that the last two commits do not refer to."""
-        found = sorted(int(name) for name in self.commits.names() if name.isdigit())
-        used = used | {v for n in found[-2:] for v in json.loads(self.commits.read(str(n))).values()}
-        for n in found[:-2]:
-            self.commits.delete(str(n))
-        top = Folder(self.spark, self.path)
-        for name in top.names():
-            if name.startswith("v") and name[1:].isdigit() and int(name[1:]) < self.version and int(name[1:]) not in used:
-                top.delete(name)
-
 
 def apply_stream(log: DataFrame, state: StateTable, checkpoint: str, start: tuple[int, int] | None = None) -> None:
     """Applies all that is available of a streaming change log; offsets are kept in ``checkpoint``. With ``start`` (t, i), changes before that
