@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from tidemark.functions import keys
 from tidemark.operators import cdc, records, rounds, validation
-from tidemark.plans import health, indexes, splits
+from tidemark.plans import assign, health, indexes, splits
 from tidemark.sources import discovery, segments, sinks, snapshot
 from tidemark.streaming import apply, dirty
 
-MODULES = (keys, discovery, snapshot, segments, sinks, cdc, validation, rounds, records, splits, indexes, health, apply, dirty)
+MODULES = (keys, discovery, snapshot, segments, sinks, cdc, validation, rounds, records, splits, assign, indexes, health, apply, dirty)
 
 
 def queries() -> dict:

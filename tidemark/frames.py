@@ -1,74 +1,84 @@
-"""Small input frames as VALUES lists that Spark and DuckDB read alike, and the tables' derived views."""
+"""Views over the given tables that Spark and DuckDB read alike: bookkeeping tables, the change log, a flawed copy."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_DB = "CASE n_regionkey % 5 WHEN 0 THEN 'shop' WHEN 1 THEN 'crm' WHEN 2 THEN 'iot' WHEN 3 THEN 'local' ELSE 'admin' END"
+_COLL = "CASE WHEN n_nationkey = 3 THEN 'oplog.rs' WHEN n_nationkey % 7 = 5 THEN 'system.' || lower(n_name) ELSE lower(n_name) END"
+_NS = f"{_DB} || '.' || {_COLL}"
+_UNIT = "'crm.u' || CAST(c_custkey % 400 AS STRING)"
+_EVENT_NS, _EVENT_DOC = "'shop.c' || CAST(user_id % 5 AS STRING)", "'k' || CAST(user_id AS STRING)"
+
+
+def _pick(number: str, values: list[str]) -> str:
+    """One of ``values`` (SQL) by ``number``."""
+    return f"CASE {number} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values[:-1])) + f" ELSE {values[-1]} END"
+
+
+_MESSAGES = ["'Authentication failed for user '", "'server said: Too Many Cursors '", "'E11000 duplicate key error '", "'connection reset by peer '", "'the shard key is missing '", "'Failed to target the write '", "'SASL conversation error '", "'i/o timeout '", "'disk full '", "'update document must have at least one element '",
+    "'Mechanism mismatch '", "'unauthorized '", "'incomplete read of message '", "'cursor not found '", "'network is unreachable '", "'context canceled '"]
+_FIRST24, _UUID = "substr(md5(c_name), 1, 24)", "substr(md5(c_name), 1, 8) || '-' || substr(md5(c_name), 9, 4) || '-' || substr(md5(c_name), 13, 4) || '-' || substr(md5(c_name), 17, 4) || '-' || substr(md5(c_name), 21, 12)"
+_REQUESTS = [f"'ObjectId(''' || {_FIRST24} || ''')'", f"'objectid(\"' || upper({_FIRST24}) || '\")'", f"' ' || {_FIRST24} || ' '", f"'UUID(\"' || {_UUID} || '\")'", f"upper({_UUID})", "c_name", "CAST(c_custkey AS STRING) || '.0'", "CAST(c_custkey AS STRING) || '.5'", "'-' || CAST(c_custkey AS STRING)", "' ' || c_name || ' '"]
+
+#: Small and bookkeeping tables as the given tables make them, in words that Spark and DuckDB read alike; a table's name in braces is where it lies.
 FRAMES = {
-    "catalog": ("db, coll, n, size, has_id_index", """
-        ('shop', 'orders', 15000, 734003200, true), ('shop', 'customers', 1500, 1048576, true), ('shop', 'system.views', 3, 1024, true), ('shop', 'noindex', 40, 8192, false),
-        ('crm', 'people', 900, 524288, true), ('crm', 'mixed', 25, 4096, true), ('crm', 'skipme', 10, 100, true), ('local', 'oplog.rs', 99, 9999, false), ('admin', 'users', 2, 200, true), ('config', 'chunks', 9, 900, true)"""),
-    "excluded_ns": ("ns", "('crm.skipme')"),
-    "mixed_ids": ("ns, id_type", "('crm.mixed', 'string'), ('crm.mixed', 'string'), ('crm.mixed', 'decimal'), ('crm.mixed', 'string'), ('crm.mixed', 'decimal'), ('crm.mixed', 'string'), ('crm.mixed', 'string'), ('crm.mixed', 'string'), ('crm.mixed', 'string'), ('crm.mixed', 'string'), ('crm.small', 'string'), ('crm.small', 'decimal')"),
-    "streams": ("db, coll", "('', ''), ('shop', ''), ('shop', 'orders'), ('crm', 'people')"),
-    "rules": ("rule_no, ns, shard_key, strategy, chunk_count, initial_chunks, uuid_field, oid_field", """
-        (1, 'shop.orders', 'o_custkey:1, o_orderkey:1', 'range_manual', 0, 0, '', ''), (2, 'shop.orders', 'other:1', 'none', 0, 0, '', ''), (3, 'crm.people', ' _id : hashed ', 'hashed_manual', 6, 0, '', ''),
-        (4, 'shop.customers', 'c_nationkey:hashed', 'none', 0, 12, '', ''), (5, 'iot.samples', 'u:1,o:-1,k', 'composite_uuid_oid', 3, 0, 'u', 'o'), (6, 'iot.logs', 'region:1,_id:hashed', 'none', 0, 0, '', '')"""),
-    "sharded": ("ns, shard_key, dropped", "('shop.orders', 'catalog_key:1', false), ('iot.old', 'gone:1', true), ('iot.live', 'live:1', false), ('crm.people', '_id:hashed', false)"),
-    "ids": ("no, kind, hex, txt", """
-        (1, 'objectid', '507F1F77BCF86CD799439011', NULL), (2, 'uuid', '6BA7B8109DAD11D180B400C04FD430C8', NULL), (3, 'text', NULL, 'customer-7'), (4, 'text', NULL, '42'), (5, 'uuid', '00000000000000000000000000000000', NULL)"""),
-    "requests": ("no, kind, txt", """
-        (1, 'string', 'ObjectId(''507f1f77bcf86cd799439011'')'), (2, 'string', 'objectid("507F1F77BCF86CD799439011")'), (3, 'string', ' 507f1f77bcf86cd799439012 '), (4, 'string', 'UUID("6ba7b810-9dad-11d1-80b4-00c04fd430c8")'),
-        (5, 'string', '6BA7B810-9DAD-11D1-80B4-00C04FD430C8'), (6, 'string', 'plain'), (7, 'number', '12.0'), (8, 'number', '12.5'), (9, 'number', '-3'), (10, 'string', ' padded ')"""),
-    "request_keys": ("req, place, field, no", "(1, 0, '_id', 1), (1, 1, '_id', 6), (2, 0, 'region', 6), (2, 0, '_id', 4), (2, 1, 'region', 10), (2, 1, '_id', 7), (3, 0, '_id', 9)"),
-    "touched": ("ns, doc_id", "('shop.orders', 'k1'), ('crm.people', 'k9'), ('crm.people', 'k4')"),
-    "serial": ("no, attempts, lone, message", "(1, 0, true, 'E11000 duplicate key error'), (2, 0, false, 'E11000 duplicate key error'), (3, 1, true, 'i/o timeout'), (4, 3, true, 'i/o timeout'), (5, 0, true, 'update document must have at least one element'), (6, 0, true, NULL), (7, 0, true, 'Authentication failed')"),
-    "errors": ("no, message", """
-        (1, 'Authentication failed for user'), (2, 'server said: Too Many Cursors'), (3, 'E11000 duplicate key error'), (4, 'connection reset by peer'), (5, 'the shard key is missing'), (6, 'Failed to target the write'), (7, 'SASL conversation error'),
-        (8, 'i/o timeout'), (9, 'disk full'), (10, 'update document must have at least one element'), (11, 'Mechanism mismatch'), (12, 'unauthorized'), (13, 'incomplete read of message'), (14, 'cursor not found'), (15, 'network is unreachable'), (16, 'context canceled')"""),
-    "updates": ("no, op, field", """
-        (1, 'set', 'region'), (1, 'set', 'name'), (1, 'unset', 'old'), (2, 'set', 'region'), (2, 'set', 'geo.lat'), (3, 'set', 'geo'), (3, 'unset', 'geography'), (4, 'unset', 'region.code'), (5, 'set', 'regional')"""),
+    "catalog": f"SELECT {_DB} AS db, {_COLL} AS coll, count(c_custkey) AS n, CAST(coalesce(sum(c_custkey), 0) * 1000 AS BIGINT) AS size, n_nationkey % 4 <> 1 AS has_id_index FROM {{nation}} LEFT JOIN {{customer}} ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey, n_name",
+    "excluded_ns": f"SELECT {_NS} AS ns FROM {{nation}} WHERE n_nationkey % 11 = 2",
+    "mixed_ids": f"SELECT {_NS} AS ns, CASE WHEN n_nationkey % 6 = 0 AND c_custkey % 2 = 0 THEN 'decimal' ELSE 'string' END AS id_type FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey UNION ALL SELECT 'crm.small', CASE WHEN r_regionkey % 2 = 0 THEN 'decimal' ELSE 'string' END FROM {{region}}",
+    "streams": f"SELECT CASE WHEN n_nationkey = 0 THEN '' ELSE {_DB} END AS db, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE {_COLL} END AS coll FROM {{nation}}",
+    "rules": f"SELECT CAST(c_custkey AS INT) AS rule_no, {_UNIT} AS ns, {_pick('c_custkey', ["'o_custkey:1, o_orderkey:1'", "' _id : hashed '", "'c_nationkey:hashed'", "'u:1,o:-1,k'", "'region:1,_id:hashed'", "'other:1'"])} AS shard_key, {_pick('c_custkey', ["'range_manual'", "'none'", "'hashed_manual'", "'composite_uuid_oid'", "'hex'"])} AS strategy, CASE WHEN c_nationkey % 3 = 0 THEN 12 ELSE 0 END AS initial_chunks FROM {{customer}}",
+    "sharded": f"SELECT {_UNIT} AS ns, 'catalog_' || CAST(min(c_nationkey) AS STRING) || ':1' AS shard_key, min(c_nationkey) % 4 = 0 AS dropped FROM {{customer}} WHERE c_custkey % 3 <> 1 GROUP BY c_custkey % 400",
+    "ids": f"SELECT c_custkey AS no, {_pick('c_custkey', ["'objectid'", "'uuid'", "'text'"])} AS kind, CASE c_custkey % 3 WHEN 0 THEN upper({_FIRST24}) WHEN 1 THEN upper(md5(c_name)) END AS hex, CASE WHEN c_custkey % 3 = 2 THEN c_name END AS txt FROM {{customer}}",
+    "requests": f"SELECT c_custkey AS no, CASE WHEN c_custkey % 10 BETWEEN 6 AND 8 THEN 'number' ELSE 'string' END AS kind, {_pick('c_custkey', _REQUESTS)} AS txt FROM {{customer}}",
+    "request_keys": "SELECT CAST(FLOOR(c_custkey / 4) AS BIGINT) AS req, CAST(FLOOR((c_custkey % 4) / 2) AS BIGINT) AS place, CASE WHEN c_custkey % 2 = 0 THEN '_id' ELSE 'region' END AS field, c_custkey AS no FROM {customer}",
+    "touched": f"SELECT DISTINCT {_EVENT_NS} AS ns, {_EVENT_DOC} AS doc_id FROM {{events}} WHERE event_type = 'click' AND user_id % 3 = 0",
+    "serial": f"SELECT event_id AS no, event_id % 5 AS attempts, user_id % 2 = 0 AS lone, CASE WHEN event_id % 7 = 0 THEN NULL ELSE {_pick('event_id', _MESSAGES)} || CAST(event_id AS STRING) END AS message FROM {{events}}",
+    "errors": f"SELECT event_id AS no, {_pick('event_id', _MESSAGES)} || CAST(event_id AS STRING) AS message FROM {{events}}",
+    "updates": f"SELECT DISTINCT user_id AS no, CASE WHEN event_type = 'error' THEN 'unset' ELSE 'set' END AS op, {_pick('event_id', ["'region'", "'name'", "'geo.lat'", "'geo'", "'geography'", "'region.code'", "'regional'", "'old'", "'ge'"])} AS field FROM {{events}}",
     "shard_fields": ("field", "('region'), ('geo')"),
-    "ddl_rows": ("seq, ns, doc_key, val", "(1, 'a.x', 1, 10), (2, 'a.x', 2, 20), (4, 'a.y', 1, 30), (6, 'a.x', 3, 40), (8, 'b.z', 1, 50), (10, 'b.w', 5, 60), (12, 'c.q', 1, 70)"),
+    "ddl_rows": f"SELECT 2 * (event_id % 7) AS seq, {_pick('user_id', ["'a.x'", "'a.y'", "'b.z'", "'b.w'", "'c.q'", "'a.y2'"])} AS ns, event_id AS doc_key, user_id AS val FROM {{events}}",
     "ddl_log": ("seq, op, ns, to_ns", "(3, 'rename', 'a.x', 'a.y2'), (5, 'drop', 'a.y', NULL), (7, 'create', 'a.n', NULL), (9, 'dropDatabase', 'b', NULL), (11, 'rename', 'a.y2', 'd.e'), (13, 'createIndexes', 'c.q', NULL)"),
-    "workers": ("grp, worker, last_t, last_i, pending, received_t, received_i", "('busy', 0, 100, 2, 0, 130, 1), ('busy', 1, 100, 1, 3, 130, 1), ('busy', 2, 120, 7, 0, 130, 1), ('idle', 0, 100, 2, 0, 130, 4), ('idle', 1, 90, 1, 0, 130, 4)"),
-    "starts": ("no, safe_t, safe_i, anchor_t, anchor_i, coll_t, coll_i, start_t, start_i", "(1, 500, 3, 400, 1, 300, 1, 1, 1), (2, 0, 0, 400, 1, 300, 1, 1, 1), (3, 4294967295, 4294967295, NULL, NULL, 300, 9, 1, 1), (4, 0, 0, NULL, NULL, NULL, NULL, 7, 2)"),
-    "checkpoints": ("id, t, i", "('cdc_resume_timestamp', 500, 3), ('migration_anchor_timestamp', 400, 1), ('shop.orders', 410, 2), ('crm.people', 410, 9), ('shop.customers', 405, 1)"),
-    "outcome_ops": ("seq, ns, doc_id, op, status", """
-        (1, 'shop.orders', 'k1', 'upsert', 'error'), (2, 'shop.orders', 'k1', 'upsert', 'error'), (3, 'shop.orders', 'k2', 'upsert', 'hot_key_waiting'), (4, 'shop.orders', 'k2', 'upsert', 'manual_validation_required'), (5, 'shop.orders', 'k3', 'upsert', 'error'),
-        (6, 'shop.orders', 'k3', 'delete', 'valid'), (7, 'crm.people', 'k1', 'upsert', 'healed_pending_verify'), (8, 'crm.people', 'k1', 'upsert', 'error'), (9, 'crm.people', 'k4', 'upsert', 'batch_failed'), (10, 'shop.orders', 'k3', 'upsert', 'error'), (11, 'crm.people', 'k5', 'upsert', 'error'), (12, 'crm.people', 'k5', 'delete', '')"""),
-    "audit": ("no, ns, action", "(1, 'shop.orders', 'ghost_fixed'), (2, 'shop.orders', 'missing_target_fixed'), (3, 'crm.people', 'orphan_deleted'), (4, 'crm.people', 'content_mismatch_fixed'), (5, 'crm.people', 'note'), (6, 'iot.live', 'orphan_deleted')"),
-    "stats": ("ns, total_checked, mismatch_found, mismatch_fixed", "('shop.orders', 1000, 9, 4), ('crm.people', 500, 2, 2), ('shop.customers', 10, 0, 0)"),
-    "sizing": ("no, shards, explicit_chunks, size", "(1, 1, 0, 0), (2, 3, 0, 1073741824), (3, 4, 0, 536870912), (4, 2, 7, 0), (5, 2, 1, 0), (6, 0, 0, 900)"),
-    "shards": ("id, host", "('s1', 'rs1/h1:27018,h2:27018'), ('s0', 'rs0/h0:27018'), ('s2', 'rs2/h5:27018,h6:27018,h7:27018'), ('bad', 'nohost')"),
-    "chunks": ("ns, min_key, shard, jumbo", "('shop.orders', 0, 's0', false), ('shop.orders', 3000, 's0', false), ('shop.orders', 6000, 's0', true), ('shop.orders', 9000, 's1', false), ('shop.orders', 12000, 's2', false), ('crm.people', 0, 's1', false), ('crm.people', 50, 's1', false)"),
-    "indexes_src": ("ns, name, key, is_unique, ttl, partial", """
-        ('shop.orders', '_id_', '_id:1', true, NULL, false), ('shop.orders', 'by_cust', 'o_custkey:1,o_orderkey:-1', false, NULL, false), ('shop.orders', 'words', 'note:text', false, NULL, false), ('shop.orders', 'part', 'x:1', false, NULL, true),
-        ('shop.orders', 'expiry', 'created:1', false, 3600, false), ('crm.people', 'mail', 'mail:1', true, NULL, false), ('crm.people', 'empty', '', false, NULL, false), ('crm.people', 'geo', 'lat:1,lon:1', false, NULL, false)"""),
-    "indexes_tgt": ("ns, name, key, is_unique, ttl, partial", "('shop.orders', '_id_', '_id:1', true, NULL, false), ('shop.orders', 'other_name', 'o_custkey:1,o_orderkey:-1', false, NULL, false), ('crm.people', 'geo2', 'lon:1,lat:1', false, NULL, false), ('shop.orders', 'plain', 'created:1', false, NULL, false)"),
-    "target_dbs": ("db", "('shop'), ('crm'), ('other'), ('admin'), ('meta')"),
-    "node_samples": ("grp, node, latency_ms, queue_total, active_clients, write_tickets, lagged, failed", """
-        ('healthy', 'a', 20, 3, 4, 120, false, false), ('healthy', 'b', 30, 9, 2, NULL, false, false), ('slow', 'a', 251, 3, 4, 120, true, false), ('failed', 'a', 10, 3, 4, 120, false, true), ('lagged', 'a', 20, 99, 4, 120, true, false), ('queued', 'a', 20, 51, 40, 120, false, false),
-        ('clients', 'a', 20, 50, 21, 120, false, false), ('tickets', 'a', 20, 1, 2, 5, false, false), ('tickets', 'b', 20, 1, 2, 90, false, false), ('unreported', 'a', 20, 1, 2, NULL, false, false)"""),
-    "numbers": ("no, txt", "(1, '12'), (2, '12.7'), (3, '-3.9'), (4, 'abc'), (5, NULL), (6, '1e3'), (7, '')"),
-    "dirty_checks": ("no, dirty, attempt", "(1, true, 0), (2, true, 2), (3, true, 3), (4, false, 9), (5, false, 0)"),
+    "workers": "SELECT 'g' || CAST(user_id % 6 AS STRING) AS grp, event_id % 4 AS worker, max(CASE WHEN event_id % 10 <> 0 THEN event_id ELSE 0 END) AS last_t, max(event_id % 3) AS last_i, sum(CASE WHEN event_id % 10 = 0 AND user_id % 6 < 4 THEN 1 ELSE 0 END) AS pending, max(event_id) + 30 AS received_t, max(user_id % 7) AS received_i FROM {events} GROUP BY user_id % 6, event_id % 4",
+    "starts": "SELECT event_id AS no, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 4294967295 ELSE event_id + 500 END AS safe_t, event_id % 9 AS safe_i, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id + 400 END AS anchor_t, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 1 END AS anchor_i, CASE WHEN event_id % 5 < 2 THEN NULL ELSE event_id + 300 END AS coll_t, CASE WHEN event_id % 5 < 2 THEN NULL ELSE 9 END AS coll_i, user_id + 1 AS start_t, 2 AS start_i FROM {events}",
+    "checkpoints": f"SELECT {_NS} AS id, CAST(400 + n_nationkey AS BIGINT) AS t, CAST(n_nationkey % 3 AS BIGINT) AS i FROM {{nation}} WHERE n_nationkey % 2 = 0 UNION ALL SELECT CASE r_regionkey WHEN 0 THEN 'cdc_resume_timestamp' ELSE 'migration_anchor_timestamp' END, CAST(500 - r_regionkey AS BIGINT), CAST(3 AS BIGINT) FROM {{region}} WHERE r_regionkey < 2",
+    "outcome_ops": f"SELECT event_id AS seq, {_EVENT_NS} AS ns, {_EVENT_DOC} AS doc_id, CASE WHEN event_type = 'signup' AND event_id % 5 = 1 THEN 'delete' ELSE 'upsert' END AS op, CASE WHEN event_type = 'signup' AND event_id % 5 = 1 THEN 'valid' ELSE {_pick('event_id', ["'error'", "'hot_key_waiting'", "'batch_failed'", "'healed_pending_verify'", "'manual_validation_required'", "'error'", "'error'"])} END AS status FROM {{events}}",
+    "audit": f"SELECT event_id AS no, {_EVENT_NS} AS ns, CASE event_type WHEN 'signup' THEN 'ghost_fixed' WHEN 'purchase' THEN 'missing_target_fixed' WHEN 'view' THEN 'orphan_deleted' WHEN 'click' THEN 'content_mismatch_fixed' ELSE 'note' END AS action FROM {{events}}",
+    "stats": "SELECT 'shop.c' || CAST(o_custkey % 7 AS STRING) AS ns, count(*) AS total_checked, CAST(sum(CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS mismatch_found, CAST(sum(CASE WHEN o_orderkey % 18 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS mismatch_fixed FROM {orders} GROUP BY o_custkey % 7",
+    "sizing": "SELECT p_partkey AS no, CAST(p_size % 6 AS BIGINT) AS shards, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_size % 9 ELSE 0 END AS BIGINT) AS explicit_chunks, p_partkey * 50000000 AS size FROM {part}",
+    "shards": "SELECT 's' || CAST(s_suppkey AS STRING) AS id, CASE WHEN s_suppkey % 5 = 4 THEN s_name ELSE 'rs' || CAST(s_suppkey AS STRING) || '/h' || CAST(s_nationkey AS STRING) || ':27018,g' || CAST(s_suppkey AS STRING) || ':27018' END AS host FROM {supplier}",
+    "chunks": "SELECT 'shop.c' || CAST(o_custkey % 3 AS STRING) AS ns, o_orderkey AS min_key, 's' || CAST(o_custkey % 7 AS STRING) AS shard, o_orderkey % 700 = 0 AS jumbo FROM {orders} WHERE o_orderkey % 10 = 0",
+    "indexes_src": f"SELECT 'crm.u' || CAST(CAST(FLOOR(c_custkey / 8) AS BIGINT) % 400 AS STRING) AS ns, {_pick('c_custkey', ["'_id_'", "'by_cust'", "'words'", "'part'", "'expiry'", "'mail'", "'empty'", "'geo'"])} AS name, {_pick('c_custkey', ["'_id:1'", "'o_custkey:1,o_orderkey:-1'", "'note:text'", "'x:1'", "'created:1'", "'mail:1'", "''", "'lat:1,lon:1'"])} AS key, c_custkey % 8 IN (0, 5) AS is_unique, CASE WHEN c_custkey % 8 = 4 THEN 3600 END AS ttl, c_custkey % 8 = 3 AS partial FROM {{customer}}",
+    "indexes_tgt": f"SELECT 'crm.u' || CAST(CAST(FLOOR(c_custkey / 8) AS BIGINT) % 400 AS STRING) AS ns, 'other_' || CAST(c_custkey % 8 AS STRING) AS name, {_pick('c_custkey', ["'_id:1'", "'o_custkey:1,o_orderkey:-1'", "'lon:1,lat:1'", "'y:1'", "'created:1'", "'mail:1'", "'z:1'", "'lat:1,lon:1'"])} AS key, false AS is_unique, CAST(NULL AS INT) AS ttl, false AS partial FROM {{customer}} WHERE c_nationkey % 3 <> 0",
+    "target_dbs": f"SELECT DISTINCT {_DB} AS db FROM {{nation}} WHERE n_regionkey <> 1 UNION ALL SELECT CASE r_regionkey WHEN 0 THEN 'other' ELSE 'meta' END FROM {{region}} WHERE r_regionkey < 2",
+    "node_samples": "SELECT 'g' || CAST(CAST(FLOOR(event_id / 3) AS BIGINT) AS STRING) AS grp, event_id % 3 AS node, CAST(FLOOR(value * 7) AS BIGINT) % 270 AS latency_ms, user_id % 53 AS queue_total, event_id % 23 AS active_clients, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 130 END AS write_tickets, event_id % 50 = 0 AS lagged, event_id % 97 = 0 AS failed FROM {events}",
+    "numbers": f"SELECT event_id AS no, {_pick('event_id', ["CAST(event_id AS STRING)", "CAST(event_id AS STRING) || '.7'", "'-' || CAST(user_id AS STRING) || '.9'", "event_type", "NULL", "'1e3'", "''"])} AS txt FROM {{events}}",
+    "dirty_checks": "SELECT event_id AS no, user_id % 3 = 0 AS dirty, event_id % 6 AS attempt FROM {events}",
     "queue_log": ("step, depth", "(1, 100), (2, 2000), (3, 1500), (4, 1000), (5, 999), (6, 1999), (7, 2000), (8, 1200), (9, 10)"),
-    "sweeps": ("no, since_s, idle_s, lag_s", "(1, 301.0, 0.0, 0.0), (2, 20.0, 6.0, 0.5), (3, 14.0, 6.0, 0.0), (4, 20.0, 5.0, 0.0), (5, 20.0, 9.0, 1.0), (6, 300.0, 0.0, 9.0)"),
-    "status_rows": ("no, total_bytes, cloned_bytes, clone_done, source_t, applied_t, now_t, checked, pending", "(1, 1000, 250, false, 1700000100, 1700000090, 1700000130, 200, 10), (2, 0, 0, false, 0, 0, 1700000130, 0, 0), (3, 1000, 990, true, 1700000100, 1700000110, 1700000050, 5, 9), (4, 7864311434, 4945277, false, 1700000100, 0, 1700000100, 3252342, 0)"),
-    "oplog": ("no, kind, worker, docs, byte_size, elapsed_s", "(1, 'bulk', 0, 1000, 194805, 0.1636), (2, 'bulk', 1, 1000, 194900, 0.1625), (3, 'bulk', 0, 739, 144165, 0.1282), (4, 'cdc', 0, 606, 0, 0.0663), (5, 'cdc', 1, 505, 0, 0.0293), (6, 'cdc', 1, 384, 0, 0.0693), (7, 'cdc', 2, 0, 0, 0.01)"),
+    "sweeps": "SELECT event_id AS no, (event_id % 700) * 0.5 AS since_s, (user_id % 20) * 0.5 AS idle_s, (event_id % 4) * 0.5 AS lag_s FROM {events}",
+    "status_rows": "SELECT o_orderkey AS no, o_custkey * 1000 AS total_bytes, o_custkey * (o_orderkey % 1000) AS cloned_bytes, o_orderstatus = 'F' AS clone_done, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE 1700000000 + o_orderkey END AS source_t, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1700000000 + o_custkey END AS applied_t, 1700000000 + o_orderkey % 400 AS now_t, o_orderkey % 500 AS checked, o_custkey % 300 AS pending FROM {orders}",
+    "oplog": "SELECT CAST(event_id AS INT) AS no, CASE WHEN event_type = 'click' THEN 'cdc' ELSE 'bulk' END AS kind, CAST(user_id % 4 AS INT) AS worker, CAST(event_id % 40 AS INT) AS docs, CAST(event_id % 40 * (user_id % 200) AS INT) AS byte_size, (1 + user_id % 30) * 0.0625 AS elapsed_s FROM {events}",
+    "rule_samples": ("rule_no, ns, shard_key, strategy, chunk_count, initial_chunks, uuid_field, oid_field", """
+        (1, 'shop.orders', 'o_custkey:1, o_orderkey:1', 'range_manual', 0, 0, '', ''), (2, 'shop.orders', 'other:1', 'none', 0, 0, '', ''), (3, 'crm.people', ' _id : hashed ', 'hashed_manual', 6, 0, '', ''),
+        (4, 'shop.customers', 'c_nationkey:hashed', 'none', 0, 12, '', ''), (5, 'iot.samples', 'u:1,o:-1,k', 'composite_uuid_oid', 3, 0, 'u', 'o'), (6, 'iot.logs', 'region:1,_id:hashed', 'none', 0, 0, '', '')"""),
 }
+_GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "events")
 EXCLUDED_DBS = ("admin", "local", "config")
 
 
-def frame(spark: SparkSession, name: str) -> DataFrame:
-    columns, rows = FRAMES[name]
+def frame(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
+    made = FRAMES[name]
+    if isinstance(made, str):
+        return spark.sql(made.format_map({t: f"parquet.`{sf_dir}/{t}.parquet`" for t in _GIVEN}))
+    columns, rows = made
     return spark.sql(f"SELECT * FROM (VALUES {rows}) AS t({columns})")
 
 
 def cte(*names: str) -> str:
     """``WITH`` and the frames of these names."""
-    return "WITH " + ", ".join(f"{n} AS (SELECT * FROM (VALUES {FRAMES[n][1]}) AS t({FRAMES[n][0]}))" for n in names) + " "
+    texts = {n: FRAMES[n] for n in names}
+    return "WITH " + ", ".join(f"{n} AS ({x.format_map({t: t for t in _GIVEN})})" if isinstance(x, str) else f"{n} AS (SELECT * FROM (VALUES {x[1]}) AS t({x[0]}))" for n, x in texts.items()) + " "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -57,11 +57,11 @@ def coerce(kind: Column, text: Column) -> tuple[Column, Column]:
     trimmed = F.trim(text)
     oid = F.regexp_extract(trimmed, r"(?i)^(?:ObjectId\(['\"]([0-9a-f]{24})['\"]\)|([0-9a-f]{24}))$", 0)
     uid = F.regexp_extract(trimmed, r"(?i)^(?:UUID\(['\"])?([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})(?:['\"]\))?$", 1)
-    number = text.cast("double")
+    number = text.try_cast("double")
     integral = (kind == "number") & (number == F.floor(number))
     made = F.when(integral, "long").when(kind == "number", "double").when(oid != "", "objectid").when(uid != "", "uuid").otherwise("string")
     hexed = F.regexp_extract(trimmed, r"([0-9a-fA-F]{24})", 1)
-    value = F.when(integral, number.cast("long").cast("string")).when(kind == "number", number.cast("string")).when(oid != "", F.lower(hexed)).when(uid != "", F.lower(uid)).otherwise(text)
+    value = F.when(integral, number.try_cast("long").cast("string")).when(kind == "number", number.cast("string")).when(oid != "", F.lower(hexed)).when(uid != "", F.lower(uid)).otherwise(text)
     return made, value
 
 
@@ -95,12 +95,12 @@ def nested(json: Column, path: str) -> tuple[Column, Column]:
 
 
 def namespace_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = frame(spark, "catalog").select(namespace(F.col("db"), F.col("coll")).alias("ns")).union(spark.sql("SELECT 'bare' AS ns"))
+    rows = frame(spark, "catalog", sf_dir).select(namespace(F.col("db"), F.col("coll")).alias("ns")).union(spark.sql("SELECT 'bare' AS ns"))
     return rows.select("ns", database_of(F.col("ns")).alias("db"), collection_of(F.col("ns")).alias("coll"))
 
 
 def canonical_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, "ids").select("no", canonical_id(F.col("kind"), F.col("hex"), F.col("txt")).alias("id"))
+    return frame(spark, "ids", sf_dir).select("no", canonical_id(F.col("kind"), F.col("hex"), F.col("txt")).alias("id"))
 
 
 def route_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,24 +110,24 @@ def route_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coerce_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, value = coerce(F.col("kind"), F.col("txt"))
-    return frame(spark, "requests").select("no", kind.alias("type"), value.alias("value"))
+    return frame(spark, "requests", sf_dir).select("no", kind.alias("type"), value.alias("value"))
 
 
 def request_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The filter of each key of a request: its id alone, or all parts of a composite key, with coerced values, by name."""
     kind, value = coerce(F.col("kind"), F.col("txt"))
-    values = frame(spark, "requests").select("no", kind.alias("type"), value.alias("value"))
-    parts = frame(spark, "request_keys").join(values, "no").select("req", "place", F.concat_ws("", "field", F.lit("="), "type", F.lit(":"), "value").alias("part"))
+    values = frame(spark, "requests", sf_dir).select("no", kind.alias("type"), value.alias("value"))
+    parts = frame(spark, "request_keys", sf_dir).join(values, "no").select("req", "place", F.concat_ws("", "field", F.lit("="), "type", F.lit(":"), "value").alias("part"))
     return parts.groupBy("req", "place").agg(F.array_join(F.array_sort(F.collect_list("part")), " and ").alias("filter"))
 
 
 def parse_shard_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = frame(spark, "rules").select("rule_no", F.posexplode(key_parts(F.col("shard_key"))).alias("place", "part"))
+    rows = frame(spark, "rules", sf_dir).select("rule_no", F.posexplode(key_parts(F.col("shard_key"))).alias("place", "part"))
     return rows.select("rule_no", "place", "part.field", "part.direction")
 
 
 def classify_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, "errors").select("no", error_class(F.col("message")).alias("class"))
+    return frame(spark, "errors", sf_dir).select("no", error_class(F.col("message")).alias("class"))
 
 
 def human_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.frames import CHANGES, change_log, changes, cte, fields_of, frame, table
+from tidemark.functions.keys import SQL as KEYS_SQL
 from tidemark.functions.keys import collection_of, database_of, error_class, worker_of
 from tidemark.operators import replay
 from tidemark.shared import numbered
@@ -219,11 +220,11 @@ def cdc_key_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_shard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return strip_fields(frame(spark, "updates"), frame(spark, "shard_fields"))
+    return strip_fields(frame(spark, "updates", sf_dir), frame(spark, "shard_fields", sf_dir))
 
 
 def cdc_ddl_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_ddl(frame(spark, "ddl_rows"), frame(spark, "ddl_log")).select("ns", collection_of(F.col("ns")).alias("coll"), "doc_key", "val")
+    return apply_ddl(frame(spark, "ddl_rows", sf_dir), frame(spark, "ddl_log", sf_dir)).select("ns", collection_of(F.col("ns")).alias("coll"), "doc_key", "val")
 
 
 def quarantine_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +233,7 @@ def quarantine_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serial_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_by_one(frame(spark, "serial")).select("no", "outcome")
+    return one_by_one(frame(spark, "serial", sf_dir)).select("no", "outcome")
 
 
 def validation_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,22 +243,22 @@ def validation_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return safe_place(frame(spark, "workers"))
+    return safe_place(frame(spark, "workers", sf_dir))
 
 
 def resume_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume_place(frame(spark, "starts"))
+    return resume_place(frame(spark, "starts", sf_dir))
 
 
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collections without a checkpoint of their own."""
-    rows = frame(spark, "catalog").select(F.concat("db", F.lit("."), "coll").alias("ns"), "n", "size")
-    return rows.join(frame(spark, "checkpoints").select(F.col("id").alias("ns")), "ns", "left_anti")
+    rows = frame(spark, "catalog", sf_dir).select(F.concat("db", F.lit("."), "coll").alias("ns"), "n", "size")
+    return rows.join(frame(spark, "checkpoints", sf_dir).select(F.col("id").alias("ns")), "ns", "left_anti")
 
 
 def latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the collections' checkpoints: the last, and the first, from which nothing is lost."""
-    rows = frame(spark, "checkpoints").where(F.col("id").contains("."))
+    rows = frame(spark, "checkpoints", sf_dir).where(F.col("id").contains("."))
     at = F.struct("t", "i")
     return rows.agg(F.max_by("id", at).alias("latest"), F.max(at).alias("hi"), F.min_by("id", at).alias("earliest"), F.min(at).alias("lo")).select("latest", F.col("hi.t").alias("latest_t"), F.col("hi.i").alias("latest_i"), "earliest", F.col("lo.t").alias("earliest_t"), F.col("lo.i").alias("earliest_i"))
 
@@ -291,6 +292,7 @@ _TRANSLATE = """w AS (SELECT event_id, doc_id, CASE WHEN op IN ('insert', 'repla
         CASE WHEN op = 'delete' THEN '' WHEN op IN ('insert', 'replace') OR event_id % 97 = 0 THEN 'value,props' WHEN event_type = 'view' THEN 'value' ELSE 'props' END AS sets, CASE WHEN event_type = 'click' AND event_id % 97 <> 0 THEN 'value' ELSE '' END AS unsets FROM changes)"""
 _HYDRATE = """h AS (SELECT event_id, doc_id, op, c_custkey IS NOT NULL AS found, c_nationkey AS part_key FROM changes LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON doc_id = c_custkey WHERE op IN ('update', 'replace', 'delete'))"""
 _FNV = "(list_reduce(list_concat([2166136261::BIGINT], list_transform(range(0, strlen(doc_id::VARCHAR)), lambda x: ('0x' || substr(hex(encode(doc_id::VARCHAR)), (2 * x + 1)::INT, 2))::INT::BIGINT)), lambda h, b: (xor(h, b) * 16777619) & 4294967295) % 4)::INTEGER"
+_CLASS = KEYS_SQL["classify_errors"].split("SELECT no, ", 1)[1].rsplit(" AS class", 1)[0]
 SQL = {
     "cdc_apply_final_state": FOLD,
     "cdc_replay": REPLAY,
@@ -315,7 +317,8 @@ SQL = {
     "cdc_ddl_effect": cte("ddl_rows") + """, a AS (SELECT *, CASE WHEN seq < 3 AND ns = 'a.x' THEN 'a.y2' ELSE ns END AS n1 FROM ddl_rows), b AS (SELECT * FROM a WHERE NOT (seq < 5 AND n1 = 'a.y')), c AS (SELECT * FROM b WHERE NOT (seq < 9 AND starts_with(n1, 'b.'))),
         d AS (SELECT CASE WHEN seq < 11 AND n1 = 'a.y2' THEN 'd.e' ELSE n1 END AS ns, doc_key, val FROM c) SELECT ns, split_part(ns, '.', 2) AS coll, doc_key, val FROM d""",
     "quarantine_invalid": _C + f", {_TRANSLATE}, q AS (SELECT *, CASE WHEN action = 'update' AND event_id % 11 = 0 THEN '' ELSE sets END AS s2 FROM w) SELECT event_id, doc_id, action, CASE WHEN action = 'update' AND s2 = '' AND unsets = '' THEN 'cdc_write_failed' ELSE 'applied' END AS status FROM q",
-    "serial_fallback": "SELECT * FROM (VALUES (1, 'applied_without_write'), (2, 'retry'), (3, 'retry'), (4, 'stop'), (5, 'cdc_write_failed'), (6, 'applied'), (7, 'stop')) AS t(no, outcome)",
+    "serial_fallback": cte("serial") + f""", c AS (SELECT *, {_CLASS} AS class FROM serial) SELECT no, CASE WHEN message IS NULL THEN 'applied' WHEN class = 'duplicate' AND lone THEN 'applied_without_write' WHEN class = 'unrecoverable' THEN 'cdc_write_failed'
+        WHEN class <> 'fatal' AND attempts < 3 THEN 'retry' ELSE 'stop' END AS outcome FROM c""",
     "validation_scope": _C + " SELECT ns, doc_id, bool_or(op = 'delete') AS checked, count(*) AS checked_if_full FROM changes GROUP BY ns, doc_id",
     "safe_checkpoint": cte("workers") + """, m AS (SELECT grp, CASE WHEN max(pending) OVER (PARTITION BY grp) > 0 THEN last_t ELSE received_t END AS t, CASE WHEN max(pending) OVER (PARTITION BY grp) > 0 THEN last_i ELSE received_i END AS i FROM workers)
         SELECT grp, t, i FROM m QUALIFY row_number() OVER (PARTITION BY grp ORDER BY t, i) = 1""",

@@ -53,7 +53,7 @@ def event_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, "numbers").select("no", whole_number("txt").alias("n"))
+    return frame(spark, "numbers", sf_dir).select("no", whole_number("txt").alias("n"))
 
 
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,17 +62,17 @@ def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_key_deferral(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defer_hot(frame(spark, "dirty_checks")).select("no", "step")
+    return defer_hot(frame(spark, "dirty_checks", sf_dir)).select("no", "step")
 
 
 def checkpoint_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = spark.sql("SELECT * FROM (VALUES ('cdc_resume_timestamp', 510, 1), ('crm.people', 511, 4), ('iot.live', 512, 2)) AS t(id, t, i)")
-    return save_checkpoints(frame(spark, "checkpoints"), new, True)
+    return save_checkpoints(frame(spark, "checkpoints", sf_dir), new, True)
 
 
 def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = audit_rows(with_status(compare(source(spark, sf_dir), target(spark, sf_dir), "o_orderkey")), "o_orderkey", "shop.orders")
-    every = frame(spark, "audit").select("ns", "action").unionByName(new.select("ns", "action"))
+    every = frame(spark, "audit", sf_dir).select("ns", "action").unionByName(new.select("ns", "action"))
     return every.groupBy("ns", "action").agg(F.count(F.lit(1)).alias("n"))
 
 

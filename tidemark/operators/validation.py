@@ -120,8 +120,8 @@ def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return source(spark, sf_dir), target(spark, sf_dir)
 
 
-def _failures(spark: SparkSession) -> DataFrame:
-    return fold_failures(frame(spark, "outcome_ops"))
+def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold_failures(frame(spark, "outcome_ops", sf_dir))
 
 
 def validate_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,12 +139,12 @@ def validate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failures_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return untouched(_failures(spark), frame(spark, "touched")).select("ns", "doc_id", "status")
+    return untouched(_failures(spark, sf_dir), frame(spark, "touched", sf_dir)).select("ns", "doc_id", "status")
 
 
 def limited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether there is any eligible failure, and up to ten orders."""
-    return any_of(eligible(_failures(spark))).withColumn("what", F.lit("eligible")).union(any_of(source(spark, sf_dir), 10).withColumn("what", F.lit("orders")))
+    return any_of(eligible(_failures(spark, sf_dir))).withColumn("what", F.lit("eligible")).union(any_of(source(spark, sf_dir), 10).withColumn("what", F.lit("orders")))
 
 
 def missing_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,15 +190,15 @@ def validate_scan_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failures_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _failures(spark)
+    return _failures(spark, sf_dir)
 
 
 def eligible_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligible(_failures(spark), 1).select("ns", "doc_id", "status")
+    return eligible(_failures(spark, sf_dir), 1).select("ns", "doc_id", "status")
 
 
 def failures_by_ns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _failures(spark).groupBy("ns").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("doc_ids"))
+    return _failures(spark, sf_dir).groupBy("ns").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("doc_ids"))
 
 
 def retry_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,22 +208,22 @@ def retry_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sweep_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sweep(frame(spark, "sweeps"))
+    return sweep(frame(spark, "sweeps", sf_dir))
 
 
 def validation_stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics after a validation run, added to those before it."""
     now = compare(*_pair(spark, sf_dir), "o_orderkey").select(F.lit("shop.orders").alias("ns"), (F.col("outcome") != "valid").cast("long").alias("bad"))
     new = now.groupBy("ns").agg(F.count(F.lit(1)).alias("total_checked"), F.sum("bad").alias("mismatch_found"), F.sum("bad").alias("mismatch_fixed"))
-    return frame(spark, "stats").unionByName(new).groupBy("ns").agg(*(F.sum(c).cast("long").alias(c) for c in ("total_checked", "mismatch_found", "mismatch_fixed")))
+    return frame(spark, "stats", sf_dir).unionByName(new).groupBy("ns").agg(*(F.sum(c).cast("long").alias(c) for c in ("total_checked", "mismatch_found", "mismatch_fixed")))
 
 
 def validation_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile(frame(spark, "audit"), _failures(spark), frame(spark, "stats"))
+    return reconcile(frame(spark, "audit", sf_dir), _failures(spark, sf_dir), frame(spark, "stats", sf_dir))
 
 
 def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return totals(frame(spark, "stats"), _failures(spark))
+    return totals(frame(spark, "stats", sf_dir), _failures(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (validate_diff, validate_outcomes, missing_docs, orphan_docs, ghost_docs, field_mismatch_detail, repair_target, validate_scan_source, validate_scan_orphans, failures_fold, eligible_failures, failures_by_ns, retry_chunks, sweep_decision, validation_stats_rollup, validation_reconcile, validation_totals, validate_keys, failures_untouched, limited_counts)}

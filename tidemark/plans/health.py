@@ -34,21 +34,21 @@ def queue_states(depths: DataFrame, capacity: int = 2000) -> DataFrame:
 
 
 def flow_control_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flow_decision(frame(spark, "node_samples"), tickets=10)
+    return flow_decision(frame(spark, "node_samples", sf_dir), tickets=10)
 
 
 def shard_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hosts(frame(spark, "shards"))
+    return hosts(frame(spark, "shards", sf_dir))
 
 
 def queue_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue_states(frame(spark, "queue_log"))
+    return queue_states(frame(spark, "queue_log", sf_dir))
 
 
 def status_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.when(F.col("clone_done"), 100.0).when(F.col("total_bytes") > 0, F.col("cloned_bytes") / F.col("total_bytes") * 100).otherwise(0.0)
     sync = F.when(F.col("checked") > 0, (F.col("checked") - F.col("pending")) / F.col("checked") * 100).otherwise(0.0)
-    return frame(spark, "status_rows").select("no", F.round(done, 6).alias("progress"), F.round(sync, 6).alias("sync_percent"))
+    return frame(spark, "status_rows", sf_dir).select("no", F.round(done, 6).alias("progress"), F.round(sync, 6).alias("sync_percent"))
 
 
 def status_cdc_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,12 +57,12 @@ def status_cdc_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     idle = F.when(known, F.greatest(F.lit(0), F.col("now_t") - F.col("source_t"))).otherwise(0)
     lag = F.when(known & (F.col("applied_t") > 0), F.greatest(F.lit(0), F.col("source_t") - F.col("applied_t"))).otherwise(0)
     text = lambda c: F.when(F.col(c) > 0, F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("")
-    return frame(spark, "status_rows").select("no", idle.cast("long").alias("idle_s"), lag.cast("long").alias("lag_s"), text("source_t").alias("last_source"), text("applied_t").alias("last_applied"))
+    return frame(spark, "status_rows", sf_dir).select("no", idle.cast("long").alias("idle_s"), lag.cast("long").alias("lag_s"), text("source_t").alias("last_source"), text("applied_t").alias("last_applied"))
 
 
 def oplog_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, bytes and rates of each kind of write; empty batches do not count."""
-    rows = frame(spark, "oplog").where("docs > 0").groupBy("kind").agg(F.count(F.lit(1)).alias("batches"), F.sum("docs").cast("long").alias("docs"), F.sum("byte_size").cast("long").alias("bytes"), F.sum(F.round(F.col("elapsed_s") * 10000).cast("long")).alias("ticks"))
+    rows = frame(spark, "oplog", sf_dir).where("docs > 0").groupBy("kind").agg(F.count(F.lit(1)).alias("batches"), F.sum("docs").cast("long").alias("docs"), F.sum("byte_size").cast("long").alias("bytes"), F.sum(F.round(F.col("elapsed_s") * 10000).cast("long")).alias("ticks"))
     return rows.select("kind", "batches", "docs", "bytes", F.floor(F.col("docs") * 10000 / F.col("ticks")).cast("long").alias("docs_per_s"))
 
 

@@ -111,7 +111,7 @@ def _points(spark: SparkSession, rows: list, schema: str = "place int, point str
 
 
 def target_chunk_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, "sizing").select("no", chunk_count(F.col("shards"), F.col("explicit_chunks"), F.col("size")).alias("chunks"))
+    return frame(spark, "sizing", sf_dir).select("no", chunk_count(F.col("shards"), F.col("explicit_chunks"), F.col("size")).alias("chunks"))
 
 
 def split_int64(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +152,7 @@ def split_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def initial_chunks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return initial_chunks(frame(spark, "rules"), 3)
+    return initial_chunks(frame(spark, "rules", sf_dir), 3)
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +162,12 @@ def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dispatch(frame(spark, "rules"), frame(spark, "sharded"))
+    return dispatch(frame(spark, "rules", sf_dir), frame(spark, "sharded", sf_dir))
 
 
 def split_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bounds that each rule would set, over keys from 0 to 16000 in four parts where it names no number."""
-    rows = [(r["rule_no"], i, b) for r in frame(spark, "rules").collect() for i, b in enumerate(bounds(r["shard_key"], r["strategy"], r["chunk_count"] or 4, 0, 16_000, r["uuid_field"], r["oid_field"]), 1)]
+    rows = [(r["rule_no"], i, b) for r in frame(spark, "rule_samples", sf_dir).collect() for i, b in enumerate(bounds(r["shard_key"], r["strategy"], r["chunk_count"] or 4, 0, 16_000, r["uuid_field"], r["oid_field"]), 1)]
     return spark.createDataFrame(rows, "rule_no int, place int, bound string")
 
 
@@ -176,7 +176,7 @@ def chunk_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return place_round_robin(frame(spark, "chunks"), frame(spark, "shards").where(F.col("host").contains("/")))
+    return place_round_robin(frame(spark, "chunks", sf_dir), frame(spark, "shards", sf_dir).where(F.col("host").contains("/")))
 
 
 def chunk_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,10 +184,10 @@ def chunk_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points still to be made: each once, and none that is a boundary already."""
-    wanted = _points(spark, [(i, p) for i, p in enumerate([0, 1500, 3000, 4500, 6000, 6000, 7500], 1)], "place int, point long")
-    there = frame(spark, "chunks").where("ns = 'shop.orders'").select(F.col("min_key").cast("long").alias("point"))
-    return wanted.select("point").dropDuplicates().join(there, "point", "left_anti")
+    """Points still to be made, at every fifth key: each once, and none that is a boundary already."""
+    wanted = source(spark, sf_dir).where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("point"))
+    there = frame(spark, "chunks", sf_dir).where("ns = 'shop.c0'").select(F.col("min_key").alias("point"))
+    return wanted.union(wanted).dropDuplicates().join(there, "point", "left_anti")
 
 
 QUERIES = {
@@ -216,5 +216,5 @@ SQL = {
     "chunk_skew": f"WITH {_ASSIGN} SELECT chunk, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM a GROUP BY chunk",
     "chunk_distribution": cte("shards", "chunks") + f", {_PLACE} SELECT * FROM p",
     "chunk_moves": cte("shards", "chunks") + f", {_PLACE} SELECT ns, min_key, shard AS from_shard, wanted AS to_shard FROM p WHERE move",
-    "split_idempotent": cte("chunks") + "SELECT DISTINCT point::BIGINT AS point FROM (VALUES (0), (1500), (3000), (4500), (6000), (6000), (7500)) AS w(point) WHERE point NOT IN (SELECT min_key FROM chunks WHERE ns = 'shop.orders')",
+    "split_idempotent": cte("chunks") + "SELECT o_orderkey AS point FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey NOT IN (SELECT min_key FROM chunks WHERE ns = 'shop.c0')",
 }

@@ -89,11 +89,11 @@ def shard_keys(namespaces: DataFrame, rules: DataFrame, sharded: DataFrame) -> D
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.lit("shop.orders").alias("ns"), F.lit("long").alias("id_type"))
-    return orders.union(frame(spark, "mixed_ids"))
+    return orders.union(frame(spark, "mixed_ids", sf_dir))
 
 
 def discover_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collections(frame(spark, "catalog"), frame(spark, "excluded_ns")).select("ns", "db", "coll")
+    return collections(frame(spark, "catalog", sf_dir), frame(spark, "excluded_ns", sf_dir)).select("ns", "db", "coll")
 
 
 def collection_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ def range_safety_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_strategy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = collections(frame(spark, "catalog"), frame(spark, "excluded_ns"))
+    rows = collections(frame(spark, "catalog", sf_dir), frame(spark, "excluded_ns", sf_dir))
     return scan_strategy(rows, range_safety(_mixed(spark, sf_dir)))
 
 
@@ -131,7 +131,7 @@ def range_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog_totals(collections(frame(spark, "catalog"), frame(spark, "excluded_ns")))
+    return catalog_totals(collections(frame(spark, "catalog", sf_dir), frame(spark, "excluded_ns", sf_dir)))
 
 
 def cluster_time_t0(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,11 +139,11 @@ def cluster_time_t0(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_enabled_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_labels(frame(spark, "streams"))
+    return stream_labels(frame(spark, "streams", sf_dir))
 
 
 def shard_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules, sharded = frame(spark, "rules"), frame(spark, "sharded")
+    rules, sharded = frame(spark, "rules", sf_dir), frame(spark, "sharded", sf_dir)
     return shard_keys(rules.select("ns").union(sharded.select("ns")).distinct(), rules, sharded)
 
 

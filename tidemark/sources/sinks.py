@@ -59,7 +59,7 @@ def status_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oplog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/oplog-{uuid.uuid4().hex}"
-    log_operations(frame(spark, "oplog").select("no", "kind", "worker", "docs", "byte_size"), path)
+    log_operations(frame(spark, "oplog", sf_dir).select("no", "kind", "worker", "docs", "byte_size"), path)
     return spark.read.schema("no int, kind string, worker int, docs int, byte_size int").json(path)
 
 
