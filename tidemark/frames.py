@@ -55,13 +55,10 @@ FRAMES = {
     "node_samples": "SELECT 'g' || CAST(CAST(FLOOR(event_id / 3) AS BIGINT) AS STRING) AS grp, event_id % 3 AS node, CAST(FLOOR(value * 7) AS BIGINT) % 270 AS latency_ms, user_id % 53 AS queue_total, event_id % 23 AS active_clients, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 130 END AS write_tickets, event_id % 50 = 0 AS lagged, event_id % 97 = 0 AS failed FROM {events}",
     "numbers": f"SELECT event_id AS no, {_pick('event_id', ["CAST(event_id AS STRING)", "CAST(event_id AS STRING) || '.7'", "'-' || CAST(user_id AS STRING) || '.9'", "event_type", "NULL", "'1e3'", "''"])} AS txt FROM {{events}}",
     "dirty_checks": "SELECT event_id AS no, user_id % 3 = 0 AS dirty, event_id % 6 AS attempt FROM {events}",
-    "queue_log": ("step, depth", "(1, 100), (2, 2000), (3, 1500), (4, 1000), (5, 999), (6, 1999), (7, 2000), (8, 1200), (9, 10)"),
+    "queue_log": f"SELECT {_EVENT_NS} AS grp, event_id AS step, CAST(FLOOR(value * 8) AS BIGINT) % 2600 AS depth FROM {{events}}",
     "sweeps": "SELECT event_id AS no, (event_id % 700) * 0.5 AS since_s, (user_id % 20) * 0.5 AS idle_s, (event_id % 4) * 0.5 AS lag_s FROM {events}",
     "status_rows": "SELECT o_orderkey AS no, o_custkey * 1000 AS total_bytes, o_custkey * (o_orderkey % 1000) AS cloned_bytes, o_orderstatus = 'F' AS clone_done, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE 1700000000 + o_orderkey END AS source_t, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1700000000 + o_custkey END AS applied_t, 1700000000 + o_orderkey % 400 AS now_t, o_orderkey % 500 AS checked, o_custkey % 300 AS pending FROM {orders}",
     "oplog": "SELECT CAST(event_id AS INT) AS no, CASE WHEN event_type = 'click' THEN 'cdc' ELSE 'bulk' END AS kind, CAST(user_id % 4 AS INT) AS worker, CAST(event_id % 40 AS INT) AS docs, CAST(event_id % 40 * (user_id % 200) AS INT) AS byte_size, (1 + user_id % 30) * 0.0625 AS elapsed_s FROM {events}",
-    "rule_samples": ("rule_no, ns, shard_key, strategy, chunk_count, initial_chunks, uuid_field, oid_field", """
-        (1, 'shop.orders', 'o_custkey:1, o_orderkey:1', 'range_manual', 0, 0, '', ''), (2, 'shop.orders', 'other:1', 'none', 0, 0, '', ''), (3, 'crm.people', ' _id : hashed ', 'hashed_manual', 6, 0, '', ''),
-        (4, 'shop.customers', 'c_nationkey:hashed', 'none', 0, 12, '', ''), (5, 'iot.samples', 'u:1,o:-1,k', 'composite_uuid_oid', 3, 0, 'u', 'o'), (6, 'iot.logs', 'region:1,_id:hashed', 'none', 0, 0, '', '')"""),
 }
 _GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "events")
 EXCLUDED_DBS = ("admin", "local", "config")

@@ -27,10 +27,10 @@ def hosts(shards: DataFrame) -> DataFrame:
 
 
 def queue_states(depths: DataFrame, capacity: int = 2000) -> DataFrame:
-    """The state after each depth: throttled from full on until the queue is less than half full."""
-    order = Window.orderBy("step")
+    """The state of each queue (grp) after each depth: throttled from full on until the queue is less than half full."""
+    order = Window.partitionBy("grp").orderBy("step")
     mark = F.when(F.col("depth") >= capacity, "throttled").when(F.col("depth") < capacity / 2, "running")
-    return depths.select("step", "depth", F.coalesce(F.last(mark, True).over(order), F.lit("running")).alias("state"))
+    return depths.select("grp", "step", "depth", F.coalesce(F.last(mark, True).over(order), F.lit("running")).alias("state"))
 
 
 def flow_control_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ SQL = {
     "flow_control_decision": cte("node_samples") + """, w AS (SELECT grp, max(CASE WHEN failed THEN 9999 ELSE latency_ms END) AS latency, bool_or(lagged) AS lagged, max(queue_total) AS queue, max(active_clients) AS clients, min(write_tickets) AS tickets FROM node_samples GROUP BY grp),
         r AS (SELECT *, CASE WHEN latency > 250 THEN 'latency' WHEN lagged THEN 'lagged' WHEN queue > 50 THEN 'queue' WHEN clients > 20 THEN 'clients' WHEN tickets <= 10 THEN 'tickets' ELSE '' END AS reason FROM w) SELECT grp, reason <> '' AS pause, reason, latency, queue, clients FROM r""",
     "shard_hosts": cte("shards") + "SELECT id, split_part(host, '/', 1) AS replica_set, unnest(string_split(split_part(host, '/', 2), ',')) AS host FROM shards WHERE contains(host, '/')",
-    "queue_state": cte("queue_log") + "SELECT step, depth, coalesce(last_value(CASE WHEN depth >= 2000 THEN 'throttled' WHEN depth < 1000 THEN 'running' END IGNORE NULLS) OVER (ORDER BY step), 'running') AS state FROM queue_log",
+    "queue_state": cte("queue_log") + "SELECT grp, step, depth, coalesce(last_value(CASE WHEN depth >= 2000 THEN 'throttled' WHEN depth < 1000 THEN 'running' END IGNORE NULLS) OVER (PARTITION BY grp ORDER BY step), 'running') AS state FROM queue_log",
     "status_progress": cte("status_rows") + "SELECT no, round(CASE WHEN clone_done THEN 100.0 WHEN total_bytes > 0 THEN cloned_bytes / total_bytes::DOUBLE * 100 ELSE 0.0 END, 6) AS progress, round(CASE WHEN checked > 0 THEN (checked - pending) / checked::DOUBLE * 100 ELSE 0.0 END, 6) AS sync_percent FROM status_rows",
     "status_cdc_lag": cte("status_rows") + """SELECT no, CASE WHEN source_t > 0 THEN greatest(0, now_t - source_t) ELSE 0 END::BIGINT AS idle_s, CASE WHEN source_t > 0 AND applied_t > 0 THEN greatest(0, source_t - applied_t) ELSE 0 END::BIGINT AS lag_s,
         CASE WHEN source_t > 0 THEN strftime(make_timestamp(source_t::BIGINT * 1000000), '%Y-%m-%dT%H:%M:%SZ') ELSE '' END AS last_source, CASE WHEN applied_t > 0 THEN strftime(make_timestamp(applied_t::BIGINT * 1000000), '%Y-%m-%dT%H:%M:%SZ') ELSE '' END AS last_applied FROM status_rows""",

@@ -11,7 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.frames import cte, frame, source
+from tidemark.frames import cte, frame, source, table
+from tidemark.functions.keys import key_parts
+from tidemark.plans.assign import chunks_of
 
 CHUNK_BYTES = 128 << 20
 DIGITS = "0123456789abcdef"
@@ -95,15 +97,18 @@ def dispatch(rules: DataFrame, sharded: DataFrame) -> DataFrame:
     return rows.select("rule_no", "ns", action.alias("action"))
 
 
-def bounds(shard_key: str, strategy: str, parts: int, low: int, high: int, uuid_field: str = "", oid_field: str = "") -> list[str]:
-    """The bounds that a strategy sets for a key of several fields: its first field takes the point, all others their least value."""
-    fields = [p.split(":")[0].strip() for p in shard_key.split(",")]
-    text = lambda point: ", ".join(f"{f}: {point if i == 0 else 'MinKey'}" for i, f in enumerate(fields))
-    if strategy == "composite_uuid_oid":
-        own = lambda f, u, o: u if f == uuid_field else o if f == oid_field else None
-        return [", ".join(f"{f}: {own(f, u, o) or 'MinKey'}" for f in fields) for u, o in composite_points(uuid_field, oid_field)]
-    made = {"none": lambda: [], "hex": lambda: list(DIGITS), "range_manual": lambda: split_range(low, high, parts, 1), "hashed_manual": lambda: split_ring(parts)}
-    return [text(point) for point in made[strategy]()]
+def bound_texts(rules: DataFrame, points: DataFrame, uuid_field: str, oid_field: str) -> DataFrame:
+    """(rule_no, place, bound) for ``points`` (strategy, place, point, uuid, oid): the bounds that each rule sets. The first field of its key takes the point (a
+    composite's two fields theirs), all others their least value."""
+    both = rules.join(F.broadcast(points), "strategy")  # as many rows as strategies have points
+
+    def part(field: Column, i: Column) -> Column:
+        own = F.when(field == uuid_field, F.col("uuid")).when(field == oid_field, F.col("oid"))
+        value = F.when(F.col("strategy") == "composite_uuid_oid", own).otherwise(F.when(i == 0, F.col("point")))
+        return F.concat(field, F.lit(": "), F.coalesce(value, F.lit("MinKey")))
+
+    fields = F.transform(key_parts(F.col("shard_key")), lambda p: p["field"])
+    return both.select("rule_no", "place", F.array_join(F.transform(fields, part), ", ").alias("bound"))
 
 
 def _points(spark: SparkSession, rows: list, schema: str = "place int, point string") -> DataFrame:
@@ -124,31 +129,53 @@ def split_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(spark, list(enumerate(split_date(low, high, 12), 1)), "place int, point long")
 
 
+def _with_rows(points: DataFrame, rows: DataFrame) -> DataFrame:
+    """``points`` with n, the rows of the chunk that each begins; keys are the columns of both in their order."""
+    chunks = chunks_of(rows, rows.columns, points).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    ranked = points.withColumn("chunk", F.row_number().over(Window.orderBy(F.struct(*points.columns))).cast("long"))  # as many rows as points
+    return ranked.join(chunks, "chunk", "left").select(F.col("chunk").cast("int").alias("place"), *points.columns, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _split_hex(spark: SparkSession, rows: DataFrame, parts: int, keep_width: bool = True) -> DataFrame:
+    """Points between the least and the greatest of ``rows`` (one column of hex), with the rows of each chunk."""
+    low, high = (bytes.fromhex(x) for x in rows.agg(F.min(rows.columns[0]), F.max(rows.columns[0])).first())
+    points = [(p.hex(),) for p in split_bytes(low, high, parts, keep_width)]
+    return _with_rows(spark.createDataFrame(points, "point string"), rows)
+
+
+def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", F.md5(F.col("c_name").cast("binary")).alias("m"))
+
+
 def split_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low, high = bytes.fromhex("0" * 32), bytes.fromhex("7fffffffffffffff" + "f" * 16)
-    return _points(spark, [(i, p.hex()) for i, p in enumerate(split_bytes(low, high, 16), 1)])
+    """Identifiers below 2^127, as the SQL's numbers end there."""
+    return _split_hex(spark, _ids(spark, sf_dir).select(F.concat(F.lit("4"), F.substring("m", 2, 31)).alias("m")), 16)
 
 
 def split_objectid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low, high = bytes.fromhex("5f0000000000000000000000"), bytes.fromhex("6fffffffffffffffffffffff")
-    return _points(spark, [(i, p.hex()) for i, p in enumerate(split_bytes(low, high, 10), 1)])
+    return _split_hex(spark, _ids(spark, sf_dir).select(F.substring("m", 1, 24).alias("m")), 10)
 
 
 def split_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points as hex: they need not be valid UTF-8."""
-    return _points(spark, [(i, p.hex()) for i, p in enumerate(split_bytes(b"apple", b"mango1", 5, False), 1)])
+    text = F.rpad(F.lower(F.hex(F.substring("p_name", 1, 8).cast("binary"))), 16, "0")
+    return _split_hex(spark, table(spark, sf_dir, "part").select(text.alias("m")), 5, False)
 
 
 def split_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, list(enumerate(split_ring(12), 1)), "place int, point long")
+    """Two parts for each shard."""
+    shards = frame(spark, "shards", sf_dir).where(F.col("host").contains("/")).count()
+    return _points(spark, list(enumerate(split_ring(2 * shards), 1)), "place int, point long")
 
 
 def split_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, list(enumerate(DIGITS, 1)))
+    return _with_rows(spark.createDataFrame([(d,) for d in DIGITS], "point string"), _ids(spark, sf_dir).select("m"))
 
 
 def split_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, composite_points("u", "o"), "uuid string, oid string")
+    """Keys of a uuid, which some documents lack, and an object id."""
+    rows = _ids(spark, sf_dir).select(F.when(F.col("c_custkey") % 5 != 0, F.col("m")).alias("uuid"), F.substring("m", 5, 24).alias("oid"))
+    return _with_rows(spark.createDataFrame(composite_points("u", "o"), "uuid string, oid string"), rows)
 
 
 def initial_chunks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,9 +193,13 @@ def split_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bounds that each rule would set, over keys from 0 to 16000 in four parts where it names no number."""
-    rows = [(r["rule_no"], i, b) for r in frame(spark, "rule_samples", sf_dir).collect() for i, b in enumerate(bounds(r["shard_key"], r["strategy"], r["chunk_count"] or 4, 0, 16_000, r["uuid_field"], r["oid_field"]), 1)]
-    return spark.createDataFrame(rows, "rule_no int, place int, bound string")
+    """The bounds that each rule would set: four ranges of the orders' keys, six parts of the ring, hex digits, or composite points."""
+    low, high = source(spark, sf_dir).agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    made = {"range_manual": split_range(low, high, 4, 1), "hashed_manual": split_ring(6), "hex": DIGITS}
+    rows = [(name, i, str(p), None, None) for name, points in made.items() for i, p in enumerate(points, 1)]
+    rows += [("composite_uuid_oid", i, None, u, o) for i, (u, o) in enumerate(composite_points("u", "o"), 1)]
+    points = spark.createDataFrame(rows, "strategy string, place int, point string, uuid string, oid string")
+    return bound_texts(frame(spark, "rules", sf_dir), points, "u", "o")
 
 
 def chunk_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,21 +227,33 @@ QUERIES = {
 }
 _ASSIGN = "b AS (SELECT min(o_orderkey) AS lo, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 8) AS step FROM orders), a AS (SELECT o_orderkey, least(7, greatest(0, (o_orderkey - lo) // step))::INTEGER AS chunk FROM orders, b)"
 _PLACE = "s AS (SELECT list(id ORDER BY id) AS names FROM shards WHERE contains(host, '/')), n AS (SELECT *, (row_number() OVER (PARTITION BY ns ORDER BY min_key) - 1)::INTEGER AS chunk FROM chunks), p AS (SELECT ns, chunk, min_key, shard, jumbo, names[chunk % len(names) + 1] AS wanted, NOT jumbo AND shard <> names[chunk % len(names) + 1] AS move FROM n, s)"
+#: Points of hex keys of up to 32 digits by 128-bit arithmetic, and the rows from each point on.
+_SPLIT = """WITH r AS ({rows}), v AS (SELECT min(m) AS lo, max(m) AS hi FROM r), w AS (SELECT lpad(lo, 32, '0') AS lo, lpad(hi, 32, '0') AS hi FROM v),
+        x AS (SELECT ('0x' || substr(lo, 1, 16))::UBIGINT::HUGEINT * 18446744073709551616::HUGEINT + ('0x' || substr(lo, 17))::UBIGINT AS lo, ('0x' || substr(hi, 1, 16))::UBIGINT::HUGEINT * 18446744073709551616::HUGEINT + ('0x' || substr(hi, 17))::UBIGINT AS hi FROM w),
+        p AS (SELECT i, lo + ((hi - lo) // {parts}::HUGEINT) * i::HUGEINT AS v FROM x, unnest(range(1, {parts})) AS g(i)),
+        q AS (SELECT i, right(lpad(printf('%x', (v // 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') || lpad(printf('%x', (v % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0'), {wide}) AS point FROM p),
+        c AS (SELECT point, count(*) AS n FROM r ASOF JOIN q ON r.m >= q.point GROUP BY point) SELECT i::INTEGER AS place, q.point, coalesce(n, 0) AS n FROM q LEFT JOIN c ON q.point = c.point"""
 SQL = {
     "target_chunk_count": cte("sizing") + "SELECT no, greatest(2, CASE WHEN explicit_chunks > 0 THEN explicit_chunks WHEN size // 134217728 > greatest(shards, 2) THEN size // 134217728 ELSE 2 * greatest(shards, 2) END)::BIGINT AS chunks FROM sizing",
     "split_int64": "WITH b AS (SELECT min(o_orderkey) AS lo, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 8) AS step FROM orders) SELECT i::INTEGER AS place, lo + step * i AS point FROM b, unnest(range(1, 8)) AS g(i)",
     "split_date": "WITH b AS (SELECT epoch_ms(min(o_orderdate)::DATE::TIMESTAMP) AS lo, epoch_ms(max(o_orderdate)::DATE::TIMESTAMP) AS hi FROM orders) SELECT i::INTEGER AS place, lo + greatest(1, (hi - lo) // 12) * i AS point FROM b, unnest(range(1, 12)) AS g(i)",
     "split_dispatch": cte("rules", "sharded") + """SELECT rule_no, ns, CASE WHEN EXISTS (SELECT 1 FROM rules o WHERE o.ns = r.ns AND o.rule_no < r.rule_no) THEN 'skip: later rule' WHEN EXISTS (SELECT 1 FROM sharded s WHERE s.ns = r.ns AND NOT dropped) THEN 'skip: partitioned' ELSE strategy END AS action FROM rules r""",
-    "split_bounds": """SELECT 1 AS rule_no, i::INTEGER AS place, 'o_custkey: ' || i * 4000 || ', o_orderkey: MinKey' AS bound FROM unnest(range(1, 4)) AS g(i)
-        UNION ALL SELECT 3, i::INTEGER, '_id: ' || ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 6) * i)::VARCHAR FROM unnest(range(1, 6)) AS g(i)
-        UNION ALL SELECT 5, (i + 1)::INTEGER, 'u: MinKey, o: ' || rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') || ', k: MinKey' FROM unnest(range(0, 16)) AS g(i)
-        UNION ALL SELECT 5, (i + 16)::INTEGER, 'u: ' || rpad(printf('%02x', i), 32, '0') || ', o: MinKey, k: MinKey' FROM unnest(range(1, 256)) AS g(i)""",
-    "split_uuid": "SELECT i::INTEGER AS place, lower(lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) // 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') || lpad(printf('%x', (((170141183460469231731687303715884105727::HUGEINT // 16) * i) % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0')) AS point FROM unnest(range(1, 16)) AS g(i)",
-    "split_objectid": "SELECT i::INTEGER AS place, lpad(printf('%x', (v // 18446744073709551616::HUGEINT)::UBIGINT), 8, '0') || lpad(printf('%x', (v % 18446744073709551616::HUGEINT)::UBIGINT), 16, '0') AS point FROM (SELECT i, 95::HUGEINT * 309485009821345068724781056::HUGEINT + i * ((17::HUGEINT * 309485009821345068724781056::HUGEINT - 1) // 10) AS v FROM unnest(range(1, 10)) AS g(i))",
-    "split_string": f"SELECT i::INTEGER AS place, printf('%x', {int.from_bytes(b'apple' + bytes(1), 'big')} + i * {(int.from_bytes(b'mango1', 'big') - int.from_bytes(b'apple' + bytes(1), 'big')) // 5}) AS point FROM unnest(range(1, 5)) AS g(i)",
-    "split_hash_ring": "SELECT i::INTEGER AS place, ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 12) * i)::BIGINT AS point FROM unnest(range(1, 12)) AS g(i)",
-    "split_hex": "SELECT (i + 1)::INTEGER AS place, substr('0123456789abcdef', i + 1, 1) AS point FROM unnest(range(0, 16)) AS g(i)",
-    "split_composite": "SELECT NULL::VARCHAR AS uuid, rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') AS oid FROM unnest(range(0, 16)) AS g(i) UNION ALL SELECT rpad(printf('%02x', i), 32, '0'), NULL FROM unnest(range(1, 256)) AS h(i)",
+    "split_bounds": cte("rules") + """, b AS (SELECT min(o_orderkey) AS lo, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 4) AS step FROM orders),
+        p AS (SELECT 'range_manual' AS strategy, i::INTEGER AS place, (lo + step * i)::VARCHAR AS point, NULL::VARCHAR AS u, NULL::VARCHAR AS o FROM b, unnest(range(1, 4)) AS g(i)
+        UNION ALL SELECT 'hashed_manual', i::INTEGER, ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // 6) * i)::VARCHAR, NULL, NULL FROM unnest(range(1, 6)) AS g(i)
+        UNION ALL SELECT 'hex', (i + 1)::INTEGER, substr('0123456789abcdef', i + 1, 1), NULL, NULL FROM unnest(range(0, 16)) AS g(i)
+        UNION ALL SELECT 'composite_uuid_oid', (i + 1)::INTEGER, NULL, NULL, rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') FROM unnest(range(0, 16)) AS g(i)
+        UNION ALL SELECT 'composite_uuid_oid', (i + 16)::INTEGER, NULL, rpad(printf('%02x', i), 32, '0'), NULL FROM unnest(range(1, 256)) AS g(i)),
+        f AS (SELECT rule_no, strategy, trim(split_part(unnest(string_split(shard_key, ',')), ':', 1)) AS field, unnest(range(0, len(string_split(shard_key, ',')))) AS k FROM rules)
+        SELECT rule_no, place, string_agg(field || ': ' || coalesce(CASE WHEN strategy = 'composite_uuid_oid' THEN CASE field WHEN 'u' THEN u WHEN 'o' THEN o END WHEN k = 0 THEN point END, 'MinKey'), ', ' ORDER BY k) AS bound FROM f JOIN p USING (strategy) GROUP BY rule_no, place""",
+    "split_uuid": _SPLIT.format(rows="SELECT '4' || substr(md5(c_name), 2) AS m FROM customer", wide=32, parts=16),
+    "split_objectid": _SPLIT.format(rows="SELECT substr(md5(c_name), 1, 24) AS m FROM customer", wide=24, parts=10),
+    "split_string": _SPLIT.format(rows="SELECT rpad(lower(hex(encode(substr(p_name, 1, 8)))), 16, '0') AS m FROM part", wide=16, parts=5),
+    "split_hash_ring": cte("shards") + ", n AS (SELECT 2 * count(*) AS n FROM shards WHERE contains(host, '/')) SELECT i::INTEGER AS place, ((-9223372036854775808)::HUGEINT + (18446744073709551615::HUGEINT // n) * i)::BIGINT AS point FROM n, unnest(range(1, n)) AS g(i)",
+    "split_hex": "SELECT (i + 1)::INTEGER AS place, substr('0123456789abcdef', i + 1, 1) AS point, (SELECT count(*) FROM customer WHERE substr(md5(c_name), 1, 1) = substr('0123456789abcdef', i + 1, 1)) AS n FROM (SELECT unnest(range(0, 16)) AS i)",
+    "split_composite": """WITH p AS (SELECT NULL::VARCHAR AS uuid, rpad(substr('0123456789abcdef', i + 1, 1), 24, '0') AS oid FROM unnest(range(0, 16)) AS g(i) UNION ALL SELECT rpad(printf('%02x', i), 32, '0'), NULL FROM unnest(range(1, 256)) AS h(i)),
+        k AS (SELECT *, coalesce(uuid, repeat(' ', 32)) || coalesce(oid, '') AS b FROM p), r AS (SELECT CASE WHEN c_custkey % 5 <> 0 THEN md5(c_name) ELSE repeat(' ', 32) END || substr(md5(c_name), 5, 24) AS key FROM customer),
+        c AS (SELECT b, count(*) AS n FROM r ASOF JOIN k ON r.key >= k.b GROUP BY b) SELECT (row_number() OVER (ORDER BY k.b))::INTEGER AS place, uuid, oid, coalesce(n, 0) AS n FROM k LEFT JOIN c ON k.b = c.b""",
     "initial_chunks": cte("rules") + r"SELECT rule_no, CASE WHEN strategy = 'hashed_manual' THEN 1 WHEN initial_chunks > 0 THEN initial_chunks ELSE 6 END::BIGINT AS n FROM rules WHERE lower(trim(split_part(split_part(shard_key, ',', 1), ':', 2))) = 'hashed'",
     "chunk_assignment": f"WITH {_ASSIGN} SELECT * FROM a",
     "chunk_skew": f"WITH {_ASSIGN} SELECT chunk, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM a GROUP BY chunk",

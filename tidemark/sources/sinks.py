@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.frames import cte, frame, source
+from tidemark.frames import cte, frame, source, table
 from tidemark.shared import Folder, shared_dir
 
 
@@ -49,9 +49,10 @@ def append_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The status after each of three saves."""
+    """The status after each of three saves, with the sizes of tables as figures."""
     status, seen = Status(spark, f"{shared_dir(spark)}/status-{uuid.uuid4().hex}"), []
-    for n, fields in enumerate(({"state": "copying", "docs": 10}, {"state": None, "docs": 25}, {"state": "streaming", "lag": 2}), 1):
+    docs = [table(spark, sf_dir, name).count() for name in ("orders", "lineitem", "events")]
+    for n, fields in enumerate(({"state": "copying", "docs": docs[0]}, {"state": None, "docs": docs[1]}, {"state": "streaming", "lag": docs[2]}), 1):
         status.save(fields)
         seen.append((n, *(status.load().get(k) for k in ("state", "docs", "lag"))))
     return spark.createDataFrame(seen, "step int, state string, docs long, lag long")
@@ -66,6 +67,6 @@ def oplog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (append_insert, status_merge, oplog_lines)}
 SQL = {
     "append_insert": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-    "status_merge": "SELECT * FROM (VALUES (1, 'copying', 10::BIGINT, NULL::BIGINT), (2, 'copying', 25, NULL), (3, 'streaming', 25, 2)) AS t(step, state, docs, lag)",
+    "status_merge": "SELECT 1 AS step, 'copying' AS state, (SELECT count(*) FROM orders) AS docs, NULL::BIGINT AS lag UNION ALL SELECT 2, 'copying', (SELECT count(*) FROM lineitem), NULL UNION ALL SELECT 3, 'streaming', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM events)",
     "oplog_lines": cte("oplog") + "SELECT no, kind, worker, docs, byte_size FROM oplog WHERE NOT (kind = 'cdc' AND docs = 0)",
 }
