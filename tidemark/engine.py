@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import replay, validation
+from tidemark.operators.rounds import Validation
 from tidemark.plans import health, splits
 from tidemark.sources import discovery, snapshot
-from tidemark.streaming.apply import StateTable, apply_stream, documents
+from tidemark.sources.segments import SegmentCopy
+from tidemark.streaming.apply import StateTable, apply_log, apply_stream, documents
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,26 @@ class Engine:
         apply_stream(log, state, f"{path}/offsets", start)
         return documents(state)
 
+    def apply_log(self, log_path: str, path: str, start: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+        """Applies a change log in files up to its end, from ``start`` or where an earlier call stopped; gives the documents and what each batch did."""
+        state = StateTable(self.spark, f"{path}/state")
+        apply_log(log_path, state, f"{path}/offsets", start, self.config.cdc_batch * self.config.cdc_workers)
+        return documents(state), state.feed()
+
+    def copy(self, rows: DataFrame, path: str, key: str) -> DataFrame:
+        """Copies a collection in key ranges under ``path`` and gives the copy; a copy that was lost goes on."""
+        made = SegmentCopy(self.spark, path, key, self.config.segment_docs)
+        made.run(rows)
+        return made.copied()
+
+    def batches(self, rows: DataFrame, key: str, size: str) -> DataFrame:
+        """Insert batches by documents and bytes."""
+        return snapshot.pack_by_bytes(rows, key, size, self.config.batch_docs, self.config.batch_bytes)
+
+    def validation(self, path: str, schema: str, key: str, ns: str) -> Validation:
+        """The loop of rounds over a target that is kept under ``path``."""
+        return Validation(self.spark, path, schema, key, ns)
+
     def validate(self, source: DataFrame, target: DataFrame, key: str) -> DataFrame:
         return validation.with_status(validation.compare(source, target, key))
 
