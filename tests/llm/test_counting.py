@@ -51,7 +51,7 @@ def audit_rows(seed=1):
 @pytest.mark.parametrize("least,top,small", [(1, 3, False), (4, 50, True)])
 def test_audit(spark, make, monkeypatch, least, top, small):
     if small:  # cells of pairs, blocks of terms and counts that leave early
-        for name, n in (("CELL", 2), ("SHARES", 4), ("CELLS", 1), ("COUNTERS", 7), ("PREFIX", 1), ("PIECE_TERMS", 2), ("MERGED", 3)):
+        for name, n in (("CELL", 2), ("SHARES", 4), ("CELLS", 1), ("COUNTERS", 7), ("PREFIX", 1), ("PIECE_COUNTERS", 2), ("MERGED", 3)):
             monkeypatch.setattr(source_audit, name, n)
     rows = audit_rows()
     docs = make(rows, "doc_id long, text string, lang string, source string").withColumnRenamed("n", "value").withColumnRenamed("h", "terms")

@@ -35,8 +35,8 @@ from tidemark.shared import discard, written
 LEAST_DOCS, TOP, SMOOTHING, SCALE = 30, 50, 5, 10**9
 #: ASCII letters and all beyond ASCII; bytes.lower() lowers A-Z alone.
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
-#: Bytes of the prefix by which tries are cut and merged, and terms of a piece at most, so that pieces are of like size and ranges of them too.
-PREFIX, PIECE_TERMS = 4, 64
+#: Bytes of the prefix by which tries are cut and merged, and about the counters of a piece, so that pieces are of like size and ranges of them too.
+PREFIX, PIECE_COUNTERS = 4, 64
 #: Counters that a task holds before its tries leave it, and terms that are merged at a time, but for a prefix that has more.
 COUNTERS, MERGED = 400_000, 20_000
 #: Sources on a side of a cell of pairs; shares (terms by sources) that are held at a time; cells that are added up before they leave the task.
@@ -109,12 +109,12 @@ def _pieces(lang: str, trie: Trie) -> pa.RecordBatch:
     n = len(trie.terms)
     prefix = [t[:PREFIX] for t in trie.terms]
     new = np.fromiter((i == 0 or prefix[i] != prefix[i - 1] for i in range(n)), bool, n)
-    run = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    start = np.flatnonzero((np.arange(n) - run) % PIECE_TERMS == 0)
+    ends = np.append(0, np.cumsum(trie.sizes))
+    start = np.flatnonzero(new | np.append(True, np.diff(ends[:-1] // PIECE_COUNTERS) != 0))
     depth = trie.depths()
     depth[start] = [len(prefix[i]) for i in start]
     labels = [t[d:] for t, d in zip(trie.terms, depth.tolist(), strict=True)]
-    at, ends = pa.array(np.append(start, n), pa.int32()), np.append(0, np.cumsum(trie.sizes))
+    at = pa.array(np.append(start, n), pa.int32())
     of_terms = lambda values, kind: pa.ListArray.from_arrays(at, pa.array(values, kind))
     counters = pa.array(ends[np.append(start, n)], pa.int32())
     columns = [
