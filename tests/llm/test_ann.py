@@ -68,3 +68,31 @@ def test_the_number_of_cores_changes_nothing(spark, monkeypatch):
     first = found(ann.search(rows, F.col("vec_id") % 500 == 0))
     monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 1))
     assert found(ann.search(rows.repartition(7), F.col("vec_id") % 500 == 0)) == first
+
+
+def test_files_give_the_footrule_distance():
+    """Against the distance written out, absent pivots at the place after the last; rows of a pivot that all have, and of one that none has."""
+    rng = np.random.default_rng(3)
+    for n, pivots, m in ((1, 3, 3), (40, 12, 5), (300, 50, 8)):
+        order = np.array([rng.permutation(pivots - 1)[:m] if pivots > m else rng.permutation(pivots)[:m] for _ in range(n)], np.int16)
+        order[:, 0] = np.where((order[:, 1:] == 1).any(1), order[:, 0], 1)  # one pivot is nearly everyone's
+        files = ann._Files(order, pivots)
+        for _ in range(20):
+            perm = rng.permutation(pivots)[:m].astype(np.int16)
+            mine = {int(p): i for i, p in enumerate(perm)}
+            far = [sum(abs(mine.get(p, m) - (list(row).index(p) if p in row else m)) for p in range(pivots)) for row in order]
+            most = m * (m + 1)
+            assert [most - 2 * int(x) for x in files.nearness(perm)] == far
+
+
+def test_files_hold_postings_only(spark):
+    """As many postings as rows have pivots; a query reads those of its own pivots, far fewer than a place of every row for each of them."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    order = ann._order(x, np.zeros(len(x)), np.concatenate([x[: ann.PIVOTS], np.zeros((ann.PIVOTS, 1))], 1), ann.PREFIX)
+    files = ann._Files(order, ann.PIVOTS)
+    assert len(files.row) == len(x) * ann.PREFIX
+    sizes = np.diff(np.concatenate([[0], files.ends]))
+    read = np.mean([sizes[p].sum() for p in order[:200]])
+    assert read < 16 * len(x)
