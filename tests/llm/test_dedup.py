@@ -69,7 +69,6 @@ def test_similar_documents(make, words, num):
 
 def test_hot_lists_are_walked_in_parts(make, monkeypatch):
     monkeypatch.setattr(ngram_join, "PART", 2)
-    monkeypatch.setattr(ngram_join, "HOT_SHARE", 1e-6)
     rows = corpus(4, 25)
     assert sorted(map(tuple, ngram_join.similar_documents(make(rows)).collect())) == components(rows, 5, 80, 100)
 

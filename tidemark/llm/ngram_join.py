@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import keep_marked
-from tidemark.shared import HOT_SHARE, discard, hot_keys, release, salted_join, written
+from tidemark.shared import discard, hot_keys, release, salted_join, written
 
 #: One n-gram of so many is counted in step 1.
 SAMPLE = 4
@@ -36,8 +36,8 @@ SAMPLE = 4
 COUNTERS = 1 << 18
 #: Bits of the bitmap in step 4.
 BITS = 512
-#: Postings that one task walks before a list is dealt in parts, where that is more than the share of a hot key.
-PART = 256
+#: Postings of a list that one task walks, or holds on each side of a cell, before the list is dealt; the same at every size.
+PART = 1024
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_EXACT = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -219,12 +219,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(left, "a").join(right, "b").where(both * den >= (F.size("ta") + F.size("tb") - both) * num).select("a", "b")
 
 
-def _posting_parts(posted: DataFrame, total: int) -> DataFrame:
-    """``posted`` with n_salts: in how many parts the posting list of its n-gram ``h`` is walked (null: in one). Slots of the table of
-    counts with more postings than a part takes are at most ``1 / HOT_SHARE``, so they are broadcast."""
+def _posting_parts(posted: DataFrame) -> DataFrame:
+    """``posted`` with n_salts: in how many parts of about PART postings the list of its n-gram ``h`` is dealt (null: in one). They are
+    counted by slots of the table of counts, at most COUNTERS rows however many lists are long, so they are broadcast."""
     slot = F.pmod("h", F.lit(COUNTERS)).alias("slot")
     tallies = posted.select(slot).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(tallies, "slot", total, max(HOT_SHARE, PART / max(total, 1)))
+    hot = tallies.where(F.col("n") > PART).select("slot", F.ceil(F.col("n") / PART).cast("int").alias("n_salts"))
     return posted.select("*", slot).join(F.broadcast(hot), "slot", "left").drop("slot")
 
 
@@ -246,11 +246,11 @@ def _classes(sets: DataFrame, num: int, den: int) -> DataFrame | None:
     return written(_prefixes(sets, counts, num, den), "ngram-prefixes")
 
 
-def _near_pairs(classes: DataFrame, groups: DataFrame, total: int, num: int, den: int) -> DataFrame:
+def _near_pairs(classes: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """Step 3: pairs (a, b) of groups' first classes that are neighbours in a posting list, or one of them its first, and that may link.
-    A hot list is walked in parts, and the firsts of its parts once more as a list of their own."""
+    A long list is walked in parts, and the firsts of its parts once more as a list of their own."""
     reps = classes.join(groups.select(F.col("rep").alias("cls")), "cls", "left_semi")
-    posted = _posting_parts(reps.select("cls", "n", F.explode("prefix").alias("h")), total)
+    posted = _posting_parts(reps.select("cls", "n", F.explode("prefix").alias("h")))
     posted = posted.withColumn("part", F.coalesce(F.pmod(F.xxhash64("cls"), F.col("n_salts")).cast("int"), F.lit(0)))
     firsts = posted.where("n_salts IS NOT NULL").groupBy("h", "part").agg(F.min(F.struct("n", "cls")).alias("m")).select("h", "m.n", "m.cls")
     near = _neighbours(posted, ["h", "part"]).union(_neighbours(firsts, ["h"])).where(_sizes_fit(F.col("x.n"), F.col("y.n"), num, den))
@@ -264,11 +264,12 @@ def _with_bits(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> Data
     return pairs.join(left, "a").join(right, "b").where(_bits_fit("x", "y", num, den)).select("a", "b")
 
 
-def _unit_pairs(units: DataFrame, total: int, num: int, den: int) -> DataFrame:
+def _unit_pairs(units: DataFrame, num: int, den: int) -> DataFrame:
     """Step 4: from postings (unit, n, label, bits or null, at, h): pairs (ux, uy) of units of different labels that may link. The pairs
-    of a hot list are dealt over a square of cells, so that no task holds the list; each pair meets in one cell."""
+    of a long list are dealt over a square of cells of about PART postings on a side, so that no task holds the list or makes more pairs than a
+    cell has; each pair meets in one cell."""
     mixed = units.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    units = _posting_parts(units.join(mixed, "h", "left_semi"), total).withColumn("side", F.coalesce(F.ceil(2 * F.sqrt("n_salts")).cast("int"), F.lit(1)))
+    units = _posting_parts(units.join(mixed, "h", "left_semi")).withColumn("side", F.coalesce("n_salts", F.lit(1)))
     own, other = F.pmod(F.xxhash64("unit"), F.col("side")).cast("int"), F.sequence(F.lit(0), F.col("side") - 1)
     x = units.select("*", own.alias("row"), F.explode(other).alias("col")).alias("x")
     y = units.select("*", own.alias("col"), F.explode(other).alias("row")).alias("y")
@@ -280,14 +281,14 @@ def _unit_pairs(units: DataFrame, total: int, num: int, den: int) -> DataFrame:
     return pairs.select(F.col("x.unit").alias("ux"), F.col("y.unit").alias("uy")).distinct()
 
 
-def _other_links(sets: DataFrame, classes: DataFrame, placed: DataFrame, total: int, num: int, den: int) -> DataFrame:
+def _other_links(sets: DataFrame, classes: DataFrame, placed: DataFrame, num: int, den: int) -> DataFrame:
     """The links (a, b) of classes whose labels in ``placed`` (cls, gid, rep, n, label) differ. A group whose classes have one label stays
     one unit; others are expanded."""
     pure = placed.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).select("gid", (F.col("lo") == F.col("hi")).alias("pure"), "m")
     placed = placed.join(pure, "gid").withColumn("unit", F.when(F.col("pure"), F.col("rep")).otherwise(F.col("cls")))
     placed = written(placed.select("cls", "unit", "label", (~F.col("pure") | (F.col("m") == 1)).alias("one")), "ngram-units")
     heads = placed.where("cls = unit").join(classes, "cls").select("unit", "n", "label", F.when(F.col("one"), F.col("bits")).alias("bits"), "prefix")
-    pairs = _unit_pairs(heads.select("unit", "n", "label", "bits", F.posexplode("prefix").alias("at", "h")), total, num, den)
+    pairs = _unit_pairs(heads.select("unit", "n", "label", "bits", F.posexplode("prefix").alias("at", "h")), num, den)
     left, right = (placed.select(F.col("unit").alias(u), F.col("cls").alias(c)) for u, c in (("ux", "cx"), ("uy", "cy")))
     wide = pairs.join(left, "ux").join(right, "uy").select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"))
     links = written(_verified(_with_bits(wide, classes, num, den), sets, num, den), "ngram-more")
@@ -301,14 +302,13 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame | None:
     if classes is None:
         return None
     groups = classes.groupBy("gid").agg(F.min("cls").alias("rep"))
-    total = classes.agg(F.sum(F.size("prefix"))).first()[0]
     member = classes.select("cls", "gid", "n").join(groups, "gid")
     inside = _with_bits(member.where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b")), classes, num, den)
-    links = written(_verified(_near_pairs(classes, groups, total, num, den).union(inside), sets, num, den), "ngram-links")
+    links = written(_verified(_near_pairs(classes, groups, num, den).union(inside), sets, num, den), "ngram-links")
     labels = connected(links)
     release(sets.sparkSession)
     placed = member.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    more = _other_links(sets, classes, placed, total, num, den)
+    more = _other_links(sets, classes, placed, num, den)
     merged = connected(links.union(more)).select(F.col("node").alias("cls"), "label")
     for table in (classes, links, more, labels):
         discard(table)
@@ -321,9 +321,8 @@ def _every_link(sets: DataFrame, num: int, den: int) -> DataFrame | None:
     if classes is None:
         return None
     groups = classes.groupBy("gid").agg(F.min("cls").alias("rep"))
-    total = classes.agg(F.sum(F.size("prefix"))).first()[0]
     placed = classes.select("cls", "gid", "n").join(groups, "gid").withColumn("label", F.col("cls"))
-    links = _other_links(sets, classes, placed, total, num, den)
+    links = _other_links(sets, classes, placed, num, den)
     discard(classes)
     return links
 
