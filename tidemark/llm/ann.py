@@ -67,17 +67,17 @@ class _Files:
         self.n, self.m = order.shape
         flat = order.ravel()
         at = np.argsort(flat, kind="stable")
-        self.row, self.left = (at // self.m).astype(np.int32), (self.m - at % self.m).astype(np.int16)
+        self.row, self.left = at // self.m, (self.m - at % self.m).astype(np.int16)
         self.ends = np.cumsum(np.bincount(flat, minlength=n_pivots))
 
     def nearness(self, perm: np.ndarray) -> np.ndarray:
         """What each row lacks of the greatest footrule distance, halved: with absent pivots at place m on both sides, that distance is a
         constant less twice the sum over common pivots of m less the larger place. Rows without a common pivot have 0."""
-        ends = self.ends[perm]
-        sizes = ends - np.where(perm > 0, self.ends[perm - 1], 0)
-        posting = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
-        own = np.repeat(np.arange(self.m, 0, -1, dtype=np.int16), sizes)
-        return np.bincount(self.row[posting], np.minimum(self.left[posting], own), self.n).astype(np.int64)
+        out = np.zeros(self.n, np.int32)
+        for place, pivot in enumerate(perm):
+            posted = slice(self.ends[pivot - 1] if pivot else 0, self.ends[pivot])
+            out[self.row[posted]] += np.minimum(self.left[posted], np.int16(self.m - place))  # a file has a row once
+        return out.astype(np.int64)
 
 
 def _search_cell(rows: pd.DataFrame, queries: pd.DataFrame, top: int, n_pivots: int, part: float) -> pd.DataFrame:
