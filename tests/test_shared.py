@@ -1,11 +1,14 @@
 """Salted joins, row numbers, and the engine's verbs."""
 
 import random
+from datetime import UTC, datetime
 
 from helpers import bag
+from pyspark.sql import functions as F
 
 from tidemark.engine import Config, Engine
-from tidemark.shared import discard, hot_keys, numbered, salted_join, written
+from tidemark.operators.cdc import dirty_keys
+from tidemark.shared import discard, hot_keys, numbered, salted_join, value_at, written
 
 
 def test_salted_join_is_a_join(spark):
@@ -42,3 +45,17 @@ def test_engine(spark):
     assert engine.validate(src, tgt, "k").where("status = 'healed_pending_verify'").count() == 15
     assert bag(engine.repair(src, tgt, "k")) == bag(src)
     assert engine.plan_splits("int64", 0, 100, 4) == [25, 50, 75] and len(engine.plan_splits("hash", None, None, 8)) == 7
+
+
+def test_the_value_at_a_rank_is_exact_at_every_size(spark):
+    rows = spark.range(3_000_000).select((F.col("id") * 7_919 % 3_000_000 * 1000 - 5).alias("t"))
+    assert value_at(rows, "t", 0.5) == 1_499_999 * 1000 - 5
+    few = spark.createDataFrame([(5,), (-3,), (None,), (5,), (9,), (None,)], "t long")
+    assert [value_at(few, "t", s) for s in (0.1, 0.3, 0.5, 0.6, 0.67, 1)] == [-3, 5, 5, 9, None, None]
+    assert value_at(few.limit(0), "t", 0.5) is None and value_at(few.where("t IS NULL"), "t", 0.5) is None
+
+
+def test_changes_without_a_time_count_for_the_middle_of_the_log(spark, tmp_path):
+    rows = [(n, datetime.fromtimestamp(100 + n, UTC) if n < 4 else None, n % 2, "view", 0.5, "{}") for n in range(6)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    assert bag(dirty_keys(spark, str(tmp_path))) == [(1, 1, "shop.c1")]  # after the third of six changes

@@ -10,7 +10,7 @@ from tidemark.frames import CHANGES, change_log, changes, cte, fields_of, frame,
 from tidemark.functions.keys import SQL as KEYS_SQL
 from tidemark.functions.keys import collection_of, database_of, error_class, worker_of
 from tidemark.operators import replay
-from tidemark.shared import numbered
+from tidemark.shared import numbered, value_at
 from tidemark.sources.cuts import cut
 
 DDL = ("drop", "rename", "create", "dropDatabase", "createIndexes", "dropIndexes")
@@ -264,10 +264,10 @@ def latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys with changes after the last applied place: by namespace and id."""
+    """Keys with changes after the last applied place, the middle of the log: by namespace and id."""
     log = changes(spark, sf_dir)
-    applied = log.agg(F.percentile_approx("t", 0.5, 1_000_000).alias("applied_t"))
-    return log.crossJoin(F.broadcast(applied)).where("t > applied_t").groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
+    applied = F.lit(value_at(log, "t", 0.5)).cast("long")
+    return log.where(F.col("t") > applied).groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
 
 
 QUERIES = {f.__name__: f for f in (cdc_apply_final_state, cdc_replay, cdc_nested_replay, cdc_filter_excluded, cdc_translate, cdc_op_counts, cdc_batches, cdc_batches_ticked, cdc_shard_key_split, cdc_hydrate, cdc_fallback_plan, cdc_keys_unknown, cdc_key_change, strip_shard_keys, cdc_ddl_effect, quarantine_invalid, serial_fallback, validation_scope, safe_checkpoint, resume_position, resume_pending, latest_checkpoint, dirty_keys)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 import os
 import tempfile
 import uuid
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: A key is hot from this share of all rows on, so that at most 1 / HOT_SHARE keys are hot, however large the input is.
 HOT_SHARE = 1 / 500
+#: Cells that a range of values is cut into at a time to find the value at a rank.
+CELLS = 1 << 16
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -117,3 +120,23 @@ def numbered(df: DataFrame, *order: str, name: str = "rn") -> DataFrame:
     out = parts.join(F.broadcast(shift), "_part").withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_mono", "_part", "_at", "_shift")
     out._written_to = held._written_to  # for :func:`discard`
     return out
+
+
+def value_at(df: DataFrame, column: str, share: float) -> int | None:
+    """The value of a whole-number column at the nearest rank (``share`` of all rows, rounded up), nulls last; None where there is none. Exact at every
+    size: the cell of the values' range that holds the rank is cut again until it is one value, so a pass gathers so many counts at most."""
+    value = F.col(column).cast("long")
+    n, low, high = df.agg(F.count(F.lit(1)), F.min(value), F.max(value)).first()
+    rank = math.ceil(n * share)
+    while low is not None:
+        width = max(1, -(-(high - low + 1) // CELLS))
+        cell = F.expr(f"(CAST(`{column}` AS BIGINT) - {low}) div {width}").alias("_cell")
+        cells = df.where(value.between(low, high)).groupBy(cell).agg(F.count(F.lit(1)).alias("_n"))
+        upto = cells.withColumn("_upto", F.sum("_n").over(Window.orderBy("_cell")))  # as many rows as cells
+        found = upto.where(F.col("_upto") >= rank).orderBy("_cell").first()
+        if found is None or width == 1:
+            return None if found is None else low + found["_cell"]
+        rank -= found["_upto"] - found["_n"]
+        low += found["_cell"] * width
+        high = min(high, low + width - 1)
+    return None
