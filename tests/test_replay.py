@@ -235,3 +235,11 @@ def test_segments_when_rows_divide_evenly(spark):
     got = [(r["segment"], r["min_key"], r["max_key"], r["n"]) for r in snapshot.segment_plan(rows, "k", 9).orderBy("segment").collect()]
     assert got == [(0, None, 9, 10), (1, 9, 19, 10), (2, 19, None, 0)]
     assert [(r["segment"], r["n"]) for r in snapshot.segment_plan(rows.limit(0), "k", 9).collect()] == [(0, 0)]
+
+
+def test_changes_since_the_last_base_are_counted(spark):
+    rows = [("a.b", 1, "insert", 1, 0, 1, {"x": "1"}, None, None, False, None), ("a.b", 1, "update", 2, 0, 2, None, {"x": "2"}, None, False, None), ("a.b", 1, "replace", 3, 0, 3, {"x": "3"}, None, None, False, None),
+        ("a.b", 1, "update", 4, 0, 4, None, {"y": "4"}, None, False, None), (None, None, "insert", 5, 0, 5, {}, None, None, False, None), ("a.b", 2, "insert", 6, 0, 6, {}, None, None, False, None), ("a.b", 2, "delete", 7, 0, 7, None, None, None, False, None), ("a.b", 3, "update", 8, 0, 8, None, {"x": "1"}, None, False, None)]
+    many = [("a.c", 9, "insert", 9, 0, 100, {}, None, None, False, None), *(("a.c", 9, "update", 10, k, 101 + k, None, {"x": str(k)}, None, False, None) for k in range(3000))]
+    got = replay.fold(spark.createDataFrame(rows + many, LOG), counted=True)
+    assert {(r["ns"], r["doc_id"]): r["n_changes"] for r in got.collect()} == {("a.b", 1): 2, (None, None): 1, ("a.c", 9): 3001}

@@ -134,6 +134,6 @@ def change_log(rows: DataFrame, empty: int = 0, rekeyed: int = 0) -> DataFrame:
     return rows.select("ns", "doc_id", "op", "t", "i", "event_id", *(c.alias(n) for n, c in fields.items()))
 
 
-def fields_of(docs: DataFrame) -> DataFrame:
-    """Replayed documents with value and props as columns."""
-    return docs.select("ns", "doc_id", F.try_element_at("doc", F.lit("value")).try_cast("double").alias("value"), F.try_element_at("doc", F.lit("props")).alias("props"))
+def fields_of(docs: DataFrame, *more: str) -> DataFrame:
+    """Replayed documents with value and props as columns, and ``more`` columns."""
+    return docs.select("ns", "doc_id", F.try_element_at("doc", F.lit("value")).try_cast("double").alias("value"), F.try_element_at("doc", F.lit("props")).alias("props"), *more)

@@ -129,7 +129,7 @@ def resume_place(rows: DataFrame) -> DataFrame:
 
 
 def cdc_apply_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fields_of(replay.fold(change_log(changes(spark, sf_dir)), paths=False, schema=False)).select("doc_id", "value", "props")
+    return fields_of(replay.fold(change_log(changes(spark, sf_dir)), paths=False, schema=False, counted=True), "n_changes").select("doc_id", "value", "props", "n_changes")
 
 
 def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +276,8 @@ FOLD = _C + """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY
         l AS (SELECT * FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT doc_id, max(CASE WHEN seq = base THEN op END) AS base_op,
         arg_max_null(CASE WHEN event_type = 'click' THEN NULL ELSE value END, CASE WHEN op IN ('insert', 'replace', 'update') THEN seq END) AS value, arg_max_null(props, CASE WHEN op IN ('insert', 'replace') OR event_type = 'click' THEN seq END) AS props FROM l GROUP BY doc_id)
         SELECT doc_id, value, props FROM k WHERE base_op <> 'delete'"""
+#: The same with the changes that each document took part in since its last base.
+COUNTED = FOLD.replace(" AS base_op,", " AS base_op, count(*) AS n_changes,").replace("SELECT doc_id, value, props FROM k", "SELECT doc_id, value, props, n_changes FROM k")
 REPLAY = _C + """, g AS (SELECT min(t) AS lo, max(t) - min(t) AS w FROM changes), m AS (SELECT event_id, doc_id, t, i, value, props, op, event_type, CASE WHEN op IN ('insert', 'replace') OR (op = 'update' AND (event_id % 97 = 0 OR event_id % 89 = 0)) THEN 'base' WHEN op = 'delete' THEN 'delete' ELSE 'patch' END AS kind,
         CASE WHEN ns = 'shop.c1' AND t < lo + w * 4 // 12 THEN 'shop.c9' ELSE ns END AS ns, ns = 'shop.c2' AND t < lo + w * 6 // 12 AS gone FROM changes, g),
         n AS (SELECT m.* EXCLUDE (ns, gone), CASE WHEN ns = 'shop.c9' AND t < lo + w * 8 // 12 THEN 'shop.c8' ELSE ns END AS ns FROM m, g WHERE NOT gone),
@@ -294,7 +296,7 @@ _HYDRATE = """h AS (SELECT event_id, doc_id, op, c_custkey IS NOT NULL AS found,
 _FNV = "(list_reduce(list_concat([2166136261::BIGINT], list_transform(range(0, strlen(doc_id::VARCHAR)), lambda x: ('0x' || substr(hex(encode(doc_id::VARCHAR)), (2 * x + 1)::INT, 2))::INT::BIGINT)), lambda h, b: (xor(h, b) * 16777619) & 4294967295) % 4)::INTEGER"
 _CLASS = KEYS_SQL["classify_errors"].split("SELECT no, ", 1)[1].rsplit(" AS class", 1)[0]
 SQL = {
-    "cdc_apply_final_state": FOLD,
+    "cdc_apply_final_state": COUNTED,
     "cdc_replay": REPLAY,
     "cdc_nested_replay": NESTED,
     "cdc_filter_excluded": _C + " SELECT event_id, ns FROM changes WHERE ns NOT IN ('shop.c1', 'shop.c3')",

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import database_of
-from tidemark.shared import discard, written
+from tidemark.shared import discard, hot_keys, salted_join, written
 
 SCHEMA_OPS = ("drop", "rename", "dropDatabase")
 COLUMNS = ("ns", "doc_id", "op", "t", "i", "event_id", "full", "sets", "unsets", "rekeys", "to_ns")
@@ -187,10 +187,22 @@ def _with_overlaid(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes), "_built array<string>"]))
 
 
-def fold(log: DataFrame, paths: bool = True, schema: bool = True) -> DataFrame:
+def _since_base(rows: DataFrame) -> DataFrame:
+    """(_key, n_changes): how many changes each key had from its last base or deletion on. This needs a second look at the log, as no part of it knows where the
+    last base is; changes of a hot key are dealt over many tasks."""
+    key = F.to_json(F.struct("ns", "doc_id"), {"ignoreNullFields": "false"})
+    sizes = written(rows.groupBy("ns", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("_kind") != "patch", F.col("_at"))).alias("_base_at")).select(key.alias("_key"), "n", "_base_at"), "replay-sizes")
+    hot = hot_keys(sizes, "_key", sizes.agg(F.sum("n")).first()[0] or 0)
+    since = salted_join(rows.select(key.alias("_key"), "_at"), sizes.select("_key", "_base_at"), "_key", hot, "_at", "inner").where("_at >= _base_at")
+    return since.groupBy("_key").agg(F.count(F.lit(1)).alias("n_changes"))
+
+
+def fold(log: DataFrame, paths: bool = True, schema: bool = True, counted: bool = False) -> DataFrame:
     """(ns, doc_id, doc): the documents that exist after ``log``. Without ``paths``, names are fields whole, dots or not; without ``schema``, the log
-    is known to have no schema events and is not searched for them."""
-    last = _last_writes(_documents_only(log, schema), paths, _FULL)
+    is known to have no schema events and is not searched for them; with ``counted`` also n_changes, how many changes each document took part in since its
+    last base, that one included."""
+    rows = _documents_only(log, schema)
+    last = _last_writes(rows, paths, _FULL)
     whole = F.col("field").isNull()
     entry = F.struct("at", "field", "path", "below", "value")
     docs = last.groupBy("ns", "doc_id").agg(F.first(F.when(whole, F.struct("value", "at", _FULL)), True).alias("_base"), F.collect_list(F.when(~whole, entry)).alias("_all"))
@@ -208,7 +220,11 @@ def fold(log: DataFrame, paths: bool = True, schema: bool = True) -> DataFrame:
         docs = _with_overlaid(docs.select("ns", "doc_id", F.concat(kept, flat).alias("_flat"), "_deep", texts.alias("_texts"), cells.alias("_cells")))
         built = F.filter(F.arrays_zip(F.col("_deep").alias("key"), F.col("_built").alias("value")), lambda e: e["value"].isNotNull())
         kept, added = F.col("_flat"), F.coalesce(built.cast(_ENTRIES), F.array().cast(_ENTRIES))
-    return docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(F.concat(kept, added))).alias("doc"))
+    docs = docs.select("ns", "doc_id", F.map_from_entries(F.array_sort(F.concat(kept, added))).alias("doc"))
+    if not counted:
+        return docs
+    key = F.to_json(F.struct("ns", "doc_id"), {"ignoreNullFields": "false"})
+    return docs.withColumn("_key", key).join(_since_base(rows), "_key").select("ns", "doc_id", "doc", "n_changes")
 
 
 def existing(log: DataFrame) -> DataFrame:
