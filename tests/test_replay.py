@@ -243,3 +243,10 @@ def test_changes_since_the_last_base_are_counted(spark):
     many = [("a.c", 9, "insert", 9, 0, 100, {}, None, None, False, None), *(("a.c", 9, "update", 10, k, 101 + k, None, {"x": str(k)}, None, False, None) for k in range(3000))]
     got = replay.fold(spark.createDataFrame(rows + many, LOG), counted=True)
     assert {(r["ns"], r["doc_id"]): r["n_changes"] for r in got.collect()} == {("a.b", 1): 2, (None, None): 1, ("a.c", 9): 3001}
+
+
+def test_the_whole_replay_counts_changes(spark):
+    from tidemark.operators.cdc import cdc_replay
+
+    rows = cdc_replay(spark, "/root/testdata/sf0.001")
+    assert rows.columns == ["ns", "doc_id", "value", "props", "n_changes"] and rows.where("n_changes < 1").isEmpty() and not rows.where("n_changes > 1").isEmpty()

@@ -135,7 +135,7 @@ def cdc_apply_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole replay: updates without a description, updates of the partition key, renames, drops, by namespace and id."""
     log = changes(spark, sf_dir)
-    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True), paths=False))
+    return fields_of(replay.fold(change_log(log, empty=97, rekeyed=89).unionByName(schema_log(log), allowMissingColumns=True), paths=False, counted=True), "n_changes")
 
 
 def nested_log(rows: DataFrame) -> DataFrame:
@@ -282,9 +282,9 @@ REPLAY = _C + """, g AS (SELECT min(t) AS lo, max(t) - min(t) AS w FROM changes)
         CASE WHEN ns = 'shop.c1' AND t < lo + w * 4 // 12 THEN 'shop.c9' ELSE ns END AS ns, ns = 'shop.c2' AND t < lo + w * 6 // 12 AS gone FROM changes, g),
         n AS (SELECT m.* EXCLUDE (ns, gone), CASE WHEN ns = 'shop.c9' AND t < lo + w * 8 // 12 THEN 'shop.c8' ELSE ns END AS ns FROM m, g WHERE NOT gone),
         o AS (SELECT *, row_number() OVER (PARTITION BY ns, doc_id ORDER BY t, i, event_id) AS seq FROM n), b AS (SELECT *, max(CASE WHEN kind <> 'patch' THEN seq END) OVER (PARTITION BY ns, doc_id) AS base FROM o),
-        k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN kind END) AS base_kind, arg_max_null(CASE WHEN kind = 'patch' AND event_type = 'click' THEN NULL ELSE value END, CASE WHEN kind <> 'delete' THEN seq END) AS value,
+        k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN kind END) AS base_kind, count(*) AS n_changes, arg_max_null(CASE WHEN kind = 'patch' AND event_type = 'click' THEN NULL ELSE value END, CASE WHEN kind <> 'delete' THEN seq END) AS value,
         arg_max_null(props, CASE WHEN kind = 'base' OR (kind = 'patch' AND event_type = 'click') THEN seq END) AS props FROM b WHERE base IS NOT NULL AND seq >= base GROUP BY ns, doc_id)
-        SELECT ns, doc_id, value, props FROM k WHERE base_kind = 'base'"""
+        SELECT ns, doc_id, value, props, n_changes FROM k WHERE base_kind = 'base'"""
 NESTED = _C + """, o AS (SELECT *, event_id % 4 AS r, (props->>'$.k')::BIGINT AS pk, row_number() OVER (PARTITION BY doc_id ORDER BY t, i, event_id) AS seq FROM changes), b AS (SELECT *, max(CASE WHEN op IN ('insert', 'replace', 'delete') THEN seq END) OVER (PARTITION BY doc_id) AS base FROM o),
         l AS (SELECT *, op IN ('insert', 'replace') AS is_base, event_type = 'click' AS click FROM b WHERE base IS NOT NULL AND seq >= base), k AS (SELECT ns, doc_id, max(CASE WHEN seq = base THEN op END) AS base_op, max(CASE WHEN seq = base THEN value END) AS value,
         arg_max_null(CASE WHEN event_type = 'view' THEN floor(value)::BIGINT WHEN click AND r = 1 THEN NULL ELSE pk END, CASE WHEN is_base OR event_type = 'view' OR (click AND r IN (1, 2)) THEN seq END) AS k,
