@@ -68,3 +68,10 @@ def test_verbs_that_keep_things_on_disk(spark, tmp_path):
     src = spark.createDataFrame([(k, str(k)) for k in range(30)], SCHEMA)
     assert engine.copy(src, str(tmp_path / "copy"), "k").select("k", "v").exceptAll(src).count() == 0
     assert engine.batches(src, "k", "length(v) * 4").agg(F.sum("n"), F.count("*")).first() == (30, 7)
+
+
+def test_keys_whose_repair_failed_need_a_person(spark):
+    from tidemark.operators.validation import MANUAL, validate_diff
+
+    rows = validate_diff(spark, "/root/testdata/sf0.001").where("o_orderkey % 101 = 0").groupBy("outcome", "status").count().collect()
+    assert {r["status"] for r in rows if r["outcome"] != "valid"} == {MANUAL} and {r["status"] for r in rows if r["outcome"] == "valid"} == {"valid"}
