@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.assign import chunks_of
+from tidemark.plans.splits import bound_texts
 
 
 @pytest.mark.parametrize("held", [1 << 16, 0])
@@ -29,3 +30,13 @@ def test_the_least_key_of_composite_points(spark, held):
     assert {r["i"]: r["chunk"] for r in chunks_of(rows, ["x", "y"], points, held=held).collect()} == {1: 1, 2: 2, 3: 3, 4: 0, 5: 1, 6: 0}
     assert {r["chunk"] for r in chunks_of(rows, ["x", "y"], points.limit(0), held=held).collect()} == {0}
     assert chunks_of(rows.limit(0), ["x", "y"], points, held=held).agg(F.count("*")).first()[0] == 0
+
+
+def test_bounds_of_rules_are_dealt_over_the_cores(spark):
+    """One file of rules with some that have no key, and two with one key: all get their bounds, by more than one task."""
+    rules = spark.createDataFrame([(n, ["a", "b", "c"][n % 3], [None, "x:1, y:1", "u:1,o:1,z:hashed"][n // 3 % 3]) for n in range(90)], "rule_no int, strategy string, shard_key string").coalesce(1)
+    points = spark.createDataFrame([("a", 1, "7", None, None), ("a", 2, "8", None, None), ("c", 1, None, None, None)], "strategy string, place int, point string, uuid string, oid string")
+    got = bound_texts(rules, points, "u", "o")
+    want = {(n, p): None if n // 3 % 3 == 0 else ", ".join(f"{f}: {x if i == 0 else 'MinKey'}" for i, f in enumerate([["x", "y"], ["u", "o", "z"]][n // 3 % 3 - 1])) for n in range(90) for p, x in {0: [(1, "7"), (2, "8")], 1: [], 2: [(1, "MinKey")]}[n % 3]}
+    assert {(r["rule_no"], r["place"]): r["bound"] for r in got.collect()} == want and got.count() == len(want)
+    assert got.select(F.spark_partition_id()).distinct().count() > 1

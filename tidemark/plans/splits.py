@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.frames import cte, frame, source, table
 from tidemark.functions.keys import key_parts
 from tidemark.plans.assign import chunks_of
+from tidemark.shared import written
 
 CHUNK_BYTES = 128 << 20
 DIGITS = "0123456789abcdef"
@@ -99,8 +100,12 @@ def dispatch(rules: DataFrame, sharded: DataFrame) -> DataFrame:
 
 def bound_texts(rules: DataFrame, points: DataFrame, uuid_field: str, oid_field: str) -> DataFrame:
     """(rule_no, place, bound) for ``points`` (strategy, place, point, uuid, oid): the bounds that each rule sets. The first field of its key takes the point (a
-    composite's two fields theirs), all others their least value."""
-    both = rules.join(F.broadcast(points), "strategy")  # as many rows as strategies have points
+    composite's two fields theirs), all others their least value.
+
+    Bounds depend on strategy and key alone, so they are put together once for each two of them that occur and written; rules, which may be many rows in few
+    files, are dealt over the cores and joined to them."""
+    shapes = rules.select("strategy", "shard_key").distinct()
+    both = shapes.join(F.broadcast(points), "strategy")  # as many rows as strategies have points
 
     def part(field: Column, i: Column) -> Column:
         own = F.when(field == uuid_field, F.col("uuid")).when(field == oid_field, F.col("oid"))
@@ -108,7 +113,9 @@ def bound_texts(rules: DataFrame, points: DataFrame, uuid_field: str, oid_field:
         return F.concat(field, F.lit(": "), F.coalesce(value, F.lit("MinKey")))
 
     fields = F.transform(key_parts(F.col("shard_key")), lambda p: p["field"])
-    return both.select("rule_no", "place", F.array_join(F.transform(fields, part), ", ").alias("bound"))
+    bounds = written(both.select(F.col("strategy").alias("_strategy"), F.col("shard_key").alias("_key"), "place", F.array_join(F.transform(fields, part), ", ").alias("bound")), "bounds")
+    dealt = rules.select("rule_no", "strategy", "shard_key").repartition(4 * rules.sparkSession.sparkContext.defaultParallelism, "rule_no")
+    return dealt.join(bounds, (F.col("strategy") == F.col("_strategy")) & F.col("shard_key").eqNullSafe(F.col("_key"))).select("rule_no", "place", "bound")
 
 
 def _points(spark: SparkSession, rows: list, schema: str = "place int, point string") -> DataFrame:
