@@ -125,3 +125,18 @@ def test_dirty_runs_over_batches_and_restarts(spark, tmp_path):
 def test_runs_join_when_a_late_change_lies_between():
     assert dirty.joined([(0, 10, 2), (200, 210, 1), (105, 105, 1)], 100) == [(0, 210, 4)]
     assert dirty.joined([(0, 10, 2), (110, 120, 1)], 100) == [(0, 10, 2), (110, 120, 1)] and dirty.joined([], 5) == []
+
+
+def test_dirty_runs_end_where_the_key_is_clean(spark, tmp_path):
+    """Gaps of one millisecond less than the quiet time, and of just it; a run is reported only behind its end; and no Python in the plan."""
+    start = datetime(2024, 1, 1, tzinfo=UTC)
+    at = lambda ms: start + timedelta(milliseconds=ms)
+    rows = [("n", 1, at(0)), ("n", 1, at(999)), ("n", 2, at(0)), ("n", 2, at(1000)), ("n", 3, at(99_000)), ("n", 4, at(98_999)), ("n", 5, at(160_000) - timedelta(microseconds=1)), ("n", 5, at(160_000))]
+    schema = "ns string, doc_id long, ts timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    got = dirty.track(stream, f"{tmp_path}/out", late="1 minute", quiet=1000, retry=400, most=3)
+    zero = int(start.timestamp() * 1000)
+    assert sorted((r["doc_id"], r["first_ms"] - zero, r["last_ms"] - zero, r["n"], r["skipped"], r["outcome"]) for r in got.collect()) == [(1, 0, 999, 2, 3, "hot_key_waiting"), (2, 0, 0, 1, 2, "checked"), (2, 1000, 1000, 1, 2, "checked"), (4, 98_999, 98_999, 1, 2, "checked")]
+    plan = dirty.dirty_runs(spark.read.parquet(f"{tmp_path}/in"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan

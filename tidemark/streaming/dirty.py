@@ -1,12 +1,13 @@
-"""Keys with changes in flight, tracked on a stream by state and a timer for each key.
+"""Keys with changes in flight, tracked on a stream by session windows of each key.
 
 A change makes its key (namespace and id) dirty; the key is clean again when no change has come for ``quiet`` milliseconds. Checks of a key fall due every
 ``retry`` milliseconds from its first change on and are skipped while it is dirty; a key that is still dirty after ``most`` of them waits as a hot key
 until it is clean. What is reported is a run of changes with no longer gap: when it began and ended, its changes, the checks that were skipped, and
 whether it had to wait.
 
-State holds the runs of a key that are not over, usually one; a change that comes late, within the watermark, may join two of them. A run is reported once, by
-a timer that the watermark passes. Changes behind the watermark are dropped before, as in any stateful stream.
+State holds the runs of a key that are not over, usually one; a change that comes late, within the watermark, may join two of them. A run is reported once, when
+the watermark passes the moment when its key is clean. A change so late that its key would be clean by the watermark is dropped; one that is less late begins a run of
+its own if the run that it belonged to is reported already.
 
 Cases: null namespaces and ids are keys like any other; changes without a time are passed over; repeated changes count each; an empty stream reports nothing; runs that
 are not over when the stream stops are reported by a later start.
@@ -15,11 +16,9 @@ are not over when the stream stops are reported by a later start.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.shared import shared_dir
 
@@ -29,7 +28,7 @@ RUN = "ns string, doc_id long, first_ms long, last_ms long, n long, skipped long
 
 
 def joined(runs: list[tuple[int, int, int]], quiet: int) -> list[tuple[int, int, int]]:
-    """Runs (first, last, n) with those united between which no key would have been clean."""
+    """Runs (first, last, n) with those united between which no key would have been clean: the rule that the windows follow."""
     out: list[tuple[int, int, int]] = []
     for first, last, n in sorted(runs):
         if out and first - out[-1][1] < quiet:
@@ -39,45 +38,15 @@ def joined(runs: list[tuple[int, int, int]], quiet: int) -> list[tuple[int, int,
     return out
 
 
-class DirtyKeys(StatefulProcessor):
-    def __init__(self, quiet: int = QUIET_MS, retry: int = RETRY_MS, most: int = MOST_RETRIES):
-        self.quiet, self.retry, self.most = quiet, retry, most
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", "first long, last long, n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = [(r[0], r[1], r[2]) for r in self.open.get()]
-        times = sorted(r["ms"] for r in rows)
-        after = joined(before + joined([(t, t, 1) for t in times], self.quiet), self.quiet)
-        self.open.put([(a, b, n) for a, b, n in after])
-        ends, due = ({b + self.quiet for _, b, _ in runs} for runs in (before, after))
-        for end in ends - due:
-            self.handle.deleteTimer(end)
-        for end in due - ends:
-            self.handle.registerTimer(end)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        runs = [(r[0], r[1], r[2]) for r in self.open.get()]
-        left = [r for r in runs if r[1] + self.quiet > now]
-        self.open.put(left) if left else self.open.clear()
-        for first, last, n in runs:
-            if last + self.quiet <= now:
-                skipped = (last + self.quiet - first - 1) // self.retry  # checks at first + retry, first + 2 retry, ... before it is clean
-                outcome = "hot_key_waiting" if skipped >= self.most else "checked"
-                yield Row(ns=key[0], doc_id=key[1], first_ms=first, last_ms=last, n=n, skipped=min(skipped, self.most), outcome=outcome)
-
-    def close(self) -> None:
-        pass
-
-
 def dirty_runs(changes: DataFrame, late: str = LATE, quiet: int = QUIET_MS, retry: int = RETRY_MS, most: int = MOST_RETRIES) -> DataFrame:
-    """The runs of a stream of changes (ns, doc_id, ts). The state store must be RocksDB's."""
-    rows = changes.where("ts IS NOT NULL").select("ns", "doc_id", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", late).withColumn("ms", F.unix_millis("ts"))
-    return rows.groupBy("ns", "doc_id").transformWithState(DirtyKeys(quiet, retry, most), RUN, "Append", "EventTime")
+    """The runs of a stream of changes (ns, doc_id, ts). A run is a session of its key whose gap is the last millisecond before ``quiet``; two more milliseconds of
+    lateness make it be reported when the watermark of ``late`` lies behind the moment when the key is clean."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    rows = changes.where("ts IS NOT NULL").select("ns", "doc_id", ms.alias("ms"), F.timestamp_millis(ms).alias("ts")).withWatermark("ts", f"{late} 2 milliseconds")
+    runs = rows.groupBy("ns", "doc_id", F.session_window("ts", f"{quiet - 1} milliseconds")).agg(F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"), F.count(F.lit(1)).alias("n"))
+    tried = F.expr(f"(last_ms + {quiet} - first_ms - 1) div {retry}")  # checks at first + retry, first + 2 retry, ... before it is clean
+    outcome = F.when(tried >= most, "hot_key_waiting").otherwise("checked")
+    return runs.select("ns", "doc_id", "first_ms", "last_ms", "n", F.least(tried, F.lit(most)).cast("long").alias("skipped"), outcome.alias("outcome"))
 
 
 def track(changes: DataFrame, path: str, **settings) -> DataFrame:
@@ -94,7 +63,7 @@ def track(changes: DataFrame, path: str, **settings) -> DataFrame:
 
 
 def dirty_key_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which keys of the whole event stream were dirty, from when to when, by state and timers."""
+    """Which keys of the whole event stream were dirty, from when to when, by session windows."""
     events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events*.parquet")
     rows = events.select(F.concat(F.lit("shop.c"), (F.col("user_id") % 5).cast("string")).alias("ns"), F.col("user_id").alias("doc_id"), "ts")
     return track(rows, f"{shared_dir(spark)}/dirty-{uuid.uuid4().hex}", quiet=_QUIET, retry=_RETRY)
