@@ -1,5 +1,6 @@
 """Rows to chunks by points of several kinds, by halving and by sorting, against bisection."""
 
+import hashlib
 import random
 from bisect import bisect_right
 
@@ -40,3 +41,13 @@ def test_bounds_of_rules_are_dealt_over_the_cores(spark):
     want = {(n, p): None if n // 3 % 3 == 0 else ", ".join(f"{f}: {x if i == 0 else 'MinKey'}" for i, f in enumerate([["x", "y"], ["u", "o", "z"]][n // 3 % 3 - 1])) for n in range(90) for p, x in {0: [(1, "7"), (2, "8")], 1: [], 2: [(1, "MinKey")]}[n % 3]}
     assert {(r["rule_no"], r["place"]): r["bound"] for r in got.collect()} == want and got.count() == len(want)
     assert got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_rows_are_moved_once_and_without_their_keys(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "i").repartition(3)
+    wide = F.concat(F.md5(F.col("i").cast("string")), F.repeat(F.md5(F.col("i").cast("string")), 20))
+    got = chunks_of(rows, [wide], rows.where("i % 3 = 0").select(wide.alias("p")), held=10)
+    want = sorted(m for m in (hashlib.md5(str(i).encode()).hexdigest() for i in range(0, 20_000, 3)))
+    assert got.columns == ["i", "chunk"] and all(r["chunk"] == bisect_right(want, hashlib.md5(str(r["i"]).encode()).hexdigest()) for r in got.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window [sum" in plan and plan.count("hashpartitioning") <= 2 and "md5" not in plan

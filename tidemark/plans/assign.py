@@ -5,7 +5,7 @@ key of all, below nulls in rows too, so a point that names the first field alone
 
 Up to ``POINTS_HELD`` points are held by every task as one sorted array, in which each row searches by halves: as many steps as the number of points has binary
 digits, and the rows are not moved. More points meet the rows by sorting: both are dealt by ranges of the key, and a row counts the points before it in its
-range and those of the ranges before.
+range and those of the ranges before. Rows move without keys that are expressions of their columns.
 
 Cases: a null key (all of whose fields are null) lies below all points but those that are null themselves; repeated points count once; without points all rows are in
 chunk 0; columns whose names clash with those of the points are left alone.
@@ -13,8 +13,15 @@ chunk 0; columns whose names clash with those of the points are left alone.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidemark.frames import table
 from tidemark.shared import written
@@ -23,11 +30,11 @@ from tidemark.shared import written
 POINTS_HELD = 1 << 16
 
 
-def _key(columns: list[str]):
-    return F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(columns)))
+def _key(columns: list[str | Column]) -> Column:
+    return F.struct(*((F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(columns)))
 
 
-def by_search(rows: DataFrame, keys: list[str], points: DataFrame, name: str, n: int) -> DataFrame:
+def by_search(rows: DataFrame, keys: list[str | Column], points: DataFrame, name: str, n: int) -> DataFrame:
     """``rows`` with their chunk, by halving a sorted array of ``n`` points."""
     held = F.broadcast(points.agg(F.array_sort(F.collect_list("_point")).alias("_points")))  # one row, of bounded size
 
@@ -42,22 +49,41 @@ def by_search(rows: DataFrame, keys: list[str], points: DataFrame, name: str, n:
     return rows.withColumn("_key", _key(keys)).crossJoin(held).withColumn(name, found.cast("long")).drop("_key", "_points")
 
 
-def by_sort(rows: DataFrame, keys: list[str], points: DataFrame, name: str) -> DataFrame:
-    """``rows`` with their chunk, by sorting points among them."""
-    own = rows.select(_key(keys).alias("_at"), F.lit(1).alias("_kind"), F.struct(*rows.columns).alias("_row"))
-    both = own.unionByName(points.select(F.col("_point").alias("_at"), F.lit(0).alias("_kind")), allowMissingColumns=True)
-    parts = written(both.repartitionByRange("_at", "_kind").sortWithinPartitions("_at", "_kind").withColumn("_mono", F.monotonically_increasing_id()), "assign")
-    parts = parts.withColumn("_part", F.shiftright("_mono", 33))
-    is_point = (F.col("_kind") == 0).cast("long")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
-    shift = parts.groupBy("_part").agg(F.sum(is_point).alias("_n")).withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = F.sum(is_point).over(Window.partitionBy("_part").orderBy("_mono"))
-    out = parts.withColumn("_inside", inside).where("_kind = 1").join(F.broadcast(shift), "_part")
-    return out.select("_row.*", (F.col("_inside") + F.col("_shift")).cast("long").alias(name))
-
-
-def chunks_of(rows: DataFrame, keys: list[str], points: DataFrame, name: str = "chunk", held: int = POINTS_HELD) -> DataFrame:
-    """``rows`` with the number of ``points`` (columns in the order of ``keys`` and of their types) that are not above their key."""
+def _counted(batches: Iterator[pa.RecordBatch], is_point: str, inside: str, part: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a sorted part with the number of points before them in it, and last the number of all its points in a row without a part."""
+    seen, number, schema = 0, TaskContext.get().partitionId(), None
+    for b in batches:
+        points = b.column(is_point).to_numpy(zero_copy_only=False)
+        upto = seen + np.cumsum(points, dtype=np.int64)
+        kept, schema = b.drop_columns([is_point]), b.drop_columns([is_point]).schema
+        out = pa.RecordBatch.from_arrays([*kept.columns, pa.array(upto), pa.array(np.full(len(b), number, np.int32))], names=[*kept.schema.names, inside, part])
+        yield out.filter(pa.array(~points))
+        seen = int(upto[-1]) if len(b) else seen
+    if seen:
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in schema), pa.array([-1 - seen]), pa.array([number], pa.int32())], names=[*schema.names, inside, part])
+
+
+def by_sort(rows: DataFrame, keys: list[str | Column], points: DataFrame, name: str) -> DataFrame:
+    """``rows`` with their chunk, by sorting points among them. Rows are moved once, without their keys, which are computed on both sides of the shuffle; points are
+    counted in the order of each part as it is read, and the counts are written with the rows."""
+    tag = uuid.uuid4().hex[:12]  # no column of the rows has such a name
+    point, at, is_point, inside, part = (f"_{n}_{tag}" for n in ("point", "at", "is_point", "inside", "part"))
+    both = rows.withColumn(point, F.lit(None).cast(points.schema["_point"].dataType)).unionByName(points.select(F.col("_point").alias(point)), allowMissingColumns=True)
+    key = F.coalesce(F.col(point), _key(keys))
+    dealt = both.repartitionByRange(key, F.col(point).isNull()).withColumn(at, key).withColumn(is_point, F.col(point).isNotNull())
+    ordered = dealt.sortWithinPartitions(F.col(at), ~F.col(is_point)).select(*(F.col(f"`{c}`") for c in rows.columns), is_point)
+    schema = StructType([StructField(f.name, f.dataType) for f in rows.schema] + [StructField(inside, LongType()), StructField(part, IntegerType())])
+    held = written(ordered.mapInArrow(lambda batches: _counted(batches, is_point, inside, part), schema), "assign")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    sums = held.groupBy(part).agg(F.coalesce(F.sum(F.when(F.col(inside) < 0, -1 - F.col(inside))), F.lit(0)).alias("_n"))
+    shift = sums.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    out = held.where(F.col(inside) >= 0).join(F.broadcast(shift), part)
+    return out.select(*(F.col(f"`{c}`") for c in rows.columns), (F.col(inside) + F.col("_shift")).cast("long").alias(name))
+
+
+def chunks_of(rows: DataFrame, keys: list[str | Column], points: DataFrame, name: str = "chunk", held: int = POINTS_HELD) -> DataFrame:
+    """``rows`` with the number of ``points`` (columns in the order of ``keys`` and of their types) that are not above their key. Keys are columns, or
+    expressions of them, which are not kept in the rows."""
     sorted_points = written(points.select(_key(points.columns).alias("_point")).distinct(), "split-points")
     n = sorted_points.count()
     return by_search(rows, keys, sorted_points, name, n) if n <= held else by_sort(rows, keys, sorted_points, name)
@@ -75,12 +101,12 @@ def key_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.concat(F.lit("k"), F.col("o_orderkey"))
     oid = lambda text: F.substring(F.md5(text.cast("binary")), 9, 24)
     first = lambda text: F.substring(F.md5(text.cast("binary")), 1, 2)
-    rows = items.select("l_orderkey", "l_linenumber", _uuid(name).alias("uuid"), oid(name).alias("oid"), name.cast("binary").alias("text"), first(name).alias("first"))
-    rows = chunks_of(rows, ["uuid"], orders.select(_uuid(own).alias("p")), "uuid_chunk")
-    rows = chunks_of(rows, ["oid"], orders.select(oid(own).alias("p")), "oid_chunk")
-    rows = chunks_of(rows, ["text"], orders.select(own.cast("binary").alias("p")), "text_chunk", held=1000)
+    rows = items.select("l_orderkey", "l_linenumber")
+    rows = chunks_of(rows, [_uuid(name)], orders.select(_uuid(own).alias("p")), "uuid_chunk")
+    rows = chunks_of(rows, [oid(name)], orders.select(oid(own).alias("p")), "oid_chunk")
+    rows = chunks_of(rows, [name.cast("binary")], orders.select(own.cast("binary").alias("p")), "text_chunk", held=1000)
     pairs = orders.select(first(own).alias("p"), F.when(F.col("o_orderkey") % 2 == 0, oid(own)).alias("q"))
-    rows = chunks_of(rows, ["first", "oid"], pairs, "pair_chunk")
+    rows = chunks_of(rows, [first(name), oid(name)], pairs, "pair_chunk")
     return rows.select("l_orderkey", "l_linenumber", "uuid_chunk", "oid_chunk", "text_chunk", "pair_chunk")
 
 
