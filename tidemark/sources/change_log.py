@@ -15,12 +15,12 @@ place; changes without a whole place are passed over. An empty folder has no sch
 
 from __future__ import annotations
 
-import heapq
 import json
 import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -103,20 +103,18 @@ class ChangeLogReader(DataSourceStreamReader):
         if self.at is None:
             self.at = self._resumed()
         fs, _ = _opened(self.path)
-        nearest: list[tuple] = []  # the next places, greatest first, negated
+        nearest = np.empty((len(KEYS), 0), np.int64)  # the next places, ``most`` at most
         for least, _, file, g in sorted(x for x in self._row_groups() if x[1] >= self.at[0]):
-            if len(nearest) >= self.most and least > -nearest[0][0]:
+            if nearest.shape[1] >= self.most and least > nearest[0].max():
                 break  # what follows lies behind the places that are known
             keys = pq.ParquetFile(file, filesystem=fs).read_row_group(g, columns=list(KEYS))
             keys = keys.filter(_beyond(keys, self.at))
-            for place in zip(*(keys.column(k).to_pylist() for k in KEYS), strict=True):
-                item = tuple(-x for x in place)
-                if len(nearest) < self.most:
-                    heapq.heappush(nearest, item)
-                elif item > nearest[0]:
-                    heapq.heapreplace(nearest, item)
-        if nearest:
-            self.at = tuple(-x for x in nearest[0])
+            found = np.stack([keys.column(k).cast(pa.int64()).to_numpy() for k in KEYS])
+            nearest = np.concatenate([nearest, found], axis=1)
+            if nearest.shape[1] > self.most:
+                nearest = nearest[:, np.lexsort(nearest[::-1])[: self.most]]
+        if nearest.shape[1]:
+            self.at = tuple(int(x) for x in nearest[:, np.lexsort(nearest[::-1])[-1]])
         return dict(zip(KEYS, self.at, strict=True))
 
     def partitions(self, start: dict, end: dict) -> list[Rows]:
