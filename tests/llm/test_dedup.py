@@ -131,6 +131,41 @@ def test_longest_previous_factors():
             assert source[i]
 
 
+@pytest.mark.parametrize(("unit", "length"), [("bytes", 400), ("bytes", 30), ("words", 50), ("words", 7)])
+def test_whole_matches_come_from_neighbours(unit, length, monkeypatch):
+    """What is asked of contexts is only whether all of a window matches: that takes the sorting of strings of a ninth of it, and no comparison."""
+    rng = np.random.default_rng(3)
+    symbol = suffix_dedup.SYMBOL[unit]
+    rows, ck = [], 0
+    for group in range(6):
+        base = rng.integers(0, 3, 3 * length).astype(symbol)
+        for k in range(5):
+            own = base.copy()
+            own[rng.integers(0, len(own), k)] = 9
+            cut = int(rng.integers(0, length))
+            rows.append((group, ck, 2 * length - cut + 1, own[cut:].tobytes()))
+            ck += 1
+    windows = {}
+    for group, ck, n, ctx in rows:
+        for w in range(n):
+            windows.setdefault((group, ctx[w * symbol.itemsize : (w + length) * symbol.itemsize]), []).append((ck, w))
+    sorted_sizes = []
+    ranks = suffix_dedup.suffix_ranks
+
+    def noted(raw, most):
+        out = ranks(raw, most)
+        sorted_sizes.append([size for size, _ in out])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "suffix_ranks", noted)
+    for keep in ("first", "none"):
+        covered = {place for places in windows.values() for place in (places[1:] if keep == "first" else places if len(places) > 1 else [])}
+        got = suffix_dedup._sorted_contexts(rows, length, keep, symbol)
+        assert {(ck, w) for ck, a, b in got for w in range(a, b)} == covered
+        assert len({(ck, a) for ck, a, _ in got} & {(ck, b) for ck, _, b in got}) == 0  # runs are maximal
+    assert all(len(sizes) == 1 or sizes[-1] * 3 <= length for sizes in sorted_sizes) and len(sorted_sizes) == 2
+
+
 @pytest.mark.parametrize("bucket", [1024, 2])
 def test_repeated_bytes(make, monkeypatch, bucket):
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)  # small buckets are split into blocks

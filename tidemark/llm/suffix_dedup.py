@@ -39,8 +39,8 @@ SYMBOL = {"bytes": np.dtype(np.uint8), "words": np.dtype(np.uint32)}
 PASSAGE = 50
 #: Contexts that a task sorts together at most, and the sizes of the blocks that larger buckets are split into.
 BUCKET, BLOCKS = 1024, (32, 4, 1)
-#: Bytes that a task sorts at a time.
-BATCH = 1 << 20
+#: Bytes that a task sorts at a time: so many that keys and ranks stay in the processor's cache.
+BATCH = 1 << 17
 #: Texts over this size are read in slices.
 SLICE = 1 << 22
 
@@ -147,14 +147,31 @@ def suffix_ranks(raw: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
         size *= 3
 
 
-def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, length: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """For the suffixes at ``places`` (ascending, each with ``length`` bytes ahead): the longest match, up to ``length``, with an
-    earlier suffix of the same bucket; and whether a later suffix matches in ``length`` bytes."""
+    earlier suffix of the same bucket; and whether a later suffix matches in ``length`` bytes. With ``whole``, matches of less than ``length``
+    count as 0: those of ``length`` are neighbours in suffix order, so that nothing is compared byte by byte."""
     m = len(places)
-    levels = suffix_ranks(raw, length)
+    # three ranks make a key, so whole matches need no strings of more than a ninth of ``length``
+    levels = suffix_ranks(raw, length // 3 if whole else length)
     size, top = levels[-1]
     # the suffix array: strings of ``length`` bytes by ranks that cover them, in text order where they are equal
     cover = [*range(0, length - size + 1, size), length - size]
+    if whole:
+        keys = [bucket]
+        for i in range(0, len(cover), 3):
+            keys.append(np.zeros(m, np.int64))
+            for c in cover[i : i + 3]:
+                keys[-1] = (keys[-1] << 21) | top[places + c]
+        order = np.lexsort((*reversed(keys[1:]), bucket))
+        previous, source = np.zeros(m, np.int64), np.zeros(m, bool)
+        same = np.ones(max(0, m - 1), bool)
+        for key in keys:
+            ordered = key[order]
+            same &= ordered[1:] == ordered[:-1]
+        previous[order[1:][same]] = length
+        source[order[:-1][same]] = True
+        return previous, source
     order = np.lexsort((*(top[places + c] for c in reversed(cover)), bucket))
     # previous and next smaller place in suffix order, by jumping from candidate to candidate
     smaller = []
@@ -185,9 +202,15 @@ def longest_previous(raw: np.ndarray, places: np.ndarray, bucket: np.ndarray, le
     return previous, source
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
+def _runs(flags: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, first, end) of the runs of set flags, counted within parts of ``sizes``; none goes over a part's end."""
+    first = np.cumsum(sizes) - sizes
+    opens, closes = np.zeros(len(flags) + 1, bool), np.zeros(len(flags) + 1, bool)
+    opens[first], closes[first + sizes] = True, True
+    before, after = np.concatenate([[False], flags]), np.concatenate([flags, [False]])
+    start, end = np.flatnonzero(after & (~before | opens)), np.flatnonzero(before & (~after | closes))
+    part = np.searchsorted(first, start, side="right") - 1
+    return part, start - first[part], end - first[part]
 
 
 def _sorted_contexts(rows: list[tuple[int, int, int, bytes]], length: int, keep: str, symbol: np.dtype = SYMBOL["bytes"]) -> list[tuple[int, int, int]]:
@@ -196,13 +219,10 @@ def _sorted_contexts(rows: list[tuple[int, int, int, bytes]], length: int, keep:
     at = np.cumsum([0, *(len(r[3]) // symbol.itemsize for r in rows)])
     places = np.concatenate([np.arange(a, a + r[2]) for a, r in zip(at, rows, strict=False)])
     bucket = np.repeat(np.unique([r[0] for r in rows], return_inverse=True)[1], [r[2] for r in rows])
-    previous, source = longest_previous(raw, places, bucket, length)
+    previous, source = longest_previous(raw, places, bucket, length, whole=True)
     flags = previous >= length if keep == "first" else (previous >= length) | source
-    out, done = [], 0
-    for _, ck, n, _ctx in rows:
-        out += [(ck, a, b) for a, b in _runs(flags[done : done + n])]
-        done += n
-    return out
+    part, first, end = _runs(flags, np.array([r[2] for r in rows], np.int64))
+    return [(rows[i][1], a, b) for i, a, b in zip(part.tolist(), first.tolist(), end.tolist(), strict=True)]
 
 
 RANGE = pa.schema([("ck", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
@@ -355,30 +375,46 @@ def _spans(rows: DataFrame, slim: DataFrame, classes: DataFrame, length: int, ke
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        names = ["_id", "raw", "start", "n", "lead", "grp", "ck", "ctx", "times"]
-        out: list[list] = []
-        size = 0
+        names, item = ["_id", "raw", "start", "n", "lead", "grp", "ck", "ctx", "times"], SYMBOL[unit].itemsize
         for b in batches:
-            types = [b.schema.field("_id").type, *types[-8:]]
-            for key, raw, text, runs in zip(*(b.column(c) for c in ("_id", "raw", "text", "runs")), strict=True):
-                key, raw, seen = key.as_py(), raw.as_py(), {}
-                data = symbols([text.as_py().encode()], unit)[0]
-                for r in sorted(runs.as_py(), key=lambda r: r["start"]):
-                    ctx = data[r["start"] : r["start"] + r["n"] - 1 + length].tobytes()
-                    ck = xxhash.xxh3_64_intdigest(ctx, seed=(r["h"] ^ (r["n"] << 40) ^ (r["lead"] << 20)) & (2**64 - 1)) - 2**63
+            lists = b.column("runs")
+            flat, row = lists.flatten(), np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            start, n, lead, h = (flat.field(c).to_numpy() for c in a_fields)
+            order = np.lexsort((start, row))
+            row, start, n, lead, h = row[order], start[order], n[order], lead[order], h[order]
+            seeds = (h ^ (n.astype(np.int64) << 40) ^ (lead.astype(np.int64) << 20)).view(np.uint64).tolist()
+            from_, to = start.astype(np.int64) * item, (start.astype(np.int64) + n - 1 + length) * item
+            at = np.searchsorted(row, np.arange(b.num_rows + 1)).tolist()
+            cks: list[int] = []
+            ctxs: list[bytes | None] = []
+            times: list[int] = []
+            sent = size = 0
+
+            def flush(end: int) -> pa.RecordBatch:
+                some = slice(sent, end)  # noqa: B023
+                take = pa.array(row[some])  # noqa: B023
+                numbers = [pa.array(c[some]) for c in (start, n, lead, h)]  # noqa: B023
+                return pa.RecordBatch.from_arrays([b.column("_id").take(take), b.column("raw").take(take), *numbers, pa.array(cks, pa.int64()), pa.array(ctxs, pa.binary()), pa.array(times, pa.int64())], names=names)  # noqa: B023
+
+            for k, text in enumerate(b.column("text")):
+                data, seen = symbols([text.as_py().encode()], unit)[0].tobytes(), {}
+                for seed, x, y in zip(seeds[at[k] : at[k + 1]], from_[at[k] : at[k + 1]].tolist(), to[at[k] : at[k + 1]].tolist(), strict=True):
+                    ctx = data[x:y]
+                    ck = xxhash.xxh3_64_intdigest(ctx, seed=seed) - 2**63
                     if ck in seen:  # the same context again in one text: its bytes are sent once
-                        seen[ck][8] += 1
-                        out.append([key, raw, r["start"], r["n"], r["lead"], r["h"], ck, None, 0])
+                        times[seen[ck]] += 1
+                        ctx = None
                     else:
-                        seen[ck] = [key, raw, r["start"], r["n"], r["lead"], r["h"], ck, ctx, 1]
-                        out.append(seen[ck])
-                        size += len(ctx)
-                if size >= BATCH or len(out) >= 10_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                        seen[ck] = len(times)
+                        size += y - x
+                    cks.append(ck)
+                    ctxs.append(ctx)
+                    times.append(0 if ctx is None else 1)
+                if size >= 8 * BATCH or len(cks) >= 10_000:
+                    yield flush(at[k + 1])
+                    cks, ctxs, times, sent, size = [], [], [], at[k + 1], 0
+            if cks:
+                yield flush(at[-1])
 
     texts = rows.join(lists, rows["_id"].eqNullSafe(lists["_at"]) & (rows["raw"] == lists["_hash"])).dropDuplicates(["_id", "raw"]).select("_id", "raw", "text", "runs")
     made = met = written(texts.mapInArrow(contexts, f"_id {id_type}, raw long, start int, n int, lead int, grp long, ck long, ctx binary, times long"), "suffix-met")
