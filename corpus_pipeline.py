@@ -11,6 +11,8 @@ left is packed into training sequences.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language_id, ngram_join, packing, secret_scan
 from tidemark.llm.queries import vocabulary_path
-from tidemark.shared import Folder, release, shared_dir
+from tidemark.shared import Folder, release, shared_dir, small_batches
 
 #: The cosine of unrelated vectors of so many dimensions has this standard deviation, twice.
 NO_LANGUAGE = 2 / language_id.DIMENSIONS**0.5
@@ -26,6 +28,18 @@ NO_LANGUAGE = 2 / language_id.DIMENSIONS**0.5
 SHORT_LETTERS = 40
 
 
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``stage`` in a session whose Arrow batches are bounded in bytes: all stages share the Python workers of an executor, whose memory is that of the largest."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@in_small_batches
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels at hand and drops what has no language: texts that are null or without a letter, and texts whose cosine with the
     predicted language's prototype is no larger than unrelated vectors have by chance (``NO_LANGUAGE``), as in a script that no label
@@ -39,21 +53,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.withColumnsRenamed({new: c for c, new in taken.items()}).select(*docs.columns)
 
 
+@in_small_batches
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+@in_small_batches
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five words, similarity of 0.8 or more; the smallest id of each component stays."""
     return ngram_join.drop_similar(docs)
 
 
+@in_small_batches
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; spans with secrets become a mark, and n_chars follows."""
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
 
 
+@in_small_batches
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.pack(docs, vocabulary_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -1,7 +1,9 @@
 """Each stage against brute force on its own input."""
 
 import corpus_pipeline
+import pyarrow as pa
 from brute import SPACE, components, secrets
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,5 +67,18 @@ def test_odd_tables_through_all_stages(spark, tmp_path):
         assert {r["doc_id"] for r in out.collect()} - {2, 7} == ({1, 6} if n == 0 else set())
 
 
+def test_batches_are_bounded_in_bytes(spark):
+    """A batch of up to 10,000 texts is a task's whole part, and in memory several times over."""
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words of plain text "), 1000).alias("text"), F.lit("en").alias("lang")).coalesce(1)
+    assert corpus_pipeline.identify_language(spark, docs, SF).count() == 600
+
+    def sizes(batches):
+        for b in batches:
+            yield b.select(["doc_id"]).append_column("size", pa.array([b.nbytes] * b.num_rows))
+
+    rows = docs.mapInArrow(sizes, "doc_id long, size long").collect()
+    assert len(rows) == 600 and max(r["size"] for r in rows) <= 6 << 20
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0

@@ -29,7 +29,7 @@ DIMENSIONS, ORDER = 1024, 3
 #: Characters that are turned into vectors at a time, about.
 CHUNK_CHARS = 1 << 19
 #: N-grams whose vectors are held at a time.
-GRAMS = 8192
+GRAMS = 2048
 
 
 @lru_cache(maxsize=1)

@@ -60,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for i, base in enumerate((_BASE, _INVERSE)):
-            grown = np.full(max(n, 1 << 20), base, np.uint64)
+            grown = np.full(max(n, 1 << 18), base, np.uint64)
             grown[0] = 1
             _powers[i] = np.cumprod(grown)
     return _powers[0][:n], _powers[1][:n]
@@ -112,7 +112,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, pa.int64()))
 
 
-def _runs(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _runs(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)

@@ -29,7 +29,7 @@ from tidemark.llm.bpe import byte_letters
 #: Tokens of a window, of a part, and documents of a group.
 WINDOW, PART, GROUP = 2048, 512, 1024
 #: Words that a worker remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 #: Id after each document.
 END = 1
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1 / 500
 #: Cells that a range of values is cut into at a time to find the value at a rank.
 CELLS = 1 << 16
+#: Bytes of an Arrow batch to a Python worker, about; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +40,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end by ``BATCH_BYTES``, where the session does not say otherwise. Spark's own end after 10,000 rows: with long texts that is a task's
+    whole part, which the executor holds outside its heap while the Python worker holds it as a batch, as texts and as arrays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Folder:
     """Small files and subfolders of a folder in any store that Spark can write to."""
 
