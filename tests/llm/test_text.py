@@ -77,6 +77,29 @@ def test_packing(make):
         assert at <= 2048
 
 
+def test_packing_forgets_rare_words_only(monkeypatch):
+    words = packing._Words(queries.vocabulary_path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "MEMO_WORDS", 20)
+    model, asked = words.model, []
+    words.model = type("Counting", (), {"tokenize": lambda _, word: asked.append(word) or model.tokenize(word)})()
+    want = [t.id for t in model.tokenize("often")]
+    for i in range(200):
+        assert np.frombuffer(words["often"], "<i4").tolist() == want and words[f"rare{i}"] and words["y" * 200]
+    assert asked.count("often") == 1 and len(asked) == 1 + 200 + 200
+    assert len(words) + len(words.older) <= 20 and "y" * 200 not in words
+
+
+def test_packing_cuts_words_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary_path("word_bpe_49k.json")
+    library, tokenize, rng = Tokenizer.from_file(path), packing.tokenizer(path), np.random.default_rng(5)
+    for alphabet in ("s''tr'emvlLDx1 .,", "'sÉéſİıŉ½² \x1c\x85\n-", "<|endoftext|>a'"):
+        for _ in range(300):
+            text = "".join(rng.choice(list(alphabet), 25))
+            assert np.frombuffer(tokenize(text), "<i4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_differencing_balances():
     rng = np.random.default_rng(2)
     for n, k in ((1, 1), (3, 5), (500, 7), (1000, 120)):

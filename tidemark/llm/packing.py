@@ -28,16 +28,16 @@ from tidemark.llm.bpe import byte_letters
 
 #: Tokens of a window, of a part, and documents of a group.
 WINDOW, PART, GROUP = 2048, 512, 1024
-#: Words that a worker remembers.
-MEMO_WORDS = 100_000
+#: Words that a worker remembers at most, and the longest (characters) of them.
+MEMO_WORDS, MEMO_LENGTH = 400_000, 128
 #: Id after each document.
 END = 1
 
 #: The vocabulary's word pattern for code points below 0x180: fixed values.
 _L, _N, _S = "a-zA-ZªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
-WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
-#: Texts with one of these go through the library as a whole: other alphabets, a capital whose lower case is two code points, special tokens.
-OUTSIDE = re.compile("[^\x00-ſ]|İ|<\\|")
+WORD = re.compile(rf"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^{_S}{_L}{_N}]+")
+#: Texts with one of these, or with special tokens, go through the library as a whole: other alphabets, a capital whose lower case is two code points (U+0130).
+OUTSIDE = re.compile("[^\x00-įı-ſ]")
 
 
 @lru_cache(maxsize=4)
@@ -51,16 +51,23 @@ def _library(path: str):
 
 
 class _Words(dict):
-    """The ids of words, as bytes of little-endian int32; a word that is not there yet goes through the library's model."""
+    """The ids of words, as bytes of little-endian int32; a word that is not there yet goes through the library's model. When half of the words
+    that are remembered are here, they become the older half, from which words that are met again come back: only rare ones are forgotten."""
 
     def __init__(self, path: str):
-        self.model, self.letters = _library(path).model, byte_letters()
+        self.model, self.letters, self.older = _library(path).model, byte_letters(), {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO_WORDS:
+        out = self.older.get(word)
+        if out is None:
+            plain = word if word.isascii() and word.isprintable() else "".join(self.letters[b] for b in word.encode())
+            out = np.array([t.id for t in self.model.tokenize(plain)], "<i4").tobytes()
+        if len(word) > MEMO_LENGTH:
+            return out
+        if 2 * len(self) >= MEMO_WORDS:
+            self.older = dict(self)
             self.clear()
-        plain = word if word.isascii() and word.isprintable() else "".join(self.letters[b] for b in word.encode())
-        self[word] = out = np.array([t.id for t in self.model.tokenize(plain)], "<i4").tobytes()
+        self[word] = out
         return out
 
 
@@ -70,7 +77,7 @@ def tokenizer(path: str) -> Callable[[str], bytes]:
     library, words = _library(path), _Words(path)
 
     def tokenize(text: str) -> bytes:
-        if ("<|" in text) if text.isascii() else OUTSIDE.search(text):
+        if "<|" in text or not text.isascii() and OUTSIDE.search(text):
             return np.array(library.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
         return b"".join(map(words.__getitem__, WORD.findall(text.lower())))
 
