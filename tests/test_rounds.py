@@ -28,6 +28,42 @@ def test_a_keyed_table_replaces_rows_by_key(spark, tmp_path):
     assert rows_of(KeyedTable(spark, str(tmp_path / "t"), SCHEMA, ("k",), 4)) == sorted([(1, "z"), (None, "m")], key=repr)
 
 
+def test_a_keyed_table_without_rows_reads_no_keys(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, ("k",), 4)
+    first = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], SCHEMA)
+    table.replace(first.select(F.raise_error(F.lit("keys are read")).cast("long").alias("k")), first)
+    assert rows_of(table) == sorted([(1, "a"), (1, "b"), (2, "c"), (None, "n")], key=repr)
+    table.replace(first.select("k"), first.limit(0))
+    assert rows_of(table) == []
+    table.replace(first.select("k"), first)
+    assert len(rows_of(table)) == 4 and table.version == 2
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, ("k",), 1)
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    table.replace(rows.select("k"), rows)
+    assert len(list((tmp_path / "t/v0/bucket=0").glob("part-*.parquet"))) > 1 and table.rows().exceptAll(rows).count() == 0 and table.rows().count() == 1000
+
+
+def test_the_keys_of_a_change_are_found_once(spark, tmp_path):
+    loop = Engine(spark).validation(str(tmp_path / "loop"), SCHEMA, "k", "d.x")
+    rows = spark.createDataFrame([(k, f"v{k}") for k in range(10)], SCHEMA)
+    loop.target.replace(rows.select("k"), rows)
+    loop.failures.replace(rows.select(F.lit("d.x").alias("ns"), F.col("k").alias("key")), rows.select(F.lit("d.x").alias("ns"), F.col("k").alias("key"), F.lit(MANUAL).alias("status"), F.lit(1).cast("long").alias("retry_count"), F.lit(0).cast("long").alias("since")))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    keys = spark.range(3).select(F.col("id").alias("k")).mapInArrow(count, "k long")
+    loop.change(keys, rows.where("k = 1"))
+    assert seen.value == 3 and rows_of(loop.target) == [(k, f"v{k}") for k in (1, 3, 4, 5, 6, 7, 8, 9)]
+    assert sorted(r["key"] for r in loop.failures.rows().collect()) == list(range(3, 10))
+
+
 def test_rounds_repair_until_nothing_is_left(spark, tmp_path):
     src = spark.createDataFrame([(k, f"v{k}") for k in range(10)] + [(None, "no key")], SCHEMA)
     tgt = spark.createDataFrame([(k, f"v{k}") for k in (0, 1, 5, 6)] + [(2, "old"), (3, "old"), (4, "v4"), (4, "copy"), (20, "x"), (21, "x"), (21, "y"), (22, "x")], SCHEMA)

@@ -78,7 +78,9 @@ class Validation:
         action = F.create_map(*(F.lit(x) for pair in ACTIONS.items() for x in pair))
         both.where("status = 'healed_pending_verify'").select("ns", "key", F.try_element_at(action, F.col("outcome")).alias("action"), F.lit(number).alias("round")).write.mode("append").parquet(f"{self.path}/audit")
         added = n.select(F.lit(self.ns).alias("ns"), "*").unionByName(self.stats.rows()).groupBy("ns").agg(*(F.sum(c).alias(c) for c in ("total_checked", "mismatch_found", "mismatch_fixed")))
+        added = written(added, "stats")
         self.stats.replace(added.select("ns"), added)
+        discard(added)
         discard(both)
 
     def round(self, src: DataFrame, number: int, keys: DataFrame | None = None, meanwhile=None) -> DataFrame:
@@ -96,8 +98,10 @@ class Validation:
 
     def change(self, keys: DataFrame, rows: DataFrame) -> None:
         """A change of the target from outside: ``rows`` replace all rows of ``keys``, whose failures are void."""
+        keys = written(keys, "changed")  # both tables read them
         self.target.replace(keys, rows)
         self.failures.replace(keys.select(F.lit(self.ns).alias("ns"), F.col(keys.columns[0]).cast("long").alias("key")), self.spark.createDataFrame([], FAILURES))
+        discard(keys)
 
     def until_quiet(self, src: DataFrame, first: int, keys: DataFrame | None = None, meanwhile=None, most: int = 20) -> list[tuple[int, DataFrame]]:
         """Rounds from number ``first`` on until no failure is left that a round can do something for, or a round changes nothing."""

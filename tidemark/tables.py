@@ -1,7 +1,7 @@
 """Tables in buckets whose versions are committed by one small file.
 
-A row's bucket is the hash of its key. A change rewrites the buckets that it touches into a new version's folder and then commits the version by a small
-file, which names for each bucket the version that holds it. A start finds the last committed version on disk; a folder without its commit file is a lost
+A row's bucket is the hash of its key; its rows are written by as many tasks as the cores ask for. A change rewrites the buckets that it touches into a
+new version's folder and then commits the version by a small file, which names for each bucket the version that holds it. A start finds the last committed version on disk; a folder without its commit file is a lost
 run and is written again. Buckets of versions that the last two commits do not refer to are deleted.
 """
 
@@ -43,7 +43,9 @@ class Buckets:
     def write(self, rows: DataFrame, version: int) -> set[int]:
         """``rows`` as the buckets of a version that is not committed yet; gives the buckets that have rows."""
         folder = f"{self.path}/v{version}"
-        rows.withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        parts = -(-2 * self.spark.sparkContext.defaultParallelism // self.buckets)
+        part = F.col("bucket") * parts + F.pmod(F.xxhash64(F.lit(parts), *self.keys), F.lit(parts)).cast("int")
+        rows.withColumn("bucket", self.bucket()).repartitionById(self.buckets * parts, part).write.mode("overwrite").partitionBy("bucket").parquet(folder)
         return {int(name.split("=")[1]) for name in Folder(self.spark, folder).names() if name.startswith("bucket=")}
 
     def commit(self, version: int, touched: set[int], made: set[int]) -> None:
@@ -77,12 +79,14 @@ class KeyedTable(Buckets):
         return self.spark.createDataFrame([], self.schema) if found is None else found
 
     def replace(self, keys: DataFrame, rows: DataFrame) -> None:
-        """All rows of ``keys`` go and ``rows``, whose keys are among them, come; one new version."""
-        version = 0 if self.version is None else self.version + 1
-        buckets = self.touched(keys)
-        gone = keys.select(*(F.col(k).alias(f"_{k}") for k in self.keys)).distinct()
-        match = F.lit(True)
-        for k in self.keys:
-            match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        left = self.rows(buckets).join(gone, match, "left_anti")
+        """All rows of ``keys`` go and ``rows``, whose keys are among them, come; one new version. ``keys`` are read twice, by the buckets they touch and by
+        the rows that go, so they should be read from a written table; a table without rows reads none."""
+        version, buckets, left = 0 if self.version is None else self.version + 1, set(), self.rows()
+        if self._where():
+            buckets = self.touched(keys)
+            gone = keys.select(*(F.col(k).alias(f"_{k}") for k in self.keys)).distinct()
+            match = F.lit(True)
+            for k in self.keys:
+                match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
+            left = self.rows(buckets).join(gone, match, "left_anti")
         self.commit(version, buckets, self.write(left.unionByName(rows.select(*left.columns)), version))
